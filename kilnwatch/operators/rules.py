@@ -21,7 +21,7 @@ BIAS_SHARE = 0.8
 SIGMA_OF_RANGE = 0.167
 
 LIMIT, TREND = "limit", "trend"
-RULE_COLUMNS = {S.RULE_1: "limit_result", S.BIAS: "bias_result", S.RULE_3: "trend_result"}
+SEVERITIES = {S.RULE_1: "limit_severity", S.BIAS: "bias_severity", S.RULE_3: "trend_severity"}
 
 
 def _flag(condition: Column) -> Column:
@@ -37,79 +37,48 @@ def _ratio(part: str, whole: str) -> Column:
     return F.col(part).cast("double") / F.when(F.col(whole) > 0, F.col(whole).cast("double"))
 
 
-def _percent(part: Column, whole: Column) -> Column:
-    """``part / whole * 100``; NULL where ``whole`` is zero."""
-    return part / F.when(whole != 0.0, whole) * 100.0
-
-
-def _result(
-    severity: Column | str | None = None,
-    anomaly_type: Column | None = None,
-    measured: Column | None = None,
-    reference: Column | None = None,
-    deviation: Column | None = None,
-    rate: Column | None = None,
-    evidence: Column | None = None,
-) -> Column:
-    def or_null(column, kind):
-        return F.lit(None).cast(kind) if column is None else column.cast(kind)
-
-    return F.struct(
-        (F.lit(S.NORMAL) if severity is None else severity).alias("severity"),
-        or_null(anomaly_type, "string").alias("anomaly_type"),
-        or_null(measured, "double").alias("measured_value"),
-        or_null(reference, "double").alias("reference_value"),
-        or_null(deviation, "double").alias("deviation"),
-        or_null(rate, "double").alias("deviation_rate"),
-        or_null(evidence, "double").alias("evidence"),
-    )
+def _choose(code: str, values: dict[int, Column]) -> Column:
+    """The value belonging to a code, NULL for any other code."""
+    chosen = None
+    for number, value in values.items():
+        hit = F.col(code) == number
+        chosen = F.when(hit, value) if chosen is None else chosen.when(hit, value)
+    return chosen
 
 
-def limit_breach(low: Column, high: Column) -> Column:
+def limit_severity() -> Column:
     """three or more samples outside the limits are critical, fewer are a caution."""
-    measured, breaches = F.col("latest_breach"), F.col("breaches")
-    over = is_true(above(measured, high))
-    reference = F.when(over, high).otherwise(low)
-    deviation = F.abs(measured - reference)
-    return F.when(breaches == 0, _result()).otherwise(
-        _result(
-            F.when(breaches >= CRITICAL_BREACHES, F.lit(S.CRITICAL)).otherwise(F.lit(S.CAUTION)),
-            F.when(over, F.lit(S.HIGH)).otherwise(F.lit(S.LOW)),
-            measured,
-            reference,
-            deviation,
-            F.coalesce(_percent(deviation, reference), F.lit(0.0)),
-            breaches,
-        )
+    breaches = F.col("breaches")
+    return (
+        F.when(breaches == 0, F.lit(S.NORMAL))
+        .when(breaches >= CRITICAL_BREACHES, F.lit(S.CRITICAL))
+        .otherwise(F.lit(S.CAUTION))
     )
 
 
-def trend(low: Column, high: Column, min_samples: int) -> Column:
-    """most steps in one direction and a net change of five percent or more."""
-    first, last = F.col(f"{TREND}_first.value"), F.col("value")
-    rising, falling = _ratio("rises", "steps"), _ratio("falls", "steps")
-    up = is_true(rising >= TREND_SHARE)
-    down = is_true(falling >= TREND_SHARE)
+def trend_direction(min_samples: int) -> Column:
+    """1 or -1 where most steps go one way and the net change is large enough."""
+    first, last = F.col("trend_first.value"), F.col("value")
     change = F.abs((last - first) / F.when(first != 0.0, first)) * 100.0
-    detected = (
-        (F.col(f"{TREND}_count") >= min_samples) & (up | down) & ~(change < TREND_CHANGE_PERCENT)
+    moved = (F.col("trend_count") >= min_samples) & ~(change < TREND_CHANGE_PERCENT)
+    return (
+        F.when(~is_true(moved), F.lit(0))
+        .when(_ratio("rises", "steps") >= TREND_SHARE, F.lit(1))
+        .when(_ratio("falls", "steps") >= TREND_SHARE, F.lit(-1))
+        .otherwise(F.lit(0))
+    )
+
+
+def trend_severity(low: Column, high: Column) -> Column:
+    """critical when the last value is close to the limit it moves to."""
+    span, last = high - low, F.col("value")
+    run = F.when(F.col("trend_direction") == 1, last - low).otherwise(high - last)
+    near = at_least(run / F.when(~(span <= 0.0), span), F.lit(NEAR_LIMIT_SHARE))
+    return (
+        F.when(F.col("trend_direction") == 0, F.lit(S.NORMAL))
+        .when(is_true(near), F.lit(S.CRITICAL))
+        .otherwise(F.lit(S.CAUTION))
     )
-    span = high - low
-    room = F.when(~(span <= 0.0), span)
-    position = F.when(up, (last - low) / room).otherwise((high - last) / room)
-    near = is_true(at_least(position, F.lit(NEAR_LIMIT_SHARE)))
-    return F.when(
-        is_true(detected),
-        _result(
-            F.when(near, F.lit(S.CRITICAL)).otherwise(F.lit(S.CAUTION)),
-            F.when(up, F.lit(S.TREND_UP)).otherwise(F.lit(S.TREND_DOWN)),
-            last,
-            F.when(up, high).otherwise(low),
-            F.abs(last - first),
-            change,
-            F.when(up, rising).otherwise(falling),
-        ),
-    ).otherwise(_result())
 
 
 def bias_thresholds(low: Column, high: Column) -> dict[str, Column]:
@@ -124,24 +93,25 @@ def bias_thresholds(low: Column, high: Column) -> dict[str, Column]:
     }
 
 
-def bias(low: Column, high: Column, min_samples: int) -> Column:
-    """eight of ten values on one side, beyond two sigma or beyond one."""
-    measured = F.col("value")
-    usable = (F.col(f"{LIMIT}_count") >= min_samples) & ~(high <= low)
-    outcome = None
-    for name, threshold in bias_thresholds(low, high).items():
-        share = _ratio(name, "valued")
-        hit = is_true(usable & (share >= BIAS_SHARE))
-        result = _result(
-            F.lit(S.CRITICAL if name.startswith("far") else S.CAUTION),
-            F.lit(S.BIAS_UP if name.endswith("above") else S.BIAS_DOWN),
-            measured,
-            threshold,
-            F.abs(measured - threshold),
-            share * 100.0,
-        )
-        outcome = F.when(hit, result) if outcome is None else outcome.when(hit, result)
-    return outcome.otherwise(_result())
+# Codes of the bias outcomes, in the order they are tried; zero is none.
+BIAS_CODES = {"far_above": 1, "far_below": 2, "some_above": 3, "some_below": 4}
+
+
+def bias_code(low: Column, high: Column, min_samples: int) -> Column:
+    """eight of ten values on one side, beyond two sigma or beyond one."""
+    usable = (F.col("limit_count") >= min_samples) & ~(high <= low)
+    code = F.when(~is_true(usable), F.lit(0))
+    for name, number in BIAS_CODES.items():
+        code = code.when(_ratio(name, "valued") >= BIAS_SHARE, F.lit(number))
+    return code.otherwise(F.lit(0))
+
+
+def bias_severity() -> Column:
+    return (
+        F.when(F.col("bias_code") == 0, F.lit(S.NORMAL))
+        .when(F.col("bias_code") <= 2, F.lit(S.CRITICAL))
+        .otherwise(F.lit(S.CAUTION))
+    )
 
 
 def with_limit_sets(samples: DataFrame) -> DataFrame:
@@ -202,77 +172,137 @@ def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> D
         within=("limit_set",),
     ).filter("own_limits")
     low, high = F.col("recipe_min"), F.col("recipe_max")
-    judged = gated(swept, readings, options.min_batches, slice_ms).withColumns(
-        {
-            "limit_result": F.when(F.col("gate_open"), limit_breach(low, high)),
-            "bias_result": F.when(
-                F.col("gate_open"), bias(low, high, options.min_bias_samples)
-            ),
-            "trend_result": trend(low, high, options.min_trend_samples),
-        }
-    )
-    return judged.select(
-        *SLICE_KEYS,
-        *SAMPLE_ORDER,
-        "equipment_id",
-        "sensor_id",
-        "sensor_type",
-        "recipe_min",
-        "recipe_max",
-        "measured_at",
-        *RULE_COLUMNS.values(),
-        *[
-            F.struct(
-                F.col(f"{window}_first.ms").alias("start_ms"),
-                F.col(f"{window}_count").cast("int").alias("samples"),
-            ).alias(f"{window}_window")
-            for window in (LIMIT, TREND)
-        ],
+    open_gate = F.col("gate_open")
+    return (
+        gated(swept, readings, options.min_batches, slice_ms)
+        .withColumns(
+            {
+                "bias_code": bias_code(low, high, options.min_bias_samples),
+                "trend_direction": trend_direction(options.min_trend_samples),
+            }
+        )
+        .withColumns(
+            {
+                SEVERITIES[S.RULE_1]: F.when(open_gate, limit_severity()),
+                SEVERITIES[S.BIAS]: F.when(open_gate, bias_severity()),
+                SEVERITIES[S.RULE_3]: trend_severity(low, high),
+            }
+        )
+        .drop("limit_set", "set_limits", "own_limits", "gate_open", "batch_id")
     )
 
 
 def one_row_per_rule(results: DataFrame, wanted=None, marks=None) -> DataFrame:
-    """Rule results as rows, all rules together.
+    """Rule results as rows, all rules together.
 
     ``wanted(rule)`` may narrow the rows of a rule and ``marks(rule)`` add flags to them,
-    before anything is built for the rest.
+    before any figure is worked out for the rest.
     """
     rows = []
-    for rule, column in RULE_COLUMNS.items():
-        window = F.col(f"{TREND if rule == S.RULE_3 else LIMIT}_window")
-        keep = F.col(column).isNotNull()
+    for rule, severity in SEVERITIES.items():
+        keep = F.col(severity).isNotNull()
         if wanted is not None:
             keep = keep & wanted(rule)
         flags = [] if marks is None else [f.alias(n) for n, f in marks(rule).items()]
         row = F.struct(
-            F.lit(rule).alias("rule_name"),
-            F.col(column).alias("result"),
-            window.alias("window"),
-            *flags,
+            F.lit(rule).alias("rule_name"), F.col(severity).alias("severity"), *flags
         )
         rows.append(F.when(keep, row))
-    exploded = results.withColumn("_row", F.explode(F.array_compact(F.array(*rows))))
-    detected = F.col("_row.result.severity") != S.NORMAL
-    extra = [] if marks is None else [F.col(f"_row.{name}") for name in marks(S.RULE_1)]
-    return exploded.select(
+    kept = results.withColumn("_row", F.explode(F.array_compact(F.array(*rows)))).select(
+        "*", "_row.*"
+    )
+    flags = [] if marks is None else list(marks(S.RULE_1))
+    return with_figures(kept).select(
         *SLICE_KEYS,
         *SAMPLE_ORDER,
         "equipment_id",
         "sensor_id",
         "sensor_type",
-        "_row.rule_name",
-        "_row.result.anomaly_type",
-        "_row.result.severity",
-        "_row.result.measured_value",
-        "_row.result.reference_value",
-        "_row.result.deviation",
-        "_row.result.deviation_rate",
-        F.when(detected, F.col("recipe_min")).alias("min"),
-        F.when(detected, F.col("recipe_max")).alias("max"),
+        "rule_name",
+        "anomaly_type",
+        "severity",
+        "measured_value",
+        "reference_value",
+        "deviation",
+        "deviation_rate",
+        "min",
+        "max",
         F.col("measured_at").alias("detected_at"),
-        F.timestamp_millis("_row.window.start_ms").alias("window_start"),
+        "window_start",
         F.col("measured_at").alias("window_end"),
-        F.col("_row.window.samples").alias("sample_count"),
-        "_row.result.evidence",
-        *extra,
+        "sample_count",
+        "evidence",
+        *flags,
+    )
+
+
+def with_figures(rows: DataFrame) -> DataFrame:
+    """The figures behind each evaluation; all NULL where it is normal."""
+    low, high = F.col("recipe_min"), F.col("recipe_max")
+    detected = F.col("severity") != S.NORMAL
+    rule = F.col("rule_name")
+    start = F.when(rule == S.RULE_3, F.col("trend_first.ms")).otherwise(F.col("limit_first.ms"))
+    count = F.when(rule == S.RULE_3, F.col("trend_count")).otherwise(F.col("limit_count"))
+    over = is_true(above(F.col("latest_breach"), high))
+    # One code for what was found: bias 1 to 4, limits 5 and 6, trends 7 and 8.
+    found = (
+        F.when(~detected, F.lit(0))
+        .when(rule == S.BIAS, F.col("bias_code"))
+        .when(rule == S.RULE_1, F.when(over, F.lit(5)).otherwise(F.lit(6)))
+        .when(F.col("trend_direction") == 1, F.lit(7))
+        .otherwise(F.lit(8))
+    )
+    kinds = [
+        S.BIAS_UP, S.BIAS_DOWN, S.BIAS_UP, S.BIAS_DOWN, S.HIGH, S.LOW, S.TREND_UP, S.TREND_DOWN,
+    ]
+    thresholds = bias_thresholds(low, high)
+    references = {number: thresholds[name] for name, number in BIAS_CODES.items()}
+    references |= {5: high, 6: low, 7: high, 8: low}
+    shares = {n: F.col(name).cast("double") / F.col("valued") for name, n in BIAS_CODES.items()}
+    code = F.col("found")
+    first, measured, reference = (
+        F.col("trend_first.value"), F.col("measured_value"), F.col("reference_value"),
+    )
+    of_reference = F.col("deviation") / F.when(reference != 0.0, reference) * 100.0
+    return (
+        rows.withColumns(
+            {
+                "found": found,
+                "window_start": F.timestamp_millis(start),
+                "sample_count": count.cast("int"),
+            }
+        )
+        .withColumns(
+            {
+                "anomaly_type": F.when(
+                    code > 0, F.element_at(F.array(*map(F.lit, kinds)), F.greatest(code, F.lit(1)))
+                ),
+                "measured_value": F.when(code.isin(5, 6), F.col("latest_breach")).when(
+                    code > 0, F.col("value")
+                ),
+                "reference_value": _choose("found", references),
+                "min": F.when(detected, low),
+                "max": F.when(detected, high),
+                "evidence": _choose(
+                    "found",
+                    {
+                        5: F.col("breaches").cast("double"),
+                        6: F.col("breaches").cast("double"),
+                        7: _ratio("rises", "steps"),
+                        8: _ratio("falls", "steps"),
+                        **shares,
+                    },
+                ),
+            }
+        )
+        .withColumn(
+            "deviation",
+            F.when(code >= 7, F.abs(measured - first)).otherwise(F.abs(measured - reference)),
+        )
+        .withColumn(
+            "deviation_rate",
+            F.when(code.between(1, 4), F.col("evidence") * 100.0)
+            .when(code >= 7, F.abs((measured - first) / F.when(first != 0.0, first)) * 100.0)
+            .when(code >= 5, F.coalesce(of_reference, F.lit(0.0))),
+        )
     )

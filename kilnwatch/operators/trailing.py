@@ -17,11 +17,9 @@ from pyspark.sql import functions as F
 
 from kilnwatch.operators.projections import reading_events
 from kilnwatch.operators.slices import (
-    KEY,
     LEAD_IN,
     MS,
     SAMPLE_ORDER,
-    SLICE,
     SLICE_KEYS,
     keyed,
     with_slices,
@@ -72,54 +70,104 @@ def sweep(
     Adds, per window, ``<window>_count`` and ``<window>_first`` (time and value of the
     earliest sample kept), one column per tally, and one per ``latest`` entry: its last
     non-NULL value so far. ``within`` names further columns that split a slice.
+
+    Tests run once per sample, before it is doubled, and travel as the bits of one
+    number. That keeps the rows narrow and each generated method small enough for the
+    JVM to compile.
     """
+    latest = latest or {}
     roles = {name: role for role, name in enumerate(windows, start=1)}
-    role = F.col(ROLE)
+    tallies = {
+        **tallies,
+        **{f"{name}_count": Tally(name, F.lit(1)) for name in windows},
+    }
+    control = [*SLICE_KEYS, MS, *ARRIVAL, *within]
+    helpers = ["previous_value", "next_value", "next_ms", "last_ms"]
+    carried = [c for c in samples.columns if c not in (*control, *helpers)]
+
+    def bits(flags: dict[int, Column]) -> Column:
+        total = F.lit(0)
+        for place, flag in flags.items():
+            total = total + F.shiftleft(flag, place)
+        return total
+
+    places = {name: place for place, name in enumerate(tallies)}
+    gains = bits({places[n]: t.entering for n, t in tallies.items()})
+    losses = {
+        window: bits(
+            {
+                places[n]: t.entering if t.leaving is None else t.leaving
+                for n, t in tallies.items()
+                if t.window == window
+            }
+        )
+        for window in windows
+    }
+    tested = samples.select(
+        *control,
+        "last_ms",
+        gains.alias("gains"),
+        *[flag.alias(f"{window}_losses") for window, flag in losses.items()],
+        *[value.alias(name) for name, value in latest.items()],
+        F.struct(F.col(MS).alias("ms"), F.col("value").alias("value")).alias("sample"),
+        F.struct(F.col("next_ms").alias("ms"), F.col("next_value").alias("value")).alias(
+            "following"
+        ),
+        F.struct(*carried).alias("reading"),
+    )
+
+    def moment(at: Column, role: int, flags: str) -> Column:
+        return F.struct(at.alias(MOMENT), F.lit(role).alias(ROLE), F.col(flags).alias("bits"))
+
     leaves = [
         # Nothing is left to see a leave beyond the slice's last sample.
         F.when(
             F.col(MS) + F.lit(windows[name]) < F.col("last_ms"),
-            F.struct((F.col(MS) + F.lit(windows[name])).alias(MOMENT), F.lit(number).alias(ROLE)),
+            moment(F.col(MS) + F.lit(windows[name]), number, f"{name}_losses"),
         )
         for name, number in roles.items()
     ]
-    enter = F.struct(F.col(MS).alias(MOMENT), F.lit(ENTERS).alias(ROLE))
-    moments = (
-        samples.withColumn("_moment", F.explode(F.array_compact(F.array(enter, *leaves))))
-        .withColumns({MOMENT: F.col(f"_moment.{MOMENT}"), ROLE: F.col(f"_moment.{ROLE}")})
-        .drop("_moment", "last_ms")
+    enters = F.col(ROLE) == ENTERS
+    moments = tested.select(
+        *control,
+        *latest,
+        "sample",
+        "following",
+        "reading",
+        F.explode(F.array_compact(F.array(moment(F.col(MS), ENTERS, "gains"), *leaves))).alias("_m"),
+    ).select(
+        *control,
+        f"_m.{MOMENT}",
+        f"_m.{ROLE}",
+        "_m.bits",
+        *latest,
+        "sample",
+        F.when(F.col(f"_m.{ROLE}") != ENTERS, F.col("following")).alias("following"),
+        F.when(F.col(f"_m.{ROLE}") == ENTERS, F.col("reading")).alias("reading"),
     )
     so_far = (
         Window.partitionBy(*SLICE_KEYS, *within)
         .orderBy(MOMENT, ROLE, *ARRIVAL)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-
-    def running(tally: Tally) -> Column:
-        leaving = tally.entering if tally.leaving is None else tally.leaving
-        step = (
-            F.when(role == ENTERS, tally.entering)
-            .when(role == roles[tally.window], -leaving)
-            .otherwise(F.lit(0))
-        )
-        return F.sum(step).over(so_far)
-
-    sample = F.struct(F.col(MS).alias("ms"), F.col("value").alias("value"))
-    following = F.struct(F.col("next_ms").alias("ms"), F.col("next_value").alias("value"))
-    columns = {name: running(tally) for name, tally in tallies.items()}
+    sign = F.when(enters, F.lit(1)).otherwise(F.lit(-1))
+    columns = {
+        name: F.sum(F.shiftright("bits", place).bitwiseAND(F.lit(1)) * sign).over(so_far)
+        for name, place in places.items()
+    }
     for name, number in roles.items():
-        columns[f"{name}_count"] = running(Tally(name, F.lit(1)))
         columns[f"{name}_first"] = F.coalesce(
-            F.last(F.when(role == number, following), ignorenulls=True).over(so_far),
-            F.first(sample).over(so_far),
+            F.last(F.when(F.col(ROLE) == number, F.col("following")), ignorenulls=True).over(
+                so_far
+            ),
+            F.first("sample").over(so_far),
         )
-    for name, value in (latest or {}).items():
-        entering = F.when(role == ENTERS, value)
-        columns[name] = F.last(entering, ignorenulls=True).over(so_far)
+    for name in latest:
+        columns[name] = F.last(F.when(enters, F.col(name)), ignorenulls=True).over(so_far)
     return (
         moments.withColumns(columns)
-        .filter((role == ENTERS) & ~F.col(LEAD_IN))
-        .drop(MOMENT, ROLE, LEAD_IN, "next_ms", "next_value", "previous_value")
+        .filter(enters & ~F.col(f"reading.{LEAD_IN}"))
+        .select(*control, *columns, *[f"reading.{c}" for c in carried if c != LEAD_IN])
     )
 
 

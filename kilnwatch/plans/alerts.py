@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnwatch.functions.reasons import reason
-from kilnwatch.operators.rules import RULE_COLUMNS, one_row_per_rule, rule_results
+from kilnwatch.operators.rules import SEVERITIES, one_row_per_rule, rule_results
 from kilnwatch.operators.slices import SAMPLE_ORDER, SLICE_KEYS
 from kilnwatch.operators.transitions import CHANGES, CLOSES, OPENS, settle_slice_edges, slice_marks
 from kilnwatch.options import RuleOptions
@@ -32,13 +32,13 @@ def alerts(readings: DataFrame, options: RuleOptions = RuleOptions()) -> DataFra
     order = Window.partitionBy(*SLICE_KEYS).orderBy(*SAMPLE_ORDER)
     names = {
         rule: {mark: f"{column}_{mark}" for mark in (OPENS, CLOSES, CHANGES)}
-        for rule, column in RULE_COLUMNS.items()
+        for rule, column in SEVERITIES.items()
     }
     marked = results.withColumns(
         {
             names[rule][mark]: flag
-            for rule, column in RULE_COLUMNS.items()
-            for mark, flag in slice_marks(F.col(f"{column}.severity"), order).items()
+            for rule, column in SEVERITIES.items()
+            for mark, flag in slice_marks(F.col(column), order).items()
         }
     )
 

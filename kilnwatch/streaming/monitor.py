@@ -201,7 +201,7 @@ class SensorMonitor(StatefulProcessor):
         trend = _Samples(options.trend_window_ms, *(self.trend_state.get() or ([], [])))
         batch, total = self.batch_state.get() or (None, 0)
         severities = dict(
-            zip(R.RULE_COLUMNS, self.severity_state.get() or (None, None, None))
+            zip(R.SEVERITIES, self.severity_state.get() or (None, None, None))
         )
         newest = max([*limit.ms[-1:].tolist(), *trend.ms[-1:].tolist()], default=None)
         for run, newest in _ordered_runs(arrived, newest):
