@@ -120,11 +120,7 @@ def sweep(
         return F.struct(at.alias(MOMENT), F.lit(role).alias(ROLE), F.col(flags).alias("bits"))
 
     leaves = [
-        # Nothing is left to see a leave beyond the slice's last sample.
-        F.when(
-            F.col(MS) + F.lit(windows[name]) < F.col("last_ms"),
-            moment(F.col(MS) + F.lit(windows[name]), number, f"{name}_losses"),
-        )
+        moment(F.col(MS) + F.lit(windows[name]), number, f"{name}_losses")
         for name, number in roles.items()
     ]
     enters = F.col(ROLE) == ENTERS
@@ -134,7 +130,12 @@ def sweep(
         "sample",
         "following",
         "reading",
-        F.explode(F.array_compact(F.array(moment(F.col(MS), ENTERS, "gains"), *leaves))).alias("_m"),
+        "last_ms",
+        F.explode(F.array(moment(F.col(MS), ENTERS, "gains"), *leaves)).alias("_m"),
+    )
+    # Nothing is left to see a leave beyond the slice's last sample.
+    moments = moments.filter(
+        (F.col(f"_m.{ROLE}") == ENTERS) | (F.col(f"_m.{MOMENT}") < F.col("last_ms"))
     ).select(
         *control,
         f"_m.{MOMENT}",
