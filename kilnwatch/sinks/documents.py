@@ -24,7 +24,7 @@ def changes(readings: DataFrame) -> DataFrame:
     rows = documents(
         readings.withColumn(DAY, utc_date(F.col("measured_at"))), *ARRIVAL, DAY
     )
-    return last_per_id(rows, *ARRIVAL)
+    return last_per_id(rows, *ARRIVAL, within=(DAY,))
 
 
 def indexable(readings: DataFrame):
@@ -53,14 +53,14 @@ def upsert(readings: DataFrame, path: str, epoch: int) -> None:
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The table as readers see it; a filter on ``measured_day`` skips other days' files."""
     rows = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes")
-    return last_per_id(rows, *VERSION).drop(*VERSION)
+    return last_per_id(rows, *VERSION, within=(DAY,)).drop(*VERSION)
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
     """Write the current table to a new folder as its first epoch."""
     rows = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes")
     (
-        last_per_id(rows, *VERSION)
+        last_per_id(rows, *VERSION, within=(DAY,))
         .drop(EPOCH)
         .hint("rebalance", DAY)
         .write.partitionBy(DAY)
