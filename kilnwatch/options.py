@@ -37,7 +37,12 @@ class RuleOptions:
 
 @dataclass(frozen=True)
 class JobOptions:
-    """Options of the streaming job."""
+    """Options of the streaming job.
+
+    ``max_messages_per_trigger`` bounds what one micro-batch holds of one sensor.
+    ``exact_dedup`` keeps a key exactly for its time to live, in Python state; without it
+    the JVM keeps the key for one to two such times.
+    """
 
     bootstrap_servers: str = "localhost:9092"
     source_topic: str = "fab-semiconductor-001"
@@ -49,4 +54,6 @@ class JobOptions:
     index: str = "sensor-realtime"
     violations_topic: str = "sensor-violations"
     checkpoint_dir: str = ""
+    max_messages_per_trigger: int | None = 1_000_000
+    exact_dedup: bool = True
     rules: RuleOptions = RuleOptions()

@@ -26,7 +26,7 @@ ISO_INSTANT = (
 )
 EPOCH_SECONDS = r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?$"
 WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
-SPECIAL_NUMBER = r"^(NaN|[+-]?(Infinity|INF))$"
+NUMBER = r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?(Infinity|INF))\s*$"
 
 
 def read_topic(spark: SparkSession, options: JobOptions = JobOptions()) -> DataFrame:
@@ -41,9 +41,10 @@ def read_topic(spark: SparkSession, options: JobOptions = JobOptions()) -> DataF
         .option("subscribe", options.source_topic)
         .option("kafka.group.id", options.group_id)
         .option("startingOffsets", "earliest" if options.start_from_earliest else "latest")
-        .load()
     )
-    return topic.select(
+    if options.max_messages_per_trigger:
+        topic = topic.option("maxOffsetsPerTrigger", options.max_messages_per_trigger)
+    return topic.load().select(
         F.col("value").cast("string").alias("value"), F.col("offset").alias("arrival_seq")
     )
 
@@ -88,9 +89,7 @@ def _instant(text: Column) -> Column:
 
 
 def _double(text: Column) -> Column:
-    special = F.replace(text, F.lit("INF"), F.lit("Infinity"))
-    ordinary = F.when(~text.rlike(r"(?i)[a-df-z]"), text.try_cast("double"))
-    return F.when(text.rlike(SPECIAL_NUMBER), special.try_cast("double")).otherwise(ordinary)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def _whole(text: Column, kind: str) -> Column:
@@ -150,6 +149,8 @@ def _unreadable(value: Column, source: T.DataType, target: T.DataType) -> Column
     if source == target:
         return None
     filled = value.isNotNull() & (F.trim(value) != "")
+    if isinstance(target, T.DoubleType):
+        return F.coalesce(filled & ~value.rlike(NUMBER), F.lit(False))
     return F.coalesce(filled & _convert(value, source, target).isNull(), F.lit(False))
 
 

@@ -7,6 +7,8 @@ exactly once, whatever reads it afterwards.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kilnwatch.operators.flatten import flatten_batches
@@ -16,9 +18,11 @@ from kilnwatch.sinks.alerts import alert_topic
 from kilnwatch.sinks.documents import upsert
 from kilnwatch.sinks.storage import PARTITIONS, partitioned_rows
 from kilnwatch.sources.messages import parse_messages, read_topic, valid_batches
-from kilnwatch.streaming.dedup import HOUR_MS, first_copies_with_ttl
+from kilnwatch.streaming.dedup import HOUR_MS, first_copies_with_ttl, first_copies_within_watermark
 from kilnwatch.streaming.monitor import monitor
 
+INGESTED_AT = "ingested_at"
+
 
 def readings_of(messages: DataFrame) -> DataFrame:
     """Messages (``value, arrival_seq``) to readings; works on streams and batches."""
@@ -44,8 +48,24 @@ def to_documents(readings: DataFrame, path: str) -> DataStreamWriter:
     return readings.writeStream.foreachBatch(apply)
 
 
+LANDED = T.StructType([*READING, T.StructField(INGESTED_AT, T.TimestampType())])
+
+
+def land(readings: DataFrame, path: str) -> DataStreamWriter:
+    """Write readings with the time they were taken in, which never runs backwards."""
+    return to_files(readings.withColumn(INGESTED_AT, F.current_timestamp()), path)
+
+
 def landed_readings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(READING).parquet(path)
+    return spark.readStream.schema(LANDED).parquet(path)
+
+
+def stored_once(landed: DataFrame, options: JobOptions) -> DataFrame:
+    """The landed readings without repeated copies, ready for the storage sink."""
+    ttl_ms = options.dedup_ttl_hours * HOUR_MS
+    if options.exact_dedup:
+        return partitioned_rows(first_copies_with_ttl(landed, ttl_ms))
+    return partitioned_rows(first_copies_within_watermark(landed, INGESTED_AT, ttl_ms))
 
 
 def start(writer: DataStreamWriter, options: JobOptions, name: str) -> StreamingQuery:
@@ -64,13 +84,11 @@ def run(spark: SparkSession, options: JobOptions) -> dict[str, StreamingQuery]:
         raise ValueError("the job needs a durable checkpoint_dir")
     base = options.output_path.rstrip("/")
     landing = f"{base}/_landing"
-    queries = {
-        "landing": start(to_files(readings_of(read_topic(spark, options)), landing), options, "landing")
-    }
-    ttl_ms = options.dedup_ttl_hours * HOUR_MS
+    arriving = land(readings_of(read_topic(spark, options)), landing)
+    queries = {"landing": start(arriving, options, "landing")}
     branches = {
         "storage": to_files(
-            partitioned_rows(first_copies_with_ttl(landed_readings(spark, landing), ttl_ms)),
+            stored_once(landed_readings(spark, landing), options),
             f"{base}/readings",
             *PARTITIONS,
         ),

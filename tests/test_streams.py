@@ -13,8 +13,19 @@ from kilnwatch.options import JobOptions, RuleOptions
 from kilnwatch.schemas import READING
 from kilnwatch.session import shared_folder
 from kilnwatch.sinks.documents import read_latest
+from kilnwatch.sinks.storage import PARTITIONS
+from kilnwatch.sources.messages import read_message_files
 from kilnwatch.streaming.dedup import first_copies_with_ttl, first_copies_within_watermark
-from kilnwatch.streaming.jobs import landed_readings, run, start, to_documents, to_files
+from kilnwatch.streaming.jobs import (
+    land as landing,
+    landed_readings,
+    readings_of,
+    run,
+    start,
+    stored_once,
+    to_documents,
+    to_files,
+)
 from kilnwatch.streaming.monitor import monitor
 
 OPTIONS = RuleOptions(
@@ -113,16 +124,38 @@ def test_documents_stream(spark):
     assert sorted(r.value for r in read_latest(spark, path).collect()) == [6.0, 7.0, 8.0]
 
 
-def test_landed_readings_and_named_query(spark):
-    source, path = shared_folder(spark, "landing"), shared_folder(spark, "copy")
-    land(spark, source, [reading()])
-    options = JobOptions(checkpoint_dir=shared_folder(spark, "checkpoints"), checkpoint_interval_ms=500)
-    query = start(to_files(landed_readings(spark, source), path), options, "copy")
-    try:
-        query.processAllAvailable()
-    finally:
-        query.stop()
-    assert spark.read.parquet(path).count() == 1
+def test_messages_to_storage(spark):
+    """Landing and storage as two queries with checkpoints of their own."""
+    messages, base = shared_folder(spark, "messages"), shared_folder(spark, "job")
+    text = (
+        '{"batchId":"B","deviceId":"D","id":1,"createdAt":"2026-06-13T00:00:00Z","measurements":'
+        '[{"sequence":1,"sensors":[{"sensorId":"S1","value":1.5},{"sensorId":"S2"}]}]}'
+    )
+    spark.createDataFrame([(text,), (text,), ("}{",)], "value string").write.text(messages)
+    options = JobOptions(
+        checkpoint_dir=f"{base}/checkpoints", checkpoint_interval_ms=500, exact_dedup=False
+    )
+    source = readings_of(read_message_files(spark, messages, streaming=True))
+    for name, writer in (
+        ("landing", lambda: landing(source, f"{base}/landing")),
+        (
+            "storage",
+            lambda: to_files(
+                stored_once(landed_readings(spark, f"{base}/landing"), options),
+                f"{base}/readings", *PARTITIONS,
+            ),
+        ),
+    ):
+        query = start(writer(), options, name)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    assert spark.read.parquet(f"{base}/landing").count() == 4
+    stored = spark.read.parquet(f"{base}/readings")
+    assert sorted((r.sensorId, r.value, r.device) for r in stored.collect()) == [
+        ("S1", 1.5, "D"), ("S2", None, "D"),
+    ]
 
 
 def test_job_needs_a_checkpoint_folder(spark):
