@@ -54,10 +54,11 @@ def readings_from_events(events: DataFrame) -> DataFrame:
 def batches_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their line items as nested batches: ``batch, arrival_seq``.
 
-    A line item number is a measurement, a line item its sensor reading. Grouping is by
-    order, whose size is bounded by the order itself.
+    A line item number is a measurement, a line item its sensor reading. Both groupings
+    and the join share one shuffle by order.
     """
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition("l_orderkey")
+    lines = items.select(
         F.col("l_orderkey").alias("o_orderkey"),
         "l_linenumber",
         F.struct(
