@@ -41,12 +41,15 @@ class JobOptions:
 
     ``max_messages_per_trigger`` bounds what one micro-batch holds of one sensor.
     ``exact_dedup`` keeps a key exactly for its time to live, in Python state; without it
-    the JVM keeps the key for one to two such times.
+    the JVM keeps the key for one to two such times. ``files_per_partition`` is the number
+    of tasks, hence files, a storage partition is spread over in one micro-batch.
     """
 
+    # Names of the deployed topics and tables.
+
     bootstrap_servers: str = "localhost:9092"
     source_topic: str = "fab-semiconductor-001"
-    group_id: str = "flink-anomaly-ingestion"
+    group_id: str = "kilnwatch-ingestion"
     start_from_earliest: bool = True
     checkpoint_interval_ms: int = 60_000
     output_path: str = "s3a://sensor-data-lake/sensor"
@@ -56,4 +59,5 @@ class JobOptions:
     checkpoint_dir: str = ""
     max_messages_per_trigger: int | None = 1_000_000
     exact_dedup: bool = True
+    files_per_partition: int = 4
     rules: RuleOptions = RuleOptions()

@@ -61,11 +61,19 @@ def landed_readings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_once(landed: DataFrame, options: JobOptions) -> DataFrame:
-    """The landed readings without repeated copies, ready for the storage sink."""
+    """The landed readings without repeated copies, ready for the storage sink.
+
+    Rows are brought together by storage partition, each spread over a few tasks: that
+    bounds the number of files, and no device ends up in a single task.
+    """
     ttl_ms = options.dedup_ttl_hours * HOUR_MS
     if options.exact_dedup:
-        return partitioned_rows(first_copies_with_ttl(landed, ttl_ms))
-    return partitioned_rows(first_copies_within_watermark(landed, INGESTED_AT, ttl_ms))
+        kept = first_copies_with_ttl(landed, ttl_ms)
+    else:
+        kept = first_copies_within_watermark(landed, INGESTED_AT, ttl_ms)
+    share = F.pmod(F.xxhash64("sensorId", "measuredAt"), F.lit(options.files_per_partition))
+    rows = partitioned_rows(kept).withColumn("_share", share)
+    return rows.repartition(*PARTITIONS, "_share").drop("_share")
 
 
 def start(writer: DataStreamWriter, options: JobOptions, name: str) -> StreamingQuery:
