@@ -1,0 +1,11 @@
+"""Streaming operators.
+
+State workers do not receive files added to a session, so the processors travel whole:
+nothing has to be installed on the machines that run them.
+"""
+
+from pyspark.cloudpickle import register_pickle_by_value
+
+import kilnwatch
+
+register_pickle_by_value(kilnwatch)

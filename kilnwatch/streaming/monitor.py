@@ -14,16 +14,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from kilnwatch import schemas as S
 from kilnwatch.functions.reasons import reason
-from kilnwatch.operators import rules as R
 from kilnwatch.operators.projections import reading_events
+from kilnwatch.operators.rules import (
+    BIAS_SHARE,
+    CRITICAL_BREACHES,
+    NEAR_LIMIT_SHARE,
+    SEVERITIES,
+    SIGMA_OF_RANGE,
+    TREND_CHANGE_PERCENT,
+    TREND_SHARE,
+)
 from kilnwatch.operators.slices import KEY, MS, keyed
 from kilnwatch.options import RuleOptions
+from kilnwatch.schemas import (
+    ARRIVAL,
+    BIAS,
+    BIAS_DOWN,
+    BIAS_UP,
+    CAUTION,
+    CRITICAL,
+    HIGH,
+    LOW,
+    NORMAL,
+    RULE_1,
+    RULE_3,
+    TREND_DOWN,
+    TREND_UP,
+    VIOLATION,
+)
 
 _FINDING = T.StructType(
     [
-        *[f for f in S.VIOLATION if f.name not in ("detected_at", "window_start", "window_end", "reason")],
+        *[f for f in VIOLATION if f.name not in ("detected_at", "window_start", "window_end", "reason")],
         T.StructField("detected_ms", T.LongType()),
         T.StructField("start_ms", T.LongType()),
         T.StructField("evidence", T.DoubleType()),
@@ -87,18 +110,18 @@ def _judge_limits(samples: _Samples, first, last, low, high, min_bias: int):
     valued = valued[last + 1] - valued[first]
     shares = []
     if low is not None and high is not None and not high <= low:
-        mean, sigma = (low + high) / 2.0, (high - low) * R.SIGMA_OF_RANGE
+        mean, sigma = (low + high) / 2.0, (high - low) * SIGMA_OF_RANGE
         for side, limit in (
-            (S.BIAS_UP, mean + sigma * 2),
-            (S.BIAS_DOWN, mean - sigma * 2),
-            (S.BIAS_UP, mean + sigma),
-            (S.BIAS_DOWN, mean - sigma),
+            (BIAS_UP, mean + sigma * 2),
+            (BIAS_DOWN, mean - sigma * 2),
+            (BIAS_UP, mean + sigma),
+            (BIAS_DOWN, mean - sigma),
         ):
-            beyond = _before(value > limit if side == S.BIAS_UP else value < limit)
+            beyond = _before(value > limit if side == BIAS_UP else value < limit)
             beyond = beyond[last + 1] - beyond[first]
             share = beyond / np.maximum(valued, 1)
-            hit = (count >= min_bias) & (valued > 0) & (share >= R.BIAS_SHARE)
-            shares.append((side, S.CRITICAL if len(shares) < 2 else S.CAUTION, limit, share, hit))
+            hit = (count >= min_bias) & (valued > 0) & (share >= BIAS_SHARE)
+            shares.append((side, CRITICAL if len(shares) < 2 else CAUTION, limit, share, hit))
 
     def limit_finding(i: int):
         if breaches[i] == 0:
@@ -108,8 +131,8 @@ def _judge_limits(samples: _Samples, first, last, low, high, min_bias: int):
         reference = high if is_high else low
         deviation = abs(measured - reference)
         rate = deviation / reference * 100.0 if reference != 0.0 else 0.0
-        severity = S.CRITICAL if breaches[i] >= R.CRITICAL_BREACHES else S.CAUTION
-        kind = S.HIGH if is_high else S.LOW
+        severity = CRITICAL if breaches[i] >= CRITICAL_BREACHES else CAUTION
+        kind = HIGH if is_high else LOW
         return severity, kind, measured, reference, deviation, rate, float(breaches[i])
 
     def bias_finding(i: int):
@@ -121,9 +144,9 @@ def _judge_limits(samples: _Samples, first, last, low, high, min_bias: int):
         return None
 
     severities = np.where(
-        breaches == 0, S.NORMAL, np.where(breaches >= R.CRITICAL_BREACHES, S.CRITICAL, S.CAUTION)
+        breaches == 0, NORMAL, np.where(breaches >= CRITICAL_BREACHES, CRITICAL, CAUTION)
     )
-    bias = np.full(len(first), S.NORMAL, dtype=object)
+    bias = np.full(len(first), NORMAL, dtype=object)
     for _, severity, _, _, hit in reversed(shares):
         bias[hit] = severity
     return (severities, limit_finding), (bias, bias_finding)
@@ -144,7 +167,7 @@ def _judge_trend(samples: _Samples, first, last, low, high, min_samples: int):
 
     steps = inside(both)
     rising, falling = (inside(f) / np.maximum(steps, 1) for f in (rise, fall))
-    up, down = rising >= R.TREND_SHARE, falling >= R.TREND_SHARE
+    up, down = rising >= TREND_SHARE, falling >= TREND_SHARE
     start, end = value[first], value[last]
     with np.errstate(all="ignore"):
         change = np.abs((end - start) / start) * 100.0
@@ -155,21 +178,21 @@ def _judge_trend(samples: _Samples, first, last, low, high, min_samples: int):
             & ~empty[last]
             & (start != 0.0)
             & (up | down)
-            & ~(change < R.TREND_CHANGE_PERCENT)
+            & ~(change < TREND_CHANGE_PERCENT)
         )
         near = np.zeros(len(first), bool)
         if low is not None and high is not None and not high - low <= 0.0:
             room = np.float64(high - low)
             position = np.where(up, (end - low) / room, (high - end) / room)
-            near = position >= R.NEAR_LIMIT_SHARE
-    severities = np.where(~detected, S.NORMAL, np.where(near, S.CRITICAL, S.CAUTION))
+            near = position >= NEAR_LIMIT_SHARE
+    severities = np.where(~detected, NORMAL, np.where(near, CRITICAL, CAUTION))
 
     def finding(i: int):
         if not detected[i]:
             return None
         measured, deviation = float(end[i]), float(abs(end[i] - start[i]))
         kind, reference, share = (
-            (S.TREND_UP, high, rising[i]) if up[i] else (S.TREND_DOWN, low, falling[i])
+            (TREND_UP, high, rising[i]) if up[i] else (TREND_DOWN, low, falling[i])
         )
         return severities[i], kind, measured, reference, deviation, float(change[i]), float(share)
 
@@ -201,7 +224,7 @@ class SensorMonitor(StatefulProcessor):
         trend = _Samples(options.trend_window_ms, *(self.trend_state.get() or ([], [])))
         batch, total = self.batch_state.get() or (None, 0)
         severities = dict(
-            zip(R.SEVERITIES, self.severity_state.get() or (None, None, None))
+            zip(SEVERITIES, self.severity_state.get() or (None, None, None))
         )
         newest = max([*limit.ms[-1:].tolist(), *trend.ms[-1:].tolist()], default=None)
         for run, newest in _ordered_runs(arrived, newest):
@@ -235,11 +258,11 @@ class SensorMonitor(StatefulProcessor):
                 trend, trend_first[at], trend_last[at], low, high, self.options.min_trend_samples
             )
             for place, i in enumerate(members):
-                judged[i] = (place, {S.RULE_1: rule_1, S.BIAS: bias, S.RULE_3: rule_3})
+                judged[i] = (place, {RULE_1: rule_1, BIAS: bias, RULE_3: rule_3})
         for i, row in enumerate(run):
             place, results = judged[i]
             for rule, (levels, finding) in results.items():
-                if rule != S.RULE_3 and not gate_open[i]:
+                if rule != RULE_3 and not gate_open[i]:
                     continue
                 level = str(levels[place])
                 if self.changes_only and severities[rule] == level:
@@ -247,7 +270,7 @@ class SensorMonitor(StatefulProcessor):
                 severities[rule] = level
                 samples, first, last = (
                     (trend, trend_first[i], trend_last[i])
-                    if rule == S.RULE_3
+                    if rule == RULE_3
                     else (limit, limit_first[i], limit_last[i])
                 )
                 yield _finding_row(
@@ -279,7 +302,7 @@ def _ordered_runs(arrived: list[Row], newest: int | None):
 
 def _finding_row(row: Row, rule: str, finding, start_ms: int, count: int) -> Row:
     severity, kind, measured, reference, deviation, rate, evidence = finding or (
-        S.NORMAL, None, None, None, None, None, None,
+        NORMAL, None, None, None, None, None, None,
     )
     low, high = (row.recipe_min, row.recipe_max) if finding else (None, None)
     return _Finding(
@@ -319,5 +342,5 @@ def monitor(
                 "reason": reason(),
             }
         )
-        .select(*S.VIOLATION.fieldNames(), *S.ARRIVAL)
+        .select(*VIOLATION.fieldNames(), *ARRIVAL)
     )
