@@ -1,11 +1,22 @@
 """Streaming operators.
 
-State workers do not receive files added to a session, so the processors travel whole:
+State workers do not receive files added to a session, so the processors and what they call travel whole:
 nothing has to be installed on the machines that run them.
 """
 
 from pyspark.cloudpickle import register_pickle_by_value
 
-import kilnwatch
+import kilnwatch.functions
+import kilnwatch.operators
+import kilnwatch.options
+import kilnwatch.schemas
+import kilnwatch.streaming
 
-register_pickle_by_value(kilnwatch)
+for _part in (
+    kilnwatch.functions,
+    kilnwatch.operators,
+    kilnwatch.options,
+    kilnwatch.schemas,
+    kilnwatch.streaming,
+):
+    register_pickle_by_value(_part)
