@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kilnwatch.llm.html import main_texts
 from kilnwatch.llm.quality import quality
 from kilnwatch.llm.tables import table
 from kilnwatch.llm.tokens import token_digests
+from kilnwatch.llm.warc import archived
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
@@ -22,9 +28,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extraction": op2_html_extraction,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op9_warc": op9_warc,
 }
 
 #: None of the ten can be written in SQL; their tests compare with brute force.
