@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kilnwatch.llm.decontaminate import leaks, leaks_sql
 from kilnwatch.llm.html import main_texts
+from kilnwatch.llm.license import license_sql, licenses
 from kilnwatch.llm.quality import quality
 from kilnwatch.llm.tables import table
 from kilnwatch.llm.tokens import token_digests
@@ -16,10 +18,18 @@ from kilnwatch.llm.warc import archived
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
@@ -33,11 +43,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scans": op1_license_scans,
     "op2_html_extraction": op2_html_extraction,
+    "op3_decontamination": op3_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op9_warc": op9_warc,
 }
 
-#: None of the ten can be written in SQL; their tests compare with brute force.
-LLM_ORACLES: dict[str, str] = {}
+#: The others cannot be written in SQL; their tests compare with brute force.
+LLM_ORACLES: dict[str, str] = {"op1_license_scans": license_sql(), "op3_decontamination": leaks_sql()}

@@ -85,6 +85,17 @@ def map_texts(
     return rows.mapInArrow(run, schema)
 
 
+def filter_texts(rows: DataFrame, column: str, keep: Callable[[list[bytes]], list[bool]]) -> DataFrame:
+    """The rows whose texts ``keep`` accepts, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, column):
+                yield piece.filter(pa.array(keep(as_bytes(piece, column)), pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
