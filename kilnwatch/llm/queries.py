@@ -11,6 +11,7 @@ from kilnwatch.llm.decontaminate import leaks, leaks_sql
 from kilnwatch.llm.html import main_texts
 from kilnwatch.llm.license import license_sql, licenses
 from kilnwatch.llm.quality import quality
+from kilnwatch.llm.secret_scan import secrets
 from kilnwatch.llm.tables import table
 from kilnwatch.llm.tokens import token_digests
 from kilnwatch.llm.warc import archived
@@ -38,6 +39,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
@@ -48,6 +53,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op7_secret_scans": op7_secret_scans,
     "op9_warc": op9_warc,
 }
 
