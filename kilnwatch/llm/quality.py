@@ -13,7 +13,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from kilnwatch.llm.tables import SPACES, map_texts
+from kilnwatch.llm.tables import SPACES, filter_texts, map_texts
 
 LEVEL = 3
 CHUNK = 4096
@@ -36,6 +36,8 @@ BANDS = (
     (65536, 0.365, 0.65),
 )
 CHUNK_BAND = (0.43, 0.72)
+#: Place of the verdict in what ``judge`` returns.
+KEPT = 6
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 WINDOW = 8
@@ -124,13 +126,27 @@ def judge(text: bytes, packer: zstandard.ZstdCompressor) -> tuple:
     )
 
 
+def _packer() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """One row per document with the counts of the base rules and the verdict of the bands."""
 
     def work(batch, texts):
-        packer = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
+        packer = _packer()
         names = [part.split()[0] for part in SCHEMA.split(", ")][1:]
         columns = zip(*(judge(text, packer) for text in texts), strict=True)
         return {"doc_id": batch.column(0)} | dict(zip(names, map(list, columns), strict=True))
 
     return map_texts(docs.select("doc_id", "text"), "text", SCHEMA, work)
+
+
+def good(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+
+    def keep(texts: list[bytes]) -> list[bool]:
+        packer = _packer()
+        return [judge(text, packer)[KEPT] for text in texts]
+
+    return filter_texts(docs, "text", keep)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kilnwatch.llm.decontaminate import leaks, leaks_sql
 from kilnwatch.llm.html import main_texts
+from kilnwatch.llm.jaccard import jaccard_classes
 from kilnwatch.llm.license import license_sql, licenses
 from kilnwatch.llm.quality import quality
 from kilnwatch.llm.secret_scan import secrets
@@ -39,6 +40,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_secret_scans": op7_secret_scans,
     "op9_warc": op9_warc,
 }

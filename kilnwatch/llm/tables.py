@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -107,3 +108,39 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 1 << 14
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of complete groups from a partition sorted by integer keys, with the groups' first rows and the end.
+
+    A table holds about ``rows`` rows, or one group if that is larger.
+    """
+    held: list[pa.RecordBatch] = []
+    count = 0
+
+    def cut(table: pa.Table) -> np.ndarray:
+        columns = [table.column(key).to_numpy() for key in keys]
+        change = np.zeros(max(0, table.num_rows - 1), bool)
+        for column in columns:
+            change |= column[1:] != column[:-1]
+        return np.concatenate([[0], np.flatnonzero(change) + 1, [table.num_rows]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        edges = cut(table)
+        if len(edges) > 2:
+            yield table.slice(0, edges[-2]), edges[:-1]
+        rest = table.slice(edges[-2])
+        held, count = rest.to_batches(), rest.num_rows
+        rows = max(rows, 2 * count)
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, cut(table)

@@ -18,12 +18,13 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kilnwatch.llm.tables import map_texts
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-TOKENS_SCHEMA = "doc_id bigint, ids array<int>, ends array<int>"
+TOKENS_SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>, ends array<int>"
 #: Pre-tokens kept in a worker's cache, and the longest one kept.
 CACHED = 1 << 20
 CACHED_CHARS = 64
@@ -275,15 +276,24 @@ def decode(ids: np.ndarray, path: str) -> tuple[bytes, np.ndarray]:
 
 
 def encoded(docs: DataFrame, ranks: str) -> DataFrame:
-    """Ids of each document, and the byte offset where each id ends."""
+    """Ids of each document, and the byte offset in the text where each id ends.
+
+    The ids are decoded again; a document whose bytes do not come back fails the job.
+    """
 
     def work(batch, texts):
         ids, ends = encode([text.decode() for text in texts], ranks)
-        per_text = np.split(ids, ends[:-1]) if len(ends) else []
+        decoded, stops = decode(ids, ranks)
+        if decoded != b"".join(texts):
+            raise ValueError("decoded tokens differ from the text")
+        counts = np.diff(ends, prepend=0)
+        before = np.concatenate([[0], np.cumsum([len(text) for text in texts])])[:-1]
+        bounds = pa.array(np.concatenate([[0], ends]), pa.int32())
         return {
             "doc_id": batch.column(0),
-            "ids": [x.tolist() for x in per_text],
-            "ends": [decode(x, ranks)[1].tolist() for x in per_text],
+            "n_tokens": counts,
+            "ids": pa.ListArray.from_arrays(bounds, pa.array(ids.astype(np.int32))),
+            "ends": pa.ListArray.from_arrays(bounds, pa.array((stops - np.repeat(before, counts)).astype(np.int32))),
         }
 
     return map_texts(docs.select("doc_id", "text"), "text", TOKENS_SCHEMA, work)
