@@ -13,6 +13,7 @@ from kilnwatch.llm.jaccard import jaccard_classes
 from kilnwatch.llm.license import license_sql, licenses
 from kilnwatch.llm.quality import quality
 from kilnwatch.llm.secret_scan import secrets
+from kilnwatch.llm.substring_dedup import repeats_removed
 from kilnwatch.llm.tables import table
 from kilnwatch.llm.tokens import token_digests
 from kilnwatch.llm.warc import archived
@@ -52,6 +53,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_removed(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_html_extraction": op2_html_extraction,
@@ -61,6 +66,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secret_scans": op7_secret_scans,
     "op9_warc": op9_warc,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: The others cannot be written in SQL; their tests compare with brute force.
