@@ -13,7 +13,8 @@ from kilnwatch.llm.jaccard import jaccard_classes
 from kilnwatch.llm.license import license_sql, licenses
 from kilnwatch.llm.quality import quality
 from kilnwatch.llm.secret_scan import secrets
-from kilnwatch.llm.substring_dedup import repeats_removed
+from kilnwatch.llm.substring_dedup import repeats_removed as repeated_words_removed
+from kilnwatch.llm.suffixes import repeats_removed as repeated_bytes_removed
 from kilnwatch.llm.tables import table
 from kilnwatch.llm.tokens import token_digests
 from kilnwatch.llm.warc import archived
@@ -49,12 +50,16 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes_removed(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats_removed(table(spark, sf_dir, "documents"))
+    return repeated_words_removed(table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -65,6 +70,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secret_scans": op7_secret_scans,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,
 }
