@@ -1,22 +1,42 @@
 """The latest-document table (K2, K3): change files that readers reduce to one row per id.
 
-Each write is a folder of its own, so a repeated micro-batch replaces exactly what it
-wrote before and no reader ever sees a half-replaced table. The id contains the time of
-measurement, hence all versions of a document share one ``measured_day``.
+A micro-batch of a stream writes a folder named by its run, its epoch and an attempt, and
+is published by one line in ``commits`` once the folder is whole. Readers take published
+attempts only, so nobody sees half a change, and a repeated micro-batch replaces exactly
+what it wrote before. A run is one life of a checkpoint: a new checkpoint starts a new run,
+whose epochs count from zero beside those of older runs. Later runs win over earlier ones,
+then later epochs, then later arrivals. The id contains the time of measurement, hence all
+versions of a document share one ``measured_day``.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kilnwatch.functions.time import utc_date
 from kilnwatch.operators.latest import last_per_id
 from kilnwatch.operators.projections import documents
-from kilnwatch.schemas import ARRIVAL
-
-EPOCH, DAY = "epoch", "measured_day"
-VERSION = [EPOCH, *ARRIVAL]
+from kilnwatch.schemas import ARRIVAL, READING
+
+RUN, EPOCH, ATTEMPT, DAY = "run", "epoch", "attempt", "measured_day"
+BATCH = [RUN, EPOCH, ATTEMPT]
+VERSION = [RUN, EPOCH, *ARRIVAL]
+COMMITS = T.StructType(
+    [
+        T.StructField(RUN, T.StringType()),
+        T.StructField(EPOCH, T.LongType()),
+        T.StructField(ATTEMPT, T.StringType()),
+        T.StructField("published_us", T.LongType()),
+    ]
+)
+#: The run of a compacted table and of writes that belong to no stream; it sorts first.
+NO_RUN = "0"
 
 
 def changes(readings: DataFrame) -> DataFrame:
@@ -37,32 +57,91 @@ def indexable(readings: DataFrame):
     return finite("value") & finite("recipe_min") & finite("recipe_max")
 
 
-def upsert(readings: DataFrame, path: str, epoch: int) -> None:
+def new_run() -> str:
+    """A name that sorts after those of earlier runs."""
+    return f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The run of a checkpoint, kept in it: a restart goes on with it, a new checkpoint gets a new one."""
+    path = f"{checkpoint.rstrip('/')}/document-run"
+    (
+        spark.createDataFrame([(new_run(),)], "value string")
+        .coalesce(1)
+        .write.mode("ignore")
+        .text(path)
+    )
+    return spark.read.text(path).first()["value"]
+
+
+def _publish(spark: SparkSession, path: str, run: str, epoch: int, attempt: str) -> None:
+    row = (run, epoch, attempt, time.time_ns() // 1000)
+    spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(path)
+
+
+def upsert(readings: DataFrame, path: str, epoch: int, run: str = NO_RUN) -> None:
     """Apply one batch: good rows to the change files, others to the quarantine."""
-    good = indexable(readings)
+    spark, good, attempt = readings.sparkSession, indexable(readings), uuid.uuid4().hex
+    folder = f"{RUN}={run}/{EPOCH}={epoch}/{ATTEMPT}={attempt}"
     (
         changes(readings.filter(good))
         .hint("rebalance", DAY)
-        .write.mode("overwrite")
-        .partitionBy(DAY)
-        .parquet(f"{path}/changes/{EPOCH}={epoch}")
+        .write.partitionBy(DAY)
+        .parquet(f"{path}/changes/{folder}")
     )
-    readings.filter(~good).write.mode("overwrite").parquet(f"{path}/rejected/{EPOCH}={epoch}")
+    readings.filter(~good).write.parquet(f"{path}/rejected/{folder}")
+    _publish(spark, f"{path}/commits", run, epoch, attempt)
+
+
+def _published(spark: SparkSession, path: str, kind: str, schema: T.StructType) -> DataFrame:
+    """Rows of the last published attempt of each batch; none where nothing was written."""
+    keys = [T.StructField(RUN, T.StringType()), T.StructField(EPOCH, T.LongType())]
+    keys.append(T.StructField(ATTEMPT, T.StringType()))
+    known = T.StructType([*(f for f in schema if f.name != DAY), *keys])
+    if DAY in schema.names:
+        known = known.add(schema[DAY])
+    try:
+        rows = spark.read.schema(known).option("basePath", f"{path}/{kind}").parquet(f"{path}/{kind}")
+        commits = spark.read.schema(COMMITS).parquet(f"{path}/commits")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], known)
+    last = commits.groupBy(RUN, EPOCH).agg(F.max_by(ATTEMPT, "published_us").alias(ATTEMPT))
+    return rows.join(last, BATCH).select(*known.names)
+
+
+def _changes_schema(spark: SparkSession) -> T.StructType:
+    return changes(spark.createDataFrame([], READING)).schema
+
+
+def _latest(spark: SparkSession, path: str) -> DataFrame:
+    rows = _published(spark, path, "changes", _changes_schema(spark))
+    return last_per_id(rows.drop(ATTEMPT), *VERSION, within=(DAY,))
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The table as readers see it; a filter on ``measured_day`` skips other days' files."""
-    rows = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes")
-    return last_per_id(rows, *VERSION, within=(DAY,)).drop(*VERSION)
+    return _latest(spark, path).drop(*VERSION)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """K3: the readings that no index accepts, once each."""
+    return _published(spark, path, "rejected", READING).select(*READING.names)
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the current table to a new folder as its first epoch."""
-    rows = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes")
+    """Write the current table to a new folder as one batch that any run comes after.
+
+    Readers then list one batch instead of all; a stream goes on in the new folder. Rejected
+    readings stay where they are.
+    """
+    attempt = uuid.uuid4().hex
     (
-        last_per_id(rows, *VERSION, within=(DAY,))
-        .drop(EPOCH)
+        _latest(spark, path)
+        .drop(RUN, EPOCH)
         .hint("rebalance", DAY)
         .write.partitionBy(DAY)
-        .parquet(f"{target}/changes/{EPOCH}=-1")
+        .parquet(f"{target}/changes/{RUN}={NO_RUN}/{EPOCH}=-1/{ATTEMPT}={attempt}")
     )
+    _publish(spark, f"{target}/commits", NO_RUN, -1, attempt)

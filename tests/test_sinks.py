@@ -9,7 +9,7 @@ from helpers import frame, instant, reading
 from kilnwatch.operators.dedup import first_copies
 from kilnwatch.operators.latest import latest_documents
 from kilnwatch.session import shared_folder
-from kilnwatch.sinks.documents import compact, read_latest, upsert
+from kilnwatch.sinks.documents import compact, read_latest, read_rejected, run_of, upsert
 from kilnwatch.sinks.storage import PARTITIONS, write_storage
 
 
@@ -76,13 +76,36 @@ def test_upserts_replace_and_repeat(spark):
     assert values(read_latest(spark, path)) == expected
     upsert(frame(spark, [*second, broken]), path, 1)
     assert values(read_latest(spark, path)) == expected
-    assert spark.read.parquet(f"{path}/rejected").count() == 1
+    assert read_rejected(spark, path).count() == 1
     compact(spark, path, smaller)
     assert values(read_latest(spark, smaller)) == expected
     upsert(frame(spark, [reading(measured_at=instant(0), value=7.0)]), smaller, 2)
     assert ("1_S1_0", 7.0) in values(read_latest(spark, smaller))
 
 
+def test_a_new_checkpoint_keeps_the_old_epochs(spark):
+    path = shared_folder(spark, "restart-test")
+    rows = [reading(arrival_seq=i, measured_at=instant(i), value=float(i)) for i in range(6)]
+    checkpoints = [shared_folder(spark, "checkpoint") for _ in range(2)]
+    runs = [run_of(spark, checkpoint) for checkpoint in checkpoints]
+    assert runs == [run_of(spark, checkpoint) for checkpoint in checkpoints] and runs[0] < runs[1]
+    upsert(frame(spark, rows[:4]), path, 0, runs[0])
+    upsert(frame(spark, rows[3:]), path, 0, runs[1])
+    assert len(values(read_latest(spark, path))) == 6
+    upsert(frame(spark, rows[:4]), path, 0, runs[0])
+    assert len(values(read_latest(spark, path))) == 6
+
+
+def test_unpublished_and_missing_changes_are_not_read(spark):
+    path = shared_folder(spark, "unpublished-test")
+    assert values(read_latest(spark, path)) == [] and read_rejected(spark, path).count() == 0
+    upsert(frame(spark, [reading(value=1.0)]), path, 0)
+    half = f"{path}/changes/run=0/epoch=1/attempt=broken/measured_day=1970-01-01"
+    files = next(Path(path).glob("changes/run=0/epoch=0/*/measured_day=*"))
+    spark.read.parquet(str(files)).write.parquet(half)
+    assert values(read_latest(spark, path)) == [("1_S1_2000", 1.0)]
+
+
 def test_one_day_of_documents_reads_one_day(spark):
     path = shared_folder(spark, "documents-pruning")
     rows = [reading(measured_at=instant(i * 86_400_000)) for i in range(3)]
