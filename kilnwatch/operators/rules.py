@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kilnwatch import schemas as S
 from kilnwatch.functions.compare import above, at_least, below, is_true
 from kilnwatch.operators.gate import gated
-from kilnwatch.operators.slices import KEY, SAMPLE_ORDER, SLICE, SLICE_KEYS
+from kilnwatch.operators.slices import MS, SAMPLE_ORDER, SLICE_KEYS
 from kilnwatch.operators.trailing import Tally, sliced_samples, sweep, with_neighbours
 from kilnwatch.options import RuleOptions
 
@@ -114,20 +114,24 @@ def bias_severity() -> Column:
     )
 
 
-def with_limit_sets(samples: DataFrame) -> DataFrame:
-    """Repeat a slice's samples once per distinct pair of limits used in it.
+def with_limit_sets(samples: DataFrame, window_ms: int) -> DataFrame:
+    """Repeat a sample once per pair of limits that a reading able to see it may use.
 
-    Samples are judged by the limits of the reading that looks at them. Nearly every
-    slice has one pair, so nearly no sample is repeated. ``own_limits`` marks the copy
-    that stands for the reading itself.
+    Samples are judged by the limits of the reading that looks at them, so a pair needs the
+    samples of the last window only. Time is cut into stretches of one window: a sample is
+    copied to the pairs used in its own stretch and the next. Nearly always that is one
+    pair, and one change of limits costs two stretches. ``own_limits`` marks the copy that
+    stands for the reading itself.
     """
     limits = F.struct("recipe_min", "recipe_max")
-    everywhere = Window.partitionBy(*SLICE_KEYS)
+    # The frame changes from stretch to stretch only, so each set is collected once.
+    in_reach = Window.partitionBy(*SLICE_KEYS).orderBy("_stretch").rangeBetween(0, 1)
     return (
-        samples.withColumn("_sets", F.collect_set(limits).over(everywhere))
-        .select("*", F.posexplode("_sets").alias("limit_set", "set_limits"))
-        .withColumn("own_limits", F.array_position("_sets", limits) == F.col("limit_set") + 1)
-        .drop("_sets")
+        samples.withColumn("_stretch", F.floor(F.col(MS) / F.lit(max(1, window_ms))))
+        .withColumn("_sets", F.collect_set(limits).over(in_reach))
+        .select("*", F.explode("_sets").alias("set_limits"))
+        .withColumn("own_limits", F.col("set_limits").eqNullSafe(limits))
+        .drop("_sets", "_stretch")
     )
 
 
@@ -155,13 +159,20 @@ def _tallies(low: Column, high: Column) -> dict[str, Tally]:
 
 
 def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> DataFrame:
-    """One row per reading with the result of each rule; one shuffle of the readings.
+    """One row per reading with the result of each rule.
+
+    The rules share one shuffle of the samples; the gate reads the batches a second time.
 
     ``limit_result`` and ``bias_result`` are NULL while the sensor's gate is closed.
     """
     slice_ms = options.slice_length_ms
-    samples = with_limit_sets(
-        with_neighbours(sliced_samples(readings, options.longest_window_ms, slice_ms))
+    # Neighbours are those of the same pair: what a reading sees of its pair has no gaps.
+    samples = with_neighbours(
+        with_limit_sets(
+            sliced_samples(readings, options.longest_window_ms, slice_ms),
+            options.longest_window_ms,
+        ),
+        "set_limits",
     )
     low, high = F.col("set_limits.recipe_min"), F.col("set_limits.recipe_max")
     swept = sweep(
@@ -169,7 +180,7 @@ def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> D
         {LIMIT: options.limit_window_ms, TREND: options.trend_window_ms},
         _tallies(low, high),
         latest={"latest_breach": F.when(_breach(low, high), F.col("value"))},
-        within=("limit_set",),
+        within=("set_limits",),
     ).filter("own_limits")
     low, high = F.col("recipe_min"), F.col("recipe_max")
     open_gate = F.col("gate_open")
@@ -188,7 +199,7 @@ def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> D
                 SEVERITIES[S.RULE_3]: trend_severity(low, high),
             }
         )
-        .drop("limit_set", "set_limits", "own_limits", "gate_open", "batch_id")
+        .drop("set_limits", "own_limits", "gate_open", "batch_id")
     )
 
 

@@ -26,7 +26,9 @@ from kilnwatch.operators.slices import (
 )
 from kilnwatch.schemas import ARRIVAL
 
-MOMENT, ROLE = "moment_ms", "role"
+MOMENT, ROLE, PLACE = "moment_ms", "role", "place"
+#: Tallies travel as the bits of one INT.
+MOST_TALLIES = 31
 ENTERS = 0
 
 
@@ -44,16 +46,18 @@ def sliced_samples(readings: DataFrame, window_ms: int, slice_ms: int) -> DataFr
     return with_slices(keyed(reading_events(readings)), slice_ms, window_ms)
 
 
-def with_neighbours(samples: DataFrame) -> DataFrame:
-    """Add the value before and the time and value after each sample in its slice, and
-    the time of the slice's last sample."""
-    order = Window.partitionBy(*SLICE_KEYS).orderBy(*SAMPLE_ORDER)
+def with_neighbours(samples: DataFrame, *within: str) -> DataFrame:
+    """Add the value before and the time and value after each sample in its slice, the
+    time of the slice's last sample, and the sample's place, which settles ties."""
+    part = Window.partitionBy(*SLICE_KEYS, *within)
+    order = part.orderBy(*SAMPLE_ORDER)
     return samples.withColumns(
         {
             "previous_value": F.lag("value").over(order),
             "next_value": F.lead("value").over(order),
             "next_ms": F.lead(MS).over(order),
-            "last_ms": F.max(MS).over(Window.partitionBy(*SLICE_KEYS)),
+            "last_ms": F.max(MS).over(part),
+            PLACE: F.row_number().over(order),
         }
     )
 
@@ -81,7 +85,9 @@ def sweep(
         **tallies,
         **{f"{name}_count": Tally(name, F.lit(1)) for name in windows},
     }
-    control = [*SLICE_KEYS, MS, *ARRIVAL, *within]
+    if len(tallies) > MOST_TALLIES:
+        raise ValueError(f"a sweep carries at most {MOST_TALLIES} tallies")
+    control = [*SLICE_KEYS, MS, *ARRIVAL, PLACE, *within]
     helpers = ["previous_value", "next_value", "next_ms", "last_ms"]
     carried = [c for c in samples.columns if c not in (*control, *helpers)]
 
@@ -148,7 +154,7 @@ def sweep(
     )
     so_far = (
         Window.partitionBy(*SLICE_KEYS, *within)
-        .orderBy(MOMENT, ROLE, *ARRIVAL)
+        .orderBy(MOMENT, ROLE, PLACE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     sign = F.when(enters, F.lit(1)).otherwise(F.lit(-1))
@@ -168,7 +174,7 @@ def sweep(
     return (
         moments.withColumns(columns)
         .filter(enters & ~F.col(f"reading.{LEAD_IN}"))
-        .select(*control, *columns, *[f"reading.{c}" for c in carried if c != LEAD_IN])
+        .select(*[c for c in control if c != PLACE], *columns, *[f"reading.{c}" for c in carried if c != LEAD_IN])
     )
 
 

@@ -17,9 +17,12 @@ def _violations(rows: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason()).select(*VIOLATION.fieldNames(), *ARRIVAL)
 
 
-def evaluations(readings: DataFrame, options: RuleOptions = RuleOptions()) -> DataFrame:
-    """Every evaluation of every rule, normal ones included."""
-    return _violations(one_row_per_rule(rule_results(readings, options)))
+def evaluations(
+    readings: DataFrame, options: RuleOptions = RuleOptions(), rules: tuple[str, ...] = tuple(SEVERITIES)
+) -> DataFrame:
+    """Every evaluation of the named rules, normal ones included."""
+    results = rule_results(readings, options)
+    return _violations(one_row_per_rule(results, lambda rule: F.lit(rule in rules)))
 
 
 def alerts(readings: DataFrame, options: RuleOptions = RuleOptions()) -> DataFrame:
