@@ -37,27 +37,27 @@ class RuleOptions:
 
 @dataclass(frozen=True)
 class JobOptions:
-    """Options of the streaming job.
+    """Options of the streaming job; topics, output path and checkpoints have no defaults.
 
-    ``max_messages_per_trigger`` bounds what one micro-batch holds of one sensor.
-    ``exact_dedup`` keeps a key exactly for its time to live, in Python state; without it
-    the JVM keeps the key for one to two such times. ``files_per_partition`` is the number
+    ``max_messages_per_trigger`` bounds a micro-batch of the landing query,
+    ``max_landed_files`` one of the queries on what it landed, and so what one of them
+    holds of one sensor. ``exact_dedup`` keeps a key exactly for its time to live, in
+    Python state; without it the JVM keeps the key for one to two such times, much faster. ``files_per_partition`` is the number
     of tasks, hence files, a storage partition is spread over in one micro-batch.
     """
 
-    # Names of the deployed topics and tables.
-
     bootstrap_servers: str = "localhost:9092"
-    source_topic: str = "fab-semiconductor-001"
+    source_topic: str = ""
     group_id: str = "kilnwatch-ingestion"
     start_from_earliest: bool = True
     checkpoint_interval_ms: int = 60_000
-    output_path: str = "s3a://sensor-data-lake/sensor"
+    output_path: str = ""
     dedup_ttl_hours: int = 6
-    index: str = "sensor-realtime"
-    violations_topic: str = "sensor-violations"
+    index: str = "documents"
+    violations_topic: str = ""
     checkpoint_dir: str = ""
     max_messages_per_trigger: int | None = 1_000_000
-    exact_dedup: bool = True
+    max_landed_files: int | None = 64
+    exact_dedup: bool = False
     files_per_partition: int = 4
     rules: RuleOptions = RuleOptions()

@@ -6,6 +6,7 @@ exactly once, whatever reads it afterwards.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +16,16 @@ from kilnwatch.operators.flatten import flatten_batches
 from kilnwatch.options import JobOptions
 from kilnwatch.schemas import READING
 from kilnwatch.sinks.alerts import alert_topic
-from kilnwatch.sinks.documents import upsert
+from kilnwatch.sinks.documents import new_run, run_of, upsert
 from kilnwatch.sinks.storage import PARTITIONS, partitioned_rows
-from kilnwatch.sources.messages import parse_messages, read_topic, valid_batches
+from kilnwatch.session import STATE_STORE_PROVIDER
+from kilnwatch.sources.messages import (
+    count_messages,
+    parse_messages,
+    poison_messages,
+    read_topic,
+    valid_batches,
+)
 from kilnwatch.streaming.dedup import HOUR_MS, first_copies_with_ttl, first_copies_within_watermark
 from kilnwatch.streaming.monitor import monitor
 
@@ -37,13 +45,20 @@ def to_files(rows: DataFrame, path: str, *partitions: str) -> DataStreamWriter:
     return writer.option("path", path).outputMode("append")
 
 
-def to_documents(readings: DataFrame, path: str) -> DataStreamWriter:
-    """K2/K3: each micro-batch becomes one epoch of the latest-document table."""
+def to_documents(readings: DataFrame, path: str, run: str | None = None) -> DataStreamWriter:
+    """K2/K3: each micro-batch becomes one epoch of the latest-document table.
+
+    ``run`` names the life of the checkpoint (``run_of``). Without it each start is a run of
+    its own, which repeats what a restart replays but never replaces another run's epochs.
+    """
+    run = run or new_run()
 
     def apply(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        upsert(batch, path, epoch)
-        batch.unpersist()
+        try:
+            upsert(batch, path, epoch, run)
+        finally:
+            batch.unpersist()
 
     return readings.writeStream.foreachBatch(apply)
 
@@ -56,8 +71,53 @@ def land(readings: DataFrame, path: str) -> DataStreamWriter:
     return to_files(readings.withColumn(INGESTED_AT, F.current_timestamp()), path)
 
 
-def landed_readings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(LANDED).parquet(path)
+def to_landing_and_quarantine(
+    messages: DataFrame, landing: str, quarantine: str, run: str | None = None
+) -> DataStreamWriter:
+    """One parse per message; readings are landed, poison is kept with its text.
+
+    Each micro-batch writes folders named by run and number; a replay of one that was whole
+    writes nothing. A crash while files are being moved may land some of them twice, which
+    the storage's dedup and the documents' ids absorb. Counts of received, valid and skipped
+    messages appear in the query's progress.
+    """
+    run = run or new_run()
+    parsed = count_messages(parse_messages(messages))
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        folder = f"run={run}/batch={epoch}"
+        batch.persist()
+        try:
+            readings = flatten_batches(valid_batches(batch)).withColumn(INGESTED_AT, F.current_timestamp())
+            if not _whole(batch.sparkSession, f"{quarantine}/{folder}"):
+                if not _whole(batch.sparkSession, f"{landing}/{folder}"):
+                    readings.write.mode("overwrite").parquet(f"{landing}/{folder}")
+                poison_messages(batch).write.mode("overwrite").parquet(f"{quarantine}/{folder}")
+        finally:
+            batch.unpersist()
+
+    return parsed.writeStream.foreachBatch(apply)
+
+
+def _whole(spark: SparkSession, folder: str) -> bool:
+    """Whether Spark has committed a write to the folder."""
+    try:
+        spark.read.text(f"{folder}/_SUCCESS")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def landed_readings(
+    spark: SparkSession, path: str, max_files: int | None = None
+) -> DataFrame:
+    """The landed readings as a stream; ``max_files`` bounds what one micro-batch takes in."""
+    reader = spark.readStream.schema(LANDED)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def stored_once(landed: DataFrame, options: JobOptions) -> DataFrame:
@@ -88,19 +148,33 @@ def start(writer: DataStreamWriter, options: JobOptions, name: str) -> Streaming
 
 def run(spark: SparkSession, options: JobOptions) -> dict[str, StreamingQuery]:
     """Start the whole job against the topics named in ``options``."""
-    if not options.checkpoint_dir:
-        raise ValueError("the job needs a durable checkpoint_dir")
+    missing = [
+        name
+        for name in ("source_topic", "output_path", "violations_topic", "checkpoint_dir")
+        if not getattr(options, name)
+    ]
+    if missing:
+        raise ValueError(f"the job needs {', '.join(missing)}")
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != STATE_STORE_PROVIDER:
+        raise ValueError(f"the job's state needs {STATE_STORE_PROVIDER}")
     base = options.output_path.rstrip("/")
     landing = f"{base}/_landing"
-    arriving = land(readings_of(read_topic(spark, options)), landing)
+    checkpoints = options.checkpoint_dir.rstrip("/")
+    arriving = to_landing_and_quarantine(
+        read_topic(spark, options), landing, f"{base}/_quarantine", run_of(spark, f"{checkpoints}/landing")
+    )
     queries = {"landing": start(arriving, options, "landing")}
+
+    def landed() -> DataFrame:
+        return landed_readings(spark, f"{landing}/*/*", options.max_landed_files)
+
     branches = {
         "storage": to_files(
-            stored_once(landed_readings(spark, landing), options),
+            stored_once(landed(), options),
             f"{base}/readings",
             *PARTITIONS,
         ),
-        "documents": to_documents(landed_readings(spark, landing), f"{base}/{options.index}"),
-        "alerts": alert_topic(monitor(landed_readings(spark, landing), options.rules), options),
+        "documents": to_documents(landed(), f"{base}/{options.index}", run_of(spark, f"{checkpoints}/documents")),
+        "alerts": alert_topic(monitor(landed(), options.rules), options),
     }
     return queries | {name: start(writer, options, name) for name, writer in branches.items()}

@@ -12,6 +12,7 @@ from kilnwatch.functions.keys import dedup_key
 from kilnwatch.options import JobOptions, RuleOptions
 from kilnwatch.schemas import READING
 from kilnwatch.session import shared_folder
+from kilnwatch.sinks.alerts import alert_files
 from kilnwatch.sinks.documents import read_latest
 from kilnwatch.sinks.storage import PARTITIONS
 from kilnwatch.sources.messages import read_message_files
@@ -25,6 +26,7 @@ from kilnwatch.streaming.jobs import (
     stored_once,
     to_documents,
     to_files,
+    to_landing_and_quarantine,
 )
 from kilnwatch.streaming.monitor import monitor
 
@@ -158,6 +160,53 @@ def test_messages_to_storage(spark):
     ]
 
 
+def test_one_landing_feeds_three_branches(spark):
+    """G2 on files: parsed once; storage, documents, alerts and quarantine from it."""
+    messages, base = shared_folder(spark, "messages"), shared_folder(spark, "job")
+    text = (
+        '{"batchId":"B","deviceId":"D","id":1,"createdAt":"2026-06-13T00:00:00Z","measurements":'
+        '[{"sequence":1,"sensors":[{"sensorId":"S1","value":1.5},{"sensorId":"S2"}]}]}'
+    )
+    spark.createDataFrame([(text,), (text,), ("}{",), ("",)], "value string").write.text(messages)
+    source = read_message_files(spark, messages, streaming=True)
+    checkpoint = shared_folder(spark, "checkpoint")
+    for _ in range(2):
+        query = (
+            to_landing_and_quarantine(source, f"{base}/landing", f"{base}/poison", "r1")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        assert query.awaitTermination(120)
+    counted = [p.observedMetrics for p in query.recentProgress if "messages" in p.observedMetrics]
+    assert all(set(c["messages"].asDict()) == {"received", "valid", "skipped"} for c in counted)
+    assert [r.value for r in spark.read.parquet(f"{base}/poison/run=r1/batch=0").collect()] == ["}{"]
+
+    def landed():
+        return landed_readings(spark, f"{base}/landing/*/*", max_files=2)
+
+    options = JobOptions()
+    drain(to_files(stored_once(landed(), options), f"{base}/readings", *PARTITIONS), spark)
+    drain(to_documents(landed(), f"{base}/documents"), spark)
+    drain(alert_files(monitor(landed(), RuleOptions(min_batches=0)), f"{base}/alerts"), spark)
+    stored = spark.read.parquet(f"{base}/readings").collect()
+    assert sorted((r.sensorId, r.value) for r in stored) == [("S1", 1.5), ("S2", None)]
+    assert read_latest(spark, f"{base}/documents").count() == 2
+    assert spark.read.text(f"{base}/alerts").count() > 0
+
+
+def test_landing_again_writes_nothing(spark):
+    rows = spark.createDataFrame([("}{", 1)], "value string, arrival_seq bigint")
+    base = shared_folder(spark, "again")
+    source = shared_folder(spark, "source")
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    for _ in range(2):
+        drain(to_landing_and_quarantine(stream, f"{base}/landing", f"{base}/poison", "r1"), spark)
+    files = spark.read.parquet(f"{base}/poison/run=r1/batch=0")
+    assert files.count() == 1
+
+
 def test_job_needs_a_checkpoint_folder(spark):
     with pytest.raises(ValueError):
         run(spark, JobOptions())
