@@ -31,10 +31,10 @@ from kilnwatch.operators.trailing import trailing_samples
 from kilnwatch.operators.transitions import transitions
 from kilnwatch.options import RuleOptions
 from kilnwatch.plans.alerts import alerts, evaluations
-from kilnwatch.schemas import BIAS, CAUTION, CRITICAL, NORMAL, READING, RULE_1, RULE_3
+from kilnwatch.schemas import ARRIVAL, BIAS, CAUTION, CRITICAL, NORMAL, READING, RULE_1, RULE_3, VIOLATION
 from kilnwatch.session import STATE_STORE_PROVIDER, shared_folder
 from kilnwatch.sinks.alerts import alert_files, write_alert_files
-from kilnwatch.sinks.documents import read_latest, upsert
+from kilnwatch.sinks.documents import read_latest, read_rejected, upsert
 from kilnwatch.sinks.storage import PARTITIONS, partitioned_rows, write_storage
 from kilnwatch.sources.messages import parse_messages, poison_messages, read_message_files
 from kilnwatch.sources.tables import batches_from_orders, event_rows, readings_from_events
@@ -110,6 +110,33 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(flatten_batches(batches_from_orders(spark, sf_dir)), "arrival_seq", "element_seq")
 
 
+def flatten_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2-B5 over all orders: NULL elements and lists, missing times of measurements and batches."""
+
+    def measurement(m):
+        number = m["sequence"]
+        sensors = F.when(number != 6, F.concat(m["sensors"], F.array(F.lit(None)), m["sensors"]))
+        return F.when(
+            number != 4,
+            F.struct(
+                number.alias("sequence"),
+                F.when(number % 3 != 0, m["measuredAt"]).alias("measuredAt"),
+                m["status"].alias("status"),
+                sensors.alias("sensors"),
+            ),
+        )
+
+    batch = F.col("batch")
+    fields = {name: batch[name] for name in ("batchId", "deviceId", "id")}
+    fields["createdAt"] = F.when(batch["id"] % 5 != 0, batch["createdAt"])
+    fields["intervalSec"] = batch["intervalSec"]
+    fields["measurements"] = F.transform(batch["measurements"], measurement)
+    gappy = batches_from_orders(spark, sf_dir).select(
+        F.struct(*[column.alias(name) for name, column in fields.items()]).alias("batch"), "arrival_seq"
+    )
+    return _plain(flatten_batches(gappy), "arrival_seq", "element_seq")
+
+
 def _order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a good message, one with numbers in quotes, and three broken ones."""
     good = batches_from_orders(spark, sf_dir).select(
@@ -145,21 +172,15 @@ def quarantine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reading_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1-C5 with raw device texts and missing parts."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props")
-    device = F.when(F.col("event_id") % 5 == 0, F.lit("..")).when(
-        F.col("event_id") % 5 == 1, F.lit("  ")
-    ).when(F.col("event_id") % 5 > 2, F.col("props"))
-    rows = (
-        _readings(spark, sf_dir)
-        .join(events, F.col("arrival_seq") == F.col("event_id"))
-        .withColumns(
-            {
-                "device_id": device,
-                "equipment_id": F.when(F.col("equipment_id") != 3, F.col("equipment_id")),
-                "sensor_id": F.when(F.col("sensor_id") != "view", F.col("sensor_id")),
-                "sequence": F.when(F.col("value") < 50, F.col("sequence")),
-            }
-        )
+    kind = F.pmod("arrival_seq", F.lit(5))
+    device = F.when(kind == 0, F.lit("..")).when(kind == 1, F.lit("  ")).when(kind > 2, F.col("props"))
+    rows = readings_from_events(event_rows(spark, sf_dir), "props").withColumns(
+        {
+            "device_id": device,
+            "equipment_id": F.when(F.col("equipment_id") != 3, F.col("equipment_id")),
+            "sensor_id": F.when(F.col("sensor_id") != "view", F.col("sensor_id")),
+            "sequence": F.when(F.col("value") < 50, F.col("sequence")),
+        }
     )
     return rows.select(
         "arrival_seq",
@@ -225,6 +246,32 @@ def document_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, path).drop("measured_day")
 
 
+def document_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table fed by two streams with checkpoints of their own, which both count from epoch 0."""
+    path = shared_folder(spark, "restarted-documents")
+    for early in (True, False):
+        readings = _daily_readings(_readings(spark, sf_dir, streaming=True))
+        half = readings.filter((F.col("value") < 50) == F.lit(early))
+        _drain(to_documents(half, path), spark, "restarted")
+    return read_latest(spark, path).drop("measured_day")
+
+
+def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: readings with values that are no number, or limits without an end, beside good ones."""
+    path = shared_folder(spark, "rejecting-documents")
+    day = F.day("measured_at")
+    readings = _readings(spark, sf_dir).withColumns(
+        {
+            "value": F.when(day % 7 == 0, F.lit(float("nan"))).when(day % 7 == 1, F.lit(None)).otherwise(F.col("value")),
+            "recipe_max": F.when(day % 11 == 0, F.lit(float("inf"))).otherwise(F.col("recipe_max")),
+        }
+    )
+    upsert(readings, path, 0)
+    kept = read_latest(spark, path).select("document_id", F.lit(False).alias("rejected"))
+    refused = read_rejected(spark, path).select(document_id().alias("document_id"), F.lit(True).alias("rejected"))
+    return kept.union(refused)
+
+
 # -- rules ----------------------------------------------------------------------------
 
 
@@ -249,8 +296,7 @@ def trailing_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_rule(rule: str, prepare=lambda readings: readings, options: RuleOptions = RULES):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = evaluations(prepare(_readings(spark, sf_dir)), options)
-        return _plain(rows.filter(F.col("rule_name") == rule), "element_seq")
+        return _plain(evaluations(prepare(_readings(spark, sf_dir)), options, (rule,)), "element_seq")
 
     return query
 
@@ -270,6 +316,32 @@ rule1_shifting_limits = _one_rule(RULE_1, _shifting_limits)
 bias_shifting_limits = _one_rule(BIAS, _shifting_limits)
 
 
+def _dense_readings(readings: DataFrame) -> DataFrame:
+    """All events in a 5400th of their time, shaped so that every rule finds every severity."""
+    ms = F.unix_millis("measured_at")
+    dense = F.floor(ms / 5400)
+    phase = (dense % 120_000) / F.lit(120_000.0)
+    machine, number = F.col("equipment_id"), F.col("arrival_seq")
+    steady = 80.0 + (number % 5) + F.when(F.col("sensor_id") == "click", F.lit(10.0)).otherwise(F.lit(0.0))
+    return readings.withColumns(
+        {
+            "measured_at": F.timestamp_millis(dense),
+            "batch_id": F.floor(dense / 20_000).cast("string"),
+            "value": F.when(machine == 0, 5.0 + 90.0 * phase)
+            .when(machine == 1, 95.0 - 90.0 * phase)
+            .when(machine == 2, steady)
+            .when(number % 11 != 0, F.col("value")),
+            "recipe_min": F.when(machine == 3, F.col("recipe_min")).otherwise(F.lit(0.0)),
+            "recipe_max": F.when(machine == 3, F.col("recipe_max")).otherwise(F.lit(100.0)),
+        }
+    )
+
+
+def rules_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules with the windows and guards of the contract."""
+    return _plain(evaluations(_dense_readings(_readings(spark, sf_dir)), RuleOptions()), "element_seq")
+
+
 def all_evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(evaluations(_readings(spark, sf_dir), RULES), "element_seq")
 
@@ -377,6 +449,9 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, path).drop("measured_day")
 
 
+_EVALUATED = T.StructType([*VIOLATION, *(f for f in READING if f.name in ARRIVAL)])
+
+
 def _monitored(spark: SparkSession, sf_dir: str, changes_only: bool) -> DataFrame:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
     return monitor(_readings(spark, sf_dir, streaming=True), RULES, changes_only)
@@ -385,13 +460,13 @@ def _monitored(spark: SparkSession, sf_dir: str, changes_only: bool) -> DataFram
 def stream_evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "stream-evaluations")
     _drain(to_files(_monitored(spark, sf_dir, False), path), spark, "evaluations")
-    return _plain(spark.read.parquet(path), "element_seq")
+    return _plain(spark.read.schema(_EVALUATED).parquet(path), "element_seq")
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "stream-alerts")
     _drain(to_files(_monitored(spark, sf_dir, True), path), spark, "alerts")
-    return _plain(spark.read.parquet(path), "element_seq")
+    return _plain(spark.read.schema(_EVALUATED).parquet(path), "element_seq")
 
 
 def stream_alert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,6 +477,7 @@ def stream_alert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_nested": flatten_nested,
+    "flatten_gaps": flatten_gaps,
     "parse_json_batches": parse_json_batches,
     "quarantine_messages": quarantine_messages,
     "reading_keys": reading_keys,
@@ -413,6 +489,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "storage_partition": storage_partition,
     "document_latest": document_latest,
     "document_upserts": document_upserts,
+    "document_restarts": document_restarts,
+    "rejected_documents": rejected_documents,
     "batch_gate": batch_gate,
     "trailing_5m": trailing_5m,
     "trailing_1m": trailing_1m,
@@ -421,6 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bias": bias,
     "rule1_shifting_limits": rule1_shifting_limits,
     "bias_shifting_limits": bias_shifting_limits,
+    "rules_default": rules_default,
     "evaluations": all_evaluations,
     "alerts": all_alerts,
     "severity_transitions": severity_transitions,

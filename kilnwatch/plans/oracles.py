@@ -1,13 +1,29 @@
 """The registered queries in ANSI SQL, written from the semantics by self-joins.
 
-They are the yardstick of the Spark plans and share no construction with them.
+They are the yardstick of the Spark plans: thresholds, guards and texts are written out here.
 """
 
 from __future__ import annotations
 
-from kilnwatch.functions.reasons import BIAS_TEXT, LIMIT_TEXT, RECOVERY_TEXT, TREND_TEXT
-from kilnwatch.operators import rules as R
-from kilnwatch.plans.catalog import RULES
+from typing import NamedTuple
+
+# Message templates of the alert contract.
+LIMIT_TEXT = "최근 5분 내 Recipe 기준 이탈 %d회 발생. 측정값 %.3f (기준 %.3f)"
+TREND_TEXT = "최근 1분 내 %s 추세 감지. 방향 비율 %.2f, 변화율 %.2f%%"
+BIAS_TEXT = "최근 5분 데이터 중 %.2f%%가 공정 중심값에서 한쪽으로 편향됨"
+RECOVERY_TEXT = "정상 범위 복구 (%s)"
+
+
+class Guards(NamedTuple):
+    limit_ms: int
+    trend_ms: int
+    batches: int
+    trend_samples: int
+    bias_samples: int
+
+
+WIDE = Guards(432_000_000, 21_600_000, 5, 4, 30)
+CONTRACT = Guards(300_000, 60_000, 5, 42, 240)
 
 ORDER_READINGS = """
 SELECT {prefix} || o_orderkey AS batch_id, o_orderpriority AS device_id,
@@ -93,7 +109,7 @@ def _iso(ms: str) -> str:
     return f"{second} || {fraction} || 'Z'"
 
 
-def _windows(readings: str, gate: int) -> str:
+def _windows(readings: str, gate: int, guards: Guards) -> str:
     """CTEs: numbered samples, their gate, and the first sample each window keeps."""
     return f"""
 r AS ({readings}),
@@ -105,6 +121,7 @@ n AS (
   SELECT *, row_number() OVER s AS pos,
          CASE WHEN value > lag(value) OVER s THEN 1 ELSE 0 END AS up,
          CASE WHEN value < lag(value) OVER s THEN 1 ELSE 0 END AS down,
+         CASE WHEN value IS NOT NULL AND lag(value) OVER s IS NOT NULL THEN 1 ELSE 0 END AS step,
          sum(CASE WHEN batch_id IS NOT NULL AND batch_id IS DISTINCT FROM known_batch
                   THEN 1 ELSE 0 END)
            OVER (PARTITION BY equipment_id, sensor_id ORDER BY measured_ms, arrival_seq
@@ -116,33 +133,34 @@ limit_pairs AS (
   SELECT a.arrival_seq AS at_seq, b.measured_ms AS b_ms, b.value AS b_value, b.pos AS b_pos,
          a.recipe_min AS low, a.recipe_max AS high
   FROM n a JOIN n b ON a.equipment_id = b.equipment_id AND a.sensor_id = b.sensor_id
-   AND b.measured_ms BETWEEN a.measured_ms - {RULES.limit_window_ms} AND a.measured_ms
+   AND b.measured_ms BETWEEN a.measured_ms - {guards.limit_ms} AND a.measured_ms
    AND b.pos <= a.pos
 ),
 limit_stats AS (
   SELECT at_seq, count(*) AS samples, min(b_ms) AS start_ms, count(b_value) AS valued,
-         arg_min(b_value, b_pos) AS first_value,
+         first(b_value ORDER BY b_pos) AS first_value,
          count(*) FILTER (b_value < low OR b_value > high) AS breaches,
          arg_max(b_value, b_pos) FILTER (b_value < low OR b_value > high) AS latest,
-         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * {R.SIGMA_OF_RANGE} * 2) AS far_above,
-         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * {R.SIGMA_OF_RANGE} * 2) AS far_below,
-         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * {R.SIGMA_OF_RANGE}) AS some_above,
-         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * {R.SIGMA_OF_RANGE}) AS some_below
+         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * 0.167 * 2) AS far_above,
+         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * 0.167 * 2) AS far_below,
+         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * 0.167) AS some_above,
+         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * 0.167) AS some_below
   FROM limit_pairs GROUP BY at_seq
 ),
 trend_stats AS (
   SELECT a.arrival_seq AS at_seq, count(*) AS samples, min(b.measured_ms) AS start_ms,
-         arg_min(b.value, b.pos) AS first_value, count(*) - 1 AS steps,
+         first(b.value ORDER BY b.pos) AS first_value,
+         sum(b.step) - arg_min(b.step, b.pos) AS steps,
          sum(b.up) - arg_min(b.up, b.pos) AS rises, sum(b.down) - arg_min(b.down, b.pos) AS falls
   FROM n a JOIN n b ON a.equipment_id = b.equipment_id AND a.sensor_id = b.sensor_id
-   AND b.measured_ms BETWEEN a.measured_ms - {RULES.trend_window_ms} AND a.measured_ms
+   AND b.measured_ms BETWEEN a.measured_ms - {guards.trend_ms} AND a.measured_ms
    AND b.pos <= a.pos
   GROUP BY a.arrival_seq
 ),
 rule_1 AS (
   SELECT n.*, 'NELSON_RULE_1' AS rule_name, s.samples, s.start_ms,
          CASE WHEN breaches = 0 THEN 'NORMAL'
-              WHEN breaches >= {R.CRITICAL_BREACHES} THEN 'CRITICAL' ELSE 'CAUTION' END AS severity,
+              WHEN breaches >= 3 THEN 'CRITICAL' ELSE 'CAUTION' END AS severity,
          CASE WHEN breaches = 0 THEN NULL
               WHEN latest > recipe_max THEN 'HIGH' ELSE 'LOW' END AS anomaly_type,
          latest AS measured_value,
@@ -160,16 +178,16 @@ rule_1_rows AS (
 ),
 bias_share AS (
   SELECT n.*, s.samples, s.start_ms, (recipe_min + recipe_max) / 2.0 AS mean,
-         (recipe_max - recipe_min) * {R.SIGMA_OF_RANGE} AS sigma,
-         s.samples >= {RULES.min_bias_samples} AND recipe_max > recipe_min AS usable,
+         (recipe_max - recipe_min) * 0.167 AS sigma,
+         s.samples >= {guards.bias_samples} AND recipe_max > recipe_min AS usable,
          far_above / valued::DOUBLE AS fa, far_below / valued::DOUBLE AS fb,
          some_above / valued::DOUBLE AS sa, some_below / valued::DOUBLE AS sb
   FROM n JOIN limit_stats s ON s.at_seq = n.arrival_seq WHERE batches >= {gate}
 ),
 bias_case AS (
-  SELECT *, CASE WHEN usable IS NOT TRUE THEN 0 WHEN fa >= {R.BIAS_SHARE} THEN 1
-                 WHEN fb >= {R.BIAS_SHARE} THEN 2 WHEN sa >= {R.BIAS_SHARE} THEN 3
-                 WHEN sb >= {R.BIAS_SHARE} THEN 4 ELSE 0 END AS hit
+  SELECT *, CASE WHEN usable IS NOT TRUE THEN 0 WHEN fa >= 0.8 THEN 1
+                 WHEN fb >= 0.8 THEN 2 WHEN sa >= 0.8 THEN 3
+                 WHEN sb >= 0.8 THEN 4 ELSE 0 END AS hit
   FROM bias_share
 ),
 bias_rows AS (
@@ -195,9 +213,9 @@ trend_share AS (
   FROM n JOIN trend_stats s ON s.at_seq = n.arrival_seq
 ),
 trend_case AS (
-  SELECT *, CASE WHEN samples >= {RULES.min_trend_samples} AND change >= {R.TREND_CHANGE_PERCENT}
-                 THEN CASE WHEN rising >= {R.TREND_SHARE} THEN 'TREND_UP'
-                           WHEN falling >= {R.TREND_SHARE} THEN 'TREND_DOWN' END
+  SELECT *, CASE WHEN samples >= {guards.trend_samples} AND change >= 5.0
+                 THEN CASE WHEN rising >= 0.7 THEN 'TREND_UP'
+                           WHEN falling >= 0.7 THEN 'TREND_DOWN' END
             END AS anomaly_type
   FROM trend_share
 ),
@@ -207,7 +225,7 @@ rule_3_rows AS (
               WHEN recipe_max > recipe_min AND
                    CASE anomaly_type WHEN 'TREND_UP' THEN (value - recipe_min)
                         ELSE (recipe_max - value) END / (recipe_max - recipe_min)
-                   >= {R.NEAR_LIMIT_SHARE} THEN 'CRITICAL' ELSE 'CAUTION' END AS severity,
+                   >= 0.9 THEN 'CRITICAL' ELSE 'CAUTION' END AS severity,
          CASE WHEN anomaly_type IS NOT NULL THEN value END AS measured_value,
          CASE anomaly_type WHEN 'TREND_UP' THEN recipe_max WHEN 'TREND_DOWN' THEN recipe_min END
            AS reference_value,
@@ -254,8 +272,8 @@ def _evaluations() -> str:
     )
 
 
-def _rules(select: str, readings: str = READINGS, gate: int = RULES.min_batches) -> str:
-    return f"WITH {_windows(readings, gate)}\n{select}"
+def _rules(select: str, readings: str = READINGS, gate: int = 5, guards: Guards = WIDE) -> str:
+    return f"WITH {_windows(readings, gate, guards)}\n{select}"
 
 
 def _one_rule(rule: str, readings: str = READINGS, gate: int = 0) -> str:
@@ -267,6 +285,16 @@ SELECT * REPLACE (recipe_min + CAST(day(ts) % 3 AS DOUBLE) * 8.0 AS recipe_min,
                   CASE WHEN day(ts) % 5 <> 0 THEN recipe_max END AS recipe_max)
 FROM ({READINGS})
 """
+DENSE = f"""
+SELECT * REPLACE (dense AS measured_ms, CAST(dense // 20000 AS VARCHAR) AS batch_id,
+  CASE equipment_id WHEN 0 THEN 5.0::DOUBLE + 90.0::DOUBLE * phase WHEN 1 THEN 95.0::DOUBLE - 90.0::DOUBLE * phase
+    WHEN 2 THEN 80.0::DOUBLE + arrival_seq % 5 + CASE WHEN sensor_id = 'click' THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END
+    ELSE CASE WHEN arrival_seq % 11 <> 0 THEN value END END AS value,
+  CASE WHEN equipment_id = 3 THEN recipe_min ELSE CAST(0 AS DOUBLE) END AS recipe_min,
+  CASE WHEN equipment_id = 3 THEN recipe_max ELSE CAST(100 AS DOUBLE) END AS recipe_max)
+FROM (SELECT *, measured_ms // 5400 AS dense, ((measured_ms // 5400) % 120000) / 120000.0::DOUBLE AS phase
+      FROM ({READINGS}))
+"""
 GAPPY = f"""
 SELECT * REPLACE (CASE WHEN value >= 20 THEN batch_id END AS batch_id) FROM ({READINGS})
 """
@@ -315,12 +343,17 @@ _alerted = _rules("SELECT * FROM alerts")
 
 ORACLES: dict[str, str] = {
     "flatten_nested": _good,
+    "flatten_gaps": f"""
+        SELECT g.* REPLACE (
+          CASE WHEN g.sequence % 3 <> 0 THEN g.measured_ms ELSE g.created_ms END AS measured_ms,
+          CASE WHEN g.equipment_id % 5 <> 0 THEN g.created_ms ELSE 0 END AS created_ms)
+        FROM ({_good}) g CROSS JOIN (VALUES (1), (2)) AS twice(n)
+        WHERE g.sequence NOT IN (4, 6) AND NOT (g.sequence % 3 = 0 AND g.equipment_id % 5 = 0)""",
     "parse_json_batches": f"{_good} UNION ALL {_quoted}",
     "quarantine_messages": """
         SELECT kind, o_orderkey AS order_key
-        FROM (SELECT DISTINCT o_orderkey FROM orders
-              WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
-        CROSS JOIN (VALUES ('cut'), ('mistyped'), ('zoneless')) AS kinds(kind)""",
+        FROM orders CROSS JOIN (VALUES ('cut'), ('mistyped'), ('zoneless')) AS kinds(kind)
+        WHERE kind <> 'mistyped' OR o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
     "reading_keys": f"""
         SELECT event_id AS arrival_seq,
           strftime(ts, '%Y-%m-%d') || '|' || CASE WHEN user_id % 4 <> 3 THEN user_id % 4 || '' ELSE '' END
@@ -349,9 +382,16 @@ ORACLES: dict[str, str] = {
     "document_upserts": _latest_daily("CASE WHEN value >= 100 THEN 'F' ELSE unit END").format(
         order="CASE WHEN value >= 100 THEN 0 ELSE 1 END,"
     ),
+    "document_restarts": _latest_daily().format(order="CASE WHEN value >= 50 THEN 0 ELSE 1 END,"),
+    "rejected_documents": f"""
+        WITH given AS (
+          SELECT equipment_id || '_' || sensor_id || '_' || measured_ms AS document_id,
+                 day(ts) % 7 = 0 OR day(ts) % 11 = 0 AS rejected FROM ({READINGS}))
+        SELECT DISTINCT document_id, rejected FROM given WHERE NOT rejected
+        UNION ALL SELECT document_id, rejected FROM given WHERE rejected""",
     "batch_gate": _rules(
         "SELECT arrival_seq, CAST(batches AS INTEGER) AS batch_count,"
-        f" batches >= {RULES.min_batches} AS gate_open FROM n",
+        f" batches >= {WIDE.batches} AS gate_open FROM n",
         GAPPY,
     ),
     "trailing_5m": _trailing("limit"),
@@ -359,8 +399,9 @@ ORACLES: dict[str, str] = {
     "rule1": _one_rule("NELSON_RULE_1"),
     "rule3": _one_rule("NELSON_RULE_3"),
     "bias": _one_rule("BIAS_RATIO_RULE"),
-    "rule1_shifting_limits": _one_rule("NELSON_RULE_1", SHIFTING, RULES.min_batches),
-    "bias_shifting_limits": _one_rule("BIAS_RATIO_RULE", SHIFTING, RULES.min_batches),
+    "rule1_shifting_limits": _one_rule("NELSON_RULE_1", SHIFTING, 5),
+    "bias_shifting_limits": _one_rule("BIAS_RATIO_RULE", SHIFTING, 5),
+    "rules_default": _rules("SELECT * FROM evaluations", DENSE, 5, CONTRACT),
     "evaluations": _evaluated,
     "alerts": _alerted,
     "severity_transitions": f"""

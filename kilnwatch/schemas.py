@@ -86,7 +86,7 @@ VIOLATION = T.StructType(
 )
 
 # Fixed values of the alert contract.
-NORMAL, CAUTION, WARNING, CRITICAL = "NORMAL", "CAUTION", "WARNING", "CRITICAL"
+NORMAL, CAUTION, CRITICAL = "NORMAL", "CAUTION", "CRITICAL"
 HIGH, LOW = "HIGH", "LOW"
 TREND_UP, TREND_DOWN = "TREND_UP", "TREND_DOWN"
 BIAS_UP, BIAS_DOWN = "BIAS_UP", "BIAS_DOWN"

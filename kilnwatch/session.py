@@ -42,9 +42,3 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="kilnwatch-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
-
-def write_once(df, label: str):
-    """Write ``df`` below the shared folder and read it back, which cuts its lineage."""
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

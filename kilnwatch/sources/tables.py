@@ -15,6 +15,7 @@ EVENTS = T.StructType(
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
     ]
 )
 
@@ -25,8 +26,11 @@ def event_rows(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Dat
     return reader.schema(EVENTS).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
-    """An event as the reading of a sensor: type is the sensor, user mod 4 the equipment."""
+def readings_from_events(events: DataFrame, *extra: str) -> DataFrame:
+    """An event as the reading of a sensor: type is the sensor, user mod 4 the equipment.
+
+    The sequence is a 32-bit number by contract and takes the lower bits of the event's.
+    """
     equipment = F.pmod("user_id", F.lit(4)).cast("bigint")
     measured = whole_millis(utc_instant(F.col("ts")))
     frequent = F.col("event_type").isin("click", "view")
@@ -36,7 +40,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         equipment.alias("equipment_id"),
         utc_instant(F.col("ts").cast("date").cast("timestamp_ntz")).alias("created_at"),
         F.lit(1).alias("interval_sec"),
-        F.col("event_id").cast("int").alias("sequence"),
+        F.pmod("event_id", F.lit(1 << 31)).cast("int").alias("sequence"),
         measured.alias("measured_at"),
         F.lit("OK").alias("measurement_status"),
         F.col("event_type").alias("sensor_id"),
@@ -48,12 +52,15 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         F.when(F.col("value") < 100, F.lit("OK")).otherwise(F.lit("HOT")).alias("sensor_status"),
         F.col("event_id").alias("arrival_seq"),
         F.lit(0).cast("bigint").alias("element_seq"),
+        *extra,
     )
 
 
 def batches_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their line items as nested batches: ``batch, arrival_seq``.
 
+    An order without items is a batch without measurements (NULL, as an absent field).
+
     A line item number is a measurement, a line item its sensor reading. Both groupings
     and the join share one shuffle by order.
     """
@@ -104,7 +111,7 @@ def batches_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         utc_instant(F.col("o_orderdate")).alias("createdAt"),
         F.lit(60).alias("intervalSec"),
     )
-    return orders.join(measurements, "o_orderkey").select(
+    return orders.join(measurements, "o_orderkey", "left").select(
         F.struct(
             "batchId", "deviceId", "id", "createdAt", "intervalSec", "measurements"
         ).alias("batch"),
