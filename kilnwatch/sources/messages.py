@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,40 +120,28 @@ def _convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
     return _whole(value, target.simpleString())
 
 
-def _unreadable(value: Column, source: T.DataType, target: T.DataType) -> Column | None:
-    """True where some leaf has a text that does not convert; an empty text reads as NULL."""
+def _lost(value: Column, converted: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """True where some leaf has a text but no converted value; an empty text reads as NULL."""
     if isinstance(target, T.StructType):
         checks = [
             check
             for f in target
-            if (check := _unreadable(value[f.name], source[f.name].dataType, f.dataType))
+            if (check := _lost(value[f.name], converted[f.name], source[f.name].dataType, f.dataType))
             is not None
         ]
-        if not checks:
-            return None
-        joined = checks[0]
-        for check in checks[1:]:
-            joined = joined | check
-        return joined
+        return reduce(Column.__or__, checks) if checks else None
     if isinstance(target, T.ArrayType):
-        item_check = _unreadable(F.lit(None), source.elementType, target.elementType)
-        if item_check is None:
+        if _lost(F.lit(None), F.lit(None), source.elementType, target.elementType) is None:
             return None
-        return F.coalesce(
-            F.exists(
-                value,
-                lambda item: F.coalesce(
-                    _unreadable(item, source.elementType, target.elementType), F.lit(False)
-                ),
-            ),
-            F.lit(False),
+        losses = F.zip_with(
+            value,
+            converted,
+            lambda item, kept: _lost(item, kept, source.elementType, target.elementType),
         )
+        return F.coalesce(F.exists(losses, lambda lost: F.coalesce(lost, F.lit(False))), F.lit(False))
     if source == target:
         return None
-    filled = value.isNotNull() & (F.trim(value) != "")
-    if isinstance(target, T.DoubleType):
-        return F.coalesce(filled & ~value.rlike(NUMBER), F.lit(False))
-    return F.coalesce(filled & _convert(value, source, target).isNull(), F.lit(False))
+    return F.coalesce(converted.isNull() & value.isNotNull() & (F.trim(value) != ""), F.lit(False))
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -170,12 +160,20 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
     text_ok = F.col("_text").isNotNull() & F.col(f"_text.{CORRUPT}").isNull()
 
-    def checked(column: str, source: T.StructType) -> Column:
-        bad = _unreadable(F.col(column), source, S.BATCH)
-        return F.when(~bad, _convert(F.col(column), source, S.BATCH))
+    # Leaves are converted once, in a projection of their own; what got lost shows afterwards.
+    converted = second.withColumns(
+        {
+            "_typed_batch": F.when(typed_ok, _convert(F.col("_typed"), TYPED, S.BATCH)),
+            "_text_batch": F.when(text_ok, _convert(F.col("_text"), AS_TEXT, S.BATCH)),
+        }
+    )
+
+    def whole(column: str, source: T.StructType) -> Column:
+        lost = _lost(F.col(column), F.col(f"{column}_batch"), source, S.BATCH)
+        return F.when(~lost, F.col(f"{column}_batch"))
 
-    batch = F.when(typed_ok, checked("_typed", TYPED)).when(text_ok, checked("_text", AS_TEXT))
-    return second.withColumn("batch", batch).drop("_typed", "_text")
+    batch = F.when(typed_ok, whole("_typed", TYPED)).when(text_ok, whole("_text", AS_TEXT))
+    return converted.withColumn("batch", batch).drop("_typed", "_text", "_typed_batch", "_text_batch")
 
 
 def valid_batches(parsed: DataFrame) -> DataFrame:
