@@ -253,6 +253,12 @@ def intersections(values: np.ndarray, bounds: np.ndarray, own: np.ndarray, other
     return out
 
 
+def _weighted(similar: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each row the sum of the weights it is similar to, a part of the rows at a time."""
+    parts = [similar[row : row + 256] @ weights for row in range(0, len(similar), 256)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
 VERIFIED = "rep bigint, linked bigint, u bigint, v bigint"
 
 
@@ -288,16 +294,19 @@ def _verify(rows: DataFrame) -> DataFrame:
                 own, other = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
                 sizes = np.diff(bounds)
                 shared = intersections(values, bounds, own, other)
-                # Counts are integers, exact in floating point; 5 shared >= 4 united is a similarity of 0.8.
-                united = sizes[own][:, None] + sizes[other][None, :] - shared.astype(np.float64)
-                similar = 5 * shared >= 4 * united
+                similar = np.empty(shared.shape, bool)
+                for row in range(0, len(own), 256):
+                    # Counts are integers, exact in floating point; 5 shared >= 4 united is a similarity of 0.8.
+                    part = shared[row : row + 256].astype(np.float64)
+                    both_sizes = sizes[own[row : row + 256], None] + sizes[None, other]
+                    similar[row : row + 256] = 9 * part >= 4 * both_sizes
                 if i == j:
                     np.fill_diagonal(similar, False)
-                    counts = similar.astype(np.float64) @ weights[other]
+                    counts = _weighted(similar, weights[other])
                     trees = [(reps[own[a]], reps[own[b]]) for a, b in forest(similar)]
                     out += [(int(reps[own[k]]), int(n), None, None) for k, n in enumerate(counts) if n]
                 else:
-                    counts, back = similar.astype(np.float64) @ weights[other], weights[own] @ similar.astype(np.float64)
+                    counts, back = _weighted(similar, weights[other]), _weighted(similar.T, weights[own])
                     out += [(int(reps[own[k]]), int(n), None, None) for k, n in enumerate(counts) if n]
                     out += [(int(reps[other[k]]), int(n), None, None) for k, n in enumerate(back) if n]
                     both = np.zeros((len(own) + len(other),) * 2, bool)
@@ -353,14 +362,16 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     )
     texts = packed(docs.where("doc_id IS NOT NULL"))
     dealt = (
-        dealt.join(texts, F.col("rep") == F.col("doc_id"))
+        # Members grow with the corpus: a plan that broadcasts them while they are few would not last.
+        dealt.hint("merge").join(texts, F.col("rep") == F.col("doc_id"))
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .select(
             "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
             "rep", "k1", "copies", "block", "packed",
         )
     )
-    grouped = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "rep")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = dealt.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "rep")
     checked = written(_verify(grouped), "verified")
     linked = checked.where("rep IS NOT NULL").groupBy("rep").agg(F.sum("linked").alias("linked"))
     classes = components(checked.where("u IS NOT NULL").select("u", "v"), "classes")
