@@ -226,7 +226,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
 
 
 def intersections(values: np.ndarray, bounds: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of sets ``own`` with sets ``other``."""
+    """Sizes of the intersections of sets ``own`` with other sets ``other``; of a set with itself it is not told."""
     sizes = np.diff(bounds)
     names, columns = np.unique(values, return_inverse=True)
     row = np.repeat(np.arange(len(sizes)), sizes)

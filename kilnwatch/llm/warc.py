@@ -141,7 +141,8 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
 class _Roller:
     """Writes the files of one shard, each under a temporary name until it is whole."""
 
-    def __init__(self, folder: str, shard: int):
+    def __init__(self, folder: str, shard: int, roll_bytes: int):
+        self.roll_bytes = roll_bytes
         self.store, self.top = _open(folder)
         self.shard, self.number, self.out = shard, 0, None
 
@@ -149,7 +150,7 @@ class _Roller:
         """Write a record; the manifest row of a file that this one would overfill is returned."""
         member = _member(record)
         done = None
-        if self.out is not None and self.size + len(member) > ROLL_BYTES:
+        if self.out is not None and self.size + len(member) > self.roll_bytes:
             done = self.close()
         if self.out is None:
             self.name = f"shard-{self.shard:06d}-{self.number:05d}.warc.gz"
@@ -192,7 +193,7 @@ class _Roller:
         return row
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write the pages below ``folder``, which all executors share; returns the committed manifest."""
     spark = pages.sparkSession
     payloads = with_payloads(pages)
@@ -226,7 +227,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 if roller is None or roller.shard != shard:
                     if roller is not None:
                         done.append(roller.close())
-                    roller = _Roller(folder, shard)
+                    roller = _Roller(folder, shard, roll_bytes)
                 first = mark[2] if mark[:2] == (page_id, digest) else None
                 full = roller.add(page_record(page_id, url, page.encode(), digest, first))
                 if full:
