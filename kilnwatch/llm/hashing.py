@@ -5,6 +5,7 @@ The hashes only find candidates; what they find is compared word by word.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cache
 
 import numpy as np
@@ -20,19 +21,18 @@ def _byte_values() -> np.ndarray:
     return np.random.default_rng(20240601).integers(0, 1 << 64, 256, np.uint64)
 
 
-_powers: list[np.ndarray] = []
+#: Bytes hashed at once; it bounds the tables of powers, and stays in the processor's cache.
+CHUNK = 1 << 18
 
 
-def _position_powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+@cache
+def _position_powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < count:
-        size = 1 << max(16, int(count).bit_length())
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        _powers[:] = [
-            np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]), dtype=np.uint64)
-            for b in (BASE, inverse)
-        ]
-    return _powers[0], _powers[1]
+    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+    return tuple(
+        np.cumprod(np.concatenate([[np.uint64(1)], np.full(CHUNK, b, np.uint64)]), dtype=np.uint64)
+        for b in (BASE, inverse)
+    )
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -54,14 +54,32 @@ class Words:
         if len(points) and not apart[0]:
             edges = np.concatenate([[0], edges])
         self.starts, self.ends = edges[0::2], edges[1::2]
-        forward, back = _position_powers(len(points) + 1)
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(_byte_values()[points] * forward[: len(points)], out=sums[1:])
-        spread = (sums[self.ends] - sums[self.starts]) * back[self.starts]
-        self.hashes = mix(spread + (self.ends - self.starts).astype(np.uint64))
+        self.hashes = self._hashed(points)
         text_ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         self.bounds = np.concatenate([[0], np.searchsorted(self.starts, text_ends)])
 
+    def _hashed(self, points: np.ndarray) -> np.ndarray:
+        forward, back = _position_powers()
+        values = _byte_values()
+        out = np.empty(len(self.starts), np.uint64)
+        first = 0
+        while first < len(out):
+            begin = int(self.starts[first])
+            last = int(np.searchsorted(self.ends, begin + CHUNK, side="right"))
+            if last == first:
+                # A word longer than a chunk.
+                word = self.data[begin : self.ends[first]]
+                out[first] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+                first += 1
+                continue
+            part = points[begin : self.ends[last - 1]]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(values[part] * forward[: len(part)], out=sums[1:])
+            starts, ends = self.starts[first:last] - begin, self.ends[first:last] - begin
+            out[first:last] = (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)
+            first = last
+        return mix(out)
+
     def word(self, number: int) -> bytes:
         return self.data[self.starts[number] : self.ends[number]]
 

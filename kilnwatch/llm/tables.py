@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 import kilnwatch
 from kilnwatch.session import shared_folder
 
+#: Bytes of text that a task works on at once; what it derives from them takes many times that.
+PIECE = 2 << 20
 #: The bytes that separate words.
 SPACES = b" \t\n\r\x0b\x0c"
 
@@ -43,7 +45,7 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def pieces(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about ``most`` bytes; one longer text is a slice by itself."""
     texts = batch.column(column)
     start = size = 0
@@ -68,7 +70,7 @@ def map_texts(
     column: str,
     schema: str,
     work: Callable[[pa.RecordBatch, list[bytes]], dict[str, object] | None],
-    most: int = 8 << 20,
+    most: int = PIECE,
 ) -> DataFrame:
     """Run ``work`` on slices of bounded size; it returns the columns of ``schema`` or None."""
     spark = rows.sparkSession

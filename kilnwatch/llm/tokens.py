@@ -25,8 +25,8 @@ from kilnwatch.llm.tables import map_texts
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 TOKENS_SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>, ends array<int>"
-#: Pre-tokens kept in a worker's cache, and the longest one kept.
-CACHED = 1 << 20
+#: Pre-tokens in one of the two generations of a worker's cache, and the longest one kept.
+CACHED = 1 << 17
 CACHED_CHARS = 64
 
 #: Stands between texts; it cannot occur in one.
@@ -220,16 +220,18 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Merged(dict):
-    """Ids of the pre-tokens met so far, of bounded size."""
+    """Ids of the pre-tokens met lately, of bounded size: what an old generation is asked for moves to the new one."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(merge(piece.encode(), self.ranks))
+        ids = self.old.get(piece) or tuple(merge(piece.encode(), self.ranks))
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -251,6 +253,8 @@ def _pieces_of(path: str) -> list[bytes]:
 
 def encode(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array, and the end of each text's ids."""
+    if not texts:
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
     joined = chr(BREAK).join(texts) + chr(BREAK)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     starts = boundaries(points)
