@@ -142,7 +142,7 @@ def found_in(known: ItemIndex, texts: list[bytes]) -> list[tuple[int, int, int]]
 
 def indexes(items: DataFrame) -> Iterator[Broadcast]:
     """Broadcast indexes of all items, one for each block of bounded size."""
-    items = items.select("item_id", "text")
+    items = items.select("item_id", "text").distinct()
     context = items.sparkSession.sparkContext
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))

@@ -135,7 +135,9 @@ def _member(data: bytes) -> bytes:
 
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder and the path on it; Arrow reaches local, HDFS and object stores."""
-    return pafs.FileSystem.from_uri(folder if "://" in folder else folder.removeprefix("file:"))
+    if "://" not in folder:
+        return pafs.FileSystem.from_uri(folder.removeprefix("file:"))
+    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
 class _Roller:
