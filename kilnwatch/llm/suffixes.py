@@ -31,6 +31,8 @@ MOST_QUEUES = 1024
 
 #: Suffixes and prefixes are kept narrow: a shard has less than 2**31 characters, a prefix less than 2**15.
 PLACE, PREFIX = np.int32, np.int16
+#: Where the comparison of two suffixes stops in any case.
+FARTHEST = 1 << 14
 ENTRY = np.dtype([("suffix", PLACE), ("prefix", PREFIX)])
 
 
@@ -83,7 +85,8 @@ def suffix_types(text: np.ndarray) -> np.ndarray:
     rises = text[1:][differs] > text[:-1][differs]
     out = np.empty(count, bool)
     # Equal neighbours take the type of the next change.
-    out[:-1] = rises[np.searchsorted(differs, np.arange(count - 1))] if count > 1 else True
+    if count > 1:
+        out[:-1] = np.repeat(rises, np.diff(differs, prepend=-1))
     out[-1] = True
     return out
 
@@ -93,7 +96,7 @@ class Prefixes:
 
     def __init__(self, text: np.ndarray, letters: int, most: int):
         self.text, self.most = text, most
-        bits = max(1, int(letters).bit_length())
+        self.bits = bits = max(1, int(letters).bit_length())
         self.width = min(8, 63 // bits)
         padded = np.concatenate([text, np.zeros(self.width, text.dtype)]).astype(np.int64)
         self.packed = np.zeros(len(text), np.int64)
@@ -101,13 +104,42 @@ class Prefixes:
             self.packed <<= bits
             self.packed |= padded[step : step + len(text)]
 
+    def beginnings(self, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The first characters of substrings as numbers; the largest character follows a short one's end."""
+        beyond = np.maximum(self.width - lengths, 0) * self.bits
+        return self.packed[places] >> beyond << beyond | (np.int64(1) << beyond) - 1
+
+    def of_neighbours(self, order: np.ndarray) -> np.ndarray:
+        """What each suffix of an ordered list has in common with the one before.
+
+        Going through the text, a suffix and its neighbour often lie as far behind the suffix and neighbour
+        before: then their common prefix is what is left of that one. Only where it starts is compared.
+        """
+        out = np.zeros(len(order), PREFIX)
+        if len(order) < 2:
+            return out
+        by_place = np.argsort(order[1:]) + 1
+        own, other = order[by_place].astype(np.int64), order[by_place - 1].astype(np.int64)
+        head = np.ones(len(own), bool)
+        head[1:] = own[1:] - own[:-1] != other[1:] - other[:-1]
+        heads = np.flatnonzero(head)
+        long = self._compared(own[heads], other[heads], FARTHEST)
+        chain = np.cumsum(head) - 1
+        left = long[chain] - (own - own[heads][chain])
+        again = np.flatnonzero((left < 0) | (long[chain] == FARTHEST))
+        left[again] = self._compared(own[again], other[again], self.most)
+        out[by_place] = np.minimum(left, self.most)
+        return out
+
     def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Characters that the suffixes a and b have in common, at most ``most``; they differ by their ends."""
-        out = np.zeros(len(a), np.int64)
-        live = np.arange(len(a))
-        x, y = a.astype(np.int64), b.astype(np.int64)
+        """Characters that the suffixes a and b have in common, at most ``most``."""
+        return self._compared(a.astype(np.int64), b.astype(np.int64), self.most).astype(PREFIX)
+
+    def _compared(self, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        live = np.arange(len(x))
         while len(live):
-            inside = (np.maximum(x, y) < len(self.text)) & (out[live] < self.most)
+            inside = (np.maximum(x, y) < len(self.text)) & (out[live] < most)
             live, x, y = live[inside], x[inside], y[inside]
             same = self.packed[x] == self.packed[y]
             last = ~same
@@ -117,29 +149,27 @@ class Prefixes:
             out[live[last]] += differ.argmax(axis=1)
             live, x, y = live[same], x[same] + self.width, y[same] + self.width
             out[live] += self.width
-        return np.minimum(out, self.most).astype(PREFIX)
+        return np.minimum(out, most)
 
 
 class RangeLeast:
     """Least value of ranges of a small array."""
 
     def __init__(self, values: np.ndarray):
-        self.levels = [values]
-        span = 1
-        while 2 * span <= len(values):
-            before = self.levels[-1]
-            self.levels.append(np.minimum(before[:-span], before[span:]))
-            span *= 2
+        count = len(values)
+        self.table = np.empty((count.bit_length(), count), values.dtype)
+        self.table[0] = values
+        for level in range(1, len(self.table)):
+            span = 1 << (level - 1)
+            reach = count - 2 * span + 1
+            np.minimum(
+                self.table[level - 1, :reach], self.table[level - 1, span : span + reach], out=self.table[level, :reach]
+            )
 
     def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Least of ``values[first..last]``, all ranges nonempty."""
         level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
-        out = np.empty(len(first), self.levels[0].dtype)
-        for number in np.unique(level).tolist():
-            at = level == number
-            table = self.levels[number]
-            out[at] = np.minimum(table[first[at]], table[last[at] - (1 << number) + 1])
-        return out
+        return np.minimum(self.table[level, first], self.table[level, last - (1 << level.astype(np.int64)) + 1])
 
 
 class Pass:
@@ -197,12 +227,11 @@ class Pass:
 
 
 def induce(
-    text: np.ndarray, letters: int, lms: np.ndarray, most: int, memory: int = MEMORY
+    shared_by: Prefixes, letters: int, lms: np.ndarray, memory: int = MEMORY
 ) -> tuple[np.ndarray, np.ndarray]:
     """All suffixes in order, and what each has in common with the one before, from the LMS suffixes in order."""
-    shared_by = Prefixes(text, letters, most)
-    lms_prefix = np.zeros(len(lms), PREFIX)
-    lms_prefix[1:] = shared_by.of(lms[1:], lms[:-1])
+    text, most = shared_by.text, shared_by.most
+    lms_prefix = shared_by.of_neighbours(lms)
     first = text[lms]
     bounds = np.searchsorted(first, np.arange(letters + 1))
     large: list[tuple[np.ndarray, np.ndarray]] = []
@@ -265,22 +294,18 @@ def induce(
     return suffixes, out
 
 
-def names_of(text: np.ndarray, lms: np.ndarray, bits: int) -> np.ndarray:
+def names_of(shared_by: Prefixes, lms: np.ndarray) -> np.ndarray:
     """Names of the LMS substrings in text order; smaller names for smaller substrings, equal for equal ones."""
     count = len(lms)
-    ends = np.concatenate([lms[1:] + 1, [len(text)]])
-    width = 63 // bits
-    none = (1 << bits) - 1
+    lengths = np.diff(lms, append=len(shared_by.text) - 1) + 1
     names = np.zeros(count, np.int64)
     active = np.arange(count)
     offset = 0
     while len(active):
-        key = np.zeros(len(active), np.int64)
-        for step in range(width):
-            place = lms[active] + offset + step
-            # A substring that is the beginning of another is larger: it ends in a smaller type.
-            symbol = np.where(place < ends[active], text[np.minimum(place, len(text) - 1)], none)
-            key = (key << bits) | symbol
+        # A substring that is the beginning of another is larger: it ends in a smaller type.
+        left = np.maximum(lengths[active] - offset, 0)
+        places = np.minimum(lms[active] + offset, len(shared_by.text) - 1)
+        key = shared_by.beginnings(places, left)
         order = np.lexsort((key, names[active]))
         key, group = key[order], names[active][order]
         fresh = np.ones(len(active), bool)
@@ -291,10 +316,10 @@ def names_of(text: np.ndarray, lms: np.ndarray, bits: int) -> np.ndarray:
         place = np.maximum.accumulate(np.where(fresh, np.arange(len(active)), 0))
         renamed = group + inside[place]
         names[active[order]] = renamed
-        offset += width
+        offset += shared_by.width
         # Only ties with more characters to come go on.
         sizes = np.bincount(names[active], minlength=1) if len(active) else np.empty(0, int)
-        longer = ends[active] - lms[active] > offset
+        longer = lengths[active] > offset
         undecided = np.zeros(len(sizes), bool)
         undecided[names[active[longer]]] = True
         active = active[(sizes[names[active]] > 1) & undecided[names[active]]]
@@ -302,21 +327,25 @@ def names_of(text: np.ndarray, lms: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _doubled(text: np.ndarray) -> np.ndarray:
-    """Suffixes in order by doubling the length of compared prefixes."""
+    """Suffixes in order by widening the compared prefixes, three or more ranks in one number each time."""
     ranks = np.unique(text, return_inverse=True)[1].astype(np.int64) + 1
     count, span = len(text), 1
     while True:
-        nexts = np.zeros(count, np.int64)
-        nexts[:-span] = ranks[span:]
-        key = ranks * (count + 1) + nexts
+        bits = int(ranks.max()).bit_length()
+        width = max(2, 63 // bits)
+        key = ranks.copy()
+        for step in range(1, width):
+            key <<= bits
+            if step * span < count:
+                key[: count - step * span] |= ranks[step * span :]
         order = np.argsort(key)
         sorted_key = key[order]
         fresh = np.ones(count, np.int64)
         fresh[1:] = sorted_key[1:] != sorted_key[:-1]
         ranks[order] = np.cumsum(fresh)
+        span *= width
         if ranks[order[-1]] == count or span >= count:
             return order
-        span *= 2
 
 
 def sorted_suffixes(
@@ -331,7 +360,8 @@ def sorted_suffixes(
         return np.zeros(1, PLACE), np.zeros(1, PREFIX)
     small = suffix_types(text)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    names = names_of(text, lms, max(1, int(letters).bit_length()))
+    shared_by = Prefixes(text, letters, most)
+    names = names_of(shared_by, lms)
     known, dense = np.unique(names, return_inverse=True)
     if len(known) == len(names):
         order = np.argsort(names)
@@ -339,7 +369,7 @@ def sorted_suffixes(
         order = sorted_suffixes(dense, len(known), 1, memory, queues)[0]
     else:
         order = _doubled(dense)
-    return induce(text, letters, lms[order].astype(PLACE), most, memory)
+    return induce(shared_by, letters, lms[order].astype(PLACE), memory)
 
 
 LENGTH = 200
@@ -352,7 +382,7 @@ def byte_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return byte_grams(np.frombuffer(b"".join(texts), np.uint8), GRAM), ends
 
 
-BYTES = Unit(LENGTH, LENGTH - GRAM + 1, byte_units, bytes, bytes)
+BYTES = Unit(LENGTH, LENGTH - GRAM + 1, byte_units, False, bytes, bytes)
 
 
 def judge(contexts: list[bytes], counts: list[int], least: list[int], edges: np.ndarray) -> list:
@@ -366,8 +396,7 @@ def judge(contexts: list[bytes], counts: list[int], least: list[int], edges: np.
     shard[inside] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int32) + 2
     shard[begins[1:] - 1] = 1
     order, shared = sorted_suffixes(shard, 258, LENGTH)
-    owner = np.searchsorted(begins, order, side="right") - 1
-    owner[owner == len(contexts)] = 0
+    owner = np.append(np.repeat(np.arange(len(contexts)), sizes + 1), 0)[order]
     whole = (order - begins[owner] <= sizes[owner] - LENGTH) & (order < len(shard) - 1)
     # A suffix without a whole window ends before the length, so it shares less with either neighbour.
     group = np.cumsum((shared < LENGTH) | ~whole)
