@@ -9,8 +9,8 @@ A window can share a band with a template only if it holds a shingle that is a s
 and windows without any are left out before bands are computed.
 
 Defined results: null and empty texts and texts of fewer than ``SHINGLE`` words match nothing; of several windows with
-the same containment the first counts; repeated rows give equal rows; an empty table gives an empty result; extra columns are ignored,
-null ids are passed on.
+the same containment the first counts; rows of one id count as one document; an empty table gives an empty result;
+extra columns are ignored, null ids are passed on.
 """
 
 from __future__ import annotations
@@ -113,22 +113,29 @@ def _sequence(count: Column) -> Column:
 
 
 def shingle_hashes(words: Column) -> Column:
-    return F.transform(_sequence(F.size(words) - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
+    """Hashes of the shingles, from one hash of each word."""
+
+    def of_words(hashes: Column) -> Column:
+        first = F.slice(hashes, 1, F.greatest(F.size(hashes) - (SHINGLE - 1), F.lit(0)))
+        return F.transform(first, lambda h, i: F.xxhash64(h, *(hashes[i + step] for step in range(1, SHINGLE))))
+
+    return bound(F.transform(words, lambda word: F.xxhash64(word)), of_words)
 
 
 def shingle_texts(words: Column) -> Column:
-    return F.array_distinct(
-        F.transform(
-            _sequence(F.size(words) - (SHINGLE - 1)), lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")
-        )
-    )
+    def of_words(known: Column) -> Column:
+        places = _sequence(F.size(known) - (SHINGLE - 1))
+        return F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice(known, i, SHINGLE), " ")))
+
+    return bound(words, of_words)
 
 
 def band_values(hashes: Column, bands: int) -> Column:
     """The values of each band's functions over a set of shingles."""
     functions = F.sequence(F.lit(0), F.lit(bands * ROWS - 1))
     least = F.transform(functions, lambda f: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, f))))
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice(least, b * ROWS + 1, ROWS)))
+    numbers = F.sequence(F.lit(0), F.lit(bands - 1))
+    return bound(least, lambda known: F.transform(numbers, lambda b: F.xxhash64(F.slice(known, b * ROWS + 1, ROWS))))
 
 
 def templates(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
@@ -175,27 +182,37 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
         }
     )
     seed_list = F.expr(f"array({', '.join(f'{seed}L' for seed in seeds)})")
-    hashed = docs.select(
-        "doc_id", "text", bound(words_of(F.col("text")), shingle_hashes).alias("hashes")
-    ).where(F.arrays_overlap("hashes", seed_list))
-    # From here on only documents that hold a seed, with one row for each window that holds one.
-    size = F.size("hashes")
-
-    def cut(c: SizeClass) -> Column:
+    def cut(hashes: Column, found: Column, c: SizeClass) -> Column:
+        around = F.transform(found, lambda i: F.floor((i - 1) / c.step).cast("int"))
+        numbers = F.array_distinct(F.concat(around, F.transform(around, lambda n: F.greatest(n - 1, F.lit(0)))))
         return F.transform(
-            F.sequence(F.lit(0), F.greatest(F.ceil(size / c.step) - 1, F.lit(0)).cast("int")),
+            numbers,
             lambda n: F.struct(
                 F.lit(c.number).alias("class"),
                 (n * c.step).alias("word"),
-                F.slice("hashes", n * c.step + 1, c.window).alias("hashes"),
+                F.slice(hashes, n * c.step + 1, c.window).alias("hashes"),
             ),
         )
 
-    windows = F.concat(*map(cut, classes))
-    held = F.filter(windows, lambda w: F.arrays_overlap(w["hashes"], seed_list))
+    def windows(hashes: Column) -> Column:
+        """The windows that hold a seed."""
+
+        def around(seeds_here: Column) -> Column:
+            places = F.filter(
+                _sequence(F.size(hashes)), lambda i: F.array_contains(seeds_here, F.element_at(hashes, i))
+            )
+            return F.when(
+                F.size(seeds_here) > 0, bound(places, lambda p: F.concat(*(cut(hashes, p, c) for c in classes)))
+            )
+
+        return bound(F.array_intersect(hashes, seed_list), around)
+
+    # One expression of the text, so that no rewrite of the plan can put its parts into an inner loop. The outer
+    # form of explode keeps Spark from computing it once more for a filter.
     candidates = (
-        hashed.select("doc_id", "text", F.explode(held).alias("w"))
-        .select("doc_id", "text", "w.class", "w.word", F.explode(band_values(F.col("w.hashes"), bands)).alias("value"),)
+        docs.select("doc_id", "text", F.explode_outer(bound(bound(words_of(F.col("text")), shingle_hashes), windows)).alias("w"))
+        .where("w IS NOT NULL")
+        .select("doc_id", "text", "w.class", "w.word", F.explode_outer(band_values(F.col("w.hashes"), bands)).alias("value"))
     )
     banded = known.select("template", "class", F.posexplode(band_values(F.col("hashes"), bands)).alias("band", "value"))
     # The bands' number is part of their values, as each has functions of its own.
