@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -19,22 +20,26 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilnwatch.llm.hashing import mix
-from kilnwatch.llm.tables import _arrow_schema, as_bytes, whole_groups, written
+from kilnwatch.llm.tables import PIECE, _arrow_schema, as_bytes, whole_groups, written
 from kilnwatch.llm.winnow import anchors
 
 #: Different contexts of one anchor that one task compares.
 HOT = 1 << 15
-#: Packed bytes of one part of the dealt table, and text bytes that a task looks at together.
+#: Packed bytes of one part of the dealt table.
 PART_BYTES = 24 << 20
-PIECE = 4 << 20
 NO_ID = -(1 << 63)
 
-ANCHORS = "key bigint, part int, first int, last int, h bigint"
-CONTEXTS = "key bigint, part int, first int, h bigint, context binary"
+#: ``place`` holds the number among equal ids, the first window and the number of further ones: 24, 31 and 8 bits.
+ANCHORS = "key bigint, place bigint, h bigint"
+#: An occurrence (key, part, first) of a context, or the context itself with how often the task met it and the least id.
+CONTEXTS = "h bigint, c bigint, key bigint, part int, first int, context binary, n bigint, least bigint"
+WINDOWS = "key bigint, part int, first int, h bigint, context binary"
+#: Different contexts that a task holds before it hands them on.
+COMBINED = 1 << 15
+
 
 
 @dataclass(frozen=True)
@@ -46,13 +51,15 @@ class Unit:
     width: int
     #: Texts to gram hashes and the end of each text, in units.
     grams: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    #: Whether only other documents count as another place.
+    across: bool
     #: A text to its units, which can be sliced and joined to a context.
     units: Callable[[bytes], object]
     join: Callable[[object], bytes]
 
 
 def dealt(docs: DataFrame) -> DataFrame:
-    """key, packed: the texts under zstandard, dealt by document, equal documents in one order."""
+    """key, part, size, packed: the texts under zstandard, dealt by document; ``part`` numbers those of one id."""
     spark = docs.sparkSession
     schema = _arrow_schema(spark, "key bigint, size bigint, packed binary")
 
@@ -73,37 +80,25 @@ def dealt(docs: DataFrame) -> DataFrame:
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 2 // PART_BYTES + 1)
     packed = keyed.mapInArrow(pack, "key bigint, size bigint, packed binary")
-    return (
-        packed.repartition(parts, "key").sortWithinPartitions("key", "packed").persist(StorageLevel.MEMORY_AND_DISK)
-    )
-
-
-class Parts:
-    """Numbers the documents that share an id, in the order of the dealt table."""
-
-    def __init__(self):
-        self.key, self.part = None, 0
-
-    def next(self, key: int) -> int:
-        self.part = self.part + 1 if key == self.key else 0
-        self.key = key
-        return self.part
+    # The window works within the parts that are dealt already.
+    part = F.row_number().over(Window.partitionBy("key").orderBy("packed")) - 1
+    return packed.repartition(parts, "key").withColumn("part", part).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[list, list[int], list[bytes]]]:
     """Rows of the dealt table in pieces of bounded text: the columns, the number among equal ids, the texts."""
-    opener, parts = zstandard.ZstdDecompressor(), Parts()
+    opener = zstandard.ZstdDecompressor()
     rows, numbers, texts, held = [], [], [], 0
     for batch in batches:
         named = [batch.column(c) for c in ("key", *columns)]
         sizes, packed = batch.column("size").to_pylist(), batch.column("packed")
+        parts = batch.column("part").to_pylist()
         for row, size in enumerate(sizes):
             if texts and held + size > PIECE:
                 yield rows, numbers, texts
                 rows, numbers, texts, held = [], [], [], 0
-            values = tuple(c[row].as_py() for c in named)
-            rows.append(values)
-            numbers.append(parts.next(values[0]))
+            rows.append(tuple(c[row].as_py() for c in named))
+            numbers.append(parts[row])
             texts.append(opener.decompress(packed[row].as_py()) if size else b"")
             held += size
     if texts:
@@ -123,9 +118,7 @@ def anchor_rows(table: DataFrame, unit: Unit) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys[doc]),
-                    pa.array(np.array(numbers, np.int32)[doc]),
-                    pa.array((first - begins).astype(np.int32)),
-                    pa.array((last - begins).astype(np.int32)),
+                    pa.array((np.array(numbers)[doc] << 39) | (first - begins) << 8 | (last - first)),
                     pa.array(hashes.view(np.int64)),
                 ],
                 schema=schema,
@@ -137,35 +130,58 @@ def anchor_rows(table: DataFrame, unit: Unit) -> DataFrame:
 def contexts(table: DataFrame, unit: Unit) -> DataFrame:
     """key, part, first window, h and context of all runs of windows whose anchor occurs more than once."""
     found = anchor_rows(table, unit)
-    repeated = found.groupBy("h").count().where("count > 1").select("h")
+    again = F.min("key") < F.max("key") if unit.across else F.count("*") > 1
+    # Written, so that the join reads both sides from plain shuffles and Spark can split a hot anchor's rows.
+    repeated = written(found.groupBy("h").agg(again.alias("again")).where("again").select("h"), "repeated")
     hits = (
         found.join(repeated, "h")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("part", "first", "last", "h")).alias("hits"))
+        .agg(F.collect_list("place").alias("places"), F.collect_list("h").alias("hashes"))
     )
     schema = _arrow_schema(table.sparkSession, CONTEXTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, numbers, texts in unpacked(batches, ["hits"]):
+        met: dict[tuple[int, bytes], list] = {}
+        for rows, numbers, texts in unpacked(batches, ["places", "hashes"]):
             out: list[tuple] = []
-            for (key, own), number, text in zip(rows, numbers, texts, strict=True):
+            for (key, places, hashes), number, text in zip(rows, numbers, texts, strict=True):
                 units = None
-                for hit in own:
-                    if hit["part"] == number:
-                        units = unit.units(text) if units is None else units
-                        cut = unit.join(units[hit["first"] : hit["last"] + unit.length])
-                        out.append((key, number, hit["first"], hit["h"], cut))
+                for place, h in zip(places, hashes, strict=True):
+                    if place >> 39 != number:
+                        continue
+                    units = unit.units(text) if units is None else units
+                    first = place >> 8 & (1 << 31) - 1
+                    cut = unit.join(units[first : first + (place & 0xFF) + unit.length])
+                    own = met.get((h, cut))
+                    if own is None:
+                        own = met[h, cut] = [context_id(cut), 0, None]
+                    own[1] += 1
+                    if key != NO_ID and (own[2] is None or key < own[2]):
+                        own[2] = key
+                    out.append((h, own[0], key, number, first, None, None, None))
+            if len(met) > COMBINED:
+                out += _contexts_met(met)
+                met = {}
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema
-                )
+                yield _batch(out, schema)
+        if met:
+            yield _batch(_contexts_met(met), schema)
 
     return table.join(hits, "key").mapInArrow(run, CONTEXTS)
 
 
+def context_id(context: bytes) -> int:
+    """A number that equal contexts share; with the anchor's hash it names a context."""
+    return int.from_bytes(hashlib.blake2b(context, digest_size=8).digest(), "little", signed=True)
+
+
+def _contexts_met(met: dict[tuple[int, bytes], list]) -> list[tuple]:
+    return [(h, c, None, None, None, context, n, least) for (h, context), (c, n, least) in met.items()]
+
+
 def _single_windows(rows: DataFrame, unit: Unit) -> DataFrame:
-    """Each context as its single windows, grouped by the window instead of the anchor."""
-    schema = _arrow_schema(rows.sparkSession, CONTEXTS)
+    """Occurrences of contexts as their single windows, grouped by the window instead of the anchor."""
+    schema = _arrow_schema(rows.sparkSession, WINDOWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,8 +197,8 @@ def _single_windows(rows: DataFrame, unit: Unit) -> DataFrame:
             if out:
                 yield _batch(out, schema)
 
-    single = rows.mapInArrow(run, CONTEXTS)
-    return single.withColumn("h", F.xxhash64("h", "context"))
+    single = rows.mapInArrow(run, WINDOWS)
+    return single.withColumns({"h": F.xxhash64("h", "context"), "c": F.xxhash64("context", "h")})
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -194,22 +210,35 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 Judge = Callable[[list[bytes], list[int], list[int], np.ndarray], list]
 
 
-def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge) -> DataFrame:
+def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge, useful: str = "true") -> DataFrame:
     """key and spans: for each document the verdicts of its contexts, as structs of part, first and verdict.
 
-    ``judge`` gets the different contexts of some groups, how often each occurs, the least key of each and the groups'
-    first places; it returns a verdict of SQL type ``verdict``, or None, for each context.
+    ``judge`` gets the different contexts of some groups, how often each occurs, the least id of each (None: no id) and
+    the groups' first places; it returns a verdict of SQL type ``verdict``, or None, for each context. ``useful`` says of a verdict
+    and a document's key whether it says anything to the document.
     """
     spark = table.sparkSession
-    found = written(contexts(table, unit).withColumn("c", F.xxhash64("context")), "contexts")
-    hot = found.select("h", "c").distinct().groupBy("h").count().where(F.col("count") > HOT).select("h")
-    hot = written(hot, "hot")
+    found = written(contexts(table, unit), "contexts")
+    places = found.where("context IS NULL").select("key", "part", "first", "h", "c")
+    # Tasks have combined equal contexts, so only different ones of each task move. The aggregation works within the
+    # parts that the contexts are dealt to by anchor.
+    different = found.where("context IS NOT NULL").select("h", "c", "context", "n", "least")
+    hot = written(
+        different.select("h", "c").distinct().groupBy("h").count().where(F.col("count") > HOT).select("h"), "hot"
+    )
     if not hot.isEmpty():
-        rest = found.join(hot, "h", "left_anti")
-        single = _single_windows(found.join(hot, "h").select("key", "part", "first", "h", "context"), unit)
-        found = rest.union(single.withColumn("c", F.xxhash64("context")).select(*rest.columns))
-        found = written(found, "contexts")
-    groups = found.groupBy("h", "context").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+        known = different.join(hot, "h").groupBy("h", "c").agg(F.first("context").alias("context"))
+        crowded = places.join(known, ["h", "c"]).select("key", "part", "first", "h", "context")
+        single = written(_single_windows(crowded, unit), "windows")
+        least = F.min(F.when(F.col("key") != NO_ID, F.col("key"))).alias("least")
+        merged = single.groupBy("h", "c", "context").agg(F.count("*").alias("n"), least)
+        places = places.join(hot, "h", "left_anti").unionByName(single.select("key", "part", "first", "h", "c"))
+        different = different.join(hot, "h", "left_anti").unionByName(merged)
+    groups = (
+        different.repartition("h")
+        .groupBy("h", "context")
+        .agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.first("c").alias("c"))
+    )
     output = f"h bigint, c bigint, verdict {verdict}"
     schema = _arrow_schema(spark, output)
 
@@ -228,11 +257,12 @@ def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge) -> DataFram
                 schema=schema,
             )
 
-    ordered = groups.withColumn("c", F.xxhash64("context")).repartition("h").sortWithinPartitions("h", "context")
+    ordered = groups.sortWithinPartitions("h", "context")
     verdicts = ordered.mapInArrow(run, output)
     return (
-        found.select("key", "part", "first", "h", "c")
+        places.select("key", "part", "first", "h", "c")
         .join(verdicts, ["h", "c"])
+        .where(useful)
         .groupBy("key")
         .agg(F.collect_list(F.struct("part", "first", "verdict")).alias("spans"))
     )

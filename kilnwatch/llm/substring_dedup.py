@@ -35,7 +35,7 @@ def word_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words.sequences(GRAM)[0], words.bounds[1:]
 
 
-WORDS = Unit(LENGTH, LENGTH - GRAM + 1, word_grams, bytes.split, b" ".join)
+WORDS = Unit(LENGTH, LENGTH - GRAM + 1, word_grams, True, bytes.split, b" ".join)
 
 
 class Automaton:
@@ -116,11 +116,11 @@ class Automaton:
 def judge(contexts: list[bytes], counts: list[int], least: list[int], edges: np.ndarray) -> list:
     out: list = []
     for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        # Sequences of the least id first; ids that are missing are not part of the reference.
+        # Texts without an id are not part of the reference.
         automaton = Automaton()
         split = [context.split() for context in contexts[first:last]]
         for words, key in zip(split, least[first:last], strict=True):
-            if key != NO_ID:
+            if key is not None:
                 automaton.add(words, key)
         automaton.finish()
         out += map(automaton.least_ids, split)
@@ -130,7 +130,7 @@ def judge(contexts: list[bytes], counts: list[int], least: list[int], edges: np.
 def repeats_removed(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the hash of the kept words of each document."""
     table = dealt(docs.select("doc_id", "text"))
-    spans = judged(table, WORDS, "array<bigint>", judge)
+    spans = judged(table, WORDS, "array<bigint>", judge, "array_min(verdict) < key")
     schema = _arrow_schema(docs.sparkSession, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
