@@ -59,10 +59,11 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     # Short texts: one shingle of all their words.
     sizes = np.diff(words.bounds)
     short = np.flatnonzero((sizes > 0) & (sizes < SHINGLE))
-    extra = [
-        mix(np.bitwise_xor.reduce(mix(words.hashes[words.bounds[t] : words.bounds[t + 1]] + np.arange(sizes[t], dtype=np.uint64))).reshape(1))[0]
-        for t in short.tolist()
-    ]
+    extra = []
+    for text in short.tolist():
+        own = words.hashes[words.bounds[text] : words.bounds[text + 1]]
+        placed = mix(own + np.arange(len(own), dtype=np.uint64))
+        extra.append(int(mix(np.bitwise_xor.reduce(placed, keepdims=True))[0]))
     owner = np.concatenate([owner, short])
     values = np.concatenate([values, np.array(extra, np.uint64)])
     order = np.lexsort((values, owner))
@@ -286,10 +287,8 @@ def _verify(rows: DataFrame) -> DataFrame:
                 own_keys = np.zeros(len(rows_kept), np.int64)
                 own_keys[np.diff(bounds) > 0] = keys(values, bounds)[0]
                 right = own_keys == group.column("k1").to_numpy()[rows_kept]
-                reps, weights, blocks = (
-                    np.where(right, group.column(c).to_numpy()[rows_kept], -1) if c == "block" else
-                    group.column(c).to_numpy()[rows_kept] for c in ("rep", "copies", "block")
-                )
+                reps, weights, blocks = (group.column(c).to_numpy()[rows_kept] for c in ("rep", "copies", "block"))
+                blocks = np.where(right, blocks, -1)
                 i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
                 own, other = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
                 sizes = np.diff(bounds)
@@ -387,7 +386,10 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     found = sets.select("doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
     # Rows without words or without an id are alone.
     words = F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
-    alone = docs.where(F.col("doc_id").isNull() | ~words).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
+    none = F.lit(0).cast("bigint")
+    alone = docs.where(F.col("doc_id").isNull() | ~words).select(
+        "doc_id", F.col("doc_id").alias("class_id"), none.alias("n_links")
+    )
     return found.union(alone)
 
 

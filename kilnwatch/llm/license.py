@@ -162,7 +162,8 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
         for row in known.select("class").distinct().orderBy("class").collect()
     ]
     if not classes:
-        return docs.select("doc_id", F.lit("").alias("template"), F.lit(0.0).alias("containment"), F.lit(0).alias("word")).limit(0)
+        nothing = {"template": F.lit(""), "containment": F.lit(0.0), "word": F.lit(0).cast("bigint")}
+        return docs.select("doc_id", *(value.alias(name) for name, value in nothing.items())).limit(0)
     bands = classes[0].bands
     functions = F.sequence(F.lit(0), F.lit(bands * ROWS - 1))
     # The shingle that gives each function's smallest value, over all templates: a constant of the plan.
@@ -209,8 +210,9 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
 
     # One expression of the text, so that no rewrite of the plan can put its parts into an inner loop. The outer
     # form of explode keeps Spark from computing it once more for a filter.
+    held = bound(bound(words_of(F.col("text")), shingle_hashes), windows)
     candidates = (
-        docs.select("doc_id", "text", F.explode_outer(bound(bound(words_of(F.col("text")), shingle_hashes), windows)).alias("w"))
+        docs.select("doc_id", "text", F.explode_outer(held).alias("w"))
         .where("w IS NOT NULL")
         .select("doc_id", "text", "w.class", "w.word", F.explode_outer(band_values(F.col("w.hashes"), bands)).alias("value"))
     )
@@ -222,15 +224,18 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
         .dropDuplicates(["doc_id", "text", "class", "word", "template"])
     )
     span = F.element_at(F.create_map(*(F.lit(x) for c in classes for x in (c.number, c.window))), F.col("class"))
+
+    def shingles_in_window(words: Column) -> Column:
+        return shingle_texts(F.slice(words, F.col("word") + 1, span + SHINGLE - 1))
+
+    own = bound(words_of(F.col("text")), shingles_in_window)
+    share = F.size(F.array_intersect("shingles", "own")) / F.size("shingles")
     verified = (
         pairs.join(F.broadcast(known.select("template", "shingles")), "template")
-        .select(
-            "doc_id", "template", "word", "shingles",
-            bound(words_of(F.col("text")), lambda w: shingle_texts(F.slice(w, F.col("word") + 1, span + SHINGLE - 1))).alias("own"),
-        )
-        .select("doc_id", "template", "word", (F.size(F.array_intersect("shingles", "own")) / F.size("shingles")).alias("containment"))
+        .select("doc_id", "template", "word", "shingles", own.alias("own"))
+        .select("doc_id", "template", "word", share.alias("containment"))
         .where(F.col("containment") >= CONTAINMENT)
-    )
+    )
     best = F.max(F.struct(F.col("containment"), (-F.col("word")).alias("back"))).alias("best")
     return verified.groupBy("doc_id", "template").agg(best).select(
         "doc_id", "template", "best.containment", (-F.col("best.back")).cast("bigint").alias("word")

@@ -214,8 +214,8 @@ def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge, useful: str
     """key and spans: for each document the verdicts of its contexts, as structs of part, first and verdict.
 
     ``judge`` gets the different contexts of some groups, how often each occurs, the least id of each (None: no id) and
-    the groups' first places; it returns a verdict of SQL type ``verdict``, or None, for each context. ``useful`` says of a verdict
-    and a document's key whether it says anything to the document.
+    the groups' first places; it returns a verdict of SQL type ``verdict``, or None, for each context. ``useful`` says
+    of a verdict and a document's key whether it says anything to the document.
     """
     spark = table.sparkSession
     found = written(contexts(table, unit), "contexts")

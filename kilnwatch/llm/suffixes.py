@@ -410,7 +410,8 @@ def judge(contexts: list[bytes], counts: list[int], least: list[int], edges: np.
     # A run ends with its context, as the last windows of a context are followed by suffixes without one.
     doc = np.searchsorted(begins, firsts, side="right") - 1
     out: list = [None] * len(contexts)
-    for number, first, last in zip(doc.tolist(), (firsts - begins[doc]).tolist(), (lasts - begins[doc]).tolist(), strict=True):
+    runs = np.stack([doc, firsts - begins[doc], lasts - begins[doc]], axis=1)
+    for number, first, last in runs.tolist():
         out[number] = [*(out[number] or ()), first, last]
     return out
 

@@ -200,13 +200,12 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES)
     spark = pages.sparkSession
     payloads = with_payloads(pages)
     shard, shards = shard_of(payloads)
-    none = F.lit(None)
     # A row without text stands before the page that it marks as a revisit: the texts are moved once, by shard.
     marks = revisits(payloads)
-    both = payloads.select(shard.alias("shard"), "page_id", "digest", "url", "html", none.cast("bigint").alias("refers_to")).unionByName(
-        marks.select(
-            shard.alias("shard"), "page_id", "digest", none.cast("string").alias("url"), none.cast("string").alias("html"), "refers_to"
-        )
+    columns = {"url": "string", "html": "string", "refers_to": "bigint"}
+    missing = {name: F.lit(None).cast(kind).alias(name) for name, kind in columns.items()}
+    both = payloads.select(shard.alias("shard"), "page_id", "digest", "url", "html", missing["refers_to"]).unionByName(
+        marks.select(shard.alias("shard"), "page_id", "digest", missing["url"], missing["html"], "refers_to")
     )
     ordered = both.repartition(shards, "shard").sortWithinPartitions(
         "shard", "page_id", "digest", F.col("refers_to").desc_nulls_last(), "url"
