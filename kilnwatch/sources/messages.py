@@ -31,6 +31,18 @@ WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 NUMBER = r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?(Infinity|INF))\s*$"
 
 
+#: Partitions that the order of arrival tells apart.
+MOST_PARTITIONS = 1 << 12
+
+
+def topic_arrival() -> Column:
+    """One number per message of a topic: offsets count per partition, so the partition settles ties."""
+    partition = F.when(F.col("partition") < MOST_PARTITIONS, F.col("partition")).otherwise(
+        F.raise_error(F.lit(f"a topic may have at most {MOST_PARTITIONS} partitions"))
+    )
+    return F.col("offset") * F.lit(MOST_PARTITIONS) + partition
+
+
 def read_topic(spark: SparkSession, options: JobOptions = JobOptions()) -> DataFrame:
     """A1: the batch topic as a stream of ``value, arrival_seq`` rows.
 
@@ -47,7 +59,7 @@ def read_topic(spark: SparkSession, options: JobOptions = JobOptions()) -> DataF
     if options.max_messages_per_trigger:
         topic = topic.option("maxOffsetsPerTrigger", options.max_messages_per_trigger)
     return topic.load().select(
-        F.col("value").cast("string").alias("value"), F.col("offset").alias("arrival_seq")
+        F.col("value").cast("string").alias("value"), topic_arrival().alias("arrival_seq")
     )
 
 

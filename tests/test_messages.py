@@ -14,6 +14,7 @@ from kilnwatch.sources.messages import (
     count_messages,
     parse_messages,
     poison_messages,
+    topic_arrival,
     valid_batches,
 )
 from kilnwatch.streaming.jobs import readings_of
@@ -108,6 +109,15 @@ def test_poison_is_set_aside_and_counted(spark):
     assert count_messages(parsed).columns == parsed.columns
 
 
+def test_arrival_of_two_partitions(spark):
+    rows = [(offset, partition) for offset in (0, 1, 7) for partition in (0, 1)]
+    table = spark.createDataFrame(rows, "offset bigint, partition int")
+    arrived = [r[0] for r in table.select(topic_arrival()).collect()]
+    assert sorted(set(arrived)) == arrived
+    with pytest.raises(Exception, match="partitions"):
+        spark.createDataFrame([(0, 4096)], "offset bigint, partition int").select(topic_arrival()).collect()
+
+
 def batches(spark, *rows):
     return spark.createDataFrame([(row, i) for i, row in enumerate(rows)],
                                  "batch " + BATCH.simpleString() + ", arrival_seq long")
