@@ -50,6 +50,11 @@ NAMES = (
 )
 ASSIGNED = re.compile(rf"{NAMES}[\"']?\s*(?::=|[:=]|=>)\s*[\"'`]?([^\s\"'`,;|]{{6,}})", re.I)
 RUN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/=~\-]{14,}")
+#: What a run is cut to where it holds '=' between others: the name before it is not part of the value.
+PART = re.compile(
+    r"[A-Za-z0-9](?:[A-Za-z0-9_+/~\-]{14,}(?:={1,2}(?![A-Za-z0-9_+/=~\-]))?"
+    r"|[A-Za-z0-9_+/~\-]{12,13}==(?![A-Za-z0-9_+/=~\-])|[A-Za-z0-9_+/~\-]{13}=(?![A-Za-z0-9_+/=~\-]))"
+)
 SECRET_WORDS = frozenset(
     "token secret password passwd pwd passphrase key apikey auth credential credentials bearer private access".split()
 )
@@ -119,23 +124,27 @@ class Candidate:
     assigned: bool
 
 
+def _runs(text: str, start: int, end: int) -> Iterator[Candidate]:
+    """Runs between two places; of ``name=value`` the parts that are long enough alone, else the whole."""
+    for m in RUN.finditer(text, start, end):
+        parts = list(PART.finditer(text, m.start(), m.end())) if "=" in m[0] else []
+        for part in parts or [m]:
+            value = part[0].rstrip("-_/")
+            # A plain word, in one case or with a capital first letter, is none.
+            if not value.isalpha() or not (value[1:].islower() or value.isupper()):
+                yield Candidate(part.start(), value, False)
+
+
 def candidates(text: str) -> list[Candidate]:
-    """Values that may be secrets, in order and without overlaps; assigned values come first."""
-    assigned = ASSIGNED.finditer(text) if "=" in text or ":" in text else ()
-    found = [Candidate(m.start(1), m[1].rstrip(".)]}>"), True) for m in assigned]
-    taken = {c.start for c in found}
-    for m in RUN.finditer(text):
-        value = m[0].rstrip("-_/")
-        # A plain word, in one case or with a capital first letter, is none.
-        if value.isalpha() and (value[1:].islower() or value.isupper()):
-            continue
-        if m.start() not in taken:
-            found.append(Candidate(m.start(), value, False))
-    found.sort(key=lambda c: (c.start, -len(c.value)))
+    """Values that may be secrets, in order and without overlaps: assigned values, and runs in the text between them."""
     out: list[Candidate] = []
-    for c in found:
-        if c.value and (not out or c.start >= out[-1].start + len(out[-1].value)):
-            out.append(c)
+    at = 0
+    for m in ASSIGNED.finditer(text) if "=" in text or ":" in text else ():
+        if value := m[1].rstrip(".)]}>"):
+            out += _runs(text, at, m.start())
+            out.append(Candidate(m.start(1), value, True))
+            at = m.start(1) + len(value)
+    out += _runs(text, at, len(text))
     return out
 
 
@@ -231,11 +240,13 @@ def generated_findings(count: int, seed: int = 11) -> list[tuple[str, str, str,
 
 
 def generated_rows(language: Language, count: int, seed: int = 11) -> list[list[float]]:
+    """Features and label of what is proposed in made-up findings: the same candidates as in any text."""
     rows = []
     for text, value, path, secret in generated_findings(count, seed):
         start = text.index(value)
-        assigned = any(m.start(1) == start for m in ASSIGNED.finditer(text))
-        rows.append([*features(text, Candidate(start, value, assigned), path, language), secret])
+        for c in candidates(text):
+            held = c.start < start + len(value) and start < c.start + len(c.value)
+            rows.append([*features(text, c, path, language), secret if held else 0.0])
     return rows
 
 

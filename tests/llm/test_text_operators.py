@@ -101,6 +101,33 @@ def test_forest_on_held_out_findings(documents):
     assert right >= 0.97 * len(rows)
 
 
+@pytest.mark.parametrize(
+    ("text", "name", "assigned"),
+    [
+        ("API_TOKEN=4d44c7a1b2e3f4a5b6c7", "API_TOKEN=", True),
+        ("run password=hunter2hunter2", "run password=", True),
+        ("MY_PRODUCTION_CLIENT_SECRET=zX81kk20QpLm77ab", "MY_PRODUCTION_CLIENT_SECRET=", True),
+        ("key=4d44c7a1b2e3f4a5b6c7", "key=", False),
+        ("some_long_setting_name=b3BlbnNlc2FtZTEyMzQ1Ng==", "some_long_setting_name=", False),
+    ],
+)
+def test_value_of_unspaced_assignment(text, name, assigned):
+    found = secret_scan.candidates(text)
+    assert (found[-1].start, found[-1].value, found[-1].assigned) == (len(name), text[len(name) :], assigned)
+    for a, b in zip(found, found[1:], strict=False):
+        assert a.start + len(a.value) <= b.start
+
+
+def test_runs_beside_assignments_stay():
+    key = "9f8e7d6c5b4a39281706"
+    text = f"{key} token={key} {key}/password=hunter2 ab=cd=ef=gh=ij=kl"
+    places = [(c.start, c.value) for c in secret_scan.candidates(text)]
+    first = len(key) + 7
+    second = first + len(key) + 1
+    after = second + len(key) + 10
+    assert places == [(0, key), (first, key), (second, key), (after, "hunter2"), (after + 8, "ab=cd=ef=gh=ij=kl")]
+
+
 def test_secrets_found_and_replaced(documents):
     key = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e"
     rows = [
