@@ -4,10 +4,11 @@ Wide patterns propose candidates in the whole text: values after an assignment t
 ``password``, and long runs of letters, digits and symbols that are no plain word. A forest then decides by length,
 character transitions, dictionary coverage, the document's path and the neighbouring words.
 
-The forest is fitted on labelled findings: ``GENERATED`` made-up ones whose kind is known (keys and passwords against
-checksums, identifiers, placeholders, file names), and the candidates of at most ``SAMPLE_DOCS`` documents, labelled by
-whether a name of a secret is assigned there. Character transitions and the dictionary are counted on the same sample
-and belong to the classifier. The sample is the documents whose ids hash lowest. Everything else sees all documents.
+Character transitions and the dictionary are counted over all documents. The forest is fitted on labelled findings:
+``GENERATED`` made-up ones whose kind is known (keys and passwords against checksums, identifiers, placeholders, file
+names), and at most ``SAMPLE_ROWS`` candidates of at most ``SAMPLE_DOCS`` documents, those whose ids hash lowest. Of
+these, values assigned to a name of a secret count as secrets and placeholders or values after a harmless word alone as
+none; bare values tell nothing and get no label. Everything else sees all documents.
 
 Defined results: null and empty texts have no findings; a null path counts as unknown; repeated rows give equal rows;
 an empty table gives an empty result (the forest is then fitted on made-up findings alone); extra columns are ignored by
@@ -32,10 +33,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwatch.llm.tables import as_bytes, map_texts, pieces
+from kilnwatch.llm.tables import _arrow_schema, as_bytes, map_texts, pieces, written
 from kilnwatch.session import shared_folder
 
 SAMPLE_DOCS = 1000
+#: Labelled candidates of the sample that come to the driver.
+SAMPLE_ROWS = 20000
+#: Words of the dictionary, and different words that a task counts before it hands them on.
+USUAL_WORDS = 4000
+COUNTED = 1 << 17
 GENERATED = 6000
 TREES = 24
 DEPTH = 8
@@ -80,20 +86,16 @@ class Language:
     words: frozenset[str]
 
     @classmethod
-    def of(cls, texts: list[str]) -> Language:
-        words: Counter[str] = Counter()
-        for text in texts:
-            words.update(LETTERS.findall(text.lower()))
-        pairs: Counter[str] = Counter()
-        for word, count in words.items():
-            for a, b in zip(word, word[1:], strict=False):
-                pairs[a + b] += count
+    def of(cls, docs: DataFrame) -> Language:
+        """Counted over all texts; at most ``USUAL_WORDS`` words and all pairs of letters come to the driver."""
+        counted = written(word_counts(docs).groupBy("term").agg(F.sum("n").alias("n")), "language")
+        pairs = dict(counted.where(F.length("term") == 2).collect())
+        usual = counted.where(F.length("term") > 2).orderBy(F.desc("n"), "term").limit(USUAL_WORDS).collect()
         firsts: Counter[str] = Counter()
         for pair, count in pairs.items():
             firsts[pair[0]] += count
         bits = {pair: -math.log2(count / firsts[pair[0]]) for pair, count in pairs.items()}
-        usual = [w for w, _ in words.most_common(4000)] + [*SECRET_WORDS, *HARMLESS_WORDS]
-        return cls(bits, frozenset(usual))
+        return cls(bits, frozenset([word for word, _ in usual] + [*SECRET_WORDS, *HARMLESS_WORDS]))
 
     def transition_bits(self, value: str) -> float:
         """Mean bits of the transitions of a value; those never met count as 10."""
@@ -117,6 +119,35 @@ class Language:
         return covered / max(1, len(low))
 
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """term and n: words, and pairs of letters within them, with the times that tasks have met them."""
+    schema = _arrow_schema(docs.sparkSession, "term string, n bigint")
+
+    def counted(words: Counter[str]) -> pa.RecordBatch:
+        pairs: Counter[str] = Counter()
+        for word, count in words.items():
+            for a, b in zip(word, word[1:], strict=False):
+                pairs[a + b] += count
+        terms = [*words.items(), *pairs.items()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*terms, strict=True), schema, strict=True)], schema=schema
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter[str] = Counter()
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                for text in as_bytes(piece, "text"):
+                    words.update(LETTERS.findall(text.decode().lower()))
+                if len(words) > COUNTED:
+                    yield counted(words)
+                    words.clear()
+        if words:
+            yield counted(words)
+
+    return docs.select("text").mapInArrow(run, "term string, n bigint")
+
+
 @dataclass(slots=True)
 class Candidate:
     start: int
@@ -281,19 +312,49 @@ class Forest:
         return [(c, float(s)) for c, s in zip(found, scores, strict=True) if s >= THRESHOLD]
 
 
-def fit(docs: DataFrame) -> Forest:
-    """The forest, from made-up findings and those of a bounded sample of documents."""
-    spark = docs.sparkSession
+def label(c: Candidate, row: list[float]) -> float | None:
+    """What a candidate in a document and its features tell of it; None: nothing."""
+    told = dict(zip(FEATURES, row, strict=True))
+    if told["placeholder"]:
+        return 0.0
+    if told["harmless_words"] and not told["secret_words"]:
+        return 0.0
+    return 1.0 if c.assigned else None
+
+
+def labelled(docs: DataFrame, language: Language) -> list[list[float]]:
+    """Features and label of candidates in a bounded sample of documents."""
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
     chosen = [r[0] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()]
-    # Repeated ids do not widen the sample.
-    sample = docs.where(F.col("doc_id").isin(chosen)).select("doc_id", "text", "source").dropDuplicates(["doc_id"])
-    sampled = sorted((r[0], r[1] or "", r[2]) for r in sample.collect()) if chosen else []
-    language = Language.of([text for _, text, _ in sampled])
-    rows = generated_rows(language, GENERATED)
-    for _, text, path in sampled:
-        rows += [[*features(text, c, path, language), float(c.assigned)] for c in candidates(text)]
-    return Forest(_trees(spark, rows), language)
+    if not chosen:
+        return []
+    known = docs.sparkSession.sparkContext.broadcast(language)
+
+    def work(batch, texts):
+        out: dict[str, list] = {"doc_id": [], "start": [], "row": []}
+        for doc, path, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts, strict=True):
+            decoded = text.decode()
+            for c in candidates(decoded):
+                row = features(decoded, c, path, known.value)
+                told = label(c, row)
+                if told is not None:
+                    out["doc_id"].append(doc)
+                    out["start"].append(c.start)
+                    out["row"].append([*row, told])
+        return out
+
+    sample = docs.where(F.col("doc_id").isin(chosen)).select("doc_id", "text", "source")
+    # Repeated rows do not widen the sample.
+    rows = map_texts(sample, "text", "doc_id bigint, start bigint, row array<double>", work).distinct()
+    first = rows.orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "row").limit(SAMPLE_ROWS)
+    return [list(r["row"]) for r in first.collect()]
+
+
+def fit(docs: DataFrame) -> Forest:
+    """The forest, from made-up findings and labelled ones of a bounded sample; its language from all documents."""
+    language = Language.of(docs)
+    rows = generated_rows(language, GENERATED) + labelled(docs, language)
+    return Forest(_trees(docs.sparkSession, rows), language)
 
 
 def _trees(spark: SparkSession, rows: list[list[float]]) -> list[tuple]:

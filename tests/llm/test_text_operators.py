@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -128,6 +129,29 @@ def test_runs_beside_assignments_stay():
     assert places == [(0, key), (first, key), (second, key), (after, "hunter2"), (after + 8, "ab=cd=ef=gh=ij=kl")]
 
 
+def test_language_covers_all_documents(documents, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SAMPLE_DOCS", 2)
+    monkeypatch.setattr(secret_scan, "COUNTED", 5)
+    rows = [*((key, f"Common WORDS number w{key:03d} qz") for key in range(60)), (None, "zyxzyx zyxzyx"), (3, None)]
+    language = secret_scan.fit(documents([*rows, (70, "rarely " * 3)])).language
+    words = Counter("common words number".split() * 60 + ["zyxzyx"] * 2 + ["rarely"] * 3)
+    assert words.keys() <= language.words
+    pairs = Counter(a + b for word, n in words.items() for a, b in zip(word, word[1:], strict=False) for _ in range(n))
+    firsts = Counter(pair[0] for pair in pairs.elements())
+    assert language.bits == {pair: -math.log2(n / firsts[pair[0]]) for pair, n in pairs.items()}
+
+
+def test_bare_keys_get_no_label():
+    language = secret_scan.Language({}, frozenset())
+
+    def told(text):
+        (found,) = secret_scan.candidates(text)
+        return secret_scan.label(found, secret_scan.features(text, found, "src0", language))
+
+    key = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e"
+    assert [told(t) for t in (key, f"token={key}", f"commit {key}", "token=your_token_here")] == [None, 1.0, 0.0, 0.0]
+
+
 def test_secrets_found_and_replaced(documents):
     key = "4d44c79e8bf7c55759c4958dd60ed83d2ef8cd4e"
     rows = [
