@@ -4,9 +4,11 @@ Each text is a set of shingles of five words; texts of fewer words are one shing
 represented by one of them. A set is embedded as ``LANES`` MinHash coordinates. Each of ``RUNS`` independent runs starts
 with all sets in one bucket and splits it on sampled coordinates, the tokens that similar sets share: a coordinate is
 taken with probability 1 / (0.8 LANES), by a hash of the path that led to the bucket, so that all its sets choose alike.
-Buckets of at most ``LEAF`` sets are compared by brute force; larger ones are split again. Two sets at similarity 0.8
-meet in a run with probability 0.63 after one split; ``RUNS`` is the number of runs that misses less than ``MISSED`` of
-them. Buckets still large after ``DEPTH`` splits are cut into random blocks of ``LEAF``, anew in each run.
+Buckets of at most ``LEAF`` sets are compared by brute force; larger ones are split again, with ``AGAIN`` times the
+coordinates, so that two similar sets do not part more and more often the deeper the split. Two sets at similarity 0.8
+meet in a run with probability 0.63 after one split and 0.55 after ``DEPTH``; ``RUNS`` is the number of runs that misses
+less than ``MISSED`` of them at any depth. Sets whose buckets are still large after ``DEPTH`` splits form crowds, the
+components of such buckets; all pairs of a crowd are compared once, as pairs of blocks.
 
 What buckets yield are trees of similar sets, whose components hold all links. Inside a component the exact Jaccard
 similarity of all pairs is computed once, as products of incidence matrices; components beyond ``BLOCK`` sets or
@@ -37,14 +39,36 @@ SHINGLE = 5
 SIMILARITY = 0.8
 LANES = 64
 MISSED = 1e-6
-RUNS = math.ceil(math.log(MISSED) / math.log(math.exp(-1)))
 DEPTH = 4
+#: Coordinates taken in a further split, as a multiple of those in the first.
+AGAIN = 2
 LEAF = 256
 #: Estimated similarity from which two sets are candidates: 4.5 standard errors of 64 coordinates below 0.8.
 CANDIDATE = 0.575
 BLOCK = 2048
 BLOCK_SHINGLES = 4 << 20
 
+
+
+def survival(agreeing: int) -> float:
+    """Least chance that two sets with so many equal coordinates share a bucket after 1 to DEPTH splits of a run."""
+    below = 1.0
+    for depth in reversed(range(DEPTH)):
+        taken = (AGAIN if depth else 1) / (SIMILARITY * LANES)
+        below = 1 - (1 - taken * below) ** agreeing
+    return below
+
+
+def missed(runs: int) -> float:
+    """Share of the pairs at SIMILARITY that do not meet in so many runs; their equal coordinates vary."""
+    return sum(
+        math.comb(LANES, n) * SIMILARITY**n * (1 - SIMILARITY) ** (LANES - n) * (1 - survival(n)) ** runs
+        for n in range(LANES + 1)
+    )
+
+
+RUNS = next(runs for runs in range(1, 1000) if missed(runs) < MISSED)
+
 SIGNED = "doc_id bigint, k1 bigint, k2 bigint, n bigint, lanes binary"
 PATHS = "rep bigint, path bigint, run int"
 
@@ -114,16 +138,16 @@ def signed(docs: DataFrame) -> DataFrame:
     return map_texts(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), "text", SIGNED, work)
 
 
-def chosen(paths: np.ndarray) -> np.ndarray:
+def chosen(paths: np.ndarray, times: int) -> np.ndarray:
     """Which coordinates a bucket splits on, by its path: a row of LANES for each path."""
     lanes = np.arange(LANES, dtype=np.uint64)
     drawn = mix(mix(paths)[:, None] ^ (lanes + np.uint64(1)) * STEP) >> np.uint64(11)
-    return drawn < np.uint64((1 << 53) / (SIMILARITY * LANES))
+    return drawn < np.uint64((1 << 53) * times / (SIMILARITY * LANES))
 
 
-def children(reps: np.ndarray, paths: np.ndarray, runs: np.ndarray, lanes: np.ndarray):
+def children(reps: np.ndarray, paths: np.ndarray, runs: np.ndarray, lanes: np.ndarray, times: int):
     """The buckets that sets go to from theirs."""
-    row, lane = np.nonzero(chosen(paths))
+    row, lane = np.nonzero(chosen(paths, times))
     below = mix(mix(paths[row] + np.uint64(1)) ^ mix((lane.astype(np.uint64) << np.uint64(32)) | lanes[row, lane]))
     return reps[row], below, runs[row]
 
@@ -150,7 +174,9 @@ def _split(rows: DataFrame, first: bool) -> DataFrame:
                 runs = batch.column("run").to_numpy()
             for at in range(0, len(reps), 1 << 15):
                 part = slice(at, at + (1 << 15))
-                rep, path, number = children(reps[part], paths[part], runs[part], lanes[part])
+                rep, path, number = children(
+                    reps[part], paths[part], runs[part], lanes[part], 1 if first else AGAIN
+                )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rep), pa.array(path.view(np.int64)), pa.array(number, pa.int32())], schema=schema
                 )
@@ -158,24 +184,21 @@ def _split(rows: DataFrame, first: bool) -> DataFrame:
     return rows.mapInArrow(run, PATHS)
 
 
-def leaves(sets: DataFrame) -> DataFrame:
-    """rep and leaf: the buckets in which sets are compared."""
+def leaves(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """rep and leaf: the buckets in which sets are compared; and u, v: stars of the buckets that stay large."""
     level = written(_split(sets.select("rep", "lanes"), True), "paths")
     found = None
     for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("path").count().where("count > 1")
+        sizes = level.groupBy("path").agg(F.count("*").alias("count"), F.min("rep").alias("first")).where("count > 1")
         sized = level.join(sizes, "path")
         small = sized.where(F.col("count") <= LEAF).select("rep", F.col("path").alias("leaf"))
         found = small if found is None else found.union(small)
-        large = written(sized.where(F.col("count") > LEAF).select("rep", "path", "run", "count"), "large")
+        large = written(sized.where(F.col("count") > LEAF).select("rep", "path", "run", "first"), "large")
         if large.isEmpty():
-            return found
+            return found, None
         if depth < DEPTH:
             level = written(_split(large.join(sets.select("rep", "lanes"), "rep"), False), "paths")
-    # Sets that no split keeps apart are alike, or many. Blocks overlap by chance in each run and path.
-    blocks = F.ceil(F.col("count") / (LEAF // 2))
-    block = F.pmod(F.xxhash64("rep", "run", "path"), blocks)
-    return found.union(large.select("rep", F.xxhash64("path", block).alias("leaf")))
+    return found, large.select(F.col("rep").alias("u"), F.col("first").alias("v"))
 
 
 def forest(similar: np.ndarray) -> list[tuple[int, int]]:
@@ -196,9 +219,57 @@ def forest(similar: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _alike(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which pairs of sets have an estimated similarity of CANDIDATE, from their coordinates."""
+    equal = np.zeros((len(own), len(other)), np.uint8)
+    for lane in range(LANES):
+        equal += own[:, lane, None] == other[None, :, lane]
+    return equal >= CANDIDATE * LANES
+
+
+def crowd_links(sets: DataFrame, stars: DataFrame) -> DataFrame:
+    """u, v: trees of the candidates inside the components of large buckets; every pair of a crowd is compared."""
+    crowds = components(stars, "crowds").withColumnRenamed("node", "rep")
+    sizes = crowds.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = (
+        crowds.join(sizes, "component")
+        .join(sets.select("rep", "lanes"), "rep")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .select(
+            "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep",
+            "lanes",
+        )
+    )
+    schema = _arrow_schema(sets.sparkSession, "u bigint, v bigint")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in whole_groups(batches, ["component", "i", "j"], 1024):
+            for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                group = table.slice(first, last - first)
+                reps, blocks = group.column("rep").to_numpy(), group.column("block").to_numpy()
+                lanes = _lanes(group.column("lanes")).astype(np.uint16)
+                i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+                own, other = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
+                alike = _alike(lanes[own], lanes[other])
+                if i != j:
+                    both = np.zeros((len(own) + len(other),) * 2, bool)
+                    both[: len(own), len(own) :] = alike
+                    both[len(own) :, : len(own)] = alike.T
+                    alike, own = both, np.concatenate([own, other])
+                if trees := forest(alike):
+                    u, v = np.array(trees).T
+                    yield pa.RecordBatch.from_arrays([pa.array(reps[own[u]]), pa.array(reps[own[v]])], schema=schema)
+
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = rows.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "rep")
+    return grouped.mapInArrow(run, "u bigint, v bigint")
+
+
 def candidate_links(sets: DataFrame) -> DataFrame:
-    """u, v: trees of the sets whose estimated similarity reaches CANDIDATE, from all leaves."""
-    rows = leaves(sets).join(sets.select("rep", "lanes"), "rep")
+    """u, v: trees of the sets whose estimated similarity reaches CANDIDATE, from all leaves and crowds."""
+    small, stars = leaves(sets)
+    rows = small.join(sets.select("rep", "lanes"), "rep")
     schema = _arrow_schema(sets.sparkSession, "u bigint, v bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,16 +285,14 @@ def candidate_links(sets: DataFrame) -> DataFrame:
                         pairs.append((first, first + 1))
                     continue
                 own = lanes[first:last]
-                equal = np.zeros((last - first, last - first), np.uint8)
-                for lane in range(LANES):
-                    equal += own[:, lane, None] == own[None, :, lane]
-                pairs += [(first + a, first + b) for a, b in forest(equal >= CANDIDATE * LANES)]
+                pairs += [(first + a, first + b) for a, b in forest(_alike(own, own))]
             if pairs:
                 u, v = np.array(pairs).T
                 yield pa.RecordBatch.from_arrays([pa.array(reps[u]), pa.array(reps[v])], schema=schema)
 
     compared = rows.select("leaf", "rep", "lanes").repartition("leaf").sortWithinPartitions("leaf", "rep")
-    return compared.mapInArrow(run, "u bigint, v bigint").distinct()
+    links = compared.mapInArrow(run, "u bigint, v bigint")
+    return (links if stars is None else links.union(crowd_links(sets, stars))).distinct()
 
 
 def intersections(values: np.ndarray, bounds: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:

@@ -84,6 +84,33 @@ def test_large_groups_are_split_and_dealt_as_blocks(documents, monkeypatch):
     assert found == plain_classes(rows)
 
 
+def test_pairs_inside_large_buckets_meet(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAF", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = random.Random(12)
+    template, rows = prose(rng, 70), []
+    for number in range(60):
+        body = f"{template} {prose(rng, 50)}"
+        rows += [(2 * number, body), (2 * number + 1, f"{body} {prose(rng, 12)}")]
+    want = plain_classes(rows)
+    assert sorted(want) == [(key, key // 2 * 2, 1) for key in range(120)]
+    assert Counter(map(tuple, jaccard.jaccard_classes(documents(rows)).collect())) == want
+
+
+def test_runs_cover_all_splits():
+    # A pair at 0.8 in buckets that are split DEPTH times, drawn from the chosen coordinates themselves.
+    rng = np.random.default_rng(3)
+    met = 0
+    for trial in range(2000):
+        equal = rng.random(jaccard.LANES) < jaccard.SIMILARITY
+        paths = rng.integers(0, 1 << 63, 1, np.uint64)
+        for depth in range(jaccard.DEPTH):
+            _, lane = np.nonzero(jaccard.chosen(paths, jaccard.AGAIN if depth else 1) & equal)
+            paths = rng.integers(0, 1 << 63, len(lane), np.uint64)
+        met += len(paths) > 0
+    assert (1 - met / 2000 - 0.04) ** jaccard.RUNS < jaccard.MISSED and jaccard.missed(jaccard.RUNS) < jaccard.MISSED
+
+
 def test_repeated_ids_join_their_classes(documents):
     a, b = prose(random.Random(1), 50), prose(random.Random(2), 50)
     rows = [(1, a), (1, b), (2, a), (3, b), (4, "alone " + prose(random.Random(3), 40))]
