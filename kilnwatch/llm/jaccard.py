@@ -28,12 +28,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kilnwatch.llm.components import components
 from kilnwatch.llm.hashing import STEP, WHITE, Words, mix
-from kilnwatch.llm.tables import _arrow_schema, as_bytes, map_texts, whole_groups, written
+from kilnwatch.llm.tables import _arrow_schema, as_bytes, map_texts, pieces, whole_groups, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -345,19 +346,8 @@ def _verify(rows: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 group = table.slice(first, last - first)
-                texts = {}
-                # Rows of an id that repeats: the keys tell which text belongs to the set, and copies are one.
-                for row, (rep, k1, text) in enumerate(
-                    zip(*(group.column(c).to_pylist() for c in ("rep", "k1", "packed")), strict=True)
-                ):
-                    texts.setdefault((rep, k1, text), row)
-                rows_kept = np.array(list(texts.values()))
-                values, bounds = shingle_sets([opener.decompress(text) for _, _, text in texts])
-                own_keys = np.zeros(len(rows_kept), np.int64)
-                own_keys[np.diff(bounds) > 0] = keys(values, bounds)[0]
-                right = own_keys == group.column("k1").to_numpy()[rows_kept]
-                reps, weights, blocks = (group.column(c).to_numpy()[rows_kept] for c in ("rep", "copies", "block"))
-                blocks = np.where(right, blocks, -1)
+                values, bounds = shingle_sets([opener.decompress(text) for text in group.column("packed").to_pylist()])
+                reps, weights, blocks = (group.column(c).to_numpy() for c in ("rep", "copies", "block"))
                 i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
                 own, other = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
                 sizes = np.diff(bounds)
@@ -390,35 +380,53 @@ def _verify(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, VERIFIED)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows that have an id and words, with the keys of their sets as ``set_k1`` and ``set_k2``."""
+    schema = docs.select("*", *(F.lit(None).cast("bigint").alias(k) for k in ("set_k1", "set_k2"))).schema
+    fields = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                values, bounds = shingle_sets(as_bytes(piece, "text"))
+                full = piece.take(pa.array(np.flatnonzero(np.diff(bounds))))
+                if full.num_rows:
+                    k1, k2 = keys(values, bounds)
+                    columns = [c.cast(f.type) for c, f in zip(full.columns, fields, strict=False)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(k1), pa.array(k2)], schema=fields)
+
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, schema)
+
+
 def packed(docs: DataFrame) -> DataFrame:
-    """doc_id and the text under zstandard, which makes the shuffle of texts a third as large."""
-    schema = _arrow_schema(docs.sparkSession, "doc_id bigint, packed binary")
+    """A text of each id and set, under zstandard, which makes the shuffle of texts a third as large."""
+    names = "doc_id bigint, k1 bigint, k2 bigint, packed binary"
+    schema = _arrow_schema(docs.sparkSession, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([packer.compress(t) for t in as_bytes(batch, "text")], pa.binary())],
-                schema=schema,
-            )
+            texts = pa.array([packer.compress(t) for t in as_bytes(batch, "text")], pa.binary())
+            columns = [batch.column(c) for c in ("doc_id", "set_k1", "set_k2")]
+            yield pa.RecordBatch.from_arrays([*columns, texts], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, packed binary")
+    rows = keyed(docs.select("doc_id", "text")).mapInArrow(run, names)
+    return rows.groupBy("doc_id", "k1", "k2").agg(F.first("packed").alias("packed"))
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id and n_links of each document: links reach a Jaccard similarity of at least 0.8."""
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed rows; and of each set its keys, a number of its class, the class's least id and the links of a row."""
     sets = written(signed(docs), "signed")
-    reps = written(
-        sets.groupBy("k1", "k2").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"),
-            F.min_by("lanes", "doc_id").alias("lanes"),
-        ),
-        "sets",
+    grouped = sets.groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.min_by("lanes", "doc_id").alias("lanes"),
     )
+    # Ids may hold several texts, so sets are numbered by themselves.
+    reps = written(grouped.withColumn("rep", F.monotonically_increasing_id()), "sets")
     near = components(candidate_links(reps), "candidates")
     members = written(
-        near.join(reps.select("rep", "k1", "copies", "n"), F.col("node") == F.col("rep")).select(
-            "rep", "k1", "component", "copies", "n"
+        near.join(reps.select("rep", "least", "k1", "k2", "copies", "n"), F.col("node") == F.col("rep")).select(
+            "rep", "least", "k1", "k2", "component", "copies", "n"
         ),
         "members",
     )
@@ -426,16 +434,16 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
     )
     dealt = members.join(sizes, "component").select(
-        "rep", "k1", "component", "copies", "blocks", F.pmod(F.xxhash64("rep"), "blocks").alias("block")
-    )
-    texts = packed(docs.where("doc_id IS NOT NULL"))
+        "rep", F.col("least").alias("doc_id"), "k1", "k2", "component", "copies", "blocks",
+        F.pmod(F.xxhash64("rep"), "blocks").alias("block"),
+    )
     dealt = (
         # Members grow with the corpus: a plan that broadcasts them while they are few would not last.
-        dealt.hint("merge").join(texts, F.col("rep") == F.col("doc_id"))
+        dealt.hint("merge").join(packed(docs), ["doc_id", "k1", "k2"])
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .select(
             "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-            "rep", "k1", "copies", "block", "packed",
+            "rep", "copies", "block", "packed",
         )
     )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -443,26 +451,49 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     checked = written(_verify(grouped), "verified")
     linked = checked.where("rep IS NOT NULL").groupBy("rep").agg(F.sum("linked").alias("linked"))
     classes = components(checked.where("u IS NOT NULL").select("u", "v"), "classes")
-    known = (
-        reps.select("k1", "k2", "rep", "copies")
+    numbered = (
+        reps.select("k1", "k2", "rep", "least", "copies")
         .join(linked, "rep", "left")
         .join(classes.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
-            "k1", "k2", F.coalesce("component", "rep").alias("class_id"),
+            "k1", "k2", "least", F.coalesce("component", "rep").alias("class"),
             (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         )
     )
+    firsts = numbered.groupBy("class").agg(F.min("least").alias("class_id"))
+    return sets, numbered.join(firsts, "class").select("k1", "k2", "class", "class_id", "n_links")
+
+
+def _alone(docs: DataFrame) -> DataFrame:
+    """Rows without words or without an id."""
+    return docs.where(F.col("doc_id").isNull() | ~F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0B\f\r]"))
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id and n_links of each document: links reach a Jaccard similarity of at least 0.8."""
+    sets, known = _classified(docs)
     found = sets.select("doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
-    # Rows without words or without an id are alone.
-    words = F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
-    none = F.lit(0).cast("bigint")
-    alone = docs.where(F.col("doc_id").isNull() | ~words).select(
-        "doc_id", F.col("doc_id").alias("class_id"), none.alias("n_links")
-    )
+    alone = _alone(docs).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
     return found.union(alone)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the least of their class, with all their columns."""
-    gone = jaccard_classes(docs).where("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class, with all its columns; rows without words or without an id stay.
+
+    It is a row of the class's least id; where several rows of the class have it, the one of the least set and then
+    the least in the order of the columns.
+    """
+    sets, known = _classified(docs)
+    names = docs.columns
+    kept = (
+        known.join(sets.select("doc_id", "k1", "k2"), ["k1", "k2"])
+        .where("doc_id = class_id")
+        .groupBy("class", "doc_id")
+        .agg(F.min(F.struct(F.col("k1").alias("set_k1"), F.col("k2").alias("set_k2"))).alias("set"))
+        .select("doc_id", "set.*")
+    )
+    keys_of_rows = ["doc_id", "set_k1", "set_k2"]
+    order = Window.partitionBy(*keys_of_rows).orderBy("text", *(c for c in names if c not in ("doc_id", "text")))
+    place = F.row_number().over(order)
+    single = keyed(docs).withColumn("set_place", place).where("set_place = 1").join(kept, keys_of_rows, "left_semi")
+    return single.select(*names).union(_alone(docs))

@@ -126,6 +126,16 @@ def test_one_of_each_stays(documents):
     assert jaccard.jaccard_classes(documents([])).collect() == []
 
 
+def test_rows_of_repeated_ids_are_judged_by_text(documents):
+    rng = random.Random(21)
+    x, y, z = (prose(rng, 50) for _ in range(3))
+    rows = [(1, x), (3, x), (3, y), (5, z), (5, z), (6, z), (5, f"{z} "), (5, None), (5, None)]
+    found = Counter(map(tuple, jaccard.jaccard_classes(documents(rows)).collect()))
+    assert found == plain_classes(rows)
+    kept = Counter((r["doc_id"], r["text"]) for r in jaccard.one_of_each(documents(rows)).collect())
+    assert kept == Counter([(1, x), (3, y), (5, z), (5, None), (5, None)])
+
+
 def test_intersections():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 50, rng.integers(1, 30)).astype(np.uint64)) for _ in range(9)]
