@@ -1,7 +1,8 @@
 """What the two operators on repeated strings share: candidates by anchors, exact judgement by group, spans by document.
 
-1. Texts are packed and dealt out by document once; the dealt table is kept by Spark (it is recomputed if an executor is
-   lost), so that later joins by document move no text.
+1. Texts are packed and dealt out once, by a hash of id and text, so that the rows of one id, or without one, spread;
+   equal rows become one with a number of copies. The dealt table is kept by Spark (it is recomputed if an executor is
+   lost), so that later joins by row move no text.
 2. Anchors of all windows are counted; those that occur once are dropped. Both steps work on narrow rows, with partial
    counts before the shuffle.
 3. The windows around a repeated anchor, its context, are cut out and grouped by the anchor's hash. Equal contexts are
@@ -32,11 +33,12 @@ HOT = 1 << 15
 PART_BYTES = 24 << 20
 NO_ID = -(1 << 63)
 
-#: ``place`` holds the number among equal ids, the first window and the number of further ones: 24, 31 and 8 bits.
-ANCHORS = "key bigint, place bigint, h bigint"
-#: An occurrence (key, part, first) of a context, or the context itself with how often the task met it and the least id.
-CONTEXTS = "h bigint, c bigint, key bigint, part int, first int, context binary, n bigint, least bigint"
-WINDOWS = "key bigint, part int, first int, h bigint, context binary"
+#: ``place`` holds further bits of the row's hash, the first window and the number of further ones: 24, 31 and 8 bits.
+ANCHORS = "row bigint, place bigint, h bigint"
+#: An occurrence (row, key, part, first) of a context with the row's copies, or the context itself with how often the
+#: task met it and the least id.
+CONTEXTS = "h bigint, c bigint, row bigint, key bigint, part int, first int, context binary, n bigint, least bigint"
+WINDOWS = "row bigint, key bigint, part int, first int, n bigint, h bigint, context binary"
 #: Different contexts that a task holds before it hands them on.
 COMBINED = 1 << 15
 
@@ -59,9 +61,10 @@ class Unit:
 
 
 def dealt(docs: DataFrame) -> DataFrame:
-    """key, part, size, packed: the texts under zstandard, dealt by document; ``part`` numbers those of one id."""
+    """row, part, key, size, packed, copies: the texts under zstandard; ``row`` and ``part`` are hashes of id and text."""
     spark = docs.sparkSession
-    schema = _arrow_schema(spark, "key bigint, size bigint, packed binary")
+    names = "row bigint, part int, key bigint, size bigint, packed binary"
+    schema = _arrow_schema(spark, names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
@@ -69,24 +72,37 @@ def dealt(docs: DataFrame) -> DataFrame:
             texts = as_bytes(batch, "text")
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *(batch.column(c) for c in ("row", "part", "key")),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([packer.compress(t) for t in texts], pa.binary()),
                 ],
                 schema=schema,
             )
 
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
+    key = F.coalesce("doc_id", F.lit(NO_ID))
+    keyed = docs.select(
+        F.xxhash64(key, "text").alias("row"),
+        F.xxhash64("text", key).bitwiseAND((1 << 24) - 1).cast("int").alias("part"),
+        key.alias("key"),
+        "text",
+    )
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 2 // PART_BYTES + 1)
-    packed = keyed.mapInArrow(pack, "key bigint, size bigint, packed binary")
-    # The window works within the parts that are dealt already.
-    part = F.row_number().over(Window.partitionBy("key").orderBy("packed")) - 1
-    return packed.repartition(parts, "key").withColumn("part", part).persist(StorageLevel.MEMORY_AND_DISK)
+    # The windows work within the parts that are dealt already. A null text counts as an empty one of another row.
+    same = Window.partitionBy("row", "part", "key")
+    return (
+        keyed.mapInArrow(pack, names)
+        .repartition(parts, "row")
+        .withColumn("copies", F.count("*").over(same))
+        .withColumn("place", F.row_number().over(same.orderBy("size")))
+        .where("place = 1")
+        .drop("place")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[list, list[int], list[bytes]]]:
-    """Rows of the dealt table in pieces of bounded text: the columns, the number among equal ids, the texts."""
+    """Rows of the dealt table in pieces of bounded text: the key and columns, the part, the texts."""
     opener = zstandard.ZstdDecompressor()
     rows, numbers, texts, held = [], [], [], 0
     for batch in batches:
@@ -106,45 +122,53 @@ def unpacked(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
 
 
 def anchor_rows(table: DataFrame, unit: Unit) -> DataFrame:
+    """Anchors of each row; those of a row with copies once more without a row, where copies count as another place."""
     schema = _arrow_schema(table.sparkSession, ANCHORS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, numbers, texts in unpacked(batches, []):
+        for rows, numbers, texts in unpacked(batches, ["row", "copies"]):
             grams, ends = unit.grams(texts)
             first, last, hashes = anchors(grams, unit.width, ends, unit.length)
             doc = np.searchsorted(ends, first, side="right")
             begins = np.concatenate([[0], ends])[doc]
-            keys = np.array([key for (key,) in rows], np.int64)
+            owners = np.array([row for _, row, _ in rows], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys[doc]),
+                    pa.array(owners[doc]),
                     pa.array((np.array(numbers)[doc] << 39) | (first - begins) << 8 | (last - first)),
                     pa.array(hashes.view(np.int64)),
                 ],
                 schema=schema,
             )
+            again = np.array([copies > 1 and not unit.across for _, _, copies in rows])[doc]
+            if again.any():
+                count = int(again.sum())
+                empty = [pa.nulls(count, pa.int64())] * 2
+                yield pa.RecordBatch.from_arrays([*empty, pa.array(hashes.view(np.int64)[again])], schema=schema)
 
     return table.mapInArrow(run, ANCHORS)
 
 
 def contexts(table: DataFrame, unit: Unit) -> DataFrame:
-    """key, part, first window, h and context of all runs of windows whose anchor occurs more than once."""
+    """Row, first window, h and context of all runs of windows whose anchor occurs more than once."""
     found = anchor_rows(table, unit)
-    again = F.min("key") < F.max("key") if unit.across else F.count("*") > 1
+    # Rows of one id are told apart by the verdicts.
+    again = F.min("row") < F.max("row") if unit.across else F.count("*") > 1
     # Written, so that the join reads both sides from plain shuffles and Spark can split a hot anchor's rows.
     repeated = written(found.groupBy("h").agg(again.alias("again")).where("again").select("h"), "repeated")
     hits = (
-        found.join(repeated, "h")
-        .groupBy("key")
+        found.where("row IS NOT NULL")
+        .join(repeated, "h")
+        .groupBy("row")
         .agg(F.collect_list("place").alias("places"), F.collect_list("h").alias("hashes"))
     )
     schema = _arrow_schema(table.sparkSession, CONTEXTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[tuple[int, bytes], list] = {}
-        for rows, numbers, texts in unpacked(batches, ["places", "hashes"]):
+        for rows, numbers, texts in unpacked(batches, ["row", "copies", "places", "hashes"]):
             out: list[tuple] = []
-            for (key, places, hashes), number, text in zip(rows, numbers, texts, strict=True):
+            for (key, row, copies, places, hashes), number, text in zip(rows, numbers, texts, strict=True):
                 units = None
                 for place, h in zip(places, hashes, strict=True):
                     if place >> 39 != number:
@@ -155,10 +179,10 @@ def contexts(table: DataFrame, unit: Unit) -> DataFrame:
                     own = met.get((h, cut))
                     if own is None:
                         own = met[h, cut] = [context_id(cut), 0, None]
-                    own[1] += 1
+                    own[1] += copies
                     if key != NO_ID and (own[2] is None or key < own[2]):
                         own[2] = key
-                    out.append((h, own[0], key, number, first, None, None, None))
+                    out.append((h, own[0], row, key, number, first, None, copies, None))
             if len(met) > COMBINED:
                 out += _contexts_met(met)
                 met = {}
@@ -167,7 +191,7 @@ def contexts(table: DataFrame, unit: Unit) -> DataFrame:
         if met:
             yield _batch(_contexts_met(met), schema)
 
-    return table.join(hits, "key").mapInArrow(run, CONTEXTS)
+    return table.join(hits, "row").mapInArrow(run, CONTEXTS)
 
 
 def context_id(context: bytes) -> int:
@@ -176,7 +200,7 @@ def context_id(context: bytes) -> int:
 
 
 def _contexts_met(met: dict[tuple[int, bytes], list]) -> list[tuple]:
-    return [(h, c, None, None, None, context, n, least) for (h, context), (c, n, least) in met.items()]
+    return [(h, c, None, None, None, None, context, n, least) for (h, context), (c, n, least) in met.items()]
 
 
 def _single_windows(rows: DataFrame, unit: Unit) -> DataFrame:
@@ -190,7 +214,8 @@ def _single_windows(rows: DataFrame, unit: Unit) -> DataFrame:
                 units = unit.units(row["context"])
                 for step in range(len(units) - unit.length + 1):
                     cut = unit.join(units[step : step + unit.length])
-                    out.append((row["key"], row["part"], row["first"] + step, row["h"], cut))
+                    place = row["row"], row["key"], row["part"], row["first"] + step
+                    out.append((*place, row["n"], row["h"], cut))
                 if len(out) >= 1 << 14:
                     yield _batch(out, schema)
                     out = []
@@ -211,15 +236,15 @@ Judge = Callable[[list[bytes], list[int], list[int], np.ndarray], list]
 
 
 def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge, useful: str = "true") -> DataFrame:
-    """key and spans: for each document the verdicts of its contexts, as structs of part, first and verdict.
+    """row and spans: for each row the verdicts of its contexts, as structs of part, first and verdict.
 
     ``judge`` gets the different contexts of some groups, how often each occurs, the least id of each (None: no id) and
     the groups' first places; it returns a verdict of SQL type ``verdict``, or None, for each context. ``useful`` says
-    of a verdict and a document's key whether it says anything to the document.
+    of a verdict and a row's key whether it says anything to the row.
     """
     spark = table.sparkSession
     found = written(contexts(table, unit), "contexts")
-    places = found.where("context IS NULL").select("key", "part", "first", "h", "c")
+    places = found.where("context IS NULL").select("row", "key", "part", "first", "n", "h", "c")
     # Tasks have combined equal contexts, so only different ones of each task move. The aggregation works within the
     # parts that the contexts are dealt to by anchor.
     different = found.where("context IS NOT NULL").select("h", "c", "context", "n", "least")
@@ -228,11 +253,11 @@ def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge, useful: str
     )
     if not hot.isEmpty():
         known = different.join(hot, "h").groupBy("h", "c").agg(F.first("context").alias("context"))
-        crowded = places.join(known, ["h", "c"]).select("key", "part", "first", "h", "context")
+        crowded = places.join(known, ["h", "c"]).select("row", "key", "part", "first", "n", "h", "context")
         single = written(_single_windows(crowded, unit), "windows")
         least = F.min(F.when(F.col("key") != NO_ID, F.col("key"))).alias("least")
-        merged = single.groupBy("h", "c", "context").agg(F.count("*").alias("n"), least)
-        places = places.join(hot, "h", "left_anti").unionByName(single.select("key", "part", "first", "h", "c"))
+        merged = single.groupBy("h", "c", "context").agg(F.sum("n").alias("n"), least)
+        places = places.join(hot, "h", "left_anti").unionByName(single.drop("context"))
         different = different.join(hot, "h", "left_anti").unionByName(merged)
     groups = (
         different.repartition("h")
@@ -260,9 +285,9 @@ def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge, useful: str
     ordered = groups.sortWithinPartitions("h", "context")
     verdicts = ordered.mapInArrow(run, output)
     return (
-        places.select("key", "part", "first", "h", "c")
+        places.select("row", "key", "part", "first", "h", "c")
         .join(verdicts, ["h", "c"])
         .where(useful)
-        .groupBy("key")
+        .groupBy("row")
         .agg(F.collect_list(F.struct("part", "first", "verdict")).alias("spans"))
     )

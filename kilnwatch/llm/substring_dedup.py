@@ -134,9 +134,9 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     schema = _arrow_schema(docs.sparkSession, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, numbers, texts in unpacked(batches, ["spans"]):
+        for rows, numbers, texts in unpacked(batches, ["copies", "spans"]):
             out = []
-            for (key, own), number, text in zip(rows, numbers, texts, strict=True):
+            for (key, copies, own), number, text in zip(rows, numbers, texts, strict=True):
                 words = text.split()
                 steps = np.zeros(len(words) + 1, np.int64)
                 for span in own or ():
@@ -148,9 +148,9 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
                 gone = np.cumsum(steps[:-1]) > 0
                 kept = words if not gone.any() else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 digest = hashlib.sha256(b" ".join(kept)).hexdigest()
-                out.append((None if key == NO_ID else key, len(words), len(words) - len(kept), digest))
+                out += [(None if key == NO_ID else key, len(words), len(words) - len(kept), digest)] * copies
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema
             )
 
-    return table.join(spans, "key", "left").mapInArrow(run, SCHEMA)
+    return table.join(spans, "row", "left").mapInArrow(run, SCHEMA)

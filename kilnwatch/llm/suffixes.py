@@ -430,9 +430,9 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     schema = _arrow_schema(docs.sparkSession, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, numbers, texts in unpacked(batches, ["spans"]):
+        for rows, numbers, texts in unpacked(batches, ["copies", "spans"]):
             out = []
-            for (key, own), number, text in zip(rows, numbers, texts, strict=True):
+            for (key, copies, own), number, text in zip(rows, numbers, texts, strict=True):
                 gone = []
                 for span in own or ():
                     if span["part"] == number:
@@ -453,9 +453,10 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
                     at = end
                 digest.update(text[at:])
                 removed = sum(end - first for first, end in merged)
-                out.append((None if key == NO_ID else key, len(text), removed, len(merged), digest.hexdigest()))
+                row = (None if key == NO_ID else key, len(text), removed, len(merged), digest.hexdigest())
+                out += [row] * copies
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema
             )
 
-    return table.join(spans, "key", "left").mapInArrow(run, SCHEMA)
+    return table.join(spans, "row", "left").mapInArrow(run, SCHEMA)

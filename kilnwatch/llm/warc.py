@@ -15,6 +15,7 @@ empty table gives an archive without files and an empty result; extra columns ar
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,17 +24,16 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnwatch.llm.tables import _arrow_schema, written
 from kilnwatch.session import shared_folder
 
 LEAST_REVISIT = 100
-#: Payload bytes of a shard, compressed bytes at which a file rolls, and bins the shard limits are chosen from.
+#: Payload bytes of a shard, and compressed bytes at which a file rolls.
 SHARD_BYTES = 16 << 20
 ROLL_BYTES = 64 << 20
-BINS = 4096
 LEVEL = 5
 READ_BYTES = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
@@ -66,26 +66,44 @@ def revisits(payloads: DataFrame) -> DataFrame:
 
 
 def shard_of(payloads: DataFrame) -> tuple[Column, int]:
-    """The shard of a page id, and the number of shards.
+    """The shard of a page, and the number of shards.
 
-    Bytes are counted in bins of the id range; neighbouring bins are joined up to ``SHARD_BYTES``. No sampling, so
-    shards do not vary between runs.
+    Running sums of the bytes in the order of the ids begin a shard at each multiple of ``SHARD_BYTES``, however the
+    ids are spread; the pages of one id stay together. Pages without an id are spread over shards of their own by
+    their content. Nothing is estimated, so shards do not vary between runs.
     """
-    low, high = payloads.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return F.lit(0).cast("bigint"), 1
-    width = (high - low) // BINS + 1
-    place = F.coalesce(F.expr(f"(page_id - ({low}L)) div {width}L"), F.lit(0)).cast("int")
-    sizes = dict(payloads.groupBy(place.alias("bin")).agg(F.sum(F.col("size") + 512)).collect())
-    shards, shard, filled = [], 0, 0
-    for number in range((high - low) // width + 1):
-        size = sizes.get(number, 0)
-        if filled and filled + size > SHARD_BYTES:
-            shard, filled = shard + 1, 0
-        filled += size
-        shards.append(shard)
-    lookup = F.array(*map(F.lit, shards))
-    return F.element_at(lookup, place + 1).cast("bigint"), shard + 1
+    spark = payloads.sparkSession
+    size = F.sum(F.col("size") + 512).alias("size")
+    known = payloads.where("page_id IS NOT NULL").groupBy("page_id").agg(size)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = known.repartitionByRange(parts, "page_id").sortWithinPartitions("page_id")
+    sizes = written(ranged.withColumn("range", F.spark_partition_id()), "page-sizes")
+    before, total = {}, 0
+    for number, _, held in sorted(sizes.groupBy("range").agg(F.min("page_id"), F.sum("size")).collect()):
+        before[number], total = total, total + held
+    offsets = [before.get(number, 0) for number in range(max(before, default=0) + 1)]
+    begins = F.element_at(F.array(*map(F.lit, offsets)), F.col("range") + 1)
+    within = F.sum("size").over(Window.partitionBy("range").orderBy("page_id")) - F.col("size")
+    reached = F.floor((begins + within) / F.lit(SHARD_BYTES)).alias("reached")
+    firsts = sizes.select("page_id", reached).groupBy("reached").agg(F.min("page_id").alias("first"))
+    starts = sorted(r["first"] for r in firsts.collect())
+    loose = payloads.where("page_id IS NULL").agg(size).first()[0] or 0
+    spread = -(-loose // SHARD_BYTES)
+    of_null = F.lit(len(starts)) + F.pmod(F.xxhash64("digest"), F.lit(max(1, spread)))
+    if not starts:
+        return of_null.cast("bigint"), max(1, spread)
+    # The last start that an id reaches, first among every so many starts and then between two of these.
+    step = math.isqrt(len(starts)) + 1
+    every = F.array(*map(F.lit, starts))
+    coarse = F.array(*map(F.lit, starts[::step]))
+
+    def reach(limits: Column) -> Column:
+        return F.size(F.filter(limits, lambda start: start <= F.col("page_id")))
+
+    skipped = F.greatest(reach(coarse) - 1, F.lit(0)) * step
+    place = skipped + reach(F.slice(every, skipped + 1, F.lit(step))) - 1
+    shard = F.when(F.col("page_id").isNull(), of_null).otherwise(place)
+    return shard.cast("bigint"), len(starts) + spread
 
 
 def record_id(page_id: object, digest: str, kind: str) -> str:

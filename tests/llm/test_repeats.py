@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from samples import texts
+from pyspark.sql import functions as F
+from samples import prose, texts
 
 from kilnwatch.llm import repeats, substring_dedup, suffixes
 
@@ -69,6 +71,20 @@ def test_hot_groups_are_dealt_anew(documents, operator, plain, monkeypatch):
     assert found == plain(rows)
 
 
+@pytest.mark.parametrize(("operator", "plain"), CASES)
+def test_rows_of_one_id_spread(documents, operator, plain):
+    rng = random.Random(31)
+    shared = prose(rng, 60)
+    rows = [(key, f"{prose(rng, 20)}{shared}") for key in [None] * 30 + [7] * 20 + [8]]
+    rows += [(None, rows[0][1]), (7, rows[40][1]), (7, rows[40][1]), (9, single := prose(rng, 80)), (9, single)]
+    dealt = repeats.dealt(documents(rows).select("doc_id", "text"))
+    assert dealt.count() == 52 and dealt.agg({"copies": "sum"}).first()[0] == len(rows)
+    assert dealt.where(f"key = {repeats.NO_ID}").select(F.spark_partition_id()).distinct().count() > 1
+    # What a row meets in the join are its own anchors, not those of all rows of its id.
+    assert dealt.select("row").distinct().count() == 52
+    assert Counter(map(tuple, operator.repeats_removed(documents(rows)).collect())) == plain(rows)
+
+
 @pytest.mark.parametrize(("operator", "plain"), CASES)
 def test_empty_table_and_more_columns(documents, operator, plain):
     assert operator.repeats_removed(documents([])).collect() == []

@@ -228,6 +228,24 @@ def test_archives_round_trip(spark, documents, monkeypatch, tmp_path):
     assert warc.archived(pages.limit(0)).collect() == []
 
 
+def test_shards_follow_bytes_not_ids(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 20000)
+    ids = [*range(200), 1 << 60, -(1 << 61), *[None] * 100]
+    rows = [(key, "u", f"{place} " * 300) for place, key in enumerate(ids)]
+    payloads = warc.with_payloads(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    shard, count = warc.shard_of(payloads)
+    held = payloads.select("page_id", "size", shard.alias("shard")).collect()
+    bytes_of: Counter[int] = Counter()
+    for r in held:
+        bytes_of[r["shard"]] += r["size"] + 512
+    assert set(bytes_of) <= set(range(count)) and count <= sum(bytes_of.values()) // 20000 + 2
+    known = sorted((r["page_id"], r["shard"]) for r in held if r["page_id"] is not None)
+    assert [s for _, s in known] == sorted(s for _, s in known)
+    assert max(bytes_of[s] for _, s in known) <= 20000 + 2000
+    assert len({r["shard"] for r in held if r["page_id"] is None}) > 2
+    assert not {s for _, s in known} & {r["shard"] for r in held if r["page_id"] is None}
+
+
 def test_damaged_archives_are_refused():
     record = warc.page_record(1, "http://x", b"body", hashlib.sha256(b"body").hexdigest(), None)
     with pytest.raises(ValueError, match="digest"):
