@@ -94,6 +94,14 @@ def test_quality_bands(documents):
     assert quality.judge(b"", packer)[quality.KEPT] is False
 
 
+@pytest.mark.parametrize("size", [60 << 10, 128 << 10, 512 << 10, 3 << 20])
+def test_long_clean_texts_stay(size):
+    # Ratios of joined clean texts, as measured; and a text that repeats its half.
+    measured = {60 << 10: 0.39, 128 << 10: 0.383, 512 << 10: 0.363, 3 << 20: 0.361}[size]
+    low, high = quality.band(size)
+    assert 0.21 < low <= measured - quality.MARGIN and measured < high
+
+
 def test_forest_on_held_out_findings(documents):
     forest = secret_scan.fit(documents(texts()))
     rows = secret_scan.generated_rows(forest.language, 2000, seed=77)
