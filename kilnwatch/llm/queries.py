@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kilnwatch.llm.chat import chat_digests, chat_sql, with_probe
 from kilnwatch.llm.decontaminate import leaks, leaks_sql
+from kilnwatch.llm.divergence import divergence, divergence_sql
 from kilnwatch.llm.html import main_texts
 from kilnwatch.llm.jaccard import jaccard_classes
 from kilnwatch.llm.license import license_sql, licenses
@@ -62,6 +64,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words_removed(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digests(with_probe(table(spark, sf_dir, "conversations")))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_html_extraction": op2_html_extraction,
@@ -73,7 +83,14 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_warc": op9_warc,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_chat_formatting": op12_chat_formatting,
 }
 
 #: The others cannot be written in SQL; their tests compare with brute force.
-LLM_ORACLES: dict[str, str] = {"op1_license_scans": license_sql(), "op3_decontamination": leaks_sql()}
+LLM_ORACLES: dict[str, str] = {
+    "op1_license_scans": license_sql(),
+    "op3_decontamination": leaks_sql(),
+    "op11_source_divergence": divergence_sql(),
+    "op12_chat_formatting": chat_sql(),
+}
