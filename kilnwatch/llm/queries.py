@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kilnwatch.llm.chat import chat_digests, chat_sql, with_probe
+from kilnwatch.llm.collocations import collocations, collocations_sql
 from kilnwatch.llm.decontaminate import leaks, leaks_sql
 from kilnwatch.llm.divergence import divergence, divergence_sql
 from kilnwatch.llm.html import main_texts
@@ -72,6 +73,10 @@ def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_html_extraction": op2_html_extraction,
@@ -85,6 +90,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_source_divergence": op11_source_divergence,
     "op12_chat_formatting": op12_chat_formatting,
+    "op13_collocations": op13_collocations,
 }
 
 #: The others cannot be written in SQL; their tests compare with brute force.
@@ -93,4 +99,5 @@ LLM_ORACLES: dict[str, str] = {
     "op3_decontamination": leaks_sql(),
     "op11_source_divergence": divergence_sql(),
     "op12_chat_formatting": chat_sql(),
+    "op13_collocations": collocations_sql(),
 }
