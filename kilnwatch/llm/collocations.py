@@ -84,29 +84,6 @@ class Slice:
             out[at : at + here] = (prefix[length:] - prefix[:here]) * back[:here]
         return mix(out + self.seeds[:count] + np.uint64(length))
 
-    def identities(self) -> np.ndarray:
-        """A number of each word's text, equal for equal words only: words of one hash are compared byte by byte."""
-        words = self.words
-        _, first, numbers = np.unique(words.hashes, return_index=True, return_inverse=True)
-        data = np.frombuffer(words.data, np.uint8)
-        own, other = words.starts, words.starts[first][numbers]
-        lengths = words.ends - own
-        same = lengths == (words.ends[first] - words.starts[first])[numbers]
-        order = np.argsort(lengths, kind="stable")
-        order = order[same[order]]
-        sorted_lengths = lengths[order]
-        place, live = 0, 0
-        while live < len(order):
-            rows = order[live:]
-            same[rows] &= data[own[rows] + place] == data[other[rows] + place]
-            place += 1
-            live = int(np.searchsorted(sorted_lengths, place, side="right"))
-        odd = np.flatnonzero(~same)
-        known: dict[bytes, int] = {}
-        for row in odd.tolist():
-            numbers[row] = len(first) + known.setdefault(words.word(row), len(known))
-        return numbers
-
 
 def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[Slice]:
     for batch in batches:
@@ -200,7 +177,7 @@ def _level(documents: DataFrame, length: int, below, least: int) -> DataFrame:
 
 def _phrases(held: Slice, frequent: Filter) -> Iterator[tuple[str, str, int]]:
     """Language, phrase and count of the phrases in a slice whose fingerprints pass, by their words."""
-    numbers = held.identities()
+    numbers, _ = held.words.identities()
     owner = np.repeat(np.arange(len(held.langs)), held.sizes)
     spell: dict[int, str] = {}
 

@@ -7,7 +7,7 @@ terms. For the ranking of terms, cells of one score are merged, their running mu
 the ranks asked for, and only the terms of those cells are listed, in the order of their UTF-8 bytes.
 
 For a pair of sources, terms that one of them lacks need no rows: the pair's cells of both counts come from the terms
-that both have, and the cells with a zero are what remains of each source's own counts.
+that both have, and the scores of the others follow from each source's own cells.
 
 The result holds all pairs of sources of a language, as asked for; the work on pairs is the number of pairs of sources
 that share a term, summed over the kept terms, and is combined in each task before it is shuffled.
@@ -19,60 +19,94 @@ Other columns are not read.
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kilnwatch.llm.tables import pieces, written
+from kilnwatch.llm.hashing import Words, separators_of
+from kilnwatch.llm.tables import as_bytes, pieces, written
 
 LEAST_DOCS = 10
 RANKS = 10
 SCALE = 1_000_000_000
-TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Different terms that a task holds before it passes its counts on.
-HELD_TERMS = 1 << 18
+#: The bytes between terms.
+APART = separators_of((0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
+#: Bytes of text counted at once, and counts of a task that are merged, and passed on where half of them remain.
+SLICE = 4 << 20
+HELD = 1 << 20
 
 COUNTED = "lang string, source string, term string, n bigint, docs bigint"
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of each term in the texts of a partition, a row for each term and group."""
-    held: dict[tuple[str, str], dict[str, list[int]]] = defaultdict(dict)
-    size = 0
-
-    def out() -> pa.RecordBatch:
-        rows = [(*group, term, *counts) for group, terms in held.items() for term, counts in terms.items()]
-        columns = list(zip(*rows, strict=True))
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "source", "term", "n", "docs"]
-        )
+class Counts:
+    """Occurrences and documents of each term of each group in the texts of a task; terms and groups have numbers."""
+
+    def __init__(self):
+        self.terms: dict[bytes, int] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, texts: list[bytes], groups: list[tuple[str, str]]) -> None:
+        words = Words([text.lower() for text in texts], APART)
+        if not len(words.hashes):
+            return
+        numbers, places = words.identities()
+        # Words of a document, then documents of a group.
+        spread = len(places)
+        owner = np.repeat(np.arange(len(texts)), np.diff(words.bounds))
+        pairs, times = np.unique(owner * spread + numbers, return_counts=True)
+        named = np.array([self.terms.setdefault(words.word(at), len(self.terms)) for at in places.tolist()])
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in groups])
+        keys = (group[pairs // spread] << 32) | named[pairs % spread]
+        self.parts.append(_summed(keys, times, np.ones(len(keys), np.int64)))
+        self.size += len(self.parts[-1][0])
+        if self.size > HELD:
+            self._merge()
+
+    def _merge(self) -> None:
+        if len(self.parts) > 1:
+            self.parts = [_summed(*(np.concatenate(side) for side in zip(*self.parts, strict=True)))]
+        self.size = len(self.parts[0][0])
+
+    def full(self) -> bool:
+        return self.size > HELD // 2 or len(self.terms) > HELD
+
+    def taken(self) -> pa.RecordBatch:
+        """The counts so far, which leave."""
+        self._merge()
+        keys, times, docs = self.parts[0]
+        langs, sources = (pa.array(side, pa.string()) for side in zip(*self.groups, strict=True))
+        group, term = pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF)
+        terms = pa.array(list(self.terms), pa.binary()).cast(pa.string())
+        columns = [langs.take(group), sources.take(group), terms.take(term), pa.array(times), pa.array(docs)]
+        self.__init__()
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+
+
+def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each key once, with the sums of its columns."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], *(np.add.reduceat(column[order], starts) for column in columns)
+
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each term and group of a partition, or several where they are many."""
+    held = Counts()
     for batch in batches:
-        for piece in pieces(batch, "text"):
-            columns = (piece.column(name).to_pylist() for name in ("lang", "source", "text"))
-            for lang, source, text in zip(*columns, strict=True):
-                terms = held[lang, source]
-                for term, n in Counter(TERM.findall(text.translate(LOWER))).items():
-                    found = terms.get(term)
-                    if found is None:
-                        terms[term] = [n, 1]
-                        size += 1
-                    else:
-                        found[0] += n
-                        found[1] += 1
-            if size > HELD_TERMS:
-                yield out()
-                held.clear()
-                size = 0
-    if size:
-        yield out()
+        for piece in pieces(batch, "text", SLICE):
+            groups = zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist(), strict=True)
+            held.add(as_bytes(piece, "text"), list(groups))
+            if held.full():
+                yield held.taken()
+    if held.size:
+        yield held.taken()
 
 
 def kept_terms(documents: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -107,66 +141,59 @@ def _gap(p: str, q: str) -> str:
     return f"(({p}) - ({q})) * (({p}) - ({q})) div (({p}) + ({q}))"
 
 
-def _pairs(terms: DataFrame, each: DataFrame, groups: DataFrame) -> DataFrame:
-    """The summed score of every two sources of a language, both ways."""
-    # Cells of the terms that both sources have; the array is in the order of sources.
+def _pairs(terms: DataFrame, shares: DataFrame, groups: DataFrame) -> DataFrame:
+    """The summed score of every two sources of a language, both ways.
+
+    Terms that both sources have are scored by their cells. Of all other terms one source or both have none: their
+    scores follow from each source's own cells, and from what the common terms would give without one count or both.
+    """
     first = terms.select("lang", "counts", F.posexplode("counts").alias("at", "one"))
     later = F.expr("slice(counts, at + 2, greatest(size(counts) - at - 1, 0))")
     two = first.select("lang", "one", F.explode(later).alias("two"))
-    both = two.groupBy(
+    cells = two.groupBy(
         "lang",
         F.col("one.source").alias("s"),
         F.col("two.source").alias("t"),
         F.col("one.n").alias("a"),
         F.col("two.n").alias("b"),
     ).agg(F.count("*").alias("m"))
-    alone = each.groupBy("lang", "source", "n").agg(F.count("*").alias("m"))
-    left = groups.select("lang", F.col("source").alias("s"), F.col("total").alias("s_total"), "kinds")
-    right = groups.select("lang", F.col("source").alias("t"), F.col("total").alias("t_total"))
+    left = groups.select("lang", F.col("source").alias("s"), F.col("none").alias("s_none"), "kinds")
+    right = groups.select("lang", F.col("source").alias("t"), F.col("none").alias("t_none"))
     pairs = left.join(right, "lang").where("s < t")
-
-    def cells(rows: DataFrame, a: str, b: str, m: str) -> DataFrame:
-        return rows.selectExpr("lang", "s", "t", f"{a} AS a", f"{b} AS b", f"{m} AS m")
-
-    # A source's own counts stand against zero, less the terms that the other one has too.
-    names = pairs.select("lang", "s", "t")
-    of_left = names.join(alone.withColumnRenamed("source", "s"), ["lang", "s"])
-    of_right = names.join(alone.withColumnRenamed("source", "t"), ["lang", "t"])
-    zero, none = "0L", "-m"
+    ones = shares.select("lang", F.col("source").alias("s"), F.col("n").alias("a"), F.col("p").alias("s_p"), F.col("m"))
+    others = shares.select("lang", F.col("source").alias("t"), F.col("n").alias("b"), F.col("p").alias("t_p"), F.col("m"))
+    neither, one, other = _gap("s_none", "t_none"), _gap("s_p", "t_none"), _gap("s_none", "t_p")
+    common = (
+        cells.join(ones.drop("m"), ["lang", "s", "a"])
+        .join(others.drop("m"), ["lang", "t", "b"])
+        .join(pairs, ["lang", "s", "t"])
+        .selectExpr("lang", "s", "t", f"m * ({_gap('s_p', 't_p')} - {one} - {other} + {neither}) AS value")
+    )
     parts = [
-        cells(both, "a", "b", "m"),
-        cells(both, "a", zero, none),
-        cells(both, zero, "b", none),
-        cells(both, zero, zero, "m"),
-        cells(of_left, "n", zero, "m"),
-        cells(of_left, zero, zero, none),
-        cells(of_right, zero, "n", "m"),
-        cells(of_right, zero, zero, none),
-        cells(pairs, zero, zero, "kinds"),
+        pairs.selectExpr("lang", "s", "t", f"kinds * ({neither}) AS value"),
+        pairs.join(ones, ["lang", "s"]).selectExpr("lang", "s", "t", f"m * ({one} - {neither}) AS value"),
+        pairs.join(others, ["lang", "t"]).selectExpr("lang", "s", "t", f"m * ({other} - {neither}) AS value"),
     ]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    merged = every.groupBy("lang", "s", "t", "a", "b").agg(F.sum("m").alias("m")).where("m > 0")
-    p, q = _smoothed("a", "s_total", "kinds"), _smoothed("b", "t_total", "kinds")
-    scored = merged.join(pairs, ["lang", "s", "t"]).selectExpr("lang", "s", "t", f"{p} AS p", f"{q} AS q", "m")
-    found = scored.groupBy("lang", "s", "t").agg(F.sum(F.expr(f"{_gap('p', 'q')} * m")).alias("value"))
-    known = names.join(found, ["lang", "s", "t"], "left").withColumn("value", F.coalesce("value", F.lit(0).cast("long")))
-    ways = known.selectExpr("lang", "s AS source", "t AS item", "value").unionByName(
-        known.selectExpr("lang", "t AS source", "s AS item", "value")
+    for part in parts:
+        common = common.unionByName(part)
+    found = common.groupBy("lang", "s", "t").agg(F.sum("value").alias("value"))
+    ways = F.array(
+        F.struct(F.col("s").alias("source"), F.col("t").alias("item")),
+        F.struct(F.col("t").alias("source"), F.col("s").alias("item")),
     )
+    both = found.select("lang", "value", F.inline(ways))
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
-    return ways.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
+    return both.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
 
 
-def _leading_terms(each: DataFrame, groups: DataFrame, ranks: int) -> DataFrame:
+def _leading_terms(each: DataFrame, shares: DataFrame, groups: DataFrame, ranks: int) -> DataFrame:
     """The terms that a source uses most beyond its language's share, to ``ranks``."""
     keys = ["lang", "source", "n", "lang_n"]
     cells = each.groupBy(*keys).agg(F.count("*").alias("m"))
-    p, q = _smoothed("n", "total", "kinds"), _smoothed("lang_n", "lang_total", "kinds")
     scored = (
-        cells.join(groups, ["lang", "source"])
-        .selectExpr(*keys, "m", f"{p} AS p", f"{q} AS q")
+        cells.join(shares.drop("m"), ["lang", "source", "n"])
+        .join(groups.select("lang", "source", "lang_total", "kinds"), ["lang", "source"])
+        .selectExpr(*keys, "m", "p", f"{_smoothed('lang_n', 'lang_total', 'kinds')} AS q")
         .where("p > q")
         .selectExpr(*keys, "m", f"{_gap('p', 'q')} AS value")
     )
@@ -194,11 +221,16 @@ def divergence(documents: DataFrame, least_docs: int = LEAST_DOCS, ranks: int =
     sums = each.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     langs = terms.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.count("*").alias("kinds"))
     known = _groups_of(documents).distinct().join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
-    groups = written(known.na.fill(0), "divergence-groups")
+    filled = known.na.fill(0)
+    # Without kept terms there is nothing to share out.
+    none = F.expr(f"CASE WHEN kinds > 0 THEN {_smoothed('0', 'total', 'kinds')} ELSE 1 END")
+    groups = written(filled.withColumn("none", none), "divergence-groups")
+    cells = each.groupBy("lang", "source", "n").agg(F.count("*").alias("m")).join(groups, ["lang", "source"])
+    share = F.expr(_smoothed("n", "total", "kinds"))
+    shares = written(cells.select("lang", "source", "n", "m", share.alias("p")), "divergence-shares")
     columns = ["lang", "source", "part", "item", "value", "rank"]
-    return (
-        _pairs(terms, each, groups).select(columns).unionByName(_leading_terms(each, groups, ranks).select(columns))
-    )
+    pairs = _pairs(terms, shares, groups).select(columns)
+    return pairs.unionByName(_leading_terms(each, shares, groups, ranks).select(columns))
 
 
 def divergence_sql(least_docs: int = LEAST_DOCS, ranks: int = RANKS) -> str:

@@ -80,6 +80,34 @@ class Words:
             first = last
         return mix(out)
 
+    def identities(self) -> tuple[np.ndarray, np.ndarray]:
+        """A number of each word's text, equal for equal words only, and a word of each number.
+
+        Words of one hash are compared byte by byte.
+        """
+        _, first, numbers = np.unique(self.hashes, return_index=True, return_inverse=True)
+        data = np.frombuffer(self.data, np.uint8)
+        own, other = self.starts, self.starts[first][numbers]
+        lengths = self.ends - own
+        same = lengths == (self.ends[first] - self.starts[first])[numbers]
+        order = np.argsort(lengths, kind="stable")
+        order = order[same[order]]
+        sorted_lengths = lengths[order]
+        place, live = 0, 0
+        while live < len(order):
+            rows = order[live:]
+            same[rows] &= data[own[rows] + place] == data[other[rows] + place]
+            place += 1
+            live = int(np.searchsorted(sorted_lengths, place, side="right"))
+        known: dict[bytes, int] = {}
+        more = []
+        for row in np.flatnonzero(~same).tolist():
+            number = known.setdefault(self.word(row), len(known))
+            numbers[row] = len(first) + number
+            if number == len(more):
+                more.append(row)
+        return numbers, np.concatenate([first, np.array(more, first.dtype)])
+
     def word(self, number: int) -> bytes:
         return self.data[self.starts[number] : self.ends[number]]
 

@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+from kilnwatch.llm import divergence as module
 from kilnwatch.llm.divergence import divergence, divergence_sql
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -75,13 +76,20 @@ def test_against_plain_counting(spark, documents, least_docs):
 
 
 def test_counts_are_passed_on_in_parts(spark, documents, monkeypatch):
-    from kilnwatch.llm import divergence as module
-
-    parts = list(module._counted(iter(spark.createDataFrame(rows_of(), DOCS).na.fill("").toArrow().to_batches())))
-    assert len(parts) == 1
-    monkeypatch.setattr(module, "HELD_TERMS", 1)
     batches = spark.createDataFrame(rows_of(), DOCS).na.fill("").toArrow().to_batches(max_chunksize=50)
-    assert len(list(module._counted(iter(batches)))) > 1
+
+    def total(parts):
+        sums = Counter()
+        for part in parts:
+            for row in part.to_pylist():
+                sums[row["lang"], row["source"], row["term"], "n"] += row["n"]
+                sums[row["lang"], row["source"], row["term"], "docs"] += row["docs"]
+        return sums
+
+    whole = list(module._counted(iter(batches)))
+    monkeypatch.setattr(module, "HELD", 300)
+    parts = list(module._counted(iter(batches)))
+    assert len(whole) == 1 < len(parts) and total(whole) == total(parts)
 
 
 def test_clashing_columns_and_no_rows(spark, documents):
