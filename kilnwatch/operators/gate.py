@@ -15,13 +15,18 @@ OPENS_AT = "gate_opens_at"
 
 
 def batch_changes(readings: DataFrame, min_batches: int, slice_ms: int) -> DataFrame:
-    """One row per (sensor, slice) with the position at which the sensor's gate opens.
+    """One row per (sensor, slice) with the position at which the sensor's gate opens."""
+    return gate_openings(with_slices(keyed(readings), slice_ms), min_batches, SAMPLE_ORDER)
+
+
+def gate_openings(sliced: DataFrame, min_batches: int, order: list[str]) -> DataFrame:
+    """The opening of each sensor's gate in some order of its readings, for each of its slices in that order.
 
     Each slice is first cut down to its batch changes, of which no more than
     ``min_batches + 1`` can matter. Only those meet in one task per sensor.
     """
-    rows = with_slices(keyed(readings), slice_ms).select(*SLICE_KEYS, *SAMPLE_ORDER, "batch_id")
-    inside = Window.partitionBy(*SLICE_KEYS).orderBy(*SAMPLE_ORDER)
+    rows = sliced.select(*SLICE_KEYS, *order, "batch_id")
+    inside = Window.partitionBy(*SLICE_KEYS).orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, -1)
     known = F.last("batch_id", ignorenulls=True)
     differs = F.col("batch_id").isNotNull() & ~F.col("batch_id").eqNullSafe(F.col("known"))
@@ -41,7 +46,7 @@ def batch_changes(readings: DataFrame, min_batches: int, slice_ms: int) -> DataF
         )
     )
     sensor = Window.partitionBy(KEY)
-    history = sensor.orderBy(*SAMPLE_ORDER)
+    history = sensor.orderBy(*order)
     counted = (
         candidates.withColumn(
             "known", known.over(history.rowsBetween(Window.unboundedPreceding, -1))
@@ -54,7 +59,7 @@ def batch_changes(readings: DataFrame, min_batches: int, slice_ms: int) -> DataF
         )
         .withColumn(
             OPENS_AT,
-            F.min(F.when(F.col("total") >= min_batches, F.struct(*SAMPLE_ORDER))).over(sensor),
+            F.min(F.when(F.col("total") >= min_batches, F.struct(*order))).over(sensor),
         )
     )
     return counted.filter((F.col("position") == 1) & F.col(OPENS_AT).isNotNull()).select(

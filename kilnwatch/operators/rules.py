@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kilnwatch import schemas as S
 from kilnwatch.functions.compare import above, at_least, below, is_true
+from kilnwatch.operators.arrival import LIMIT, SIGMA_OF_RANGE, TREND, set_figures
 from kilnwatch.operators.gate import gated
 from kilnwatch.operators.slices import MS, SAMPLE_ORDER, SLICE_KEYS
 from kilnwatch.operators.trailing import Tally, sliced_samples, sweep, with_neighbours
@@ -18,9 +19,7 @@ TREND_SHARE = 0.7
 TREND_CHANGE_PERCENT = 5.0
 NEAR_LIMIT_SHARE = 0.9
 BIAS_SHARE = 0.8
-SIGMA_OF_RANGE = 0.167
 
-LIMIT, TREND = "limit", "trend"
 SEVERITIES = {S.RULE_1: "limit_severity", S.BIAS: "bias_severity", S.RULE_3: "trend_severity"}
 
 
@@ -162,9 +161,13 @@ def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> D
     """One row per reading with the result of each rule.
 
     The rules share one shuffle of the samples; the gate reads the batches a second time.
+    With ``options.in_arrival_order`` or ``options.own_limits`` the sample sets are worked
+    out by :mod:`kilnwatch.operators.arrival` instead of running sums.
 
     ``limit_result`` and ``bias_result`` are NULL while the sensor's gate is closed.
     """
+    if options.in_arrival_order or options.own_limits:
+        return _judged(set_figures(readings, options), options)
     slice_ms = options.slice_length_ms
     # Neighbours are those of the same pair: what a reading sees of its pair has no gaps.
     samples = with_neighbours(
@@ -182,11 +185,17 @@ def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> D
         latest={"latest_breach": F.when(_breach(low, high), F.col("value"))},
         within=("set_limits",),
     ).filter("own_limits")
+    return _judged(gated(swept, readings, options.min_batches, slice_ms), options).drop(
+        "set_limits", "own_limits", "batch_id"
+    )
+
+
+def _judged(figures: DataFrame, options: RuleOptions) -> DataFrame:
+    """The rules' severities from the figures of the sample sets."""
     low, high = F.col("recipe_min"), F.col("recipe_max")
     open_gate = F.col("gate_open")
     return (
-        gated(swept, readings, options.min_batches, slice_ms)
-        .withColumns(
+        figures.withColumns(
             {
                 "bias_code": bias_code(low, high, options.min_bias_samples),
                 "trend_direction": trend_direction(options.min_trend_samples),
@@ -199,7 +208,7 @@ def rule_results(readings: DataFrame, options: RuleOptions = RuleOptions()) -> D
                 SEVERITIES[S.RULE_3]: trend_severity(low, high),
             }
         )
-        .drop("set_limits", "own_limits", "gate_open", "batch_id")
+        .drop("gate_open")
     )
 
 

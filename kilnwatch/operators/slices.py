@@ -16,6 +16,7 @@ from kilnwatch.schemas import ARRIVAL
 KEY, SLICE, LEAD_IN, MS = "stream_key", "slice_start", "lead_in", "ms"
 SLICE_KEYS = [KEY, SLICE]
 SAMPLE_ORDER = [MS, *ARRIVAL]
+ARRIVAL_ORDER = [*ARRIVAL, MS]
 
 
 def keyed(readings: DataFrame) -> DataFrame:
@@ -36,6 +37,19 @@ def with_slices(rows: DataFrame, slice_ms: int, window_ms: int | None = None) ->
     The slice is at least as long as the window, so a row gets one copy at most.
     """
     own = slice_of(F.col(MS), slice_ms)
+    return _spread(rows, own, slice_ms, window_ms)
+
+
+def with_arrival_slices(rows: DataFrame, peak: str, slice_ms: int, window_ms: int) -> DataFrame:
+    """The same by ``peak``, the latest time of the sensor up to a row's arrival.
+
+    It never falls, so slices hold consecutive arrivals. What a slice still sees of earlier
+    ones lies within a window of its start, all of it in the slice just before.
+    """
+    return _spread(rows, slice_of(F.col(peak), slice_ms), slice_ms, window_ms)
+
+
+def _spread(rows: DataFrame, own, slice_ms: int, window_ms: int | None) -> DataFrame:
     if window_ms is None:
         return rows.withColumn(SLICE, own)
     if slice_ms < window_ms:
@@ -43,6 +57,6 @@ def with_slices(rows: DataFrame, slice_ms: int, window_ms: int | None = None) ->
     following = own + F.lit(slice_ms)
     seen_later = F.col(MS) >= following - F.lit(window_ms)
     targets = F.when(seen_later, F.array(own, following)).otherwise(F.array(own))
-    return rows.withColumn(SLICE, F.explode(targets)).withColumn(
-        LEAD_IN, F.col(SLICE) > F.col(MS)
-    )
+    return rows.withColumn("_own", own).withColumn(SLICE, F.explode(targets)).withColumn(
+        LEAD_IN, F.col(SLICE) > F.col("_own")
+    ).drop("_own")

@@ -28,7 +28,7 @@ def slice_marks(severity: Column, order) -> dict[str, Column]:
     }
 
 
-def settle_slice_edges(rows: DataFrame) -> DataFrame:
+def settle_slice_edges(rows: DataFrame, by: list[str] = SAMPLE_ORDER) -> DataFrame:
     """Decide the evaluations that open a slice by the close of the slice before.
 
     Changes inside a slice stay spread over slices. Per sensor and rule, only the two
@@ -36,7 +36,7 @@ def settle_slice_edges(rows: DataFrame) -> DataFrame:
     """
     edge = F.col(OPENS) | F.col(CLOSES)
     rows = rows.withColumn("_group", F.when(~edge, F.col(SLICE)))
-    order = Window.partitionBy(KEY, "rule_name", "_group").orderBy(*SAMPLE_ORDER)
+    order = Window.partitionBy(KEY, "rule_name", "_group").orderBy(*by)
     severity = F.coalesce("severity", F.lit(NOTHING))
     before = F.coalesce(F.lag(severity).over(order), F.lit(NOTHING))
     return (

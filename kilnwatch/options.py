@@ -11,6 +11,13 @@ class RuleOptions:
 
     ``slice_ms`` is the length of the time slices one task works on. It must be at
     least as long as the longest window; the default is six times that.
+
+    ``in_arrival_order`` has batch plans follow the order of arrival, as the stream does: a
+    late reading sees later samples, and what a later arrival has pushed out stays out.
+    ``slice_arrivals`` is then the number of consecutive arrival numbers whose readings of
+    one sensor a task puts in order. ``own_limits`` is for limits that differ from reading
+    to reading; results are the same without it, at the cost of a copy of the samples in
+    reach for each pair of limits.
     """
 
     limit_window_ms: int = 300_000
@@ -19,8 +26,13 @@ class RuleOptions:
     min_trend_samples: int = 42
     min_bias_samples: int = 240
     slice_ms: int | None = None
+    in_arrival_order: bool = False
+    own_limits: bool = False
+    slice_arrivals: int = 1 << 20
 
     def __post_init__(self) -> None:
+        if self.slice_arrivals < 1:
+            raise ValueError("a slice holds at least one arrival number")
         if min(self.limit_window_ms, self.trend_window_ms) < 0:
             raise ValueError("a window cannot be negative")
         if self.slice_ms is not None and self.slice_ms < max(1, self.longest_window_ms):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kilnwatch.functions.reasons import reason
 from kilnwatch.operators.rules import SEVERITIES, one_row_per_rule, rule_results
-from kilnwatch.operators.slices import SAMPLE_ORDER, SLICE_KEYS
+from kilnwatch.operators.slices import ARRIVAL_ORDER, SAMPLE_ORDER, SLICE_KEYS
 from kilnwatch.operators.transitions import CHANGES, CLOSES, OPENS, settle_slice_edges, slice_marks
 from kilnwatch.options import RuleOptions
 from kilnwatch.schemas import ARRIVAL, VIOLATION
@@ -32,7 +32,8 @@ def alerts(readings: DataFrame, options: RuleOptions = RuleOptions()) -> DataFra
     are built, so only alerts and slice edges are shuffled a second time.
     """
     results = rule_results(readings, options)
-    order = Window.partitionBy(*SLICE_KEYS).orderBy(*SAMPLE_ORDER)
+    by = ARRIVAL_ORDER if options.in_arrival_order else SAMPLE_ORDER
+    order = Window.partitionBy(*SLICE_KEYS).orderBy(*by)
     names = {
         rule: {mark: f"{column}_{mark}" for mark in (OPENS, CLOSES, CHANGES)}
         for rule, column in SEVERITIES.items()
@@ -52,4 +53,4 @@ def alerts(readings: DataFrame, options: RuleOptions = RuleOptions()) -> DataFra
         opens, closes, changes = marks(rule).values()
         return opens | closes | changes
 
-    return _violations(settle_slice_edges(one_row_per_rule(marked, wanted, marks)))
+    return _violations(settle_slice_edges(one_row_per_rule(marked, wanted, marks), by))

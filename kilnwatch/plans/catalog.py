@@ -7,6 +7,7 @@ so windows and guards are wider than the defaults; every rule outcome occurs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from kilnwatch.functions.keys import (
     stream_key,
 )
 from kilnwatch.functions.time import iso_instant
-from kilnwatch.operators.dedup import first_copies
+from kilnwatch.operators.arrival import late_readings
+from kilnwatch.operators.dedup import first_copies, first_copies_with_life
 from kilnwatch.operators.envelope import envelope_json
 from kilnwatch.operators.flatten import flatten_batches
 from kilnwatch.operators.gate import batch_counts
@@ -92,6 +94,19 @@ def _gappy_readings(readings: DataFrame) -> DataFrame:
     return readings.withColumn("batch_id", F.when(F.col("value") >= 20, F.col("batch_id")))
 
 
+def _shuffled_arrival(readings: DataFrame) -> DataFrame:
+    """Readings whose arrival is up to some hundred others late; lower bits keep the numbers apart."""
+    number = F.col("arrival_seq")
+    late = number + 40 * (number * number % 13)
+    return readings.withColumn("arrival_seq", late * 1024 + number % 1024)
+
+
+def _own_limits(readings: DataFrame) -> DataFrame:
+    """Readings that each have limits of their own."""
+    number = F.col("arrival_seq")
+    return readings.withColumns({"recipe_min": 0.3 + (number % 997) / 40.0, "recipe_max": 220.0 - (number % 991) / 8.0})
+
+
 def _shifting_limits(readings: DataFrame) -> DataFrame:
     """Readings whose limits change with the day of measurement."""
     shift = (F.day("measured_at") % 3).cast("double")
@@ -218,6 +233,15 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(dedup_key().alias("dedup_key"), "arrival_seq", "value")
 
 
+def dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 with a life of 30 days over all line items, which share some hundred keys for seven years."""
+    items = flatten_batches(batches_from_orders(spark, sf_dir)).withColumns(
+        {"batch_id": F.col("sensor_type"), "equipment_id": F.col("equipment_id") % 7, "sensor_id": F.lit("P")}
+    )
+    kept = first_copies_with_life(items, "measured_at", 30 * DAY_MS)
+    return _plain(kept.select(dedup_key().alias("dedup_key"), "measured_at", "arrival_seq", "value"))
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame:
     partition_types = T.StructType([T.StructField(p, T.StringType()) for p in PARTITIONS])
     columns = partitioned_rows(
@@ -316,6 +340,26 @@ rule1_shifting_limits = _one_rule(RULE_1, _shifting_limits)
 bias_shifting_limits = _one_rule(BIAS, _shifting_limits)
 
 
+BY_ARRIVAL = replace(RULES, in_arrival_order=True)
+rule1_arrival = _one_rule(RULE_1, _shuffled_arrival, replace(BY_ARRIVAL, min_batches=0))
+rule3_arrival = _one_rule(RULE_3, _shuffled_arrival, BY_ARRIVAL)
+rule1_own_limits = _one_rule(RULE_1, _own_limits, replace(UNGATED, own_limits=True))
+bias_own_limits = _one_rule(BIAS, _own_limits, replace(UNGATED, own_limits=True))
+
+
+def evaluations_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules over readings that arrive out of order, in the order of their arrival."""
+    return _plain(evaluations(_shuffled_arrival(_readings(spark, sf_dir)), BY_ARRIVAL), "element_seq")
+
+
+def alerts_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(alerts(_shuffled_arrival(_readings(spark, sf_dir)), BY_ARRIVAL), "element_seq")
+
+
+def late_reading_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_readings(_shuffled_arrival(_readings(spark, sf_dir)), BY_ARRIVAL)
+
+
 def _dense_readings(readings: DataFrame) -> DataFrame:
     """All events in a 5400th of their time, shaped so that every rule finds every severity."""
     ms = F.unix_millis("measured_at")
@@ -486,6 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_documents": flatten_documents,
     "storage_rows": storage_row_columns,
     "dedup_first": dedup_first,
+    "dedup_ttl": dedup_ttl,
     "storage_partition": storage_partition,
     "document_latest": document_latest,
     "document_upserts": document_upserts,
@@ -502,6 +547,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rules_default": rules_default,
     "evaluations": all_evaluations,
     "alerts": all_alerts,
+    "evaluations_arrival": evaluations_arrival,
+    "alerts_arrival": alerts_arrival,
+    "rule1_arrival": rule1_arrival,
+    "rule3_arrival": rule3_arrival,
+    "rule1_own_limits": rule1_own_limits,
+    "bias_own_limits": bias_own_limits,
+    "late_readings": late_reading_counts,
     "severity_transitions": severity_transitions,
     "alert_envelope": alert_envelope,
     "alert_envelope_files": alert_envelope_files,

@@ -109,8 +109,73 @@ def _iso(ms: str) -> str:
     return f"{second} || {fraction} || 'Z'"
 
 
-def _windows(readings: str, gate: int, guards: Guards) -> str:
-    """CTEs: numbered samples, their gate, and the first sample each window keeps."""
+def _arrived(readings: str, guards: Guards) -> str:
+    """CTEs of the sample sets in order of arrival: a sample leaves for good with the first later arrival more than a
+    window ahead of it. ``value`` becomes the last value of a reading's set."""
+
+    def pairs(name: str) -> str:
+        return f"""
+{name}_pairs AS (
+  SELECT a.arrival_seq AS at_seq, b.measured_ms AS b_ms, b.value AS b_value,
+         row_number() OVER (PARTITION BY a.arrival_seq ORDER BY b.measured_ms, b.pos) AS b_pos,
+         lag(b.value) OVER (PARTITION BY a.arrival_seq ORDER BY b.measured_ms, b.pos) AS before,
+         a.recipe_min AS low, a.recipe_max AS high
+  FROM arrived a JOIN arrived b ON a.equipment_id = b.equipment_id AND a.sensor_id = b.sensor_id AND b.pos <= a.pos
+  JOIN leaves l ON l.id = b.arrival_seq AND (l.{name}_leave IS NULL OR a.pos < l.{name}_leave)
+),"""
+
+    return f"""
+r AS ({readings}),
+known AS (
+  SELECT *, lag(batch_id IGNORE NULLS) OVER s AS known_batch FROM r
+  WINDOW s AS (PARTITION BY equipment_id, sensor_id ORDER BY arrival_seq)
+),
+arrived AS (
+  SELECT *, row_number() OVER s AS pos,
+         sum(CASE WHEN batch_id IS NOT NULL AND batch_id IS DISTINCT FROM known_batch THEN 1 ELSE 0 END)
+           OVER (PARTITION BY equipment_id, sensor_id ORDER BY arrival_seq ROWS UNBOUNDED PRECEDING) AS batches
+  FROM known
+  WINDOW s AS (PARTITION BY equipment_id, sensor_id ORDER BY arrival_seq)
+),
+leaves AS (
+  SELECT a.arrival_seq AS id,
+         min(b.pos) FILTER (b.measured_ms > a.measured_ms + {guards.limit_ms}) AS limit_leave,
+         min(b.pos) FILTER (b.measured_ms > a.measured_ms + {guards.trend_ms}) AS trend_leave
+  FROM arrived a LEFT JOIN arrived b ON a.equipment_id = b.equipment_id AND a.sensor_id = b.sensor_id
+   AND b.pos > a.pos
+  GROUP BY a.arrival_seq
+),
+{pairs("limit")}
+{_limit_stats()},
+{pairs("trend")}
+trend_stats AS (
+  SELECT at_seq, count(*) AS samples, min(b_ms) AS start_ms, first(b_value ORDER BY b_pos) AS first_value,
+         count(*) FILTER (b_value IS NOT NULL AND before IS NOT NULL) AS steps,
+         count(*) FILTER (b_value > before) AS rises, count(*) FILTER (b_value < before) AS falls
+  FROM trend_pairs GROUP BY at_seq
+),
+n AS (
+  SELECT arrived.* REPLACE (s.last_value AS value) FROM arrived JOIN limit_stats s ON s.at_seq = arrived.arrival_seq
+),"""
+
+
+def _limit_stats() -> str:
+    return """
+limit_stats AS (
+  SELECT at_seq, count(*) AS samples, min(b_ms) AS start_ms, count(b_value) AS valued,
+         first(b_value ORDER BY b_pos) AS first_value, last(b_value ORDER BY b_pos) AS last_value,
+         count(*) FILTER (b_value < low OR b_value > high) AS breaches,
+         arg_max(b_value, b_pos) FILTER (b_value < low OR b_value > high) AS latest,
+         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * 0.167 * 2) AS far_above,
+         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * 0.167 * 2) AS far_below,
+         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * 0.167) AS some_above,
+         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * 0.167) AS some_below
+  FROM limit_pairs GROUP BY at_seq
+)"""
+
+
+def _in_time(readings: str, guards: Guards) -> str:
+    """CTEs: numbered samples, their gate, and the sets of both windows in order of time."""
     return f"""
 r AS ({readings}),
 known AS (
@@ -136,17 +201,7 @@ limit_pairs AS (
    AND b.measured_ms BETWEEN a.measured_ms - {guards.limit_ms} AND a.measured_ms
    AND b.pos <= a.pos
 ),
-limit_stats AS (
-  SELECT at_seq, count(*) AS samples, min(b_ms) AS start_ms, count(b_value) AS valued,
-         first(b_value ORDER BY b_pos) AS first_value,
-         count(*) FILTER (b_value < low OR b_value > high) AS breaches,
-         arg_max(b_value, b_pos) FILTER (b_value < low OR b_value > high) AS latest,
-         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * 0.167 * 2) AS far_above,
-         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * 0.167 * 2) AS far_below,
-         count(*) FILTER (b_value > (low + high) / 2.0 + (high - low) * 0.167) AS some_above,
-         count(*) FILTER (b_value < (low + high) / 2.0 - (high - low) * 0.167) AS some_below
-  FROM limit_pairs GROUP BY at_seq
-),
+{_limit_stats()},
 trend_stats AS (
   SELECT a.arrival_seq AS at_seq, count(*) AS samples, min(b.measured_ms) AS start_ms,
          first(b.value ORDER BY b.pos) AS first_value,
@@ -156,7 +211,13 @@ trend_stats AS (
    AND b.measured_ms BETWEEN a.measured_ms - {guards.trend_ms} AND a.measured_ms
    AND b.pos <= a.pos
   GROUP BY a.arrival_seq
-),
+),"""
+
+
+def _windows(readings: str, gate: int, guards: Guards, arrival: bool = False) -> str:
+    """CTEs from readings to the rows of all rules."""
+    return f"""
+{(_arrived if arrival else _in_time)(readings, guards)}
 rule_1 AS (
   SELECT n.*, 'NELSON_RULE_1' AS rule_name, s.samples, s.start_ms,
          CASE WHEN breaches = 0 THEN 'NORMAL'
@@ -233,11 +294,11 @@ rule_3_rows AS (
          CASE WHEN anomaly_type IS NOT NULL THEN change END AS deviation_rate
   FROM trend_case
 ),
-{_evaluations()}
+{_evaluations("arrival_seq" if arrival else "detected_ms, arrival_seq")}
 """
 
 
-def _evaluations() -> str:
+def _evaluations(order: str) -> str:
     columns = (
         "arrival_seq, equipment_id, sensor_id, sensor_type, rule_name, anomaly_type, severity,"
         " measured_value, reference_value, deviation, deviation_rate,"
@@ -267,17 +328,19 @@ def _evaluations() -> str:
     return (
         "evaluations AS (" + "\nUNION ALL\n".join(parts) + "),\n"
         "alerts AS (SELECT * EXCLUDE (last_severity) FROM (SELECT *, lag(severity) OVER"
-        " (PARTITION BY equipment_id, sensor_id, rule_name ORDER BY detected_ms, arrival_seq)"
+        f" (PARTITION BY equipment_id, sensor_id, rule_name ORDER BY {order})"
         " AS last_severity FROM evaluations) WHERE severity IS DISTINCT FROM last_severity)"
     )
 
 
-def _rules(select: str, readings: str = READINGS, gate: int = 5, guards: Guards = WIDE) -> str:
-    return f"WITH {_windows(readings, gate, guards)}\n{select}"
+def _rules(
+    select: str, readings: str = READINGS, gate: int = 5, guards: Guards = WIDE, arrival: bool = False
+) -> str:
+    return f"WITH {_windows(readings, gate, guards, arrival)}\n{select}"
 
 
-def _one_rule(rule: str, readings: str = READINGS, gate: int = 0) -> str:
-    return _rules(f"SELECT * FROM evaluations WHERE rule_name = '{rule}'", readings, gate)
+def _one_rule(rule: str, readings: str = READINGS, gate: int = 0, arrival: bool = False) -> str:
+    return _rules(f"SELECT * FROM evaluations WHERE rule_name = '{rule}'", readings, gate, arrival=arrival)
 
 
 SHIFTING = f"""
@@ -298,6 +361,41 @@ FROM (SELECT *, measured_ms // 5400 AS dense, ((measured_ms // 5400) % 120000) /
 GAPPY = f"""
 SELECT * REPLACE (CASE WHEN value >= 20 THEN batch_id END AS batch_id) FROM ({READINGS})
 """
+SHUFFLED = f"""
+SELECT * REPLACE ((arrival_seq + 40 * (arrival_seq * arrival_seq % 13)) * 1024 + arrival_seq % 1024 AS arrival_seq)
+FROM ({READINGS})
+"""
+OWN_LIMITS = f"""
+SELECT * REPLACE (CAST(0.3 AS DOUBLE) + (arrival_seq % 997) / 40.0::DOUBLE AS recipe_min,
+                  CAST(220 AS DOUBLE) - (arrival_seq % 991) / 8.0::DOUBLE AS recipe_max)
+FROM ({READINGS})
+"""
+LATE = f"""
+SELECT equipment_id, sensor_id, count(*) AS readings, count(*) FILTER (late_ms > 0) AS late,
+       count(*) FILTER (late_ms > {WIDE.limit_ms}) AS beyond_window, max(late_ms) AS latest_by_ms
+FROM (SELECT *, max(measured_ms) OVER (PARTITION BY equipment_id, sensor_id ORDER BY arrival_seq
+                                       ROWS UNBOUNDED PRECEDING) - measured_ms AS late_ms FROM ({SHUFFLED}))
+GROUP BY equipment_id, sensor_id
+"""
+LIFE_MS = 30 * 86_400_000
+KEPT_FOR_LIFE = f"""
+WITH RECURSIVE lines AS (
+  SELECT l_linestatus || '|' || o_custkey % 7 || '|' || l_linenumber || '|P' AS dedup_key, o_orderkey AS arrival_seq,
+         first_value(epoch_ms(l_shipdate)) OVER w AS measured_ms, l_quantity AS value, row_number() OVER w AS line
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  WINDOW w AS (PARTITION BY l_orderkey, l_linenumber
+               ORDER BY l_shipdate, l_returnflag, 'P' || l_partkey, l_linestatus, l_quantity, l_suppkey)
+), copies AS (
+  SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY dedup_key, measured_ms ORDER BY arrival_seq, line) = 1
+), kept AS (
+  SELECT dedup_key, min(measured_ms) AS measured_ms FROM copies GROUP BY dedup_key
+  UNION ALL
+  SELECT c.dedup_key, min(c.measured_ms) FROM kept k JOIN copies c
+    ON c.dedup_key = k.dedup_key AND c.measured_ms >= k.measured_ms + {LIFE_MS}
+  GROUP BY c.dedup_key
+)
+SELECT dedup_key, measured_ms, arrival_seq, value FROM copies JOIN kept USING (dedup_key, measured_ms)
+"""
 EVENT_KEY = "equipment_id || ':' || sensor_type || ':' || severity || ':' || detected_ms"
 ENVELOPE = _rules(
     f"SELECT {EVENT_KEY} AS idempotencyKey, 'SensorViolation' AS eventType,"
@@ -374,6 +472,7 @@ ORACLES: dict[str, str] = {
     "document_rows": f"SELECT {_document} FROM ({READINGS})",
     "flatten_documents": f"SELECT {_document} FROM ({_good})",
     "storage_rows": f"SELECT {STORED} FROM ({READINGS})",
+    "dedup_ttl": KEPT_FOR_LIFE,
     "dedup_first": f"SELECT {DAY_KEY}, arrival_seq, value FROM ({FIRST_COPIES})",
     "storage_partition": f"""
         SELECT {STORED.replace(' sequence,', ' day_no AS sequence,')}, {PARTITION}
@@ -404,6 +503,13 @@ ORACLES: dict[str, str] = {
     "rules_default": _rules("SELECT * FROM evaluations", DENSE, 5, CONTRACT),
     "evaluations": _evaluated,
     "alerts": _alerted,
+    "evaluations_arrival": _rules("SELECT * FROM evaluations", SHUFFLED, arrival=True),
+    "alerts_arrival": _rules("SELECT * FROM alerts", SHUFFLED, arrival=True),
+    "rule1_arrival": _one_rule("NELSON_RULE_1", SHUFFLED, arrival=True),
+    "rule3_arrival": _one_rule("NELSON_RULE_3", SHUFFLED, arrival=True),
+    "rule1_own_limits": _one_rule("NELSON_RULE_1", OWN_LIMITS),
+    "bias_own_limits": _one_rule("BIAS_RATIO_RULE", OWN_LIMITS),
+    "late_readings": LATE,
     "severity_transitions": f"""
         SELECT * EXCLUDE (last_severity) FROM (
           SELECT *, lag(severity) OVER (PARTITION BY equipment_id, sensor_id
