@@ -56,6 +56,8 @@ class JobOptions:
     holds of one sensor. ``exact_dedup`` keeps a key exactly for its time to live, in
     Python state; without it the JVM keeps the key for one to two such times, much faster. ``files_per_partition`` is the number
     of tasks, hence files, a storage partition is spread over in one micro-batch.
+    ``landing_retention`` ("7d") is how long the landing names its files to readers; by
+    default it never forgets them.
     """
 
     bootstrap_servers: str = "localhost:9092"
@@ -72,4 +74,5 @@ class JobOptions:
     max_landed_files: int | None = 64
     exact_dedup: bool = False
     files_per_partition: int = 4
+    landing_retention: str | None = None
     rules: RuleOptions = RuleOptions()

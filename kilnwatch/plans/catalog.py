@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,17 +31,25 @@ from kilnwatch.operators.latest import latest_documents
 from kilnwatch.operators.projections import documents, reading_events, storage_rows
 from kilnwatch.operators.trailing import trailing_samples
 from kilnwatch.operators.transitions import transitions
-from kilnwatch.options import RuleOptions
+from kilnwatch.options import JobOptions, RuleOptions
 from kilnwatch.plans.alerts import alerts, evaluations
 from kilnwatch.schemas import ARRIVAL, BIAS, CAUTION, CRITICAL, NORMAL, READING, RULE_1, RULE_3, VIOLATION
-from kilnwatch.session import STATE_STORE_PROVIDER, shared_folder
+from kilnwatch.session import STATE_STORE_PROVIDER, shared_folder, written
 from kilnwatch.sinks.alerts import alert_files, write_alert_files
 from kilnwatch.sinks.documents import read_latest, read_rejected, upsert
 from kilnwatch.sinks.storage import PARTITIONS, partitioned_rows, write_storage
 from kilnwatch.sources.messages import parse_messages, poison_messages, read_message_files
 from kilnwatch.sources.tables import batches_from_orders, event_rows, readings_from_events
 from kilnwatch.streaming.dedup import first_copies_within_watermark
-from kilnwatch.streaming.jobs import readings_of, to_documents, to_files
+from kilnwatch.streaming.jobs import (
+    landed_poison,
+    landed_readings,
+    readings_of,
+    stored_once,
+    to_documents,
+    to_files,
+    to_landing,
+)
 from kilnwatch.streaming.monitor import monitor
 
 DAY_MS = 86_400_000
@@ -448,10 +456,10 @@ def alert_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams --------------------------------------------------------------------------
 
 
-def _drain(writer, spark: SparkSession, label: str) -> None:
+def _drain(writer, spark: SparkSession, label: str, checkpoint: str | None = None) -> None:
     """Run a stream over everything there is and wait for its end."""
     query = (
-        writer.option("checkpointLocation", shared_folder(spark, f"{label}-checkpoint"))
+        writer.option("checkpointLocation", checkpoint or shared_folder(spark, f"{label}-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -469,14 +477,23 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_folder(spark, "dedup")
-    readings = _repeated_readings(_readings(spark, sf_dir, streaming=True))
-    kept = first_copies_within_watermark(
-        readings.withColumn("ingested_at", F.col("measured_at")), "ingested_at", 40 * DAY_MS
-    )
-    _drain(to_files(kept, path), spark, "dedup")
+    """Copies arrive after the first ones, half of the events' days at a time; a key lives for two days of ingestion."""
+    source, path, checkpoint = (shared_folder(spark, f"dedup-{part}") for part in ("source", "kept", "checkpoint"))
+    given = _repeated_readings(_readings(spark, sf_dir)).withColumn("ingested_at", F.col("measured_at"))
+    copy = Window.partitionBy(dedup_key()).orderBy(*ARRIVAL)
+    numbered = written(given.withColumn("first", F.row_number().over(copy) == 1), "dedup-copies")
+    half = F.percentile_approx(F.unix_millis("created_at"), 0.5)
+    middle = numbered.agg(half.alias("middle_ms"))
+    dated = numbered.join(F.broadcast(middle)).withColumn("early", F.unix_millis("created_at") < F.col("middle_ms"))
+    wanted = T.StructType([*READING, T.StructField("ingested_at", T.TimestampType())])
+    for early, first in ((True, True), (True, False), (False, True), (False, False)):
+        part = dated.where((F.col("early") == early) & (F.col("first") == first))
+        part.select(*wanted.names).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(wanted).parquet(source)
+        kept = first_copies_within_watermark(stream, "ingested_at", 2 * DAY_MS)
+        _drain(to_files(kept, path), spark, "dedup", checkpoint)
     landed = spark.read.schema(READING).parquet(path)
-    return landed.select(dedup_key().alias("dedup_key"))
+    return landed.select(dedup_key().alias("dedup_key"), "arrival_seq", "value")
 
 
 def stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -519,6 +536,73 @@ def stream_alert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _received(spark.read.text(path))
 
 
+def _event_messages(readings: DataFrame) -> DataFrame:
+    """Every event as a message, each fiftieth sent twice, and each ninetieth once more with its end cut off."""
+    batch = F.struct(
+        F.col("batch_id").alias("batchId"),
+        F.col("device_id").alias("deviceId"),
+        F.col("equipment_id").alias("id"),
+        F.col("created_at").alias("createdAt"),
+        F.col("interval_sec").alias("intervalSec"),
+        F.array(
+            F.struct(
+                "sequence",
+                F.col("measured_at").alias("measuredAt"),
+                F.col("measurement_status").alias("status"),
+                F.array(
+                    F.struct(
+                        F.col("sensor_id").alias("sensorId"),
+                        F.col("sensor_type").alias("sensorType"),
+                        "value",
+                        F.col("recipe_min").alias("recipeMin"),
+                        F.col("recipe_max").alias("recipeMax"),
+                        "unit",
+                        F.col("sensor_status").alias("status"),
+                    )
+                ).alias("sensors"),
+            )
+        ).alias("measurements"),
+    )
+    text, number = F.to_json(batch), F.col("arrival_seq")
+    sent = F.array(
+        F.struct(text.alias("value"), (number * 3).alias("arrival_seq")),
+        F.when(number % 50 == 0, F.struct(text.alias("value"), (number * 3 + 1).alias("arrival_seq"))),
+        F.when(
+            number % 90 == 0, F.struct(F.expr("left(text, 40)").alias("value"), (number * 3 + 2).alias("arrival_seq"))
+        ),
+    )
+    return readings.withColumn("text", text).select(F.inline(F.array_compact(sent)))
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages are landed once; storage, documents, alerts and the quarantine come from the landing."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
+    base, sent = shared_folder(spark, "fan-out"), shared_folder(spark, "fan-out-messages")
+    messages = _event_messages(_readings(spark, sf_dir))
+    messages.write.parquet(sent)
+    landing = f"{base}/landing"
+    _drain(to_landing(spark.readStream.schema(messages.schema).parquet(sent), landing), spark, "landing")
+    options = JobOptions()
+    _drain(to_files(stored_once(landed_readings(spark, landing), options), f"{base}/readings", *PARTITIONS), spark, "storage")
+    _drain(to_documents(landed_readings(spark, landing), f"{base}/documents"), spark, "documents")
+    _drain(to_files(monitor(landed_readings(spark, landing), RULES, True), f"{base}/alerts"), spark, "alerts")
+    stored = _stored(spark, f"{base}/readings")
+    alerted = spark.read.schema(_EVALUATED).parquet(f"{base}/alerts")
+    nothing = F.lit(None).cast("double")
+
+    def item(*columns: str):
+        return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+
+    return (
+        stored.select(
+            F.lit("storage").alias("branch"), item("batchId", "equipmentId", "sequence", "sensorId").alias("item"), "value"
+        )
+        .union(read_latest(spark, f"{base}/documents").select(F.lit("documents"), "document_id", "value"))
+        .union(alerted.select(F.lit("alerts"), idempotency_key("full"), "measured_value"))
+        .union(landed_poison(spark, landing).select(F.lit("quarantine"), item("arrival_seq", "poison"), nothing))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_nested": flatten_nested,
     "flatten_gaps": flatten_gaps,
@@ -565,4 +649,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_evaluations": stream_evaluations,
     "stream_alerts": stream_alerts,
     "stream_alert_files": stream_alert_files,
+    "stream_fan_out": stream_fan_out,
 }

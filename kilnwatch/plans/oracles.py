@@ -407,11 +407,20 @@ ENVELOPE = _rules(
     f" {_iso('detected_ms')} AS detectedAt, {_iso('window_start_ms')} AS windowStart,"
     f" {_iso('window_end_ms')} AS windowEnd, sample_count AS sampleCount, reason FROM alerts"
 )
-DEVICE = (
-    "CASE event_id % 5 WHEN 0 THEN '..' WHEN 1 THEN '  ' WHEN 2 THEN NULL ELSE props END"
+SENT = f"""
+SELECT r.* REPLACE (arrival_seq * 3 + again AS arrival_seq)
+FROM ({READINGS}) r CROSS JOIN (VALUES (0), (1)) AS copies(again) WHERE again = 0 OR arrival_seq % 50 = 0
+"""
+FAN_OUT = _rules(
+    f"""SELECT 'storage' AS branch, batch_id || '|' || equipment_id || '|' || sequence || '|' || sensor_id AS item, value
+        FROM ({READINGS})
+        UNION ALL SELECT 'documents', equipment_id || '_' || sensor_id || '_' || measured_ms, value FROM ({READINGS})
+        UNION ALL SELECT 'alerts', {EVENT_KEY} || ':' || sensor_id || ':' || rule_name, measured_value FROM alerts
+        UNION ALL SELECT 'quarantine', (event_id * 3 + 2) || '|' ||
+            left('{{"batchId":"' || strftime(ts, '%Y-%m-%d') || '","deviceId":"D' || user_id % 4 || '","id":0', 40), NULL
+        FROM events WHERE event_id % 90 = 0""",
+    SENT,
 )
-
-
 def _latest_daily(unit: str = "unit") -> str:
     return f"""
 SELECT * EXCLUDE (age) FROM (
@@ -526,10 +535,11 @@ ORACLES: dict[str, str] = {
         f" {EVENT_KEY} || ':' || sensor_id || ':' || rule_name AS full_key FROM alerts"
     ),
     "stream_ingest": f"{_good} UNION ALL {_quoted}",
-    "stream_dedup": f"SELECT {DAY_KEY} FROM ({FIRST_COPIES})",
+    "stream_dedup": f"SELECT {DAY_KEY}, arrival_seq, value FROM ({FIRST_COPIES})",
     "stream_parquet": _stored,
     "stream_upsert": _latest,
     "stream_evaluations": _evaluated,
     "stream_alerts": _alerted,
     "stream_alert_files": ENVELOPE,
+    "stream_fan_out": FAN_OUT,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from kilnwatch import schemas as S
 from kilnwatch.functions.time import whole_millis
+from kilnwatch.operators.flatten import POISON
 from kilnwatch.options import JobOptions
 
 # Strict JSON; the parser marks a row it could not read completely in CORRUPT.
@@ -198,12 +199,22 @@ def valid_batches(parsed: DataFrame) -> DataFrame:
     return parsed.select(*[c for c in parsed.columns if c != "batch"], kept)
 
 
-def poison_messages(parsed: DataFrame) -> DataFrame:
-    """A3: the messages to quarantine. Empty ones and JSON ``null`` are not poison."""
+def _unreadable() -> Column:
+    """Empty messages and JSON ``null`` are not poison."""
     text = F.trim("value")
     empty = F.col("value").isNull() | (text == "") | (text == "null")
+    return F.col("batch").isNull() & ~empty
+
+
+def with_poison(parsed: DataFrame) -> DataFrame:
+    """A3: add the text of a message that could not be read as ``poison``."""
+    return parsed.withColumn(POISON, F.when(_unreadable(), F.col("value")))
+
+
+def poison_messages(parsed: DataFrame) -> DataFrame:
+    """A3: the messages to quarantine."""
     others = [c for c in parsed.columns if c != "batch"]
-    once = F.when(F.col("batch").isNull() & ~empty, F.array(F.lit(True)))
+    once = F.when(_unreadable(), F.array(F.lit(True)))
     return parsed.select(*others, F.explode(once).alias("_poison")).drop("_poison")
 
 

@@ -6,13 +6,15 @@ exactly once, whatever reads it afterwards.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from kilnwatch.operators.flatten import flatten_batches
+from kilnwatch.operators.flatten import POISON, flatten_batches, flatten_with_poison
 from kilnwatch.options import JobOptions
 from kilnwatch.schemas import READING
 from kilnwatch.sinks.alerts import alert_topic
@@ -22,9 +24,9 @@ from kilnwatch.session import STATE_STORE_PROVIDER
 from kilnwatch.sources.messages import (
     count_messages,
     parse_messages,
-    poison_messages,
     read_topic,
     valid_batches,
+    with_poison,
 )
 from kilnwatch.streaming.dedup import HOUR_MS, first_copies_with_ttl, first_copies_within_watermark
 from kilnwatch.streaming.monitor import monitor
@@ -64,60 +66,61 @@ def to_documents(readings: DataFrame, path: str, run: str | None = None) -> Data
 
 
 LANDED = T.StructType([*READING, T.StructField(INGESTED_AT, T.TimestampType())])
+KIND, A_READING, A_POISON = "kind", "reading", "poison"
+_LANDING = T.StructType([*LANDED, T.StructField(POISON, T.StringType()), T.StructField(KIND, T.StringType())])
 
 
-def land(readings: DataFrame, path: str) -> DataStreamWriter:
-    """Write readings with the time they were taken in, which never runs backwards."""
-    return to_files(readings.withColumn(INGESTED_AT, F.current_timestamp()), path)
+def to_landing(messages: DataFrame, path: str, retention: str | None = None) -> DataStreamWriter:
+    """One parse per message lands its readings, or its text if it is poison, exactly once.
 
+    Spark's file sink publishes the files of a micro-batch by one entry in its log; readers of the
+    folder take what the log names. What a crash leaves behind is in no entry, and a repeated
+    micro-batch is written anew under other names. Readings carry the time they were taken in.
+    ``retention`` ("7d") has the log forget older files; it must cover the slowest reader's lag.
+    Counts of received, valid and skipped messages appear in the query's progress.
+    """
+    parsed = with_poison(count_messages(parse_messages(messages)))
+    rows = flatten_with_poison(parsed).withColumns(
+        {
+            INGESTED_AT: F.current_timestamp(),
+            KIND: F.when(F.col(POISON).isNull(), F.lit(A_READING)).otherwise(F.lit(A_POISON)),
+        }
+    )
+    writer = to_files(rows.select(*_LANDING.names), path, KIND)
+    return writer.option("retention", retention) if retention else writer
 
-def to_landing_and_quarantine(
-    messages: DataFrame, landing: str, quarantine: str, run: str | None = None
-) -> DataStreamWriter:
-    """One parse per message; readings are landed, poison is kept with its text.
 
-    Each micro-batch writes folders named by run and number; a replay of one that was whole
-    writes nothing. A crash while files are being moved may land some of them twice, which
-    the storage's dedup and the documents' ids absorb. Counts of received, valid and skipped
-    messages appear in the query's progress.
-    """
-    run = run or new_run()
-    parsed = count_messages(parse_messages(messages))
+def landed_readings(
+    spark: SparkSession, path: str, max_files: int | None = None
+) -> DataFrame:
+    """The landed readings as a stream; ``max_files`` bounds what one micro-batch takes in."""
+    reader = spark.readStream.schema(_LANDING)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path).where(F.col(KIND) == A_READING).select(*LANDED.names)
 
-    def apply(batch: DataFrame, epoch: int) -> None:
-        folder = f"run={run}/batch={epoch}"
-        batch.persist()
-        try:
-            readings = flatten_batches(valid_batches(batch)).withColumn(INGESTED_AT, F.current_timestamp())
-            if not _whole(batch.sparkSession, f"{quarantine}/{folder}"):
-                if not _whole(batch.sparkSession, f"{landing}/{folder}"):
-                    readings.write.mode("overwrite").parquet(f"{landing}/{folder}")
-                poison_messages(batch).write.mode("overwrite").parquet(f"{quarantine}/{folder}")
-        finally:
-            batch.unpersist()
 
-    return parsed.writeStream.foreachBatch(apply)
+def landed_poison(spark: SparkSession, path: str) -> DataFrame:
+    """A3: the quarantine: texts that could not be read, with the order and time of their arrival."""
+    rows = spark.read.schema(_LANDING).parquet(path).where(F.col(KIND) == A_POISON)
+    return rows.select("arrival_seq", INGESTED_AT, POISON)
+
 
+def await_landing(spark: SparkSession, landing: StreamingQuery, path: str) -> None:
+    """Wait for the first entry in the landing's log, without which a reader would list the folder instead."""
+    while not _has_log(spark, path):
+        if not landing.isActive:
+            raise landing.exception() or RuntimeError("the landing query ended before it landed anything")
+        time.sleep(1)
 
-def _whole(spark: SparkSession, folder: str) -> bool:
-    """Whether Spark has committed a write to the folder."""
+
+def _has_log(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.text(f"{folder}/_SUCCESS")
+        return not spark.read.text(f"{path}/_spark_metadata").isEmpty()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return False
-    return True
-
-
-def landed_readings(
-    spark: SparkSession, path: str, max_files: int | None = None
-) -> DataFrame:
-    """The landed readings as a stream; ``max_files`` bounds what one micro-batch takes in."""
-    reader = spark.readStream.schema(LANDED)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
 
 
 def stored_once(landed: DataFrame, options: JobOptions) -> DataFrame:
@@ -147,7 +150,10 @@ def start(writer: DataStreamWriter, options: JobOptions, name: str) -> Streaming
 
 
 def run(spark: SparkSession, options: JobOptions) -> dict[str, StreamingQuery]:
-    """Start the whole job against the topics named in ``options``."""
+    """Start the whole job against the topics named in ``options``.
+
+    The branches start once the landing has committed its first micro-batch.
+    """
     missing = [
         name
         for name in ("source_topic", "output_path", "violations_topic", "checkpoint_dir")
@@ -160,13 +166,12 @@ def run(spark: SparkSession, options: JobOptions) -> dict[str, StreamingQuery]:
     base = options.output_path.rstrip("/")
     landing = f"{base}/_landing"
     checkpoints = options.checkpoint_dir.rstrip("/")
-    arriving = to_landing_and_quarantine(
-        read_topic(spark, options), landing, f"{base}/_quarantine", run_of(spark, f"{checkpoints}/landing")
-    )
+    arriving = to_landing(read_topic(spark, options), landing, options.landing_retention)
     queries = {"landing": start(arriving, options, "landing")}
+    await_landing(spark, queries["landing"], landing)
 
     def landed() -> DataFrame:
-        return landed_readings(spark, f"{landing}/*/*", options.max_landed_files)
+        return landed_readings(spark, landing, options.max_landed_files)
 
     branches = {
         "storage": to_files(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import time
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from fold import evaluate, random_readings, transitions
 from helpers import evaluation_tuples, frame, from_fold, instant, reading, tidy
 
@@ -18,15 +21,14 @@ from kilnwatch.sinks.storage import PARTITIONS
 from kilnwatch.sources.messages import read_message_files
 from kilnwatch.streaming.dedup import first_copies_with_ttl, first_copies_within_watermark
 from kilnwatch.streaming.jobs import (
-    land as landing,
+    landed_poison,
     landed_readings,
-    readings_of,
     run,
     start,
     stored_once,
     to_documents,
     to_files,
-    to_landing_and_quarantine,
+    to_landing,
 )
 from kilnwatch.streaming.monitor import monitor
 
@@ -137,9 +139,9 @@ def test_messages_to_storage(spark):
     options = JobOptions(
         checkpoint_dir=f"{base}/checkpoints", checkpoint_interval_ms=500, exact_dedup=False
     )
-    source = readings_of(read_message_files(spark, messages, streaming=True))
+    source = read_message_files(spark, messages, streaming=True)
     for name, writer in (
-        ("landing", lambda: landing(source, f"{base}/landing")),
+        ("landing", lambda: to_landing(source, f"{base}/landing", "7d")),
         (
             "storage",
             lambda: to_files(
@@ -153,7 +155,7 @@ def test_messages_to_storage(spark):
             query.processAllAvailable()
         finally:
             query.stop()
-    assert spark.read.parquet(f"{base}/landing").count() == 4
+    assert spark.read.parquet(f"{base}/landing").where("kind = 'reading'").count() == 4
     stored = spark.read.parquet(f"{base}/readings")
     assert sorted((r.sensorId, r.value, r.device) for r in stored.collect()) == [
         ("S1", 1.5, "D"), ("S2", None, "D"),
@@ -172,7 +174,7 @@ def test_one_landing_feeds_three_branches(spark):
     checkpoint = shared_folder(spark, "checkpoint")
     for _ in range(2):
         query = (
-            to_landing_and_quarantine(source, f"{base}/landing", f"{base}/poison", "r1")
+            to_landing(source, f"{base}/landing")
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -180,10 +182,10 @@ def test_one_landing_feeds_three_branches(spark):
         assert query.awaitTermination(120)
     counted = [p.observedMetrics for p in query.recentProgress if "messages" in p.observedMetrics]
     assert all(set(c["messages"].asDict()) == {"received", "valid", "skipped"} for c in counted)
-    assert [r.value for r in spark.read.parquet(f"{base}/poison/run=r1/batch=0").collect()] == ["}{"]
+    assert [r.poison for r in landed_poison(spark, f"{base}/landing").collect()] == ["}{"]
 
     def landed():
-        return landed_readings(spark, f"{base}/landing/*/*", max_files=2)
+        return landed_readings(spark, f"{base}/landing", max_files=2)
 
     options = JobOptions()
     drain(to_files(stored_once(landed(), options), f"{base}/readings", *PARTITIONS), spark)
@@ -195,16 +197,48 @@ def test_one_landing_feeds_three_branches(spark):
     assert spark.read.text(f"{base}/alerts").count() > 0
 
 
-def test_landing_again_writes_nothing(spark):
-    rows = spark.createDataFrame([("}{", 1)], "value string, arrival_seq bigint")
-    base = shared_folder(spark, "again")
-    source = shared_folder(spark, "source")
-    rows.write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).parquet(source)
+def test_a_killed_landing_lands_every_reading_once(spark, tmp_path):
+    """The first run dies while files are written; what it and another writer left behind is read by nobody."""
+    text = (
+        '{"batchId":"B","deviceId":"D","id":%d,"createdAt":"2026-06-13T00:00:00Z","measurements":'
+        '[{"sequence":1,"sensors":[{"sensorId":"S1","value":1.5}]}]}'
+    )
+    rows = spark.createDataFrame([(text % i, i) for i in range(40)] + [("}{", 40)], "value string, arrival_seq bigint")
+    source, base, mark = shared_folder(spark, "killed-source"), shared_folder(spark, "killed"), tmp_path / "dead"
+    rows.repartition(8).write.parquet(source)
+    landing, checkpoint = f"{base}/landing", shared_folder(spark, "checkpoint")
+
+    def dying(batches):
+        for batch in batches:
+            if (batch["arrival_seq"] == 17).any() and not mark.exists():
+                mark.touch()
+                time.sleep(5)
+                raise RuntimeError("killed")
+            yield batch
+
+    def attempt():
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        return (
+            to_landing(stream.mapInPandas(dying, rows.schema), landing)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    with pytest.raises(StreamingQueryException):
+        attempt().awaitTermination(120)
     for _ in range(2):
-        drain(to_landing_and_quarantine(stream, f"{base}/landing", f"{base}/poison", "r1"), spark)
-    files = spark.read.parquet(f"{base}/poison/run=r1/batch=0")
-    assert files.count() == 1
+        assert attempt().awaitTermination(120)
+    # A file that a killed writer did not live to publish.
+    part = next(Path(landing, "kind=reading").glob("part-*.parquet"))
+    shutil.copy(part, part.with_name("part-99999-left-behind.snappy.parquet"))
+    assert len(list(Path(landing).rglob("part-*"))) > len(set(spark.read.parquet(landing).inputFiles()))
+
+    path = f"{base}/alerts"
+    drain(alert_files(monitor(landed_readings(spark, landing), RuleOptions(min_batches=0), False), path), spark)
+    found = spark.read.json(path).selectExpr("payload.equipmentId AS id", "payload.ruleName AS rule").collect()
+    assert sorted(r.id for r in found if r.rule == "NELSON_RULE_3") == list(range(40))
+    assert [r.arrival_seq for r in landed_poison(spark, landing).collect()] == [40]
 
 
 def test_job_needs_a_checkpoint_folder(spark):
