@@ -5,10 +5,13 @@ represented by one of them. A set is embedded as ``LANES`` MinHash coordinates.
 with all sets in one bucket and splits it on sampled coordinates, the tokens that similar sets share: a coordinate is
 taken with probability 1 / (0.8 LANES), by a hash of the path that led to the bucket, so that all its sets choose alike.
 Buckets of at most ``LEAF`` sets are compared by brute force; larger ones are split again, with ``AGAIN`` times the
-coordinates, so that two similar sets do not part more and more often the deeper the split. Two sets at similarity 0.8
+coordinates, so that two similar sets do not part more and more often the deeper the split. A bucket of at most ``HELD``
+sets is split to its end inside one task, larger ones by a shuffle for each level. Two sets at similarity 0.8
 meet in a run with probability 0.63 after one split and 0.55 after ``DEPTH``; ``RUNS`` is the number of runs that misses
-less than ``MISSED`` of them at any depth. Sets whose buckets are still large after ``DEPTH`` splits form crowds, the
-components of such buckets; all pairs of a crowd are compared once, as pairs of blocks.
+less than ``MISSED`` of them at any depth. Splitting a large bucket of sets that mostly resemble each other would only
+multiply them, so such a bucket, told by the mean agreement of ``VOTES`` one-bit coordinates, is split no further. These
+buckets, and those still large after ``DEPTH`` splits, form crowds, the components they are linked to; all pairs of a
+crowd are compared once, as pairs of blocks.
 
 What buckets yield are trees of similar sets, whose components hold all links. Inside a component the exact Jaccard
 similarity of all pairs is computed once, as products of incidence matrices; components beyond ``BLOCK`` sets or
@@ -24,13 +27,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from kilnwatch.llm.components import components
 from kilnwatch.llm.hashing import STEP, WHITE, Words, mix
@@ -44,13 +47,17 @@ DEPTH = 4
 #: Coordinates taken in a further split, as a multiple of those in the first.
 AGAIN = 2
 LEAF = 256
+#: Sets of a bucket that one task holds.
+HELD = 16384
+#: One-bit coordinates that tell how alike the sets of a large bucket are, and the mean similarity to split no further.
+VOTES = 16
+DENSE = 0.5
 #: Estimated similarity from which two sets are candidates: 4.5 standard errors of 64 coordinates below 0.8.
 CANDIDATE = 0.575
 BLOCK = 2048
 BLOCK_SHINGLES = 4 << 20
 
 
-
 def survival(agreeing: int) -> float:
     """Least chance that two sets with so many equal coordinates share a bucket after 1 to DEPTH splits of a run."""
     below = 1.0
@@ -70,7 +77,7 @@ def missed(runs: int) -> float:
 
 RUNS = next(runs for runs in range(1, 1000) if missed(runs) < MISSED)
 
-SIGNED = "doc_id bigint, k1 bigint, k2 bigint, n bigint, lanes binary"
+SIGNED = "doc_id bigint, text_key bigint, k1 bigint, k2 bigint, n bigint, votes int, lanes binary"
 PATHS = "rep bigint, path bigint, run int"
 
 
@@ -117,6 +124,17 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def votes(lanes: np.ndarray) -> np.ndarray:
+    """The lowest bits of the first VOTES coordinates of each set, as a number."""
+    bits = (lanes[:, :VOTES] & np.uint32(1)).astype(np.int32)
+    return bits @ (1 << np.arange(VOTES, dtype=np.int32))
+
+
+def _text_key() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64("text", F.length("text")).alias("text_key")
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """Two keys that equal sets share, the size of the set and its coordinates; empty sets are left out."""
 
@@ -129,14 +147,17 @@ def signed(docs: DataFrame) -> DataFrame:
         k1, k2 = keys(values, bounds)
         lanes = signatures(values, bounds)
         return {
-            "doc_id": batch.column(0).take(pa.array(full)),
+            "doc_id": batch.column("doc_id").take(pa.array(full)),
+            "text_key": batch.column("text_key").take(pa.array(full)),
             "k1": k1,
             "k2": k2,
             "n": sizes[full],
+            "votes": votes(lanes),
             "lanes": [row.tobytes() for row in lanes],
         }
 
-    return map_texts(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), "text", SIGNED, work)
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _text_key())
+    return map_texts(texts, "text", SIGNED, work)
 
 
 def chosen(paths: np.ndarray, times: int) -> np.ndarray:
@@ -185,21 +206,51 @@ def _split(rows: DataFrame, first: bool) -> DataFrame:
     return rows.mapInArrow(run, PATHS)
 
 
+def dense_paths(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """The paths of the buckets whose sets mostly resemble each other.
+
+    Two sets agree in a bit with probability (1 + similarity) / 2, and a bucket's share of agreeing pairs follows from
+    its sums of bits alone.
+    """
+    count = F.count("*").cast("double")
+    shares = [F.sum(F.shiftright("votes", bit).bitwiseAND(F.lit(1))) / count for bit in range(VOTES)]
+    agreeing = reduce(Column.__add__, [share * share + (1 - share) * (1 - share) for share in shares]) / VOTES
+    voted = large.select("path", "rep").join(sets.select("rep", "votes"), "rep")
+    return voted.groupBy("path").agg((agreeing * 2 - 1).alias("similarity")).where(F.col("similarity") >= DENSE).select("path")
+
+
+def _mean_similarity(lanes: np.ndarray) -> float:
+    """The same of sets at hand."""
+    shares = ((votes(lanes)[:, None] >> np.arange(VOTES)) & 1).mean(axis=0)
+    return float((shares**2 + (1 - shares) ** 2).mean() * 2 - 1)
+
+
 def leaves(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """rep and leaf: the buckets in which sets are compared; and u, v: stars of the buckets that stay large."""
+    """rep, leaf and depth: the buckets that a task works on; and u, v: stars of the large buckets not split further."""
     level = written(_split(sets.select("rep", "lanes"), True), "paths")
-    found = None
+    found = stars = None
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count("*").alias("count"), F.min("rep").alias("first")).where("count > 1")
         sized = level.join(sizes, "path")
-        small = sized.where(F.col("count") <= LEAF).select("rep", F.col("path").alias("leaf"))
-        found = small if found is None else found.union(small)
-        large = written(sized.where(F.col("count") > LEAF).select("rep", "path", "run", "first"), "large")
+        small = F.col("count") <= LEAF
+        large = written(sized.where(~small).select("rep", "path", "run", "first", "count"), "large")
+        named = F.lit(depth).alias("depth")
+        parts = [sized.where(small).select("rep", F.col("path").alias("leaf"), named)]
+        if not large.isEmpty():
+            whole = written(dense_paths(large, sets) if depth < DEPTH else large.select("path").distinct(), "dense")
+            star = large.join(whole, "path", "left_semi").select(F.col("rep").alias("u"), F.col("first").alias("v"))
+            star = written(star.distinct(), "stars")
+            stars = star if stars is None else stars.union(star)
+            rest = large.join(whole, "path", "left_anti")
+            held = F.col("count") <= HELD
+            parts.append(rest.where(held).select("rep", F.col("path").alias("leaf"), named))
+            large = rest.where(~held)
+        for part in parts:
+            found = part if found is None else found.union(part)
         if large.isEmpty():
-            return found, None
-        if depth < DEPTH:
-            level = written(_split(large.join(sets.select("rep", "lanes"), "rep"), False), "paths")
-    return found, large.select(F.col("rep").alias("u"), F.col("first").alias("v"))
+            break
+        level = written(_split(large.join(sets.select("rep", "lanes"), "rep"), False), "paths")
+    return found, stars
 
 
 def forest(similar: np.ndarray) -> list[tuple[int, int]]:
@@ -222,12 +273,54 @@ def forest(similar: np.ndarray) -> list[tuple[int, int]]:
 
 def _alike(own: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Which pairs of sets have an estimated similarity of CANDIDATE, from their coordinates."""
+    # Half of each coordinate tells nearly as much, and is compared twice as fast.
+    own, other = own.astype(np.uint16), other.astype(np.uint16)
     equal = np.zeros((len(own), len(other)), np.uint8)
     for lane in range(LANES):
         equal += own[:, lane, None] == other[None, :, lane]
     return equal >= CANDIDATE * LANES
 
 
+def bucket_links(lanes: np.ndarray, path: np.uint64, depth: int, leaf: int, deepest: int) -> list[tuple[int, int]]:
+    """Trees of the candidates of a bucket, which is split to its end."""
+    count = len(lanes)
+    if count <= leaf:
+        return forest(_alike(lanes, lanes)) if count > 1 else []
+    if depth >= deepest or _mean_similarity(lanes) >= DENSE:
+        return _by_blocks(lanes)
+    out = []
+    for lane in np.flatnonzero(chosen(np.array([path]), AGAIN)[0]).tolist():
+        order = np.argsort(lanes[:, lane], kind="stable")
+        values = lanes[order, lane]
+        starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        names = mix(mix(np.array([path]) + np.uint64(1)) ^ mix((np.uint64(lane) << np.uint64(32)) | values[starts]))
+        for name, rows in zip(names, np.split(order, starts[1:]), strict=True):
+            if len(rows) > 1:
+                out += [(int(rows[a]), int(rows[b])) for a, b in bucket_links(lanes[rows], name, depth + 1, leaf, deepest)]
+    return out
+
+
+def _by_blocks(lanes: np.ndarray) -> list[tuple[int, int]]:
+    """Trees of the candidates among all pairs, a pair of blocks at a time."""
+    out = []
+    starts = range(0, len(lanes), 1024)
+    for i in starts:
+        for j in starts:
+            if j < i:
+                continue
+            own = lanes[i : i + 1024]
+            if i == j:
+                out += [(i + a, i + b) for a, b in forest(_alike(own, own))]
+                continue
+            alike = _alike(own, lanes[j : j + 1024])
+            both = np.zeros((sum(alike.shape),) * 2, bool)
+            both[: len(own), len(own) :] = alike
+            both[len(own) :, : len(own)] = alike.T
+            place = np.concatenate([np.arange(i, i + len(own)), np.arange(j, j + alike.shape[1])])
+            out += [(int(place[a]), int(place[b])) for a, b in forest(both)]
+    return out
+
+
 def crowd_links(sets: DataFrame, stars: DataFrame) -> DataFrame:
     """u, v: trees of the candidates inside the components of large buckets; every pair of a crowd is compared."""
     crowds = components(stars, "crowds").withColumnRenamed("node", "rep")
@@ -249,7 +342,7 @@ def crowd_links(sets: DataFrame, stars: DataFrame) -> DataFrame:
             for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 group = table.slice(first, last - first)
                 reps, blocks = group.column("rep").to_numpy(), group.column("block").to_numpy()
-                lanes = _lanes(group.column("lanes")).astype(np.uint16)
+                lanes = _lanes(group.column("lanes"))
                 i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
                 own, other = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
                 alike = _alike(lanes[own], lanes[other])
@@ -272,26 +365,27 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     small, stars = leaves(sets)
     rows = small.join(sets.select("rep", "lanes"), "rep")
     schema = _arrow_schema(sets.sparkSession, "u bigint, v bigint")
+    most, deepest = LEAF, DEPTH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in whole_groups(batches, ["leaf"]):
-            reps = table.column("rep").to_numpy()
-            lanes = _lanes(table.column("lanes")).astype(np.uint16)
+            reps, paths, depths = (table.column(c).to_numpy() for c in ("rep", "leaf", "depth"))
+            lanes = _lanes(table.column("lanes"))
             pairs: list[tuple[int, int]] = []
             for first, last in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if last - first < 2:
-                    continue
                 if last - first == 2:
                     if np.count_nonzero(lanes[first] == lanes[first + 1]) >= CANDIDATE * LANES:
                         pairs.append((first, first + 1))
                     continue
-                own = lanes[first:last]
-                pairs += [(first + a, first + b) for a, b in forest(_alike(own, own))]
+                path = paths[first].view(np.uint64)
+                trees = bucket_links(lanes[first:last], path, int(depths[first]), most, deepest)
+                pairs += [(first + a, first + b) for a, b in trees]
             if pairs:
                 u, v = np.array(pairs).T
                 yield pa.RecordBatch.from_arrays([pa.array(reps[u]), pa.array(reps[v])], schema=schema)
 
-    compared = rows.select("leaf", "rep", "lanes").repartition("leaf").sortWithinPartitions("leaf", "rep")
+    dealt = rows.select("leaf", "depth", "rep", "lanes").repartition("leaf")
+    compared = dealt.sortWithinPartitions("leaf", "rep")
     links = compared.mapInArrow(run, "u bigint, v bigint")
     return (links if stars is None else links.union(crowd_links(sets, stars))).distinct()
 
@@ -380,53 +474,37 @@ def _verify(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, VERIFIED)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """The rows that have an id and words, with the keys of their sets as ``set_k1`` and ``set_k2``."""
-    schema = docs.select("*", *(F.lit(None).cast("bigint").alias(k) for k in ("set_k1", "set_k2"))).schema
-    fields = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                values, bounds = shingle_sets(as_bytes(piece, "text"))
-                full = piece.take(pa.array(np.flatnonzero(np.diff(bounds))))
-                if full.num_rows:
-                    k1, k2 = keys(values, bounds)
-                    columns = [c.cast(f.type) for c, f in zip(full.columns, fields, strict=False)]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(k1), pa.array(k2)], schema=fields)
-
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, schema)
-
-
 def packed(docs: DataFrame) -> DataFrame:
-    """A text of each id and set, under zstandard, which makes the shuffle of texts a third as large."""
-    names = "doc_id bigint, k1 bigint, k2 bigint, packed binary"
+    """A text of each id and key, under zstandard, which makes the shuffle of texts a third as large."""
+    names = "doc_id bigint, text_key bigint, packed binary"
     schema = _arrow_schema(docs.sparkSession, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = pa.array([packer.compress(t) for t in as_bytes(batch, "text")], pa.binary())
-            columns = [batch.column(c) for c in ("doc_id", "set_k1", "set_k2")]
-            yield pa.RecordBatch.from_arrays([*columns, texts], schema=schema)
+            for piece in pieces(batch, "text"):
+                texts = pa.array([packer.compress(text) for text in as_bytes(piece, "text")], pa.binary())
+                columns = [piece.column(c) for c in ("doc_id", "text_key")]
+                yield pa.RecordBatch.from_arrays([*columns, texts], schema=schema)
 
-    rows = keyed(docs.select("doc_id", "text")).mapInArrow(run, names)
-    return rows.groupBy("doc_id", "k1", "k2").agg(F.first("packed").alias("packed"))
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _text_key())
+    return texts.mapInArrow(run, names).groupBy("doc_id", "text_key").agg(F.first("packed").alias("packed"))
 
 
 def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The signed rows; and of each set its keys, a number of its class, the class's least id and the links of a row."""
     sets = written(signed(docs), "signed")
+    own = F.min(F.struct("doc_id", "text_key"))
     grouped = sets.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("n").alias("n"),
-        F.min_by("lanes", "doc_id").alias("lanes"),
+        own["doc_id"].alias("least"), own["text_key"].alias("text_key"), F.count("*").alias("copies"),
+        F.first("n").alias("n"), F.first("votes").alias("votes"), F.first("lanes").alias("lanes"),
     )
     # Ids may hold several texts, so sets are numbered by themselves.
     reps = written(grouped.withColumn("rep", F.monotonically_increasing_id()), "sets")
     near = components(candidate_links(reps), "candidates")
     members = written(
-        near.join(reps.select("rep", "least", "k1", "k2", "copies", "n"), F.col("node") == F.col("rep")).select(
-            "rep", "least", "k1", "k2", "component", "copies", "n"
+        near.join(reps.select("rep", "least", "text_key", "copies", "n"), F.col("node") == F.col("rep")).select(
+            "rep", "least", "text_key", "component", "copies", "n"
         ),
         "members",
     )
@@ -434,12 +512,12 @@ def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
     )
     dealt = members.join(sizes, "component").select(
-        "rep", F.col("least").alias("doc_id"), "k1", "k2", "component", "copies", "blocks",
+        "rep", F.col("least").alias("doc_id"), "text_key", "component", "copies", "blocks",
         F.pmod(F.xxhash64("rep"), "blocks").alias("block"),
     )
     dealt = (
         # Members grow with the corpus: a plan that broadcasts them while they are few would not last.
-        dealt.hint("merge").join(packed(docs), ["doc_id", "k1", "k2"])
+        dealt.hint("merge").join(packed(docs), ["doc_id", "text_key"])
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .select(
             "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
@@ -485,15 +563,24 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     sets, known = _classified(docs)
     names = docs.columns
+    key, group, place = (_unused(name, names) for name in ("row_key", "row_class", "row_place"))
+    members = known.join(sets.select("doc_id", "text_key", "k1", "k2"), ["k1", "k2"]).where("doc_id = class_id")
+    least = members.groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("set"))
     kept = (
-        known.join(sets.select("doc_id", "k1", "k2"), ["k1", "k2"])
-        .where("doc_id = class_id")
-        .groupBy("class", "doc_id")
-        .agg(F.min(F.struct(F.col("k1").alias("set_k1"), F.col("k2").alias("set_k2"))).alias("set"))
-        .select("doc_id", "set.*")
+        members.join(least, "class")
+        .where(F.struct("k1", "k2") == F.col("set"))
+        .select(F.struct("doc_id", "text_key").alias(key), F.col("class").alias(group))
+        .distinct()
     )
-    keys_of_rows = ["doc_id", "set_k1", "set_k2"]
-    order = Window.partitionBy(*keys_of_rows).orderBy("text", *(c for c in names if c not in ("doc_id", "text")))
-    place = F.row_number().over(order)
-    single = keyed(docs).withColumn("set_place", place).where("set_place = 1").join(kept, keys_of_rows, "left_semi")
+    order = Window.partitionBy(group).orderBy("text", *(c for c in names if c not in ("doc_id", "text")))
+    rows = docs.where("doc_id IS NOT NULL").withColumn(key, F.struct("doc_id", _text_key()))
+    single = rows.join(kept, key).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return single.select(*names).union(_alone(docs))
+
+
+def _unused(name: str, names: list[str]) -> str:
+    """``name`` with as many underscores as no column's name has."""
+    taken = {n.lower() for n in names}
+    while name in taken:
+        name += "_"
+    return name

@@ -76,16 +76,20 @@ def test_classes(documents, seed):
     assert found == plain_classes(rows)
 
 
-def test_large_groups_are_split_and_dealt_as_blocks(documents, monkeypatch):
+@pytest.mark.parametrize("held", [6, 1 << 14])
+def test_large_groups_are_split_and_dealt_as_blocks(documents, monkeypatch, held):
     monkeypatch.setattr(jaccard, "LEAF", 8)
+    monkeypatch.setattr(jaccard, "HELD", held)
     monkeypatch.setattr(jaccard, "BLOCK", 5)
     rows = near_copies(4, groups=3, size=40)
     found = Counter(map(tuple, jaccard.jaccard_classes(documents(rows)).collect()))
     assert found == plain_classes(rows)
 
 
-def test_pairs_inside_large_buckets_meet(documents, monkeypatch):
+@pytest.mark.parametrize("held", [6, 1 << 14])
+def test_pairs_inside_large_buckets_meet(documents, monkeypatch, held):
     monkeypatch.setattr(jaccard, "LEAF", 4)
+    monkeypatch.setattr(jaccard, "HELD", held)
     monkeypatch.setattr(jaccard, "BLOCK", 16)
     rng = random.Random(12)
     template, rows = prose(rng, 70), []
@@ -97,6 +101,40 @@ def test_pairs_inside_large_buckets_meet(documents, monkeypatch):
     assert Counter(map(tuple, jaccard.jaccard_classes(documents(rows)).collect())) == want
 
 
+def test_a_bucket_is_split_to_its_end():
+    """Of a bucket of pairs, each pair meets about as often as the survival over all splits says; dense ones always."""
+    rng = np.random.default_rng(8)
+    lanes = rng.integers(0, 1 << 32, (1200, jaccard.LANES), np.uint32)
+    lanes[1::2] = np.where(rng.random((600, jaccard.LANES)) < 0.8, lanes[::2], lanes[1::2])
+    met = set()
+    runs = 8
+    for run in range(runs):
+        path = np.uint64(run * 77 + 5)
+        pairs = jaccard.bucket_links(lanes, path, 1, 16, jaccard.DEPTH)
+        assert all(a // 2 == b // 2 for a, b in pairs)
+        met |= {a // 2 for a, _ in pairs}
+    agreeing = (lanes[::2] == lanes[1::2]).sum(axis=1)
+    expected = sum(1 - (1 - jaccard.survival(int(n))) ** runs for n in agreeing if n >= jaccard.CANDIDATE * jaccard.LANES)
+    assert len(met) >= 0.97 * expected
+    same = np.where(rng.random((3000, jaccard.LANES)) < 0.9, lanes[0], rng.integers(0, 1 << 32, (3000, jaccard.LANES), np.uint32))
+    links = jaccard.bucket_links(same, np.uint64(3), 1, 16, jaccard.DEPTH)
+    reached = {0}
+    for a, b in sorted(links):
+        reached |= {a, b}
+    assert len(reached) == 3000
+
+
+def test_clashing_columns_of_one_of_each(documents):
+    rows = near_copies(7)
+    plain = documents(rows)
+    names = ("row_key", "row_class", "row_place", "set_k1", "k1", "class", "class_id", "text_key", "Row_Key_")
+    extra = plain.selectExpr("*", *[f"doc_id AS {n}" for n in names])
+    kept = jaccard.one_of_each(extra)
+    assert kept.columns == extra.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in jaccard.one_of_each(plain).collect())
+    assert sorted(map(tuple, jaccard.jaccard_classes(extra).collect())) == sorted(map(tuple, jaccard.jaccard_classes(plain).collect()))
+
+
 def test_runs_cover_all_splits():
     # A pair at 0.8 in buckets that are split DEPTH times, drawn from the chosen coordinates themselves.
     rng = np.random.default_rng(3)
