@@ -34,6 +34,18 @@ BREAK = 0xD800
 #: White space of the pattern: Unicode's White_Space property, fixed values.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
+#: Letters and numbers of Unicode 16, which the pattern's engine knows and Python's tables may not yet; fixed values.
+NEWER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+    (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NEWER_NUMBERS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+    (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+
 # Classes of code points. A white space that another one follows, or the text's end, is INNER; the last one before
 # other text is LAST or, for U+0020, BLANK. S1 and S2 start a contraction of two or three characters.
 SEP, LETTER, DIGIT, OTHER, INNER, LAST, BLANK, S1, S2 = range(9)
@@ -108,6 +120,9 @@ def _classes() -> np.ndarray:
             found[point] = LETTER
         elif kind == "N":
             found[point] = DIGIT
+    for ranges, kind in ((NEWER_LETTERS, LETTER), (NEWER_NUMBERS, DIGIT)):
+        for first, last in ranges:
+            found[first : last + 1] = kind
     found[WHITE] = INNER
     found[BREAK] = SEP
     return found

@@ -7,6 +7,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -47,6 +48,18 @@ def test_tokens_of_long_runs(reference):
         assert tokens.encode([text], PATH)[0].tolist() == reference.encode_ordinary(text)
 
 
+def test_every_code_point_in_three_contexts(reference):
+    points = [chr(p) for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF]
+    for before, after in (("", "'s "), ("a1", "1a "), (" ", ". ")):
+        texts = [
+            "".join(f"{before}{c}{after}" for c in points[at : at + 4096]) for at in range(0, len(points), 4096)
+        ]
+        ids, ends = tokens.encode(texts, PATH)
+        found = np.split(ids, ends[:-1])
+        for k, want in enumerate(reference.encode_ordinary_batch(texts)):
+            assert found[k].tolist() == want, hex(k * 4096)
+
+
 def test_token_queries(documents, reference):
     rows = texts()
     found = Counter(map(tuple, tokens.token_digests(documents(rows), PATH).collect()))
