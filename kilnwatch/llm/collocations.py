@@ -1,16 +1,17 @@
 """Phrase collocation mining: frequent phrases of two to five words and how strongly their parts hold together.
 
 Rabin-Karp fingerprints. Prefix polynomials over the hashes of a text's words give the fingerprint of every n-gram as
-a difference of two prefixes; n-grams do not cross the marks that part pieces. Fingerprints are counted in each task
-and then shuffled, level by level: an n-gram can be frequent only if both its (n-1)-grams are, so a level counts just
-those whose parts pass a filter of the frequent fingerprints below. The filter is a bit table of fixed size
+a difference of two prefixes; n-grams do not cross the marks that part pieces. Each task counts fingerprints and keeps
+a pointer to one occurrence, the key of a text and the number of a word; the shuffle sums the counts and keeps the
+least pointer. It goes level by level: an n-gram can be frequent only if both its (n-1)-grams are, so a level counts
+just those whose parts pass a filter of the frequent fingerprints below. The filter is a bit table of fixed size
 (``FILTER_BITS``, 16 MB), which is what may be broadcast; the fuller it is, the more candidates pass, and no frequent
 phrase is ever lost.
 
-The last scan verifies fingerprints against text. In each slice of text the first occurrence of a frequent fingerprint
-is its pointer; the words of every other occurrence are compared with the words there, which were themselves compared
-byte by byte, and what differs is counted apart. Pointers are read in the slice they point into, so that it is phrases
-with their counts, not fingerprints, that are shuffled and summed. Counts are therefore exact, whatever collides.
+Fingerprints that collide are told apart by a second fingerprint, over word hashes of their own, which is a part of the
+key; two phrases would have to agree in 128 bits to be counted as one. Frequent phrases alone are materialised: texts
+that pointers lead to are read once more, and a phrase is taken from a text only if the words there give both its
+fingerprints. From then on phrases are compared as texts.
 
 A null text is empty, a null lang is ``und``. Repeated rows count each time. Texts without words, and no documents,
 give no rows. Other columns are not read.
@@ -20,12 +21,12 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,9 +39,9 @@ LEAST = 100
 COVERED = 100
 TOP = 2000
 FILTER_BITS = 27
-#: Bytes of text whose phrases are counted together.
+#: Bytes of text worked on at once.
 SLICE = 4 << 20
-#: Different fingerprints, or phrases, that a task holds before it passes its counts on.
+#: Different fingerprints that a task holds before it passes its counts on.
 HELD = 1 << 20
 
 PIECE_ENDS = separators_of((10, 13), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -61,18 +62,20 @@ class Slice:
         ends = np.cumsum(PIECE_ENDS[np.frombuffer(self.words.data, np.uint8)], dtype=np.int64)
         # Texts are joined by a mark that ends pieces.
         self.piece = ends[self.words.starts]
-        self.sizes = np.diff(self.words.bounds)
-        self.seeds = np.repeat(np.array([_seed(lang) for lang in langs], np.uint64), self.sizes)
+        sizes = np.diff(self.words.bounds)
+        self.owner = np.repeat(np.arange(len(texts)), sizes)
+        self.seeds = np.array([_seed(lang) for lang in langs], np.uint64)[self.owner]
+        self.others = self.words.other_hashes()
 
     def whole(self, length: int) -> np.ndarray:
         """Which words begin an n-gram within their piece."""
         count = max(0, len(self.piece) - length + 1)
         return self.piece[:count] == self.piece[length - 1 : length - 1 + count]
 
-    def fingerprints(self, length: int) -> np.ndarray:
-        """The fingerprint of the n-gram at each word, by language; those across pieces mean nothing."""
+    def fingerprints(self, length: int, check: bool = False) -> np.ndarray:
+        """The fingerprint of the n-gram at each word, by language, or the second one; those across pieces mean nothing."""
         forward, back = _position_powers()
-        hashes = self.words.hashes
+        hashes = self.others if check else self.words.hashes
         count = max(0, len(hashes) - length + 1)
         out = np.empty(count, np.uint64)
         step = CHUNK - LONGEST
@@ -84,18 +87,15 @@ class Slice:
             out[at : at + here] = (prefix[length:] - prefix[:here]) * back[:here]
         return mix(out + self.seeds[:count] + np.uint64(length))
 
-
-def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE) -> Iterator[Slice]:
-    for batch in batches:
-        for piece in pieces(batch, "text", most):
-            yield Slice(as_bytes(piece, "text"), piece.column("lang").to_pylist())
+    def phrase(self, at: int, length: int) -> str:
+        return b" ".join([self.words.word(word) for word in range(at, at + length)]).decode()
 
 
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-    )
+    ).withColumn("key", F.xxhash64("lang", "text"))
 
 
 class Filter:
@@ -131,127 +131,125 @@ def filter_of(frequent: DataFrame) -> Filter:
     return Filter(table)
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if len(parts) == 1:
-        return parts[0]
-    prints, counts = (np.concatenate(side) for side in zip(*parts, strict=True))
+COUNTED = "print bigint, check bigint, n bigint, key bigint, at bigint, lang string"
+
+
+def _summed(prints: np.ndarray, checks: np.ndarray, counts: np.ndarray, *pointers: np.ndarray) -> list[np.ndarray]:
+    """Equal fingerprints once, with their counts and a pointer. Some that collide may stay apart, which does no harm."""
     order = np.argsort(prints, kind="stable")
-    prints, counts = prints[order], counts[order]
-    starts = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])) if len(prints) else np.empty(0, int)
-    return prints[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    prints, checks = prints[order], checks[order]
+    change = (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
+    starts = np.flatnonzero(np.concatenate([[True], change])) if len(prints) else np.empty(0, np.int64)
+    sums = np.add.reduceat(counts[order], starts) if len(starts) else counts
+    return [prints[starts], checks[starts], sums, *(p[order][starts] for p in pointers)]
 
 
 def _level(documents: DataFrame, length: int, below, least: int) -> DataFrame:
-    """``print`` of the n-grams whose fingerprints are frequent; ``below`` is the broadcast filter of shorter ones."""
+    """The frequent fingerprints of n-grams; ``below`` is the broadcast filter of shorter ones.
+
+    The first level also has the words of each language, as rows of fingerprint 0 with its name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[list[np.ndarray]] = []
         size = 0
+        totals: Counter[str] = Counter()
 
         def out() -> pa.RecordBatch:
-            prints, counts = _merged(parts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(prints.view(np.int64)), pa.array(counts.astype(np.int64))], names=["print", "n"]
-            )
-
-        for held in slices(batches):
-            kept = held.whole(length)
-            if below is not None:
-                known = below.value.holds(held.fingerprints(length - 1))
-                kept &= known[: len(kept)] & known[1 : 1 + len(kept)]
-            part = np.unique(held.fingerprints(length)[kept], return_counts=True)
-            parts.append(part)
-            size += len(part[0])
-            if size > HELD:
-                parts = [_merged(parts)]
-                size = len(parts[0][0])
-                if size > HELD // 2:
-                    yield out()
-                    parts, size = [], 0
+            columns = [pa.array(c.view(np.int64)) for c in parts[0]]
+            columns.append(pa.nulls(size, pa.string()))
+            return pa.RecordBatch.from_arrays(columns, names=["print", "check", "n", "key", "at", "lang"])
+
+        for batch in batches:
+            for piece in pieces(batch, "text", SLICE):
+                held = Slice(as_bytes(piece, "text"), piece.column("lang").to_pylist())
+                words = held.words
+                if length == 1:
+                    for lang, count in zip(held.langs, np.diff(words.bounds).tolist(), strict=True):
+                        totals[lang] += count
+                kept = held.whole(length)
+                if below is not None:
+                    known = below.value.holds(held.fingerprints(length - 1))
+                    kept &= known[: len(kept)] & known[1 : 1 + len(kept)]
+                places = np.flatnonzero(kept)
+                owner = held.owner[places]
+                key = piece.column("key").to_numpy()[owner]
+                prints, checks = (held.fingerprints(length, check)[places] for check in (False, True))
+                once = np.ones(len(places), np.int64)
+                parts.append(_summed(prints, checks, once, key, places - words.bounds[owner]))
+                size += len(parts[-1][0])
+                if size > HELD:
+                    parts = [_summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))]
+                    size = len(parts[0][0])
+                    if size > HELD // 2:
+                        yield out()
+                        parts, size = [], 0
         if size:
+            parts = [_summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))]
+            size = len(parts[0][0])
             yield out()
-
-    counted = documents.mapInArrow(run, "print bigint, n bigint")
-    return counted.groupBy("print").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("print")
-
-
-def _phrases(held: Slice, frequent: Filter) -> Iterator[tuple[str, str, int]]:
-    """Language, phrase and count of the phrases in a slice whose fingerprints pass, by their words."""
-    numbers, _ = held.words.identities()
-    owner = np.repeat(np.arange(len(held.langs)), held.sizes)
-    spell: dict[int, str] = {}
-
-    def text(word: int) -> str:
-        found = spell.get(number := int(numbers[word]))
-        if found is None:
-            found = spell[number] = held.words.word(word).decode()
-        return found
-
-    def phrase(at: int, length: int) -> str:
-        return " ".join([text(word) for word in range(at, at + length)])
-
-    for length in range(1, LONGEST + 1):
-        prints = held.fingerprints(length)
-        places = np.flatnonzero(held.whole(length))
-        places = places[frequent.holds(prints[places])]
-        _, first, which = np.unique(prints[places], return_index=True, return_inverse=True)
-        pointers = places[first]
-        same = np.array(held.langs, object)[owner[places]] == np.array(held.langs, object)[owner[pointers]][which]
-        for step in range(length):
-            same &= numbers[places + step] == numbers[pointers + step][which]
-        counts = np.bincount(which[same], minlength=len(first))
-        for at, count in zip(pointers.tolist(), counts.tolist(), strict=True):
-            yield held.langs[owner[at]], phrase(at, length), count
-        for at in places[~same].tolist():
-            yield held.langs[owner[at]], phrase(at, length), 1
-
-
-def _verified(documents: DataFrame, frequent) -> DataFrame:
-    """``lang``, ``phrase`` and ``n`` of each task's verified phrases; the empty phrase counts all words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[tuple[str, str]] = Counter()
-
-        def out() -> pa.RecordBatch:
-            langs, phrases = zip(*counts, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs), pa.array(phrases), pa.array(counts.values(), pa.int64())],
-                names=["lang", "phrase", "n"],
-            )
-
-        for held in slices(batches):
-            for lang, size in zip(held.langs, held.sizes.tolist(), strict=True):
-                counts[lang, ""] += size
-            for lang, phrase, count in _phrases(held, frequent.value):
-                counts[lang, phrase] += count
-            if len(counts) > HELD:
-                yield out()
-                counts.clear()
-        if counts:
-            yield out()
-
-    return documents.mapInArrow(run, "lang string, phrase string, n bigint")
+        if totals:
+            zeros = pa.array(np.zeros(len(totals), np.int64))
+            columns = [zeros, zeros, pa.array(totals.values(), pa.int64()), zeros, zeros, pa.array(totals, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["print", "check", "n", "key", "at", "lang"])
+
+    counted = documents.mapInArrow(run, COUNTED).groupBy("print", "check", "lang")
+    sums = counted.agg(F.sum("n").alias("n"), F.min_by("at", "key").alias("at"), F.min("key").alias("key"))
+    return sums.where((F.col("n") >= least) | F.col("lang").isNotNull())
+
+
+def _materialised(documents: DataFrame, frequent: DataFrame, keys) -> DataFrame:
+    """``lang``, ``phrase``, ``n`` of the frequent fingerprints, each read where its pointer leads and hashed again there."""
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = keys.value.holds(batch.column("key").to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(found))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                held = Slice([row["text"].encode()], [row["lang"]])
+                wanted: dict[int, list[dict]] = {}
+                for pointer in row["pointers"]:
+                    wanted.setdefault(pointer["length"], []).append(pointer)
+                for length, pointers in wanted.items():
+                    prints, checks = (held.fingerprints(length, check).view(np.int64) for check in (False, True))
+                    for p in pointers:
+                        at = p["at"]
+                        if at < len(prints) and prints[at] == p["print"] and checks[at] == p["check"]:
+                            rows.append((row["lang"], held.phrase(at, length), p["n"]))
+            if rows:
+                columns = zip(*rows, strict=True)
+                kinds = (pa.string(), pa.string(), pa.int64())
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "n"])
+
+    # Another text of one key gives other fingerprints, so it may come along.
+    texts = documents.mapInArrow(reached, documents.schema).dropDuplicates(["lang", "text"])
+    pointers = frequent.groupBy("key").agg(
+        F.collect_list(F.struct("print", "check", "n", "at", "length")).alias("pointers")
+    )
+    return texts.join(pointers, "key").mapInArrow(read, "lang string, phrase string, n bigint")
 
 
 def _counted(documents: DataFrame, least: int, longest: int) -> DataFrame:
     """``lang``, ``phrase``, ``n``: the frequent phrases of up to ``longest`` words, and all words as the empty one."""
     context = documents.sparkSession.sparkContext
-    levels: list[DataFrame] = []
-    below = None
+    every = totals = below = None
     for length in range(1, longest + 1):
-        levels.append(written(_level(documents, length, below, least), f"level-{length}"))
+        level = written(_level(documents, length, below, least), f"level-{length}")
         if below is not None:
             below.unpersist()
-        below = context.broadcast(filter_of(levels[-1]))
+        found = level.where("lang IS NULL").drop("lang").withColumn("length", F.lit(length))
+        every = found if every is None else every.unionByName(found)
+        if length == 1:
+            totals = level.where("lang IS NOT NULL").select("lang", F.lit("").alias("phrase"), "n")
+        below = context.broadcast(filter_of(found if length < longest else every.select(F.col("key").alias("print"))))
+    phrases = written(_materialised(documents, every, below).unionByName(totals), "phrases")
     below.unpersist()
-    every = levels[0]
-    for level in levels[1:]:
-        every = every.unionByName(level)
-    frequent = context.broadcast(filter_of(every))
-    sums = _verified(documents, frequent).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    found = written(sums.where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
-    frequent.unpersist()
-    return found
+    return phrases
 
 
 def collocations(documents: DataFrame, least: int = LEAST, covered: int = COVERED, top: int = TOP) -> DataFrame:

@@ -17,8 +17,8 @@ STEP = np.uint64(0x94D049BB133111EB)
 
 
 @cache
-def _byte_values() -> np.ndarray:
-    return np.random.default_rng(20240601).integers(0, 1 << 64, 256, np.uint64)
+def _byte_values(number: int = 0) -> np.ndarray:
+    return np.random.default_rng(20240601 + number).integers(0, 1 << 64, 256, np.uint64)
 
 
 #: Bytes hashed at once; it bounds the tables of powers, and stays in the processor's cache.
@@ -58,9 +58,13 @@ class Words:
         text_ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         self.bounds = np.concatenate([[0], np.searchsorted(self.starts, text_ends)])
 
-    def _hashed(self, points: np.ndarray) -> np.ndarray:
+    def other_hashes(self) -> np.ndarray:
+        """Hashes of the words that have nothing to do with ``hashes``."""
+        return self._hashed(np.frombuffer(self.data, np.uint8), 1)
+
+    def _hashed(self, points: np.ndarray, number: int = 0) -> np.ndarray:
         forward, back = _position_powers()
-        values = _byte_values()
+        values = _byte_values(number)
         out = np.empty(len(self.starts), np.uint64)
         first = 0
         while first < len(out):
@@ -69,7 +73,7 @@ class Words:
             if last == first:
                 # A word longer than a chunk.
                 word = self.data[begin : self.ends[first]]
-                out[first] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+                out[first] = int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=bytes([number])).digest(), "little")
                 first += 1
                 continue
             part = points[begin : self.ends[last - 1]]

@@ -11,8 +11,7 @@ import numpy as np
 import pytest
 
 from kilnwatch.llm import collocations as module
-from kilnwatch.llm.collocations import Filter, Slice, collocations, collocations_sql
-from kilnwatch.llm.hashing import Words
+from kilnwatch.llm.collocations import Slice, collocations, collocations_sql
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -87,35 +86,50 @@ def test_clashing_columns_and_no_rows(spark, documents):
     assert found(collocations(rows.where("lang = 'xx'"))) == []
 
 
-def held_slice():
-    rows = [r for r in rows_of() if r[0] != 504]
-    return rows, Slice([(r[1] or "").encode() for r in rows], [r[2] or "und" for r in rows])
+def batches_of(spark, rows):
+    made = module._texts(spark.createDataFrame([r for r in rows if r[0] != 504], DOCS))
+    return made.toArrow().to_batches(max_chunksize=70)
 
 
-def counted(held):
-    everything = Filter(np.full(1 << (module.FILTER_BITS - 6), ~np.uint64(0)))
-    out = Counter()
-    for lang, phrase, count in module._phrases(held, everything):
-        out[lang, phrase] += count
-    return out
-
-
-def expected(rows):
-    return Counter((r[2] or "und", " ".join(g)) for r in rows for g in grams(r[1]))
-
-
-def test_colliding_fingerprints_are_told_apart_by_their_words(monkeypatch):
-    rows, held = held_slice()
+@pytest.mark.parametrize("bits", [0, 2, 64])
+def test_colliding_fingerprints_are_told_apart(spark, documents, monkeypatch, bits):
+    """Fingerprints of so few bits collide all the time; the second ones keep phrases apart, in a task and over tasks."""
     whole = Slice.fingerprints
-    monkeypatch.setattr(Slice, "fingerprints", lambda self, length: whole(self, length) & np.uint64(3))
-    assert counted(held) == expected(rows)
-
-
-def test_colliding_words_are_told_apart_by_their_bytes(monkeypatch):
-    whole = Words._hashed
-    monkeypatch.setattr(Words, "_hashed", lambda self, points: whole(self, points) & np.uint64(3))
-    rows, held = held_slice()
-    assert counted(held) == expected(rows)
+    mask = np.uint64((1 << bits) - 1)
+    monkeypatch.setattr(Slice, "fingerprints", lambda s, n, check=False: whole(s, n, check) & (~np.uint64(0) if check else mask))
+    monkeypatch.setattr(module, "HELD", 300)
+    rows = rows_of()
+    for length in (1, 3):
+        captured = []
+
+        class Frame:
+            def mapInArrow(self, run, schema):
+                captured.append(run)
+                raise StopIteration
+
+        with pytest.raises(StopIteration):
+            module._level(Frame(), length, None, 1)
+        sums = Counter()
+        for part in captured[0](iter(batches_of(spark, rows))):
+            for row in part.to_pylist():
+                if row["lang"] is None:
+                    sums[row["print"], row["check"]] += row["n"]
+        want = Counter(("und" if r[2] is None else r[2], g) for r in rows if r[0] != 504 for g in grams(r[1]) if len(g) == length)
+        assert sorted(sums.values()) == sorted(want.values())
+
+
+def test_a_wrong_pointer_gives_no_phrase(spark, documents):
+    docs = module._texts(spark.createDataFrame([(1, "one two three", "en", "s", 1)], DOCS))
+    key = docs.first()["key"]
+    held = Slice([b"one two three"], ["en"])
+    prints, checks = (held.fingerprints(2, check).view(np.int64).tolist() for check in (False, True))
+    pointers = [
+        (prints[0], checks[0], 7, key, 0, 2), (prints[1], checks[1], 8, key, 0, 2), (prints[1], checks[0], 9, key, 1, 2),
+        (prints[1], checks[1], 5, key, 90, 2), (prints[1], checks[1], 6, key + 1, 1, 2),
+    ]
+    frequent = spark.createDataFrame(pointers, "print bigint, check bigint, n bigint, key bigint, at bigint, length int")
+    keys = spark.sparkContext.broadcast(module.filter_of(frequent.select(frequent.key.alias("print"))))
+    assert [tuple(r) for r in module._materialised(docs, frequent, keys).collect()] == [("en", "one two", 7)]
 
 
 def test_fingerprints_do_not_depend_on_the_place():

@@ -7,10 +7,12 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 from kilnwatch.llm import divergence as module
 from kilnwatch.llm.divergence import divergence, divergence_sql
+from kilnwatch.llm.hashing import Words
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORD = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -92,6 +94,18 @@ def test_counts_are_passed_on_in_parts(spark, documents, monkeypatch):
     assert len(whole) == 1 < len(parts) and total(whole) == total(parts)
 
 
+@pytest.mark.parametrize("bits", [0, 3, 64])
+def test_colliding_words_are_told_apart_by_their_bytes(monkeypatch, bits):
+    whole = Words._hashed
+    mask = np.uint64((1 << bits) - 1)
+    monkeypatch.setattr(Words, "_hashed", lambda self, points, number=0: whole(self, points, number) & mask)
+    words = Words([(r[1] or "").encode() for r in rows_of()], module.APART)
+    numbers, places = words.identities()
+    texts = [words.word(k) for k in range(len(numbers))]
+    assert len(set(zip(texts, numbers.tolist(), strict=True))) == len(set(texts)) == len(places)
+    assert [words.word(int(places[n])) for n in numbers] == texts
+
+
 def test_clashing_columns_and_no_rows(spark, documents):
     rows = spark.createDataFrame(rows_of(), DOCS)
     extra = rows.selectExpr("*", "1 AS term", "2 AS n", "3 AS m", "4 AS counts", "5 AS kinds", "6 AS value", "7 AS docs")
