@@ -57,7 +57,8 @@ class JobOptions:
     Python state; without it the JVM keeps the key for one to two such times, much faster. ``files_per_partition`` is the number
     of tasks, hence files, a storage partition is spread over in one micro-batch.
     ``landing_retention`` ("7d") is how long the landing names its files to readers; by
-    default it never forgets them.
+    default it never forgets them. ``merge_every`` is the number of micro-batches after which
+    the documents' stream merges batches of its table.
     """
 
     bootstrap_servers: str = "localhost:9092"
@@ -75,4 +76,5 @@ class JobOptions:
     exact_dedup: bool = False
     files_per_partition: int = 4
     landing_retention: str | None = None
+    merge_every: int | None = 16
     rules: RuleOptions = RuleOptions()

@@ -36,7 +36,7 @@ from kilnwatch.plans.alerts import alerts, evaluations
 from kilnwatch.schemas import ARRIVAL, BIAS, CAUTION, CRITICAL, NORMAL, READING, RULE_1, RULE_3, VIOLATION
 from kilnwatch.session import STATE_STORE_PROVIDER, shared_folder, written
 from kilnwatch.sinks.alerts import alert_files, write_alert_files
-from kilnwatch.sinks.documents import read_latest, read_rejected, upsert
+from kilnwatch.sinks.documents import merge, read_latest, read_rejected, upsert, vacuum
 from kilnwatch.sinks.storage import PARTITIONS, partitioned_rows, write_storage
 from kilnwatch.sources.messages import parse_messages, poison_messages, read_message_files
 from kilnwatch.sources.tables import batches_from_orders, event_rows, readings_from_events
@@ -288,6 +288,24 @@ def document_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, path).drop("measured_day")
 
 
+def document_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after twenty epochs, merged twice on the way; an epoch that was merged comes once more at the end."""
+    path = shared_folder(spark, "merged-documents")
+    readings = _daily_readings(_readings(spark, sf_dir)).withColumn("epoch", F.pmod(F.col("arrival_seq"), F.lit(20)))
+    readings = written(readings.repartition("epoch"), "epochs")
+
+    def write(epoch: int) -> None:
+        upsert(readings.where(F.col("epoch") == epoch).drop("epoch"), path, epoch)
+
+    for epoch in range(20):
+        write(epoch)
+        if epoch in (9, 18):
+            merge(spark, path, fanout=4)
+    write(3)
+    vacuum(spark, path, 0)
+    return read_latest(spark, path).drop("measured_day")
+
+
 def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: readings with values that are no number, or limits without an end, beside good ones."""
     path = shared_folder(spark, "rejecting-documents")
@@ -619,6 +637,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_latest": document_latest,
     "document_upserts": document_upserts,
     "document_restarts": document_restarts,
+    "document_compacted": document_compacted,
     "rejected_documents": rejected_documents,
     "batch_gate": batch_gate,
     "trailing_5m": trailing_5m,

@@ -18,7 +18,7 @@ from kilnwatch.operators.flatten import POISON, flatten_batches, flatten_with_po
 from kilnwatch.options import JobOptions
 from kilnwatch.schemas import READING
 from kilnwatch.sinks.alerts import alert_topic
-from kilnwatch.sinks.documents import new_run, run_of, upsert
+from kilnwatch.sinks.documents import merge, new_run, run_of, upsert
 from kilnwatch.sinks.storage import PARTITIONS, partitioned_rows
 from kilnwatch.session import STATE_STORE_PROVIDER
 from kilnwatch.sources.messages import (
@@ -47,11 +47,14 @@ def to_files(rows: DataFrame, path: str, *partitions: str) -> DataStreamWriter:
     return writer.option("path", path).outputMode("append")
 
 
-def to_documents(readings: DataFrame, path: str, run: str | None = None) -> DataStreamWriter:
+def to_documents(
+    readings: DataFrame, path: str, run: str | None = None, merge_every: int | None = None
+) -> DataStreamWriter:
     """K2/K3: each micro-batch becomes one epoch of the latest-document table.
 
     ``run`` names the life of the checkpoint (``run_of``). Without it each start is a run of
     its own, which repeats what a restart replays but never replaces another run's epochs.
+    ``merge_every`` has the stream merge the table's batches after every so many of its own.
     """
     run = run or new_run()
 
@@ -61,6 +64,8 @@ def to_documents(readings: DataFrame, path: str, run: str | None = None) -> Data
             upsert(batch, path, epoch, run)
         finally:
             batch.unpersist()
+        if merge_every and epoch % merge_every == merge_every - 1:
+            merge(batch.sparkSession, path)
 
     return readings.writeStream.foreachBatch(apply)
 
@@ -179,7 +184,9 @@ def run(spark: SparkSession, options: JobOptions) -> dict[str, StreamingQuery]:
             f"{base}/readings",
             *PARTITIONS,
         ),
-        "documents": to_documents(landed(), f"{base}/{options.index}", run_of(spark, f"{checkpoints}/documents")),
+        "documents": to_documents(
+            landed(), f"{base}/{options.index}", run_of(spark, f"{checkpoints}/documents"), options.merge_every
+        ),
         "alerts": alert_topic(monitor(landed(), options.rules), options),
     }
     return queries | {name: start(writer, options, name) for name, writer in branches.items()}

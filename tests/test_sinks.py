@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
 from helpers import frame, instant, reading
 
 from kilnwatch.operators.dedup import first_copies
 from kilnwatch.operators.latest import latest_documents
 from kilnwatch.session import shared_folder
-from kilnwatch.sinks.documents import compact, read_latest, read_rejected, run_of, upsert
+from kilnwatch.sinks.documents import compact, merge, read_latest, read_rejected, run_of, upsert, vacuum
 from kilnwatch.sinks.storage import PARTITIONS, write_storage
 
 
@@ -116,3 +117,63 @@ def test_one_day_of_documents_reads_one_day(spark):
         ._jdf.queryExecution().executedPlan().toString()
     )
     assert "PartitionFilters: [isnotnull(measured_day" in plan
+
+
+def folders(path, kind="changes"):
+    return sorted(str(p.parent.relative_to(path)) for p in Path(path).glob(f"{kind}/*/*/*/_SUCCESS"))
+
+
+def test_merges_bound_the_batches_and_lose_nothing(spark):
+    """Two runs write in turn, with a rejected reading each; merges and vacuums in between change nothing to readers."""
+    path, runs = shared_folder(spark, "merge-test"), ["a", "b"]
+    latest, rejected = {}, 0
+
+    def epoch_rows(number, run):
+        rows = [
+            reading(arrival_seq=k, measured_at=instant((number * (k + 1)) % 7 * 43_200_000), value=float(100 * number + k))
+            for k in range(3)
+        ]
+        return rows, [reading(measured_at=instant(number), value=float("nan"), sensor_id=run)]
+
+    for number in range(13):
+        for run in runs:
+            rows, broken = epoch_rows(number, run)
+            upsert(frame(spark, [*rows, *broken]), path, number, run)
+            rejected += 1
+            for k, row in enumerate(rows):
+                key = f"1_S1_{int(row['measured_at'].timestamp() * 1000)}"
+                latest[key] = max(latest.get(key, ("", 0, 0, 0.0)), (run, number, k, row["value"]))
+        if number in (5, 6, 9, 12):
+            pinned = read_latest(spark, path)
+            before = values(pinned)
+            merge(spark, path, fanout=3, newest_kept=2)
+            assert values(read_latest(spark, path)) == before == values(pinned)
+        if number == 9:
+            assert vacuum(spark, path, 3_600_000_000) == 0
+            assert vacuum(spark, path, 0) > 0 and vacuum(spark, path, 0) == 0
+    expected = sorted((key, found[-1]) for key, found in latest.items())
+    assert values(read_latest(spark, path)) == expected
+    # A restart repeats an epoch: a merged one stays replaced, one of the newest is written anew.
+    for number in (0, 12):
+        upsert(frame(spark, sum(epoch_rows(number, "a"), [])), path, number, "a")
+    assert values(read_latest(spark, path)) == expected
+    assert read_rejected(spark, path).count() == rejected
+    # Two epochs of each run, and less than the fan-out on every level.
+    read = [f for f in spark.read.parquet(f"{path}/commits").collect()]
+    assert len(read_latest(spark, path).inputFiles()) <= 10 * 4 < len(read) * 4
+    vacuum(spark, path, 0)
+    assert values(read_latest(spark, path)) == expected and read_rejected(spark, path).count() == rejected
+    assert len(folders(path)) <= 4 + 2 * 3
+
+
+def test_a_merge_that_died_changes_nothing(spark, monkeypatch):
+    path = shared_folder(spark, "dead-merge")
+    for number in range(6):
+        upsert(frame(spark, [reading(arrival_seq=0, value=float(number))]), path, number)
+    with monkeypatch.context() as dying:
+        dying.setattr("kilnwatch.sinks.documents._publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge(spark, path, fanout=2)
+    assert values(read_latest(spark, path)) == [("1_S1_2000", 5.0)]
+    assert merge(spark, path, fanout=2) == 1
+    assert values(read_latest(spark, path)) == [("1_S1_2000", 5.0)]
