@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives (operator 9).
 
-Records are ordered by page id and cut into shards of similar size; each shard is written to files that roll at a
-compressed size. Headers, record ids and digests are made anew from the page, so the same pages give the same bytes,
+Records are ordered by page id and cut into shards of similar size, each the work of one task; a shard is written to
+files that roll at a compressed size, a sixteenth of the shard's. Headers, record ids and digests are made anew from the page, so the same pages give the same bytes,
 whatever attempt writes them. A file is written under a temporary name and renamed when it is whole; only files named
 by the manifest, itself a table that Spark commits, belong to the archive. A lost executor's files are written again.
 
@@ -31,9 +31,11 @@ from kilnwatch.llm.tables import _arrow_schema, written
 from kilnwatch.session import shared_folder
 
 LEAST_REVISIT = 100
-#: Payload bytes of a shard, and compressed bytes at which a file rolls.
+#: Payload bytes of a shard, unless that gave too many shards.
 SHARD_BYTES = 16 << 20
-ROLL_BYTES = 64 << 20
+MOST_SHARDS = 1 << 15
+#: A file rolls at this part of a shard's payload, in compressed bytes: pages shrink to a quarter, so to some four files.
+ROLLS = 16
 LEVEL = 5
 READ_BYTES = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
@@ -65,11 +67,12 @@ def revisits(payloads: DataFrame) -> DataFrame:
     return keys.join(shared, "digest").where("page_id > refers_to").distinct()
 
 
-def shard_of(payloads: DataFrame) -> tuple[Column, int]:
-    """The shard of a page, and the number of shards.
+def shard_of(payloads: DataFrame) -> tuple[Column, int, int]:
+    """The shard of a page, the number of shards, and the bytes of one.
 
-    Running sums of the bytes in the order of the ids begin a shard at each multiple of ``SHARD_BYTES``, however the
-    ids are spread; the pages of one id stay together. Pages without an id are spread over shards of their own by
+    Running sums of the bytes in the order of the ids begin a shard at each multiple of its bytes, however the ids are
+    spread; the pages of one id stay together. Shards have ``SHARD_BYTES``, or more where there would be over
+    ``MOST_SHARDS``, which bounds their starts. Pages without an id are spread over shards of their own by
     their content. Nothing is estimated, so shards do not vary between runs.
     """
     spark = payloads.sparkSession
@@ -81,21 +84,21 @@ def shard_of(payloads: DataFrame) -> tuple[Column, int]:
     before, total = {}, 0
     for number, _, held in sorted(sizes.groupBy("range").agg(F.min("page_id"), F.sum("size")).collect()):
         before[number], total = total, total + held
+    loose = payloads.where("page_id IS NULL").agg(size).first()[0] or 0
+    wide = max(SHARD_BYTES, -(-(total + loose) // MOST_SHARDS))
     offsets = [before.get(number, 0) for number in range(max(before, default=0) + 1)]
     begins = F.element_at(F.array(*map(F.lit, offsets)), F.col("range") + 1)
     within = F.sum("size").over(Window.partitionBy("range").orderBy("page_id")) - F.col("size")
-    reached = F.floor((begins + within) / F.lit(SHARD_BYTES)).alias("reached")
+    reached = F.floor((begins + within) / F.lit(wide)).alias("reached")
     firsts = sizes.select("page_id", reached).groupBy("reached").agg(F.min("page_id").alias("first"))
     starts = sorted(r["first"] for r in firsts.collect())
-    loose = payloads.where("page_id IS NULL").agg(size).first()[0] or 0
-    spread = -(-loose // SHARD_BYTES)
+    spread = -(-loose // wide)
     of_null = F.lit(len(starts)) + F.pmod(F.xxhash64("digest"), F.lit(max(1, spread)))
     if not starts:
-        return of_null.cast("bigint"), max(1, spread)
+        return of_null.cast("bigint"), max(1, spread), wide
     # The last start that an id reaches, first among every so many starts and then between two of these.
     step = math.isqrt(len(starts)) + 1
-    every = F.array(*map(F.lit, starts))
-    coarse = F.array(*map(F.lit, starts[::step]))
+    every, coarse = (_numbers(part) for part in (starts, starts[::step]))
 
     def reach(limits: Column) -> Column:
         return F.size(F.filter(limits, lambda start: start <= F.col("page_id")))
@@ -103,7 +106,12 @@ def shard_of(payloads: DataFrame) -> tuple[Column, int]:
     skipped = F.greatest(reach(coarse) - 1, F.lit(0)) * step
     place = skipped + reach(F.slice(every, skipped + 1, F.lit(step))) - 1
     shard = F.when(F.col("page_id").isNull(), of_null).otherwise(place)
-    return shard.cast("bigint"), len(starts) + spread
+    return shard.cast("bigint"), len(starts) + spread, wide
+
+
+def _numbers(values: list[int]) -> Column:
+    """The numbers as one constant of the plan."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def record_id(page_id: object, digest: str, kind: str) -> str:
@@ -213,11 +221,15 @@ class _Roller:
         return row
 
 
-def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFrame:
-    """Write the pages below ``folder``, which all executors share; returns the committed manifest."""
+def write_archives(pages: DataFrame, folder: str, roll_bytes: int | None = None) -> DataFrame:
+    """Write the pages below ``folder``, which all executors share; returns the committed manifest.
+
+    ``roll_bytes`` is the compressed size of a file; by default it follows the size of the shards.
+    """
     spark = pages.sparkSession
     payloads = with_payloads(pages)
-    shard, shards = shard_of(payloads)
+    shard, shards, wide = shard_of(payloads)
+    roll_bytes = roll_bytes or wide // ROLLS
     # A row without text stands before the page that it marks as a revisit: the texts are moved once, by shard.
     marks = revisits(payloads)
     columns = {"url": "string", "html": "string", "refers_to": "bigint"}
@@ -225,7 +237,8 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES)
     both = payloads.select(shard.alias("shard"), "page_id", "digest", "url", "html", missing["refers_to"]).unionByName(
         marks.select(shard.alias("shard"), "page_id", "digest", missing["url"], missing["html"], "refers_to")
     )
-    ordered = both.repartition(shards, "shard").sortWithinPartitions(
+    # By range, as a hash would give some tasks several shards and others none.
+    ordered = both.repartitionByRange(shards, "shard").sortWithinPartitions(
         "shard", "page_id", "digest", F.col("refers_to").desc_nulls_last(), "url"
     )
     store, top = _open(folder)

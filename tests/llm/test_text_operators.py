@@ -254,7 +254,8 @@ def test_shards_follow_bytes_not_ids(spark, monkeypatch):
     ids = [*range(200), 1 << 60, -(1 << 61), *[None] * 100]
     rows = [(key, "u", f"{place} " * 300) for place, key in enumerate(ids)]
     payloads = warc.with_payloads(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
-    shard, count = warc.shard_of(payloads)
+    shard, count, wide = warc.shard_of(payloads)
+    assert wide == 20000
     held = payloads.select("page_id", "size", shard.alias("shard")).collect()
     bytes_of: Counter[int] = Counter()
     for r in held:
@@ -267,6 +268,28 @@ def test_shards_follow_bytes_not_ids(spark, monkeypatch):
     assert not {s for _, s in known} & {r["shard"] for r in held if r["page_id"] is None}
 
 
+def test_files_roll_inside_shards_of_production_size(spark, documents, tmp_path):
+    """With the parameters as they are, and with shards widened by a bound on their number."""
+    rng = random.Random(5)
+    page = "".join(f"<p>{prose(rng, 30)}</p>" for _ in range(10))
+    rows = spark.range(9000, numPartitions=8).selectExpr("id AS page_id", "'u' AS url", "concat(id, sha2(string(id), 512), '" + page.replace("'", "") + "', sha2(string(id + 1), 512), sha2(string(id + 2), 512), sha2(string(id + 3), 512)) AS html")
+    made = warc.write_archives(rows, f"file://{tmp_path}/rolls").collect()
+    files = Counter(r["shard"] for r in made)
+    assert sum(r["records"] for r in made) == 9000
+    assert len(files) >= 1 and max(files.values()) > 2
+    assert all(r["bytes"] <= warc.SHARD_BYTES // warc.ROLLS for r in made)
+
+
+def test_the_number_of_shards_is_bounded(spark, documents, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(warc, "MOST_SHARDS", 7)
+    pages = spark.range(500).selectExpr("id AS page_id", "'u' AS url", "repeat('x', 300) AS html")
+    payloads = warc.with_payloads(pages)
+    shard, count, wide = warc.shard_of(payloads)
+    assert 1 < count <= 8 and wide > 1000
+    assert payloads.select(shard.alias("s")).distinct().count() == count
+
+
 def test_damaged_archives_are_refused():
     record = warc.page_record(1, "http://x", b"body", hashlib.sha256(b"body").hexdigest(), None)
     with pytest.raises(ValueError, match="digest"):
