@@ -289,19 +289,19 @@ def document_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table after twenty epochs, merged twice on the way; an epoch that was merged comes once more at the end."""
+    """The table after twelve epochs, merged twice on the way; an epoch that was merged comes once more at the end."""
     path = shared_folder(spark, "merged-documents")
-    readings = _daily_readings(_readings(spark, sf_dir)).withColumn("epoch", F.pmod(F.col("arrival_seq"), F.lit(20)))
+    readings = _daily_readings(_readings(spark, sf_dir)).withColumn("epoch", F.pmod(F.col("arrival_seq"), F.lit(12)))
     readings = written(readings.repartition("epoch"), "epochs")
 
     def write(epoch: int) -> None:
         upsert(readings.where(F.col("epoch") == epoch).drop("epoch"), path, epoch)
 
-    for epoch in range(20):
+    for epoch in range(12):
         write(epoch)
-        if epoch in (9, 18):
+        if epoch in (6, 11):
             merge(spark, path, fanout=4)
-    write(3)
+    write(2)
     vacuum(spark, path, 0)
     return read_latest(spark, path).drop("measured_day")
 

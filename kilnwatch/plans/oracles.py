@@ -491,7 +491,7 @@ ORACLES: dict[str, str] = {
         order="CASE WHEN value >= 100 THEN 0 ELSE 1 END,"
     ),
     "document_restarts": _latest_daily().format(order="CASE WHEN value >= 50 THEN 0 ELSE 1 END,"),
-    "document_compacted": _latest_daily().format(order="arrival_seq % 20 DESC,"),
+    "document_compacted": _latest_daily().format(order="arrival_seq % 12 DESC,"),
     "rejected_documents": f"""
         WITH given AS (
           SELECT equipment_id || '_' || sensor_id || '_' || measured_ms AS document_id,
