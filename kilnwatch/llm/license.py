@@ -183,7 +183,8 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
         }
     )
     seed_list = F.expr(f"array({', '.join(f'{seed}L' for seed in seeds)})")
-    def cut(hashes: Column, found: Column, c: SizeClass) -> Column:
+
+    def cut(words: Column, hashes: Column, found: Column, c: SizeClass) -> Column:
         around = F.transform(found, lambda i: F.floor((i - 1) / c.step).cast("int"))
         numbers = F.array_distinct(F.concat(around, F.transform(around, lambda n: F.greatest(n - 1, F.lit(0)))))
         return F.transform(
@@ -192,43 +193,37 @@ def licenses(docs: DataFrame, texts: dict[str, str] = TEMPLATES) -> DataFrame:
                 F.lit(c.number).alias("class"),
                 (n * c.step).alias("word"),
                 F.slice(hashes, n * c.step + 1, c.window).alias("hashes"),
+                F.array_join(F.slice(words, n * c.step + 1, c.window + SHINGLE - 1), " ").alias("said"),
             ),
         )
 
-    def windows(hashes: Column) -> Column:
-        """The windows that hold a seed."""
+    def windows(words: Column, hashes: Column) -> Column:
+        """The windows that hold a seed, with their words; nothing longer goes any further."""
 
         def around(seeds_here: Column) -> Column:
             places = F.filter(
                 _sequence(F.size(hashes)), lambda i: F.array_contains(seeds_here, F.element_at(hashes, i))
             )
             return F.when(
-                F.size(seeds_here) > 0, bound(places, lambda p: F.concat(*(cut(hashes, p, c) for c in classes)))
+                F.size(seeds_here) > 0, bound(places, lambda p: F.concat(*(cut(words, hashes, p, c) for c in classes)))
             )
 
         return bound(F.array_intersect(hashes, seed_list), around)
 
     # One expression of the text, so that no rewrite of the plan can put its parts into an inner loop. The outer
     # form of explode keeps Spark from computing it once more for a filter.
-    held = bound(bound(words_of(F.col("text")), shingle_hashes), windows)
+    held = bound(words_of(F.col("text")), lambda w: bound(shingle_hashes(w), lambda h: windows(w, h)))
+    values = F.explode_outer(band_values(F.col("w.hashes"), bands)).alias("value")
     candidates = (
-        docs.select("doc_id", "text", F.explode_outer(held).alias("w"))
+        docs.select("doc_id", F.explode_outer(held).alias("w"))
         .where("w IS NOT NULL")
-        .select("doc_id", "text", "w.class", "w.word", F.explode_outer(band_values(F.col("w.hashes"), bands)).alias("value"))
-    )
+        .select("doc_id", "w.class", "w.word", "w.said", values)
+    )
     banded = known.select("template", "class", F.posexplode(band_values(F.col("hashes"), bands)).alias("band", "value"))
     # The bands' number is part of their values, as each has functions of its own.
-    pairs = (
-        candidates.join(F.broadcast(banded.drop("band")), ["class", "value"])
-        .select("doc_id", "text", "class", "word", "template")
-        .dropDuplicates(["doc_id", "text", "class", "word", "template"])
-    )
-    span = F.element_at(F.create_map(*(F.lit(x) for c in classes for x in (c.number, c.window))), F.col("class"))
-
-    def shingles_in_window(words: Column) -> Column:
-        return shingle_texts(F.slice(words, F.col("word") + 1, span + SHINGLE - 1))
-
-    own = bound(words_of(F.col("text")), shingles_in_window)
+    found = ["doc_id", "class", "word", "said", "template"]
+    pairs = candidates.join(F.broadcast(banded.drop("band")), ["class", "value"]).select(found).dropDuplicates(found)
+    own = shingle_texts(F.split("said", " "))
     share = F.size(F.array_intersect("shingles", "own")) / F.size("shingles")
     verified = (
         pairs.join(F.broadcast(known.select("template", "shingles")), "template")
