@@ -563,21 +563,32 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     sets, known = _classified(docs)
     names = docs.columns
-    key, group, place = (_unused(name, names) for name in ("row_key", "row_class", "row_place"))
+    key, place = (_unused(name, names) for name in ("row_key", "row_place"))
     members = known.join(sets.select("doc_id", "text_key", "k1", "k2"), ["k1", "k2"]).where("doc_id = class_id")
     least = members.groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("set"))
-    kept = (
-        members.join(least, "class")
-        .where(F.struct("k1", "k2") == F.col("set"))
-        .select(F.struct("doc_id", "text_key").alias(key), F.col("class").alias(group))
-        .distinct()
-    )
-    order = Window.partitionBy(group).orderBy("text", *(c for c in names if c not in ("doc_id", "text")))
+    own = members.join(least, "class").where(F.struct("k1", "k2") == F.col("set"))
+    kept = written(own.select("class", "doc_id", "text_key").distinct(), "kept")
+    chosen = _one_text_each(docs, kept).select(F.struct("doc_id", "text_key").alias(key))
+    # Texts are moved once: repeated rows of a text meet where the join has put them.
+    order = Window.partitionBy(key).orderBy(*(c for c in names if c != "doc_id"))
     rows = docs.where("doc_id IS NOT NULL").withColumn(key, F.struct("doc_id", _text_key()))
-    single = rows.join(kept, key).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    single = rows.join(chosen, key, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return single.select(*names).union(_alone(docs))
 
 
+def _one_text_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """doc_id and text_key of one text of each class; texts are read only where an id has several of one set."""
+    texts = kept.groupBy("class").agg(F.count("*").alias("texts"), F.min(F.struct("doc_id", "text_key")).alias("own"))
+    counted = written(texts, "kept-texts")
+    single = counted.where("texts = 1").select("own.*")
+    many = written(kept.join(counted.where("texts > 1").select("class"), "class"), "kept-many")
+    if many.isEmpty():
+        return single
+    told = docs.select("doc_id", "text", _text_key()).join(many, ["doc_id", "text_key"])
+    first = told.groupBy("class").agg(F.min(F.struct("text", "doc_id", "text_key")).alias("own"))
+    return single.union(first.select("own.doc_id", "own.text_key"))
+
+
 def _unused(name: str, names: list[str]) -> str:
     """``name`` with as many underscores as no column's name has."""
     taken = {n.lower() for n in names}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 from collections import Counter
@@ -268,3 +269,22 @@ def test_licenses(documents):
     assert set(found) == want and len(found) == len(want) >= len(license.TEMPLATES)
     assert license.licenses(documents([])).collect() == []
     assert license.licenses(documents(rows), {}).collect() == []
+
+
+def test_an_index_of_items_has_the_size_it_is_told():
+    """What the driver builds and tasks hold is arrays and texts, not objects for each shingle."""
+    rng = random.Random(9)
+    items = [(k, prose(rng, 12)) for k in range(20_000)]
+    told = decontaminate.index_bytes(len(items), sum(len(text.encode()) for _, text in items))
+    index = decontaminate.ItemIndex(items)
+    assert len(pickle.dumps(index)) <= told and told < decontaminate.BLOCK_BYTES
+    found = decontaminate.found_in(index, [f"{items[7][1]} and {items[19_000][1]}".encode(), b"nothing of it"])
+    assert {item for doc, item, size, count in found if size == count} >= {7, 19_000} and {f[0] for f in found} == {0}
+
+
+def test_a_long_text_full_of_notices(documents):
+    """Windows carry their own words only, so that the work follows the length of the text."""
+    body = license.TEMPLATES["MIT"] + " " + prose(random.Random(4), 40) + " "
+    rows = [(1, body * 150), (2, body)]
+    found = {(r["doc_id"], r["template"], r["containment"], r["word"]) for r in license.licenses(documents(rows)).collect()}
+    assert {(1, "MIT", 1.0, 0), (2, "MIT", 1.0, 0)} <= found
