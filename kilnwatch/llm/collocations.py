@@ -2,16 +2,16 @@
 
 Rabin-Karp fingerprints. Prefix polynomials over the hashes of a text's words give the fingerprint of every n-gram as
 a difference of two prefixes; n-grams do not cross the marks that part pieces. Each task counts fingerprints and keeps
-a pointer to one occurrence, the key of a text and the number of a word; the shuffle sums the counts and keeps the
-least pointer. It goes level by level: an n-gram can be frequent only if both its (n-1)-grams are, so a level counts
+a pointer to one occurrence, 32 bits of a text's hash and the number of a word. Fingerprints are shuffled in packed
+arrays, by ranges of their values; the counts of each range are summed, and the least pointer is kept. It goes level by level: an n-gram can be frequent only if both its (n-1)-grams are, so a level counts
 just those whose parts pass a filter of the frequent fingerprints below. The filter is a bit table of fixed size
 (``FILTER_BITS``, 16 MB), which is what may be broadcast; the fuller it is, the more candidates pass, and no frequent
 phrase is ever lost.
 
 Fingerprints that collide are told apart by a second fingerprint, over word hashes of their own, which is a part of the
-key; two phrases would have to agree in 128 bits to be counted as one. Frequent phrases alone are materialised: texts
+key; two phrases would have to agree in 96 bits to be counted as one. Frequent phrases alone are materialised: texts
 that pointers lead to are read once more, and a phrase is taken from a text only if the words there give both its
-fingerprints. From then on phrases are compared as texts.
+fingerprints. The fingerprint of no words stands for all words of its language, and is read in the same way. From then on phrases are compared as texts.
 
 A null text is empty, a null lang is ``und``. Repeated rows count each time. Texts without words, and no documents,
 give no rows. Other columns are not read.
@@ -20,7 +20,6 @@ give no rows. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -43,6 +42,8 @@ FILTER_BITS = 27
 SLICE = 4 << 20
 #: Different fingerprints that a task holds before it passes its counts on.
 HELD = 1 << 20
+#: Ranges of fingerprints for each partition of a shuffle.
+RANGES = 8
 
 PIECE_ENDS = separators_of((10, 13), *((ord(c), ord(c)) for c in ".,;:!?"))
 BETWEEN = PIECE_ENDS | separators_of((9, 9), (32, 32))
@@ -64,7 +65,8 @@ class Slice:
         self.piece = ends[self.words.starts]
         sizes = np.diff(self.words.bounds)
         self.owner = np.repeat(np.arange(len(texts)), sizes)
-        self.seeds = np.array([_seed(lang) for lang in langs], np.uint64)[self.owner]
+        self.own_seeds = np.array([_seed(lang) for lang in langs], np.uint64)
+        self.seeds = self.own_seeds[self.owner]
         self.others = self.words.other_hashes()
 
     def whole(self, length: int) -> np.ndarray:
@@ -87,6 +89,10 @@ class Slice:
             out[at : at + here] = (prefix[length:] - prefix[:here]) * back[:here]
         return mix(out + self.seeds[:count] + np.uint64(length))
 
+    def of_nothing(self, check: bool = False) -> np.ndarray:
+        """The fingerprint of no words in each text's language."""
+        return mix(self.own_seeds + np.uint64((LONGEST + 1) * check))
+
     def phrase(self, at: int, length: int) -> str:
         return b" ".join([self.words.word(word) for word in range(at, at + length)]).decode()
 
@@ -95,7 +101,7 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-    ).withColumn("key", F.xxhash64("lang", "text"))
+    ).withColumn("key", F.shiftrightunsigned(F.xxhash64("lang", "text"), 32))
 
 
 class Filter:
@@ -131,71 +137,140 @@ def filter_of(frequent: DataFrame) -> Filter:
     return Filter(table)
 
 
-COUNTED = "print bigint, check bigint, n bigint, key bigint, at bigint, lang string"
+#: Fingerprint, second fingerprint, count, key of a text, number of a word.
+ENTRY = [np.uint64, np.uint32, np.int64, np.uint32, np.uint32]
+PACKED = "bucket int, entries binary"
+FREQUENT = "print bigint, check bigint, n bigint, key bigint, at bigint, length int"
+#: The range of the fingerprints of no words.
+NOTHING = -1
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    return b"".join(c.astype(kind).tobytes() for c, kind in zip(columns, ENTRY, strict=True))
+
+
+def _unpacked(entries: bytes) -> list[np.ndarray]:
+    count = len(entries) // sum(np.dtype(kind).itemsize for kind in ENTRY)
+    out, at = [], 0
+    for kind in ENTRY:
+        out.append(np.frombuffer(entries, kind, count, at))
+        at += out[-1].nbytes
+    return out
 
 
-def _summed(prints: np.ndarray, checks: np.ndarray, counts: np.ndarray, *pointers: np.ndarray) -> list[np.ndarray]:
-    """Equal fingerprints once, with their counts and a pointer. Some that collide may stay apart, which does no harm."""
+def _summed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Equal fingerprints once, in their order, with the sum of their counts and the least pointer."""
+    prints, checks, counts, keys, words = columns
     order = np.argsort(prints, kind="stable")
+    again = np.flatnonzero(prints[order][1:] == prints[order][:-1])
+    if len(again) and (checks[order][again] != checks[order][again + 1]).any():
+        order = np.lexsort((checks, prints))
     prints, checks = prints[order], checks[order]
     change = (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
     starts = np.flatnonzero(np.concatenate([[True], change])) if len(prints) else np.empty(0, np.int64)
-    sums = np.add.reduceat(counts[order], starts) if len(starts) else counts
-    return [prints[starts], checks[starts], sums, *(p[order][starts] for p in pointers)]
+    if not len(starts):
+        return columns
+    pointers = (keys[order].astype(np.uint64) << np.uint64(32)) | words[order].astype(np.uint64)
+    pointers = np.minimum.reduceat(pointers, starts)
+    sums = np.add.reduceat(counts[order], starts)
+    halves = (pointers >> np.uint64(32)).astype(np.uint32), (pointers & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return [prints[starts], checks[starts], sums, *halves]
+
+
+class Counted:
+    """Counts that are summed whenever many have gathered."""
+
+    def __init__(self):
+        self.parts: list[list[np.ndarray]] = []
+        self.size = 0
+
+    def add(self, columns: list[np.ndarray]) -> None:
+        if len(columns[0]):
+            self.parts.append(columns)
+            self.size += len(columns[0])
+
+    def sum(self) -> list[np.ndarray]:
+        summed = _summed([np.concatenate(side) for side in zip(*self.parts, strict=True)])
+        self.parts, self.size = [summed], len(summed[0])
+        return summed
+
+
+def _of_slice(piece: pa.RecordBatch, length: int, below: Filter | None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The counted n-grams of a slice whose parts pass, and the words of its texts under the fingerprints of none."""
+    held = Slice(as_bytes(piece, "text"), piece.column("lang").to_pylist())
+    keys, bounds = piece.column("key").to_numpy(), held.words.bounds
+    kept = held.whole(length)
+    if below is not None:
+        known = below.holds(held.fingerprints(length - 1))
+        kept &= known[: len(kept)] & known[1 : 1 + len(kept)]
+    places = np.flatnonzero(kept)
+    owner = held.owner[places]
+    prints, checks = (held.fingerprints(length, check)[places] for check in (False, True))
+    grams = [prints, checks >> np.uint64(32), np.ones(len(places), np.int64), keys[owner], places - bounds[owner]]
+    prints, checks = (held.of_nothing(check) for check in (False, True))
+    totals = [prints, checks >> np.uint64(32), np.diff(bounds), keys, np.zeros(len(keys), np.int64)]
+    return tuple(_summed([c.astype(kind) for c, kind in zip(t, ENTRY, strict=True)]) for t in (grams, totals))
 
 
 def _level(documents: DataFrame, length: int, below, least: int) -> DataFrame:
     """The frequent fingerprints of n-grams; ``below`` is the broadcast filter of shorter ones.
 
-    The first level also has the words of each language, as rows of fingerprint 0 with its name.
+    The first level also has those of no words, which count the words of each language, however few.
     """
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES * parts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = []
-        size = 0
-        totals: Counter[str] = Counter()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, totals = Counted(), Counted()
 
-        def out() -> pa.RecordBatch:
-            columns = [pa.array(c.view(np.int64)) for c in parts[0]]
-            columns.append(pa.nulls(size, pa.string()))
-            return pa.RecordBatch.from_arrays(columns, names=["print", "check", "n", "key", "at", "lang"])
+        def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+            bucket = ((columns[0] >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int64)
+            edges = np.searchsorted(bucket, np.arange(ranges + 1))
+            full = np.flatnonzero(edges[1:] > edges[:-1])
+            entries = [_packed([c[edges[k] : edges[k + 1]] for c in columns]) for k in full.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(entries)], names=["bucket", "entries"])
 
         for batch in batches:
             for piece in pieces(batch, "text", SLICE):
-                held = Slice(as_bytes(piece, "text"), piece.column("lang").to_pylist())
-                words = held.words
+                found, words = _of_slice(piece, length, None if below is None else below.value)
+                grams.add(found)
                 if length == 1:
-                    for lang, count in zip(held.langs, np.diff(words.bounds).tolist(), strict=True):
-                        totals[lang] += count
-                kept = held.whole(length)
-                if below is not None:
-                    known = below.value.holds(held.fingerprints(length - 1))
-                    kept &= known[: len(kept)] & known[1 : 1 + len(kept)]
-                places = np.flatnonzero(kept)
-                owner = held.owner[places]
-                key = piece.column("key").to_numpy()[owner]
-                prints, checks = (held.fingerprints(length, check)[places] for check in (False, True))
-                once = np.ones(len(places), np.int64)
-                parts.append(_summed(prints, checks, once, key, places - words.bounds[owner]))
-                size += len(parts[-1][0])
-                if size > HELD:
-                    parts = [_summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))]
-                    size = len(parts[0][0])
-                    if size > HELD // 2:
-                        yield out()
-                        parts, size = [], 0
-        if size:
-            parts = [_summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))]
-            size = len(parts[0][0])
+                    totals.add(words)
+                    totals.sum()
+                if grams.size > HELD and len(grams.sum()[0]) > HELD // 2:
+                    yield out(grams.parts[0])
+                    grams = Counted()
+        if grams.size:
+            yield out(grams.sum())
+        if totals.size:
+            entries = [_packed([c[k : k + 1] for c in totals.sum()]) for k in range(totals.size)]
+            buckets = pa.array([NOTHING] * len(entries), pa.int32())
+            yield pa.RecordBatch.from_arrays([buckets, pa.array(entries)], names=["bucket", "entries"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current = Counted(), None
+
+        def out() -> pa.RecordBatch:
+            columns = held.sum()
+            kept = columns[2] >= (least if current != NOTHING else 0)
+            arrays = [pa.array(c[kept].astype(np.int64) if k else c[kept].view(np.int64)) for k, c in enumerate(columns)]
+            size = pa.array(np.full(int(kept.sum()), length if current != NOTHING else 0, np.int32))
+            return pa.RecordBatch.from_arrays([*arrays, size], names=["print", "check", "n", "key", "at", "length"])
+
+        for batch in batches:
+            for bucket, entries in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != current and held.size:
+                    yield out()
+                    held = Counted()
+                current = bucket
+                held.add(_unpacked(entries.as_buffer()))
+                if held.size > 4 * HELD:
+                    held.sum()
+        if held.size:
             yield out()
-        if totals:
-            zeros = pa.array(np.zeros(len(totals), np.int64))
-            columns = [zeros, zeros, pa.array(totals.values(), pa.int64()), zeros, zeros, pa.array(totals, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["print", "check", "n", "key", "at", "lang"])
 
-    counted = documents.mapInArrow(run, COUNTED).groupBy("print", "check", "lang")
-    sums = counted.agg(F.sum("n").alias("n"), F.min_by("at", "key").alias("at"), F.min("key").alias("key"))
-    return sums.where((F.col("n") >= least) | F.col("lang").isNotNull())
+    dealt = documents.mapInArrow(count, PACKED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(add_up, FREQUENT)
 
 
 def _materialised(documents: DataFrame, frequent: DataFrame, keys) -> DataFrame:
@@ -215,7 +290,10 @@ def _materialised(documents: DataFrame, frequent: DataFrame, keys) -> DataFrame:
                 for pointer in row["pointers"]:
                     wanted.setdefault(pointer["length"], []).append(pointer)
                 for length, pointers in wanted.items():
-                    prints, checks = (held.fingerprints(length, check).view(np.int64) for check in (False, True))
+                    prints, checks = (
+                        held.fingerprints(length, check) if length else held.of_nothing(check) for check in (False, True)
+                    )
+                    prints, checks = prints.view(np.int64), (checks >> np.uint64(32)).view(np.int64)
                     for p in pointers:
                         at = p["at"]
                         if at < len(prints) and prints[at] == p["print"] and checks[at] == p["check"]:
@@ -237,17 +315,14 @@ def _materialised(documents: DataFrame, frequent: DataFrame, keys) -> DataFrame:
 def _counted(documents: DataFrame, least: int, longest: int) -> DataFrame:
     """``lang``, ``phrase``, ``n``: the frequent phrases of up to ``longest`` words, and all words as the empty one."""
     context = documents.sparkSession.sparkContext
-    every = totals = below = None
+    every = below = None
     for length in range(1, longest + 1):
         level = written(_level(documents, length, below, least), f"level-{length}")
         if below is not None:
             below.unpersist()
-        found = level.where("lang IS NULL").drop("lang").withColumn("length", F.lit(length))
-        every = found if every is None else every.unionByName(found)
-        if length == 1:
-            totals = level.where("lang IS NOT NULL").select("lang", F.lit("").alias("phrase"), "n")
-        below = context.broadcast(filter_of(found if length < longest else every.select(F.col("key").alias("print"))))
-    phrases = written(_materialised(documents, every, below).unionByName(totals), "phrases")
+        every = level if every is None else every.unionByName(level)
+        below = context.broadcast(filter_of(level if length < longest else every.select(F.col("key").alias("print"))))
+    phrases = written(_materialised(documents, every, below), "phrases")
     below.unpersist()
     return phrases
 

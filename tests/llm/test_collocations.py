@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kilnwatch.llm import collocations as module
@@ -93,36 +94,61 @@ def batches_of(spark, rows):
 
 @pytest.mark.parametrize("bits", [0, 2, 64])
 def test_colliding_fingerprints_are_told_apart(spark, documents, monkeypatch, bits):
-    """Fingerprints of so few bits collide all the time; the second ones keep phrases apart, in a task and over tasks."""
+    """Fingerprints of so few bits collide all the time; the second ones keep phrases apart."""
     whole = Slice.fingerprints
     mask = np.uint64((1 << bits) - 1)
     monkeypatch.setattr(Slice, "fingerprints", lambda s, n, check=False: whole(s, n, check) & (~np.uint64(0) if check else mask))
-    monkeypatch.setattr(module, "HELD", 300)
     rows = rows_of()
     for length in (1, 3):
+        grams_of, words_of = module.Counted(), module.Counted()
+        for batch in batches_of(spark, rows):
+            found, words = module._of_slice(batch, length, None)
+            grams_of.add(module._unpacked(module._packed(found)))
+            words_of.add(words)
+        want = Counter(("und" if r[2] is None else r[2], g) for r in rows if r[0] != 504 for g in grams(r[1]) if len(g) == length)
+        assert sorted(grams_of.sum()[2].tolist()) == sorted(want.values())
+        if length == 1:
+            totals = Counter()
+            for (lang, _), count in want.items():
+                totals[lang] += count
+            assert sorted(n for n in words_of.sum()[2].tolist() if n) == sorted(totals.values())
+
+
+def test_counts_are_passed_on_in_parts(spark, documents, monkeypatch):
+    for held, ranges in ((300, 1), (300, 50), (1 << 20, 8)):
+        monkeypatch.setattr(module, "HELD", held)
+        monkeypatch.setattr(module, "RANGES", ranges)
         captured = []
 
         class Frame:
+            sparkSession = spark
+
             def mapInArrow(self, run, schema):
                 captured.append(run)
-                raise StopIteration
-
-        with pytest.raises(StopIteration):
-            module._level(Frame(), length, None, 1)
-        sums = Counter()
-        for part in captured[0](iter(batches_of(spark, rows))):
-            for row in part.to_pylist():
-                if row["lang"] is None:
-                    sums[row["print"], row["check"]] += row["n"]
-        want = Counter(("und" if r[2] is None else r[2], g) for r in rows if r[0] != 504 for g in grams(r[1]) if len(g) == length)
-        assert sorted(sums.values()) == sorted(want.values())
+                return self
+
+            def repartition(self, *_):
+                return self
+
+            sortWithinPartitions = repartition
+
+        rows = rows_of()
+        module._level(Frame(), 2, None, 20)
+        packed = [r for b in captured[0](iter(batches_of(spark, rows))) for r in b.to_pylist()]
+        packed.sort(key=lambda r: r["bucket"])
+        table = pa.RecordBatch.from_pylist(packed, schema=pa.schema([("bucket", pa.int32()), ("entries", pa.binary())]))
+        found = [r for b in captured[1](iter([table.slice(0, 7), table.slice(7)])) for r in b.to_pylist()]
+        want = Counter(("und" if r[2] is None else r[2], g) for r in rows if r[0] != 504 for g in grams(r[1]) if len(g) == 2)
+        assert sorted(r["n"] for r in found) == sorted(n for n in want.values() if n >= 20)
+        assert len({r["print"] for r in found}) == len(found) and {r["length"] for r in found} == {2}
 
 
 def test_a_wrong_pointer_gives_no_phrase(spark, documents):
     docs = module._texts(spark.createDataFrame([(1, "one two three", "en", "s", 1)], DOCS))
     key = docs.first()["key"]
     held = Slice([b"one two three"], ["en"])
-    prints, checks = (held.fingerprints(2, check).view(np.int64).tolist() for check in (False, True))
+    prints = held.fingerprints(2).view(np.int64).tolist()
+    checks = (held.fingerprints(2, True) >> np.uint64(32)).tolist()
     pointers = [
         (prints[0], checks[0], 7, key, 0, 2), (prints[1], checks[1], 8, key, 0, 2), (prints[1], checks[0], 9, key, 1, 2),
         (prints[1], checks[1], 5, key, 90, 2), (prints[1], checks[1], 6, key + 1, 1, 2),
