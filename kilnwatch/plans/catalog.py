@@ -167,7 +167,7 @@ def _order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     quoted = F.regexp_replace(
         F.regexp_replace("text", r'"(value|id|sequence)":([0-9.]+)', r'"$1":"$2"'),
-        r'"batchId":"B', r'"surprise":[1],"batchId":"Q',
+        r'"batchId":"B', r'"plant":[{"line":1}],"batchId":"Q',
     )
     texts = {
         "good": F.col("text"),

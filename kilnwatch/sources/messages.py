@@ -114,6 +114,9 @@ def _whole(text: Column, kind: str) -> Column:
 
 
 def _convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """The value in its target type; parts that have it already are not taken apart."""
+    if source == target:
+        return value
     if isinstance(target, T.StructType):
         fields = [
             _convert(value[f.name], source[f.name].dataType, f.dataType).alias(f.name)
@@ -124,8 +127,6 @@ def _convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
         return F.transform(
             value, lambda item: _convert(item, source.elementType, target.elementType)
         )
-    if source == target:
-        return value
     if isinstance(target, T.TimestampType):
         return _instant(value)
     if isinstance(target, T.DoubleType):
@@ -135,6 +136,8 @@ def _convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
 
 def _lost(value: Column, converted: Column, source: T.DataType, target: T.DataType) -> Column | None:
     """True where some leaf has a text but no converted value; an empty text reads as NULL."""
+    if source == target:
+        return None
     if isinstance(target, T.StructType):
         checks = [
             check
@@ -152,8 +155,6 @@ def _lost(value: Column, converted: Column, source: T.DataType, target: T.DataTy
             lambda item, kept: _lost(item, kept, source.elementType, target.elementType),
         )
         return F.coalesce(F.exists(losses, lambda lost: F.coalesce(lost, F.lit(False))), F.lit(False))
-    if source == target:
-        return None
     return F.coalesce(converted.isNull() & value.isNotNull() & (F.trim(value) != ""), F.lit(False))
 
 

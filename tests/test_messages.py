@@ -41,8 +41,9 @@ def message(sensor=None, measurement=None, **batch) -> str:
 CASES = [
     # name, message, the expected field or None where the message is skipped
     ("valid", message(), ("id", 1)),
-    ("unknown key", '{"batchId":"B","surprise":123}', ("batchId", "B")),
-    ("poison", "}{ not json", None),
+    ("keys of other systems", message(plant={"line": [4, None]}, batchId="B9"), ("batchId", "B9")),
+    ("text behind", message(id=4) + " and more", ("id", 4)),
+    ("cut short", message()[:-5], None),
     ("empty", "", None),
     ("missing", None, None),
     ("json null", "null", None),
