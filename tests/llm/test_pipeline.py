@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 
 
 def test_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 14))
     import __spark_entry__
 
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
