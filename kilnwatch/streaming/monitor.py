@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -52,9 +53,11 @@ _FINDING = T.StructType(
         T.StructField("evidence", T.DoubleType()),
         T.StructField("arrival_seq", T.LongType()),
         T.StructField("element_seq", T.LongType()),
+        T.StructField("nans", T.IntegerType()),
     ]
 )
-_Finding = Row(*_FINDING.fieldNames())
+#: Columns that may hold not-a-number, which pandas hands on as no value: ``nans`` has a bit for each.
+_NUMBERS = ["measured_value", "reference_value", "deviation", "deviation_rate", "min", "max", "evidence"]
 
 
 def _before(flags: np.ndarray) -> np.ndarray:
@@ -217,38 +220,36 @@ class SensorMonitor(StatefulProcessor):
             "severities", "rule_1 string, bias string, rule_3 string", ttl
         )
 
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        arrived = sorted(rows, key=lambda row: (row.arrival_seq, row.element_seq))
-        options = self.options
-        limit = _Samples(options.limit_window_ms, *(self.limit_state.get() or ([], [])))
-        trend = _Samples(options.trend_window_ms, *(self.trend_state.get() or ([], [])))
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values(["arrival_seq", "element_seq"], ignore_index=True)
+        limit = _Samples(self.options.limit_window_ms, *(self.limit_state.get() or ([], [])))
+        trend = _Samples(self.options.trend_window_ms, *(self.trend_state.get() or ([], [])))
         batch, total = self.batch_state.get() or (None, 0)
         severities = dict(
             zip(SEVERITIES, self.severity_state.get() or (None, None, None))
         )
         newest = max([*limit.ms[-1:].tolist(), *trend.ms[-1:].tolist()], default=None)
-        for run, newest in _ordered_runs(arrived, newest):
-            gate_open = []
-            for row in run:
-                if row.batch_id is not None and row.batch_id != batch:
-                    batch, total = row.batch_id, total + 1
-                gate_open.append(total >= options.min_batches)
-            yield from self._judge(run, gate_open, limit, trend, severities)
+        batch, totals = _batch_totals(arrived["batch_id"].tolist(), batch, total)
+        readings = _Readings(arrived, totals >= self.options.min_batches)
+        found: list[tuple] = []
+        for run in _ordered_runs(readings.ms, newest):
+            self._judge(readings, run, limit, trend, severities, found)
         self.limit_state.update(limit.stored())
         self.trend_state.update(trend.stored())
-        self.batch_state.update((batch, total))
+        self.batch_state.update((batch, int(totals[-1])))
         self.severity_state.update(tuple(severities.values()))
+        if found:
+            yield readings.findings(found)
 
-    def _judge(self, run, gate_open, limit, trend, severities) -> Iterator[Row]:
-        ms = np.array([row.ms for row in run], dtype=np.int64)
-        empty = np.array([row.value is None for row in run])
-        values = np.array([np.nan if row.value is None else row.value for row in run], dtype=float)
+    def _judge(self, readings: _Readings, run: slice, limit, trend, severities, found: list[tuple]) -> None:
+        ms, values, empty = readings.ms[run], readings.values[run], readings.empty[run]
         limit_first, limit_last = limit.add(ms, values, empty)
         trend_first, trend_last = trend.add(ms, values, empty)
-        judged: dict = {}
+        gate_open = readings.gate_open[run]
+        judged: list = [None] * len(ms)
         by_limits: dict = {}
-        for i, row in enumerate(run):
-            by_limits.setdefault((row.recipe_min, row.recipe_max), []).append(i)
+        for i, pair in enumerate(readings.limits[run]):
+            by_limits.setdefault(pair, []).append(i)
         for (low, high), members in by_limits.items():
             at = np.array(members)
             rule_1, bias = _judge_limits(
@@ -258,24 +259,24 @@ class SensorMonitor(StatefulProcessor):
                 trend, trend_first[at], trend_last[at], low, high, self.options.min_trend_samples
             )
             for place, i in enumerate(members):
-                judged[i] = (place, {RULE_1: rule_1, BIAS: bias, RULE_3: rule_3})
-        for i, row in enumerate(run):
-            place, results = judged[i]
-            for rule, (levels, finding) in results.items():
+                judged[i] = (place, rule_1, bias, rule_3)
+        windows = {
+            RULE_1: (limit, limit_first, limit_last),
+            BIAS: (limit, limit_first, limit_last),
+            RULE_3: (trend, trend_first, trend_last),
+        }
+        for i, (place, *results) in enumerate(judged):
+            for rule, (levels, finding) in zip((RULE_1, BIAS, RULE_3), results, strict=True):
                 if rule != RULE_3 and not gate_open[i]:
                     continue
-                level = str(levels[place])
+                level = levels[place]
                 if self.changes_only and severities[rule] == level:
                     continue
-                severities[rule] = level
-                samples, first, last = (
-                    (trend, trend_first[i], trend_last[i])
-                    if rule == RULE_3
-                    else (limit, limit_first[i], limit_last[i])
-                )
-                yield _finding_row(
-                    row, rule, finding(place), int(samples.ms[first]), int(last - first + 1)
-                )
+                severities[rule] = str(level)
+                samples, first, last = windows[rule]
+                result = finding(place)
+                begin, end = int(first[i]), int(last[i])
+                found.append((run.start + i, rule, result, int(samples.ms[begin]), end - begin + 1))
         limit.forget_before(limit_first[-1])
         trend.forget_before(trend_first[-1])
 
@@ -283,33 +284,85 @@ class SensorMonitor(StatefulProcessor):
         pass
 
 
-def _ordered_runs(arrived: list[Row], newest: int | None):
+def _batch_totals(batches: list, last, total: int):
+    """The last known batch, and after each reading the number of changes of batch so far."""
+    totals = np.empty(len(batches), np.int64)
+    for i, batch in enumerate(batches):
+        if batch is not None and batch == batch and batch != last:
+            last, total = batch, total + 1
+        totals[i] = total
+    return last, totals
+
+
+def _optional(column: pd.Series) -> list:
+    """The values of a column, with None for no value; not-a-number stays."""
+    return [None if v is None or v is pd.NA else v for v in column.tolist()]
+
+
+class _Readings:
+    """A sensor's readings of one micro-batch in order of arrival.
+
+    Values and limits come with flags of their own: in a column of numbers no value looks like not-a-number.
+    """
+
+    def __init__(self, rows: pd.DataFrame, gate_open: np.ndarray) -> None:
+        self.rows, self.gate_open = rows, gate_open
+        self.ms = rows[MS].to_numpy(np.int64)
+        self.empty = rows["no_value"].to_numpy(bool)
+        self.values = np.where(self.empty, np.nan, rows["value"].to_numpy(float))
+        low, high = (
+            [None if none else v for none, v in zip(rows[f"no_{end}"].tolist(), rows[f"recipe_{end}"].tolist())]
+            for end in ("min", "max")
+        )
+        self.limits = list(zip(low, high))
+
+    def findings(self, found: list[tuple]) -> pd.DataFrame:
+        """The rows of ``(reading, rule, result, start, count)``."""
+        nothing = (NORMAL, None, None, None, None, None, None)
+        at = [row[0] for row in found]
+        results = [row[2] or nothing for row in found]
+        severity, kind, measured, reference, deviation, rate, evidence = zip(*results)
+        limits = [self.limits[row[0]] if row[2] else (None, None) for row in found]
+        given = self.rows.iloc[at]
+        columns = {
+            "equipment_id": pd.array(_optional(given["equipment_id"].astype(object).where(given["equipment_id"].notna(), None)), "Int64"),
+            "sensor_id": given["sensor_id"].tolist(),
+            "sensor_type": given["sensor_type"].tolist(),
+            "rule_name": [row[1] for row in found],
+            "anomaly_type": kind,
+            "severity": [str(s) for s in severity],
+            "measured_value": pd.array(measured, object),
+            "reference_value": pd.array(reference, object),
+            "deviation": pd.array(deviation, object),
+            "deviation_rate": pd.array(rate, object),
+            "min": pd.array([low for low, _ in limits], object),
+            "max": pd.array([high for _, high in limits], object),
+            "sample_count": [row[4] for row in found],
+            "detected_ms": self.ms[at],
+            "start_ms": [row[3] for row in found],
+            "evidence": pd.array(evidence, object),
+            "arrival_seq": given["arrival_seq"].to_numpy(),
+            "element_seq": given["element_seq"].to_numpy(),
+        }
+        columns["nans"] = sum(
+            np.array([v is not None and v != v for v in columns[name]]).astype(np.int32) << bit
+            for bit, name in enumerate(_NUMBERS)
+        )
+        return pd.DataFrame(columns)[_FINDING.fieldNames()]
+
+
+def _ordered_runs(ms: np.ndarray, newest: int | None) -> Iterator[slice]:
     """Split arrivals into stretches without a late reading; each late one stands alone."""
-    run: list[Row] = []
-    for row in arrived:
-        late = newest is not None and row.ms < newest
-        if late:
-            if run:
-                yield run, newest
-            yield [row], newest
-            run = []
-        else:
-            run.append(row)
-            newest = row.ms
-    if run:
-        yield run, newest
-
-
-def _finding_row(row: Row, rule: str, finding, start_ms: int, count: int) -> Row:
-    severity, kind, measured, reference, deviation, rate, evidence = finding or (
-        NORMAL, None, None, None, None, None, None,
-    )
-    low, high = (row.recipe_min, row.recipe_max) if finding else (None, None)
-    return _Finding(
-        row.equipment_id, row.sensor_id, row.sensor_type, rule, kind, str(severity),
-        measured, reference, deviation, rate, low, high, count,
-        row.ms, start_ms, evidence, row.arrival_seq, row.element_seq,
-    )
+    before = np.maximum.accumulate(np.concatenate([[ms[0] if newest is None else newest], ms[:-1]]))
+    late = ms < before
+    start = 0
+    for place in np.flatnonzero(late).tolist():
+        if place > start:
+            yield slice(start, place)
+        yield slice(place, place + 1)
+        start = place + 1
+    if start < len(ms):
+        yield slice(start, len(ms))
 
 
 def monitor(
@@ -323,18 +376,27 @@ def monitor(
     Needs the RocksDB state store. ``idle_ttl_ms`` drops the state of sensors that went
     silent; by default it is kept, as a silent sensor's last severity still counts.
     """
+    flags = {f"no_{name}": F.col(column).isNull() for name, column in
+             (("value", "value"), ("min", "recipe_min"), ("max", "recipe_max"))}
     findings = (
         keyed(reading_events(readings))
+        .drop("measured_at")
+        .withColumns(flags)
         .groupBy(KEY)
-        .transformWithState(
+        .transformWithStateInPandas(
             statefulProcessor=SensorMonitor(options, changes_only, idle_ttl_ms),
             outputStructType=_FINDING,
             outputMode="Append",
             timeMode="None" if idle_ttl_ms is None else "ProcessingTime",
         )
     )
+    numbers = {
+        name: F.when(F.col("nans").bitwiseAND(F.lit(1 << bit)) > 0, F.lit(float("nan"))).otherwise(F.col(name))
+        for bit, name in enumerate(_NUMBERS)
+    }
     return (
-        findings.withColumns(
+        findings.withColumns(numbers)
+        .withColumns(
             {
                 "detected_at": F.timestamp_millis("detected_ms"),
                 "window_start": F.timestamp_millis("start_ms"),
