@@ -31,7 +31,6 @@ from kilnwatch.llm.winnow import anchors
 HOT = 1 << 15
 #: Packed bytes of one part of the dealt table.
 PART_BYTES = 24 << 20
-NO_ID = -(1 << 63)
 
 #: ``place`` holds further bits of the row's hash, the first window and the number of further ones: 24, 31 and 8 bits.
 ANCHORS = "row bigint, place bigint, h bigint"
@@ -61,7 +60,10 @@ class Unit:
 
 
 def dealt(docs: DataFrame) -> DataFrame:
-    """row, part, key, size, packed, copies: the texts under zstandard; ``row`` and ``part`` are hashes of id and text."""
+    """row, part, key, size, packed, copies: the texts under zstandard; ``row`` and ``part`` are hashes of id and text.
+
+    The key is the id, null where there is none.
+    """
     spark = docs.sparkSession
     names = "row bigint, part int, key bigint, size bigint, packed binary"
     schema = _arrow_schema(spark, names)
@@ -79,11 +81,12 @@ def dealt(docs: DataFrame) -> DataFrame:
                 schema=schema,
             )
 
-    key = F.coalesce("doc_id", F.lit(NO_ID))
+    # Hashes pass over nulls.
+    key = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()
     keyed = docs.select(
-        F.xxhash64(key, "text").alias("row"),
-        F.xxhash64("text", key).bitwiseAND((1 << 24) - 1).cast("int").alias("part"),
-        key.alias("key"),
+        F.xxhash64(*key, "text").alias("row"),
+        F.xxhash64("text", *key).bitwiseAND((1 << 24) - 1).cast("int").alias("part"),
+        F.col("doc_id").alias("key"),
         "text",
     )
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -180,7 +183,7 @@ def contexts(table: DataFrame, unit: Unit) -> DataFrame:
                     if own is None:
                         own = met[h, cut] = [context_id(cut), 0, None]
                     own[1] += copies
-                    if key != NO_ID and (own[2] is None or key < own[2]):
+                    if key is not None and (own[2] is None or key < own[2]):
                         own[2] = key
                     out.append((h, own[0], row, key, number, first, None, copies, None))
             if len(met) > COMBINED:
@@ -255,8 +258,7 @@ def judged(table: DataFrame, unit: Unit, verdict: str, judge: Judge, useful: str
         known = different.join(hot, "h").groupBy("h", "c").agg(F.first("context").alias("context"))
         crowded = places.join(known, ["h", "c"]).select("row", "key", "part", "first", "n", "h", "context")
         single = written(_single_windows(crowded, unit), "windows")
-        least = F.min(F.when(F.col("key") != NO_ID, F.col("key"))).alias("least")
-        merged = single.groupBy("h", "c", "context").agg(F.sum("n").alias("n"), least)
+        merged = single.groupBy("h", "c", "context").agg(F.sum("n").alias("n"), F.min("key").alias("least"))
         places = places.join(hot, "h", "left_anti").unionByName(single.drop("context"))
         different = different.join(hot, "h", "left_anti").unionByName(merged)
     groups = (

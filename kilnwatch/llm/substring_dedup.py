@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kilnwatch.llm.hashing import WHITE, Words
-from kilnwatch.llm.repeats import NO_ID, Unit, dealt, judged, unpacked
+from kilnwatch.llm.repeats import Unit, dealt, judged, unpacked
 from kilnwatch.llm.tables import _arrow_schema
 
 LENGTH = 13
@@ -140,7 +140,7 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
                 words = text.split()
                 steps = np.zeros(len(words) + 1, np.int64)
                 for span in own or ():
-                    if span["part"] == number and key != NO_ID:
+                    if span["part"] == number and key is not None:
                         for step, least in enumerate(span["verdict"]):
                             if least is not None and least < key:
                                 steps[span["first"] + step] += 1
@@ -148,7 +148,7 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
                 gone = np.cumsum(steps[:-1]) > 0
                 kept = words if not gone.any() else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 digest = hashlib.sha256(b" ".join(kept)).hexdigest()
-                out += [(None if key == NO_ID else key, len(words), len(words) - len(kept), digest)] * copies
+                out += [(key, len(words), len(words) - len(kept), digest)] * copies
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema
             )

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kilnwatch.llm.repeats import NO_ID, Unit, dealt, judged, unpacked
+from kilnwatch.llm.repeats import Unit, dealt, judged, unpacked
 from kilnwatch.llm.tables import _arrow_schema
 from kilnwatch.llm.winnow import byte_grams
 
@@ -453,7 +453,7 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
                     at = end
                 digest.update(text[at:])
                 removed = sum(end - first for first, end in merged)
-                row = (None if key == NO_ID else key, len(text), removed, len(merged), digest.hexdigest())
+                row = (key, len(text), removed, len(merged), digest.hexdigest())
                 out += [row] * copies
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema

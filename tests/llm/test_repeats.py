@@ -79,7 +79,7 @@ def test_rows_of_one_id_spread(documents, operator, plain):
     rows += [(None, rows[0][1]), (7, rows[40][1]), (7, rows[40][1]), (9, single := prose(rng, 80)), (9, single)]
     dealt = repeats.dealt(documents(rows).select("doc_id", "text"))
     assert dealt.count() == 52 and dealt.agg({"copies": "sum"}).first()[0] == len(rows)
-    assert dealt.where(f"key = {repeats.NO_ID}").select(F.spark_partition_id()).distinct().count() > 1
+    assert dealt.where("key IS NULL").select(F.spark_partition_id()).distinct().count() > 1
     # What a row meets in the join are its own anchors, not those of all rows of its id.
     assert dealt.select("row").distinct().count() == 52
     assert Counter(map(tuple, operator.repeats_removed(documents(rows)).collect())) == plain(rows)
@@ -128,3 +128,15 @@ def test_automaton_knows_least_ids(sequences, length):
                 if any(other[i : i + length] == window for i in range(len(other)))
             ]
             assert found == (min(holders) if holders else None)
+
+
+@pytest.mark.parametrize(("operator", "plain"), CASES)
+def test_no_id_is_like_another(documents, operator, plain):
+    """The least and the largest number are ids like others, and none is none, also beside equal texts."""
+    rng = random.Random(6)
+    passage, whole = prose(rng, 70), prose(rng, 90)
+    ids = [None, -(1 << 63), (1 << 63) - 1, 0, -1]
+    rows = [(key, prose(rng, 20) + passage) for key in ids] + [(key, whole) for key in [*ids, None, -(1 << 63)]]
+    found = Counter(map(tuple, operator.repeats_removed(documents(rows)).collect()))
+    assert found == plain(rows)
+    assert sum(n for row, n in found.items() if row[0] is None) == 3
