@@ -31,7 +31,9 @@ HEADLINES = [
     "rule3",
     "bias",
     "rule1_shifting_limits",
+    "rule1_own_limits",
     "evaluations",
+    "evaluations_arrival",
     "alerts",
     "alert_envelope",
     "stream_dedup",

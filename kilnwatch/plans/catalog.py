@@ -362,8 +362,9 @@ UNGATED = RuleOptions(
 rule1 = _one_rule(RULE_1, options=UNGATED)
 rule3 = _one_rule(RULE_3, options=UNGATED)
 bias = _one_rule(BIAS, options=UNGATED)
-rule1_shifting_limits = _one_rule(RULE_1, _shifting_limits)
-bias_shifting_limits = _one_rule(BIAS, _shifting_limits)
+SHIFTING = replace(RULES, own_limits=True)
+rule1_shifting_limits = _one_rule(RULE_1, _shifting_limits, SHIFTING)
+bias_shifting_limits = _one_rule(BIAS, _shifting_limits, SHIFTING)
 
 
 BY_ARRIVAL = replace(RULES, in_arrival_order=True)
