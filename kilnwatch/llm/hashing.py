@@ -1,6 +1,6 @@
 """Vectorised hashes of the words and word sequences of many texts at once.
 
-The hashes only find candidates; what they find is compared word by word.
+Where a hash stands for what was hashed, its module says so; elsewhere hashes only find what is then compared.
 """
 
 from __future__ import annotations
