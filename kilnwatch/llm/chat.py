@@ -1,14 +1,14 @@
-"""Chat formatting: conversations as marked text with loss flags, by a state machine over roles (DataFrame functions only).
+"""Chat formatting: conversations as marked text with loss flags, by a state machine over roles (no Python on rows).
 
 A ``Template`` declares the marks around each role's text, which texts carry loss, and which roles may follow which.
-The last role is the machine's state; a turn whose role may not follow it is counted as out of turn, keeps its place
-in the text, and sets the state anew. Texts (and names of undeclared roles) have their control strings broken by a
-backslash after the first character, and backslashes doubled, so that no mark can be read inside a text and every
-text can be had back.
+The last role is the machine's state; a turn whose role may not follow it is counted as out of turn, keeps its place in
+the text, and sets the state anew. Texts (and names of undeclared roles) have their control strings broken by a
+backslash after the first character, and backslashes doubled, so that no mark can be read inside a text and every text
+can be had back.
 
 A conversation is worked on in slices of ``SLICE`` consecutive turn numbers, so that none is gathered whole; only the
-last role of a slice goes to the next one, as a row of its own. ``chat_digests`` alone joins a conversation's slices, because its contract
-hashes whole conversations: each must fit a string of Spark (2 GB).
+last role of a slice goes to the next one, as a row of its own. ``chat_digests`` alone joins a conversation's slices,
+because its contract hashes whole conversations: each must fit a string of Spark (2 GB).
 
 Rows are put in the order of turn, then role, then text; repeated rows stay. A null turn comes first, a null role or
 text is empty, and a null conv_id is a conversation of its own. No rows give no rows. Other columns are not read.
@@ -183,6 +183,10 @@ def chat_digests(conversations: DataFrame, template: Template = TEMPLATE) -> Dat
         _joined(F.transform("segments", lambda s: s["text"])).alias("formatted"),
         _joined(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"]))).alias("loss"),
     )
+
+    def said(turn: Column) -> Column:
+        return F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))
+
     read = made.withColumn("turns", read_turns(F.col("formatted"), template)).select(
         "conv_id",
         "odd",
@@ -190,9 +194,7 @@ def chat_digests(conversations: DataFrame, template: Template = TEMPLATE) -> Dat
         F.char_length("formatted").cast("long").alias("formatted_chars"),
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.struct("part", "loss").alias("loss"),
-        F.struct(
-            "part", _joined(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))).alias("said")
-        ).alias("said"),
+        F.struct("part", _joined(F.transform("turns", said)).alias("said")).alias("said"),
     )
 
     def digest(column: str) -> Column:

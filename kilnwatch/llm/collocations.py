@@ -1,17 +1,18 @@
 """Phrase collocation mining: frequent phrases of two to five words and how strongly their parts hold together.
 
-Rabin-Karp fingerprints. Prefix polynomials over the hashes of a text's words give the fingerprint of every n-gram as
-a difference of two prefixes; n-grams do not cross the marks that part pieces. Each task counts fingerprints and keeps
-a pointer to one occurrence, 32 bits of a text's hash and the number of a word. Fingerprints are shuffled in packed
-arrays, by ranges of their values; the counts of each range are summed, and the least pointer is kept. It goes level by level: an n-gram can be frequent only if both its (n-1)-grams are, so a level counts
-just those whose parts pass a filter of the frequent fingerprints below. The filter is a bit table of fixed size
-(``FILTER_BITS``, 16 MB), which is what may be broadcast; the fuller it is, the more candidates pass, and no frequent
-phrase is ever lost.
+Rabin-Karp fingerprints. Prefix polynomials over the hashes of a text's words give the fingerprint of every n-gram as a
+difference of two prefixes; n-grams do not cross the marks that part pieces. Each task counts fingerprints and keeps a
+pointer to one occurrence, 32 bits of a text's hash and the number of a word. Fingerprints are shuffled in packed
+arrays, by ranges of their values; the counts of each range are summed, and the least pointer is kept. It goes level by
+level: an n-gram can be frequent only if both its (n-1)-grams are, so a level counts just those whose parts pass a
+filter of the frequent fingerprints below. The filter is a bit table of fixed size (``FILTER_BITS``, 16 MB), which is
+what may be broadcast; the fuller it is, the more candidates pass, and no frequent phrase is ever lost.
 
 Fingerprints that collide are told apart by a second fingerprint, over word hashes of their own, which is a part of the
 key; two phrases would have to agree in 96 bits to be counted as one. Frequent phrases alone are materialised: texts
 that pointers lead to are read once more, and a phrase is taken from a text only if the words there give both its
-fingerprints. The fingerprint of no words stands for all words of its language, and is read in the same way. From then on phrases are compared as texts.
+fingerprints. The fingerprint of no words stands for all words of its language, and is read in the same way. From then
+on phrases are compared as texts.
 
 A null text is empty, a null lang is ``und``. Repeated rows count each time. Texts without words, and no documents,
 give no rows. Other columns are not read.

@@ -365,11 +365,11 @@ def chosen(page: Page) -> list[Node]:
         below[path] = below[parents[path]] or parents[path] in content
     articles = {n.article for n in nodes if n.article and n.path in content and n.text.strip()}
     if articles:
-        return [
-            n
-            for n in nodes
-            if n.article in articles and (n.path in content or below[n.path] or not paths[n.path].mostly_links or not n.text.strip())
-        ]
+
+        def held(node: Node) -> bool:
+            return node.path in content or below[node.path] or not paths[node.path].mostly_links
+
+        return [n for n in nodes if n.article in articles and (held(n) or not n.text.strip())]
     beside = {parents[path] for path in content}
     places = [k for k, n in enumerate(nodes) if n.path in content and n.text.strip()]
     if not places:

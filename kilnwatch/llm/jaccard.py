@@ -1,26 +1,27 @@
 """N-gram Jaccard join by chosen paths (operator 6).
 
 Each text is a set of shingles of five words; texts of fewer words are one shingle. Texts with equal sets are
-represented by one of them. A set is embedded as ``LANES`` MinHash coordinates. Each of ``RUNS`` independent runs starts
-with all sets in one bucket and splits it on sampled coordinates, the tokens that similar sets share: a coordinate is
-taken with probability 1 / (0.8 LANES), by a hash of the path that led to the bucket, so that all its sets choose alike.
-Buckets of at most ``LEAF`` sets are compared by brute force; larger ones are split again, with ``AGAIN`` times the
-coordinates, so that two similar sets do not part more and more often the deeper the split. A bucket of at most ``HELD``
-sets is split to its end inside one task, larger ones by a shuffle for each level. Two sets at similarity 0.8
-meet in a run with probability 0.63 after one split and 0.55 after ``DEPTH``; ``RUNS`` is the number of runs that misses
-less than ``MISSED`` of them at any depth. Splitting a large bucket of sets that mostly resemble each other would only
-multiply them, so such a bucket, told by the mean agreement of ``VOTES`` one-bit coordinates, is split no further. These
-buckets, and those still large after ``DEPTH`` splits, form crowds, the components they are linked to; all pairs of a
-crowd are compared once, as pairs of blocks.
+represented by one of them. A set is embedded as ``LANES`` MinHash coordinates. Each of ``RUNS`` independent runs
+starts with all sets in one bucket and splits it on sampled coordinates, the tokens that similar sets share: a
+coordinate is taken with probability 1 / (0.8 LANES), by a hash of the path that led to the bucket, so that all its
+sets choose alike. Buckets of at most ``LEAF`` sets are compared by brute force; larger ones are split again, with
+``AGAIN`` times the coordinates, so that two similar sets do not part more and more often the deeper the split. A
+bucket of at most ``HELD`` sets is split to its end inside one task, larger ones by a shuffle for each level. Two sets
+at similarity 0.8 meet in a run with probability 0.63 after one split and 0.55 after ``DEPTH``; ``RUNS`` is the number
+of runs that misses less than ``MISSED`` of them at any depth. Splitting a large bucket of sets that mostly resemble
+each other would only multiply them, so such a bucket, told by the mean agreement of ``VOTES`` one-bit coordinates, is
+split no further. These buckets, and those still large after ``DEPTH`` splits, form crowds, the components they are
+linked to; all pairs of a crowd are compared once, as pairs of blocks.
 
 What buckets yield are trees of similar sets, whose components hold all links. Inside a component the exact Jaccard
 similarity of all pairs is computed once, as products of incidence matrices; components beyond ``BLOCK`` sets or
 ``BLOCK_SHINGLES`` shingles are dealt out as pairs of blocks. Pairs are counted, not written. The work inside one
 component is quadratic in its different sets; this is what exact numbers of links cost.
 
-Defined results: texts without words, null ones included, have no links and are classes of their own; a row with a null id
-has no class and no links; repeated rows link each other like other copies; ids that repeat with different texts give a
-row for each; an empty table gives an empty result; extra columns are ignored. The class is the least id it holds.
+Defined results: texts without words, null ones included, have no links and are classes of their own; a row with a null
+id has no class and no links; repeated rows link each other like other copies; ids that repeat with different texts
+give a row for each; an empty table gives an empty result; extra columns are ignored. The class is the least id it
+holds.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """Deterministic sharded WARC archives (operator 9).
 
 Records are ordered by page id and cut into shards of similar size, each the work of one task; a shard is written to
-files that roll at a compressed size, a sixteenth of the shard's. Headers, record ids and digests are made anew from the page, so the same pages give the same bytes,
-whatever attempt writes them. A file is written under a temporary name and renamed when it is whole; only files named
-by the manifest, itself a table that Spark commits, belong to the archive. A lost executor's files are written again.
+files that roll at a compressed size, a sixteenth of the shard's. Headers, record ids and digests are made anew from
+the page, so the same pages give the same bytes, whatever attempt writes them. A file is written under a temporary name
+and renamed when it is whole; only files named by the manifest, itself a table that Spark commits, belong to the
+archive. A lost executor's files are written again.
 
 Among equal payloads of at least ``LEAST_REVISIT`` bytes the smallest page id is the response, the others revisit it.
 
