@@ -294,11 +294,6 @@ def _batch_totals(batches: list, last, total: int):
     return last, totals
 
 
-def _optional(column: pd.Series) -> list:
-    """The values of a column, with None for no value; not-a-number stays."""
-    return [None if v is None or v is pd.NA else v for v in column.tolist()]
-
-
 class _Readings:
     """A sensor's readings of one micro-batch in order of arrival.
 
@@ -323,9 +318,9 @@ class _Readings:
         results = [row[2] or nothing for row in found]
         severity, kind, measured, reference, deviation, rate, evidence = zip(*results)
         limits = [self.limits[row[0]] if row[2] else (None, None) for row in found]
-        given = self.rows.iloc[at]
+        given = self.rows.iloc[at].reset_index(drop=True)
         columns = {
-            "equipment_id": pd.array(_optional(given["equipment_id"].astype(object).where(given["equipment_id"].notna(), None)), "Int64"),
+            "equipment_id": given["equipment_id"].astype("Int64"),
             "sensor_id": given["sensor_id"].tolist(),
             "sensor_type": given["sensor_type"].tolist(),
             "rule_name": [row[1] for row in found],
