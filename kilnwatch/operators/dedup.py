@@ -47,11 +47,12 @@ def first_copies_with_life(readings: DataFrame, ingested_at: str, ttl_ms: int) -
     long_lived = written(spans.where(outlived).select("_key", "_ms"), "long-keys")
     reached = _chains(times.join(long_lived.select("_key"), "_key"), long_lived, ttl_ms)
     kept = spans.where(~outlived).select("_key", "_ms").unionByName(reached)
-    copies = times.join(kept, ["_key", "_ms"]).select("_key", "_ms", "_copy.*")
+    # A table of known size, so that readings are not shuffled to find those in a short one.
+    copies = written(times.join(kept, ["_key", "_ms"]).select("_key", "_ms", "_copy.*"), "kept-copies")
+    found = rows.join(copies, ["_key", "_ms", *ARRIVAL], "left_semi")
     # Equal order numbers leave one copy, as in first_copies.
     place = F.row_number().over(Window.partitionBy("_key", "_ms").orderBy(*ARRIVAL))
-    firsts = rows.withColumn("_place", place).where("_place = 1")
-    return firsts.join(copies, ["_key", "_ms", *ARRIVAL], "left_semi").select(*readings.columns)
+    return found.withColumn("_place", place).where("_place = 1").select(*readings.columns)
 
 
 def _chains(copies: DataFrame, firsts: DataFrame, ttl_ms: int) -> DataFrame:
