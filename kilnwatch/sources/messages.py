@@ -23,13 +23,32 @@ JSON_OPTIONS = {
 }
 
 # Accepted texts of instants and numbers.
-ISO_INSTANT = (
-    r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?"
-    r"(Z|\+00(:?00)?|[+-]\d{2}:\d{2}(:\d{2})?)$"
+_ISO = (
+    r"(?i:\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?"
+    r"(Z|\+00(:?00)?|[+-]\d{2}:\d{2}(:\d{2})?))"
 )
-EPOCH_SECONDS = r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?$"
-WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
-NUMBER = r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?(Infinity|INF))\s*$"
+_EPOCH = r"[+-]?\d+(\.\d+)?([eE][+-]?\d+)?"
+_WHOLE = r"\s*[+-]?\d+\s*"
+_NUMBER = r"\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?(Infinity|INF))\s*"
+ISO_INSTANT, EPOCH_SECONDS, WHOLE_NUMBER, NUMBER = (f"^{form}$" for form in (_ISO, _EPOCH, _WHOLE, _NUMBER))
+
+# Texts of leaves that a cast surely reads, and as the conversions below do.
+_DAY = (
+    r"(?:(?:0[1-9]|1[0-2])-(?:0[1-9]|1\d|2[0-8])|(?:0[13-9]|1[0-2])-(?:29|30)|(?:0[13578]|1[02])-31)"
+)
+PLAIN_INSTANT = rf"(?:[1-9]\d{{3}}-{_DAY}T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{{1,3}}+)?+Z)?+"
+PLAIN_WHOLE = r"(?:[+-]?+\d{1,9}+)?+"
+PLAIN_NUMBER = r"(?:[+-]?+\d{1,15}+(?:\.\d{1,15}+)?+(?:[eE][+-]?+\d{1,2}+)?+)?+"
+# The text that Spark makes of a number beyond a double's range, quotes included.
+BEYOND = '"-?Infinity"'
+# Texts outside of these are never read; a form's end may stand before a last line break.
+READ_INSTANT, READ_WHOLE, READ_NUMBER = (
+    rf"({forms}|\s*)\R?" for forms in (f"{_ISO}|{_EPOCH}", f"{_WHOLE}|{_EPOCH}", f"{_NUMBER}|{BEYOND}")
+)
+# Stands before and behind each leaf where many are looked at together. Strict JSON has it escaped only.
+MARK, MARK_ESCAPED = "\x01", r"\u0001"
+# How a message's leaves are converted.
+UNREAD, PLAIN, BY_LEAF, BEYOND_RANGE = range(4)
 
 
 #: Partitions that the order of arrival tells apart.
@@ -88,10 +107,10 @@ def _retyped(schema: T.DataType, leaf_types: tuple, to: T.DataType) -> T.DataTyp
     return to if isinstance(schema, leaf_types) else schema
 
 
-_NUMBERS = (T.LongType, T.IntegerType, T.DoubleType)
-# Instants always arrive as text, because only some timestamp spellings are accepted.
-TYPED = _retyped(S.BATCH, (T.TimestampType,), T.StringType())
-AS_TEXT = _retyped(S.BATCH, (T.TimestampType, *_NUMBERS), T.StringType())
+_WHOLES, _DOUBLES, _INSTANTS = (T.LongType, T.IntegerType), (T.DoubleType,), (T.TimestampType,)
+# All leaves are read as text, because numbers may stand in quotes and only some spellings of timestamps are accepted.
+AS_TEXT = _retyped(S.BATCH, (*_INSTANTS, *_WHOLES, *_DOUBLES), T.StringType())
+TYPED = _retyped(S.BATCH, _INSTANTS, T.StringType())
 
 
 def _instant(text: Column) -> Column:
@@ -158,36 +177,96 @@ def _lost(value: Column, converted: Column, source: T.DataType, target: T.DataTy
     return F.coalesce(converted.isNull() & value.isNotNull() & (F.trim(value) != ""), F.lit(False))
 
 
+def _leaves(value: Column, schema: T.StructType, of: tuple, listed: bool = False) -> list[Column]:
+    """The leaves of the given types as lists of texts, one for each field; what a list holds is not visited by lambdas."""
+    found = []
+    for f in schema:
+        if isinstance(f.dataType, T.ArrayType):
+            found += _leaves(_elements(value[f.name], listed), f.dataType.elementType, of, True)
+        elif isinstance(f.dataType, of):
+            found.append(value[f.name] if listed else F.array(value[f.name]))
+    return found
+
+
+def _elements(lists: Column, listed: bool) -> Column:
+    return F.flatten(lists) if listed else lists
+
+
+def _all_there(value: Column, schema: T.StructType, listed: bool = False) -> list[Column]:
+    """Tests that no list inside a list is missing, without which the leaves of all of them are."""
+    tests = []
+    for f in schema:
+        if isinstance(f.dataType, T.ArrayType):
+            elements = _elements(value[f.name], listed)
+            tests += [elements.isNotNull() | value[f.name].isNull()] if listed else []
+            tests += _all_there(elements, f.dataType.elementType, True)
+    return tests
+
+
+def _joined(value: Column, of: tuple) -> Column:
+    """The leaves of the given types as one text, a mark before each and at the end."""
+    texts = [F.concat(F.lit(MARK), F.array_join(leaves, MARK)) for leaves in _leaves(value, S.BATCH, of)]
+    return F.concat_ws("", *texts, F.lit(MARK))
+
+
+def _any_other(forms: dict[str, str]) -> Column:
+    """Whether a leaf among the joined ones has another form. Searched from mark to mark, which needs no stack."""
+    return reduce(Column.__or__, [F.col(name).rlike(rf"\x01(?!{form}\x01|\z)") for name, form in forms.items()])
+
+
+def _read(schema: T.StructType) -> Column:
+    marked = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json("value", marked, JSON_OPTIONS)
+
+
+def _whole_message(name: str) -> Column:
+    return F.col(name).isNotNull() & F.col(f"{name}.{CORRUPT}").isNull()
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """A2: add ``batch`` (NULL for anything unreadable) next to the given columns.
 
-    A message is first read with its real number types. Only one that fails is read
-    again with all leaves as text, which also accepts numbers in quotes and fractions
-    for whole numbers. A leaf that still does not convert makes the message poison.
+    A message is read once, with all leaves as text, which also accepts numbers in quotes and
+    fractions for whole numbers. Where all leaves are plain, one cast converts them; where one
+    has no form that is ever read, none is converted. Only the others are converted leaf by
+    leaf, and one that does not convert makes the message poison. Numbers beyond a double's
+    range become infinite; only a message that may hold one is read again with real number types.
     """
-    marked = lambda schema: T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
-    typed = messages.withColumn("_typed", F.from_json("value", marked(TYPED), JSON_OPTIONS))
-    typed_ok = F.col("_typed").isNotNull() & F.col(f"_typed.{CORRUPT}").isNull()
-    second = typed.withColumn(
-        "_text",
-        F.when(~typed_ok, F.from_json("value", marked(AS_TEXT), JSON_OPTIONS)),
+    text = F.col("_text")
+    read = messages.withColumn("_text", _read(AS_TEXT))
+    # The texts and the tests stand in projections of their own: the JVM compiles no method beyond 8000 bytes.
+    texts = {"_instants": _INSTANTS, "_wholes": _WHOLES, "_doubles": _DOUBLES}
+    joined = read.withColumns({name: F.when(_whole_message("_text"), _joined(text, of)) for name, of in texts.items()})
+    sure = reduce(Column.__and__, _all_there(text, S.BATCH)) & ~F.contains("value", F.lit(MARK_ESCAPED))
+    plain = sure & ~_any_other(dict(zip(texts, (PLAIN_INSTANT, PLAIN_WHOLE, PLAIN_NUMBER))))
+    lost = _any_other(dict(zip(texts, (READ_INSTANT, READ_WHOLE, READ_NUMBER))))
+    # Where a list inside a list is missing, not all leaves are among the joined texts.
+    beyond = ~sure | F.col("_doubles").rlike(BEYOND)
+    way = (
+        F.when(~_whole_message("_text"), F.lit(UNREAD))
+        .when(plain, F.lit(PLAIN))
+        .when(lost, F.lit(UNREAD))
+        .when(beyond, F.lit(BEYOND_RANGE))
+        .otherwise(F.lit(BY_LEAF))
     )
-    text_ok = F.col("_text").isNotNull() & F.col(f"_text.{CORRUPT}").isNull()
+    judged = joined.withColumn("_way", way).drop(*texts)
+    again = judged.withColumn("_typed", F.when(F.col("_way") == BEYOND_RANGE, _read(TYPED)))
 
     # Leaves are converted once, in a projection of their own; what got lost shows afterwards.
-    converted = second.withColumns(
-        {
-            "_typed_batch": F.when(typed_ok, _convert(F.col("_typed"), TYPED, S.BATCH)),
-            "_text_batch": F.when(text_ok, _convert(F.col("_text"), AS_TEXT, S.BATCH)),
-        }
+    sources = {"_typed": TYPED, "_text": AS_TEXT}
+    chosen = {
+        "_typed": _whole_message("_typed"),
+        "_text": F.col("_way").isin(BY_LEAF, BEYOND_RANGE) & ~F.coalesce(_whole_message("_typed"), F.lit(False)),
+    }
+    converted = again.withColumns(
+        {f"{n}_batch": F.when(chosen[n], _convert(F.col(n), source, S.BATCH)) for n, source in sources.items()}
     )
-
-    def whole(column: str, source: T.StructType) -> Column:
-        lost = _lost(F.col(column), F.col(f"{column}_batch"), source, S.BATCH)
-        return F.when(~lost, F.col(f"{column}_batch"))
-
-    batch = F.when(typed_ok, whole("_typed", TYPED)).when(text_ok, whole("_text", AS_TEXT))
-    return converted.withColumn("batch", batch).drop("_typed", "_text", "_typed_batch", "_text_batch")
+    at_once = F.struct(*[text[f.name].try_cast(f.dataType).alias(f.name) for f in S.BATCH])
+    batch = F.when(F.col("_way") == PLAIN, at_once)
+    for n, source in sources.items():
+        kept = F.col(f"{n}_batch")
+        batch = batch.when(kept.isNotNull(), F.when(~_lost(F.col(n), kept, source, S.BATCH), kept))
+    return converted.withColumn("batch", batch).drop("_way", *sources, *[f"{n}_batch" for n in sources])
 
 
 def valid_batches(parsed: DataFrame) -> DataFrame:

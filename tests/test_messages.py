@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from helpers import UTC, instant
@@ -164,3 +165,33 @@ def test_messages_to_readings(spark):
     rows = spark.createDataFrame([(message(), 7), ("}{", 8)], "value string, arrival_seq long")
     (row,) = readings_of(rows).collect()
     assert (row.batch_id, row.equipment_id, row.value, row.arrival_seq) == ("B1", 1, 21.0, 7)
+
+
+ODD = [
+    ("number beyond a double", message({"value": 1}).replace('"value": 1', '"value": 1e400'), float("inf")),
+    ("the same in a text", message({"value": '"Infinity"'}), None),
+    ("two leaves in one", message({"value": "5\x016"}), None),
+    ("last day of a month", message({"value": 2}, createdAt="2026-01-31T00:00:00Z"), 2.0),
+    ("no such day", message(createdAt="2026-04-31T00:00:00Z"), None),
+    ("beside a missing list", message().replace('"measurements": [', '"measurements": [null, '), 21.0),
+    ("lost beside a missing list", message({"value": "x"}).replace('"measurements": [', '"measurements": [null, '), None),
+]
+
+
+@pytest.mark.parametrize("name, text, value", ODD, ids=[c[0] for c in ODD])
+def test_odd_leaf(spark, name, text, value):
+    (row,) = parse_messages(spark.createDataFrame([(text, 1)], "value string, arrival_seq long")).collect()
+    found = None if row.batch is None else row.batch.measurements[-1].sensors[0].value
+    assert found == value
+
+
+def test_a_message_is_read_once(spark):
+    """Neither numbers in quotes nor broken messages are read a second time, and the JVM compiles every method."""
+    parsed = parse_messages(spark.createDataFrame([(message(), 1)], "value string, arrival_seq long"))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    reads = [line for line in plan.splitlines() if "from_json" in line]
+    assert sum("CASE WHEN" not in line.split("from_json")[0] for line in reads) == 1
+    assert all("_way" in line.split("from_json")[0] for line in reads if "CASE WHEN" in line.split("from_json")[0])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", parsed._jdf.queryExecution().explainString(mode))
+    assert sizes and max(map(int, sizes)) < 8000
